@@ -50,3 +50,138 @@ def recording_durations(log: DataFrame) -> DataFrame:
         end.alias("stop"),
         diff_us(end, F.col("start")).alias("duration"),
     )
+
+
+# --- D20: clip timeline family --------------------------------------------------------
+
+from ..functions import add_us, padded, pid_from_name, study_ord  # noqa: E402
+from ..schemas import MIN_FILLER_GAP_US  # noqa: E402
+from .log import parse_clip_name  # noqa: E402
+
+
+def clip_manifest(manifest: DataFrame, strict: bool = False) -> DataFrame:
+    """Archive members (member, size) that are webcam clips, parsed to
+    (pid, log, record, study, aux) with the tidy part path
+    `P_dd/RR-study[-aux].mp4` they are extracted to."""
+    clips = manifest.where(F.col("member").endswith(".webm"))
+    log, record, study, aux = parse_clip_name(F.col("member"))
+    part = padded("P_%02d/%02d-%s", "pid", "record", "study")
+    return clips.select(
+        pid_from_name("member", strict).alias("pid"), log.alias("log"), record.alias("record"),
+        study.alias("study"), aux.alias("aux"), "member", "size",
+    ).select(
+        "*",
+        F.concat(part, F.when(F.col("aux").isNotNull(), F.concat(F.lit("-"), F.col("aux").cast("string")))
+                 .otherwise(F.lit("")), F.lit(".mp4")).alias("part_path"),
+    )
+
+
+def fragment_parts(clips: DataFrame) -> DataFrame:
+    """Clips recorded in several fragments, as an ordered part list.
+
+    One row per fragment of a (pid, record, study) that has fragments:
+    `part` orders the concat (the fragment without a number is part 0),
+    `n_parts` is the group size, `merged_path` the joined clip. A relation
+    instead of a collected list, so a large group is never one value."""
+    key = ["pid", "record", "study"]
+    sizes = clips.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n_parts"), F.max("aux").alias("_max_aux")
+    ).where(F.col("_max_aux").isNotNull())
+    out = clips.join(sizes, key, "inner")
+    return out.select(
+        *key,
+        F.coalesce(F.col("aux"), F.lit(0)).alias("part"),
+        "member",
+        F.concat(padded("P_%02d/%02d-%s", "pid", "record", "study"),
+                 F.lit("-"), F.coalesce(F.col("aux"), F.lit(0)).cast("string"), F.lit(".mp4")).alias("part_path"),
+        F.concat(padded("P_%02d/%02d-%s", "pid", "record", "study"), F.lit(".mp4")).alias("merged_path"),
+        "n_parts",
+    )
+
+
+TIMELINE_FIELDS = [
+    "record", "study", "offset", "duration", "has_file", "accepted", "gap", "filler", "end",
+]
+
+
+def clip_timeline(starts: DataFrame, clips: DataFrame, form: DataFrame) -> DataFrame:
+    """Plan of one participant's webcam video from its clips.
+
+    starts: log rows with event `start` (pid, record, study, timestamp);
+    clips: part files that exist (pid, record, study, duration us);
+    form: (pid, webcam_start). Per participant in start order, with the
+    running end at 0: a start without a file is skipped; gap = offset -
+    end; a negative gap (overlap) rejects the clip; otherwise the clip is
+    accepted, end = offset + duration, and a filler of length gap is
+    planned before it when it is not the first accepted clip and the gap is
+    at least 30 ms.
+
+    The running end depends on earlier accept decisions, so this is a
+    sequential fold: it runs as Spark's `aggregate` over the participant's
+    clips sorted by (offset, record, study order). A participant has one
+    clip per recording, tens in practice."""
+    s = starts.join(form.select("pid", "webcam_start"), "pid", "inner")
+    s = s.join(clips.select("pid", "record", "study", F.col("duration").alias("_dur")),
+               ["pid", "record", "study"], "left")
+    item = F.struct(
+        diff_us("timestamp", "webcam_start").alias("offset"),
+        F.col("record").alias("record"),
+        F.coalesce(study_ord("study"), F.lit(-1)).alias("ord"),
+        F.col("study").alias("study"),
+        F.col("_dur").alias("duration"),
+    )
+    grouped = s.groupBy("pid").agg(F.array_sort(F.collect_list(item)).alias("_clips"))
+
+    out_type = (
+        "array<struct<record:int,study:string,offset:bigint,duration:bigint,has_file:boolean,"
+        "accepted:boolean,gap:bigint,filler:bigint,end:bigint>>"
+    )
+    init = F.struct(
+        F.lit(0).cast("bigint").alias("end"),
+        F.lit(0).alias("n"),
+        F.array().cast(out_type).alias("out"),
+    )
+
+    def step(acc, x):
+        has = x["duration"].isNotNull()
+        gap = x["offset"] - acc["end"]
+        accept = has & (gap >= 0)
+        new_end = F.when(accept, x["offset"] + x["duration"]).otherwise(acc["end"])
+        filler = F.when(accept & (acc["n"] > 0) & (gap >= MIN_FILLER_GAP_US), gap)
+        row = F.struct(
+            x["record"].alias("record"), x["study"].alias("study"), x["offset"].alias("offset"),
+            x["duration"].alias("duration"), has.alias("has_file"), accept.alias("accepted"),
+            F.when(has, gap).alias("gap"), filler.alias("filler"), new_end.alias("end"),
+        )
+        return F.struct(
+            new_end.alias("end"),
+            (acc["n"] + F.when(accept, 1).otherwise(0)).alias("n"),
+            F.concat(acc["out"], F.array(row)).alias("out"),
+        )
+
+    folded = grouped.select("pid", F.aggregate("_clips", init, step)["out"].alias("_out"))
+    return folded.select("pid", F.inline("_out"))
+
+
+def frame_index(frames: DataFrame, form: DataFrame) -> DataFrame:
+    """D20d: every video frame on every clock.
+
+    frames: (pid, video 'webcam' | 'screen', frame us since the video
+    start). wall = start + frame; rec = delay + frame; own clock = frame;
+    the other video's clock = frame + (webcam_start - screen_start) for the
+    webcam, frame - that for the screen, null without a screen video.
+    Screen frames of participants without a screen start are dropped."""
+    f = frames.join(form.select("pid", "init_start", "webcam_start", "screen_start"), "pid", "inner")
+    is_cam = F.col("video") == "webcam"
+    start = F.when(is_cam, F.col("webcam_start")).otherwise(F.col("screen_start"))
+    video_delay = diff_us("webcam_start", "screen_start")
+    f = f.where(is_cam | F.col("screen_start").isNotNull())
+    return f.select(
+        "pid", "video", F.col("frame").alias("frame"),
+        add_us(start, "frame").alias("log_time"),
+        (diff_us(start, "init_start") + F.col("frame")).alias("rec_time"),
+        F.col("frame").alias("own_time"),
+        F.when(is_cam, F.col("frame") + video_delay).otherwise(F.col("frame") - video_delay).alias(
+            "other_time"
+        ),
+    )

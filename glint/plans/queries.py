@@ -77,3 +77,310 @@ def q_distinct_pids(spark, sf):
 def q_record_count(spark, sf):
     """A2: number of log rows with a record, per participant."""
     return events_log(spark, sf).groupBy("pid").agg(F.count("record").alias("records"))
+
+
+# --- shared derived inputs -----------------------------------------------------------
+
+from ..operators.form import (  # noqa: E402
+    build_form,
+    clean_form,
+    domain_violations,
+    parse_specs,
+    spec_lines,
+)
+from ..operators.gaze import (  # noqa: E402
+    calibration_targets,
+    paired_targets,
+    shape_calibration,
+    shape_dots,
+    shape_gaze,
+)
+from ..operators.log import align_log, parse_alignment  # noqa: E402
+from ..operators.recordings import (  # noqa: E402
+    clip_manifest,
+    clip_timeline,
+    fragment_parts,
+    frame_index,
+)
+from ..operators.frames import shape_tracker_frames  # noqa: E402
+from ..operators.timelines import (  # noqa: E402
+    dot_points,
+    event_log,
+    merge_gaze,
+    mouse_points,
+    recording_markers,
+    with_timelines,
+)
+from ..functions import duration_text_us  # noqa: E402
+
+
+def form_of(spark, sf, strict: bool = False):
+    ev = px.load(spark, sf, "events")
+    cu = px.load(spark, sf, "customer")
+    form = clean_form(px.raw_form(ev, cu), strict=strict)
+    specs = parse_specs(spec_lines(px.spec_files(cu)))
+    return build_form(form, px.log(ev), specs)
+
+
+def _us(c):
+    return micros(c)
+
+
+def flat_clocks(df: DataFrame) -> list:
+    return [micros("timestamp").alias("ts_us"), "rec_time", "webcam_time", "screen_time"]
+
+
+@query("parse_alignment")
+def q_parse_alignment(spark, sf):
+    """D5 over alignment rows derived from every recording start."""
+    a = parse_alignment(px.alignment_csv(px.load(spark, sf, "events")))
+    return a.select("pid", "log", "record", "study", "aux", F.col("frameshift").alias("frameshift_us"))
+
+
+@query("align_log")
+def q_align_log(spark, sf):
+    """D4 (J8): the tidy log shifted by each clip's frame shift."""
+    ev = px.load(spark, sf, "events")
+    aligned = align_log(px.log(ev), parse_alignment(px.alignment_csv(ev)))
+    return aligned.select("pid", "record", "study", "event", micros("timestamp").alias("ts_us"))
+
+
+@query("clean_form")
+def q_clean_form(spark, sf):
+    """D1 (tolerant mode: the invalid eye colour becomes null)."""
+    f = clean_form(px.raw_form(px.load(spark, sf, "events"), px.load(spark, sf, "customer")), strict=False)
+    return f.select(
+        "pid", "log", "setting", "screen_distance", _us("screen_start").alias("screen_start_us"),
+        _us("wall_clock").alias("wall_clock_us"), "gender", "age", "race", "skin_color", "eye_color",
+        "facial_hair", "vision", "touch_typer", "handedness", "weather", "pointing_device", "notes",
+        "time_of_day", _us("init_start").alias("init_start_us"),
+        F.col("screen_size.w").alias("screen_w"), F.col("screen_size.h").alias("screen_h"),
+        F.col("display_resolution.w").alias("display_w"), F.col("display_resolution.h").alias("display_h"),
+    )
+
+
+@query("build_form")
+def q_build_form(spark, sf):
+    """D2 (J4-J7, A1, S13): form + screen adjustment + viewport offset +
+    spec + first recording start."""
+    f = form_of(spark, sf)
+    return f.select(
+        "pid", "setting", "screen_viewport_y", _us("init_start").alias("init_start_us"),
+        _us("webcam_start").alias("webcam_start_us"), _us("screen_start").alias("screen_start_us"),
+        "illumination_mode", "frequency",
+        F.get(F.col("tracking_box.b_lo_l"), 0).alias("box_b_lo_l_x"),
+        F.get(F.col("tracking_box.f_up_r"), 2).alias("box_f_up_r_z"),
+    )
+
+
+@query("spec_pivot")
+def q_spec_pivot(spark, sf):
+    """Device-spec text of every customer to one typed row."""
+    from ..operators.form import CORNERS, corner_key
+
+    s = parse_specs(spec_lines(px.spec_files(px.load(spark, sf, "customer"))))
+    cols = ["pid", "illumination_mode", "frequency"]
+    for c in CORNERS:
+        k = corner_key(*c)
+        for i, axis in enumerate("xyz"):
+            cols.append(F.get(F.col(f"tracking_box.{k}"), i).alias(f"{k}_{axis}"))
+    return s.select(*cols)
+
+
+@query("domain_check")
+def q_domain_check(spark, sf):
+    """Values outside the closed sets in the questionnaire rows and
+    the device specs, with their counts."""
+    from ..schemas import FORM_COLUMNS
+
+    ev, cu = px.load(spark, sf, "events"), px.load(spark, sf, "customer")
+    raw = px.raw_form(ev, cu)
+    named = raw.select(*[F.col(f"`{k}`").alias(v) for k, v in FORM_COLUMNS.items()])
+    specs = parse_specs(spec_lines(px.spec_files(cu))).select("pid", "illumination_mode")
+    named = named.withColumn("pid", F.split("pid", "_").getItem(1).cast("int")).join(specs, "pid", "left")
+    return domain_violations(named)
+
+
+@query("with_timelines")
+def q_with_timelines(spark, sf):
+    """D11 (J12): the whole log on the log, rec, webcam and screen clocks."""
+    tl = with_timelines(px.log(px.load(spark, sf, "events")), form_of(spark, sf))
+    return tl.select("pid", "record", "event", *flat_clocks(tl))
+
+
+@query("event_log")
+def q_event_log(spark, sf):
+    """D12."""
+    ev = event_log(with_timelines(px.log(px.load(spark, sf, "events")), form_of(spark, sf)))
+    return ev.select("pid", "event", "record", "study", *flat_clocks(ev))
+
+
+@query("recording_markers")
+def q_recording_markers(spark, sf):
+    """D13."""
+    m = recording_markers(with_timelines(px.log(px.load(spark, sf, "events")), form_of(spark, sf)))
+    return m.select("pid", "record", "event", "study", *flat_clocks(m))
+
+
+@query("mouse_points")
+def q_mouse_points(spark, sf):
+    """D14."""
+    m = mouse_points(with_timelines(px.log(px.load(spark, sf, "events")), form_of(spark, sf)))
+    return m.select(
+        "pid", *flat_clocks(m), "event",
+        F.get("mouse", 0).alias("x"), F.get("mouse", 1).alias("y"),
+        F.get("color", 0).alias("r"), F.get("color", 1).alias("g"), F.get("color", 2).alias("b"),
+    )
+
+
+@query("shape_gaze")
+def q_shape_gaze(spark, sf):
+    """D6 over eye-tracker rows derived from every embedding."""
+    g = shape_gaze(px.raw_tobii(px.load(spark, sf, "embeddings")))
+    return g.select(
+        "pid", micros("timestamp").alias("ts_us"), micros("clock").alias("clock_us"),
+        micros("duration").alias("device_us"),
+        F.col("pupil_validity.left").alias("pupil_valid_l"),
+        F.col("pupil_diameter.right").alias("pupil_diameter_r"),
+        F.col("gazepoint_validity.left").alias("gaze_valid_l"),
+        F.col("gazepoint_validity.right").alias("gaze_valid_r"),
+        F.col("gazepoint_display.left.x").alias("gaze_x_l"),
+        F.col("gazepoint_display.right.y").alias("gaze_y_r"),
+        F.col("gazepoint_ucs.left.z").alias("gaze_ucs_z_l"),
+        F.col("gazeorigin_validity.right").alias("origin_valid_r"),
+        F.col("gazeorigin_trackbox.right.x").alias("trackbox_x_r"),
+        F.col("gazeorigin_ucs.left.y").alias("origin_ucs_y_l"),
+    )
+
+
+@query("merge_gaze")
+def q_merge_gaze(spark, sf):
+    """D15 (U2 single pass, J12): gaze samples in display pixels."""
+    gaze = shape_gaze(px.raw_tobii(px.load(spark, sf, "embeddings")))
+    form = form_of(spark, sf)
+    m = merge_gaze(with_timelines(gaze, form), form)
+    return m.select(
+        "pid", *flat_clocks(m), "x", "y",
+        F.get("color", 0).alias("r"), F.get("color", 1).alias("g"), F.get("color", 2).alias("b"),
+    )
+
+
+@query("dot_correction")
+def q_dot_correction(spark, sf):
+    """D7 (J9): dot-test points with the viewport offset of the setting."""
+    d = shape_dots(px.raw_dots(px.load(spark, sf, "orders")), form_of(spark, sf))
+    return d.select("pid", micros("timestamp").alias("ts_us"), F.col("dot.x").alias("x"),
+                    F.col("dot.y").alias("y"))
+
+
+@query("dot_points")
+def q_dot_points(spark, sf):
+    """Dot-test points on every clock."""
+    form = form_of(spark, sf)
+    d = dot_points(with_timelines(shape_dots(px.raw_dots(px.load(spark, sf, "orders")), form), form))
+    return d.select("pid", *flat_clocks(d), F.get("dot", 0).alias("x"), F.get("dot", 1).alias("y"))
+
+
+@query("shape_calibration")
+def q_shape_calibration(spark, sf):
+    """D8 (P13): calibration rows, incomplete ones dropped."""
+    c = shape_calibration(px.raw_calibration(px.load(spark, sf, "lineitem")))
+    return c.select(
+        "pid", F.col("point.x").alias("point_x"), F.col("point.y").alias("point_y"),
+        F.col("validity.left").alias("valid_l"), F.col("validity.right").alias("valid_r"),
+        F.col("left.x").alias("left_x"), F.col("left.y").alias("left_y"),
+        F.col("right.x").alias("right_x"), F.col("right.y").alias("right_y"),
+    )
+
+
+@query("calibration_targets")
+def q_calibration_targets(spark, sf):
+    """Dot test / Fitts' law mouse points as weighted targets."""
+    t = calibration_targets(px.log(px.load(spark, sf, "events")), form_of(spark, sf))
+    return t.select("pid", "study", F.col("timestamp").alias("ts_ms"), "screen_x", "screen_y",
+                    "event", micros("webcam_start").alias("webcam_start_us"), "weight")
+
+
+@query("paired_targets")
+def q_paired_targets(spark, sf):
+    """D17b (J11): frame ids paired with mouse points by position."""
+    ev = px.load(spark, sf, "events")
+    pts = px.log(ev).where(F.col("source") == "mouse").select(
+        "pid", "record", "timestamp", F.col("mouse.x").alias("x"), F.col("mouse.y").alias("y"), "event")
+    hour = (micros("timestamp") / 3_600_000_000).cast("bigint")
+    out = paired_targets(
+        px.error_frames(ev), pts,
+        point_order=["timestamp", "x", "y", "event"],
+        frame_bucket=(F.col("frame") / 1024).cast("bigint"),
+        point_bucket=hour,
+    )
+    return out
+
+
+@query("clip_manifest")
+def q_clip_manifest(spark, sf):
+    """D20a (S12, F5): archive members to parsed clips and part paths."""
+    m = clip_manifest(px.archive_manifest(px.load(spark, sf, "events")))
+    return m.select("pid", "log", "record", "study", "aux", "member", "size", "part_path")
+
+
+@query("fragments")
+def q_fragments(spark, sf):
+    """D20b (A4): fragmented clips as ordered part lists."""
+    m = clip_manifest(px.archive_manifest(px.load(spark, sf, "events")))
+    return fragment_parts(m)
+
+
+def _clip_inputs(spark, sf):
+    from ..operators.form import first_starts
+    from ..operators.recordings import recording_durations
+
+    lg = px.log(px.load(spark, sf, "events"))
+    starts = lg.where(F.col("event") == "start").select("pid", "record", "study", "timestamp")
+    clips = (
+        recording_durations(lg).where(F.col("duration") >= 0)
+        .groupBy("pid", "record", "study").agg(F.max("duration").alias("duration"))
+    )
+    return starts, clips, first_starts(lg)
+
+
+@query("clip_timeline")
+def q_clip_timeline(spark, sf):
+    """D20c (W2, J13): per-participant accept/reject fold with fillers."""
+    starts, clips, form = _clip_inputs(spark, sf)
+    t = clip_timeline(starts, clips, form)
+    return t.select(
+        "pid", "record", "study", F.col("offset").alias("offset_us"),
+        F.col("duration").alias("duration_us"), "has_file", "accepted",
+        F.col("gap").alias("gap_us"), F.col("filler").alias("filler_us"), F.col("end").alias("end_us"),
+    )
+
+
+@query("frame_index")
+def q_frame_index(spark, sf):
+    """D20d: webcam and screen frames on every clock."""
+    fr = frame_index(px.video_frames(px.load(spark, sf, "embeddings")), form_of(spark, sf))
+    return fr.select("pid", "video", F.col("frame").alias("frame_us"),
+                     micros("log_time").alias("log_time_us"), F.col("rec_time").alias("rec_time_us"),
+                     F.col("own_time").alias("own_time_us"), F.col("other_time").alias("other_time_us"))
+
+
+@query("duration_text")
+def q_duration_text(spark, sf):
+    """duration text in several spellings parsed to microseconds."""
+    t = px.duration_texts(px.load(spark, sf, "orders"))
+    return t.select("o_orderkey", "text", duration_text_us("text").alias("parsed_us"))
+
+
+@query("indexed_frames")
+def q_indexed_frames(spark, sf):
+    """D18 (W1): tracker frames shaped, with their row index in file order."""
+    raw = px.raw_tracker(px.load(spark, sf, "embeddings"))
+    fr = shape_tracker_frames(raw, order=["order"], bucket=(F.col("order") / 256).cast("bigint"))
+    return fr.select(
+        "pid", "record", "aux", "index", F.col("timestamp").alias("ts_us"), "tracking",
+        F.col("offset.x").alias("offset_x"), F.col("target.s").alias("target_s"),
+        F.col("rotation.yaw").alias("yaw"), F.col("eyes.left.s").alias("eye_l_s"),
+        F.col("gazepoint.right.y").alias("gaze_r_y"), F.col("gazedur").alias("gazedur_us"),
+        F.size("faceshape").alias("face_n"), F.col("faceshape")[2]["y"].alias("face_2_y"),
+    )
