@@ -278,11 +278,11 @@ def domain_violations(df: DataFrame, columns: list[str] | None = None) -> DataFr
     known = {**FORM_DOMAINS, "study": STUDIES}
     cols = [c for c in (columns or list(known)) if c in df.columns]
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
     ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
-    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
-    dom = F.broadcast(domain_table(df.sparkSession).select("column", "value"))
-    return counted.join(dom, ["column", "value"], "left_anti")
+    counted = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    dom = F.broadcast(domain_table(df.sparkSession).select(F.col("column").alias("column_name"), "value"))
+    return counted.join(dom, ["column_name", "value"], "left_anti")
 
 
 def check_domains(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

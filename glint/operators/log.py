@@ -134,11 +134,14 @@ def parse_alignment(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def clip_shifts(alignment: DataFrame) -> DataFrame:
     """One frame shift per (pid, record, study): the clip without a fragment
-    number (or the lowest one) decides. Fragments share the key, so a plain
+    number (or the lowest one) decides, a missing shift counting as 0 and
+    a tie taking the smaller shift. Fragments share the key, so a plain
     join would repeat log rows."""
-    return alignment.groupBy("pid", "record", "study").agg(
-        F.min_by("frameshift", F.coalesce(F.col("aux"), F.lit(0))).alias("frameshift")
-    )
+    pick = F.min(F.struct(
+        F.coalesce(F.col("aux"), F.lit(0)).alias("aux"),
+        F.coalesce(F.col("frameshift"), F.lit(0)).alias("shift"),
+    ))
+    return alignment.groupBy("pid", "record", "study").agg(pick["shift"].alias("frameshift"))
 
 
 def align_log(log: DataFrame, alignment: DataFrame) -> DataFrame:
