@@ -19,32 +19,50 @@ def recording_bounds(log: DataFrame) -> DataFrame:
     )
 
 
+def recording_ends(log: DataFrame) -> DataFrame:
+    """Per (pid, record): its latest stop and the earliest start of record
+    + 1 (only for records above 1). Each start/stop row contributes to its
+    own key (as a stop) and to key `record - 1` (as the next start), so one
+    partial + final aggregate over one scan yields both lookups."""
+    ev = log.where(F.col("event").isin("start", "stop")).select(
+        "pid", "record", "event", "timestamp"
+    )
+    is_stop, is_start = F.col("event") == "stop", F.col("event") == "start"
+    none = F.lit(None).cast("timestamp_ntz")
+    contrib = ev.select(
+        "pid",
+        F.inline(F.array(
+            F.struct(F.col("record").alias("record"),
+                     F.when(is_stop, F.col("timestamp")).alias("stop"), none.alias("next")),
+            F.struct((F.col("record") - 1).alias("record"), none.alias("stop"),
+                     F.when(is_start & (F.col("record") - 1 > 1), F.col("timestamp")).alias("next")),
+        )),
+    )
+    return contrib.groupBy("pid", "record").agg(
+        F.max("stop").alias("stop"), F.min("next").alias("next")
+    )
+
+
 def recording_durations(log: DataFrame) -> DataFrame:
     """How long each recording ran.
 
     Rows are the `start` events except the thank-you page. A recording ends
-    at the stop of the same (pid, record); when it has none and its record
-    number is above 1, at the first start of record + 1 (J1-J3); otherwise
-    the duration is null.
+    at the stop of the same (pid, record) (J1); when it has none and its
+    record number is above 1, at the first start of record + 1 (J2); a next
+    start is only taken where the recording has no stop (J3); otherwise the
+    duration is null.
 
     Stops and next starts are reduced to one row per (pid, record) before
-    they are joined, so a recording with several stops or restarts never
-    multiplies rows (the latest stop and the earliest next start win), and
-    a hot (pid, record) meets a one-row build side."""
-    bounds = recording_bounds(log)
-    stops = bounds.where(F.col("stop").isNotNull()).select("pid", "record", "stop")
-    nexts = (
-        bounds.where(F.col("first_start").isNotNull())
-        .select("pid", (F.col("record") - 1).alias("record"), F.col("first_start").alias("next"))
-        .where(F.col("record") > 1)
-        # A next start only counts for a recording that has no stop.
-        .join(stops.select("pid", "record"), ["pid", "record"], "left_anti")
-    )
+    the join (`recording_ends`), so a recording with several stops or
+    restarts never multiplies rows (the latest stop and the earliest next
+    start win) and a hot (pid, record) meets a one-row build side. The log
+    is scanned twice: once for the starts, once for the ends."""
+    ends = recording_ends(log)
     starts = log.where(
         (F.col("event") == "start") & (F.col("study") != THANK_YOU)
     ).select("pid", "record", "study", F.col("timestamp").alias("start"))
-    out = starts.join(stops, ["pid", "record"], "left").join(nexts, ["pid", "record"], "left")
-    end = F.coalesce(F.col("stop"), F.col("next"))
+    out = starts.join(ends, ["pid", "record"], "left")
+    end = F.coalesce(F.col("stop"), F.when(F.col("stop").isNull(), F.col("next")))
     return out.select(
         "pid", "record", "study", "start",
         end.alias("stop"),

@@ -29,8 +29,17 @@ DAY_US = 86_400_000_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of the benchmark directory."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One table of the benchmark directory.
+
+    A scan that yields fewer splits than the session has cores (a small
+    file of one row group) is spread by one round-robin repartition so the
+    derivations above it run in parallel. A large input has at least that
+    many splits and is left as it is, without a shuffle."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df
 
 
 def _prop_k() -> F.Column:
