@@ -62,22 +62,27 @@ def read_log_json(spark: SparkSession, path: str, strict: bool = True) -> DataFr
     return _tag_pid(df.select("*", FILE), strict).drop("_metadata")
 
 
+TOBII_JSON_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_corrupt_record",
+    "allowNonNumericNumbers": "true",
+}
+
+
 def read_tobii(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
-    """Eye-tracker NDJSON, tagged with pid. A line that does not parse
-    (a recording cut off mid-line) is set aside; `rejects=True` returns
-    those lines (pid, file, text) instead of the samples."""
-    df = (
-        spark.read.schema(TOBII_JSON_SCHEMA)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("allowNonNumericNumbers", True)
-        .json(path)
+    """Eye-tracker NDJSON, tagged with pid. Lines are read as text and
+    parsed with `from_json`; a line that does not parse (a recording cut off
+    mid-line) is set aside. `rejects=True` returns those lines (pid, file,
+    text) instead of the samples."""
+    lines = spark.read.text(path).select("value", FILE).where(F.trim("value") != "")
+    parsed = lines.select(
+        F.from_json("value", TOBII_JSON_SCHEMA, TOBII_JSON_OPTIONS).alias("r"), "value", FILE
     )
-    df = _tag_pid(df.select("*", FILE), strict)
+    df = _tag_pid(parsed.select("r.*", "value", FILE), strict)
     bad = F.col("_corrupt_record").isNotNull()
     if rejects:
-        return df.where(bad).select("pid", F.col(FILE).alias("file"), F.col("_corrupt_record").alias("text"))
-    return df.where(~bad).drop("_corrupt_record", "_metadata")
+        return df.where(bad).select("pid", F.col(FILE).alias("file"), F.col("value").alias("text"))
+    return df.where(~bad).drop("_corrupt_record", "_metadata", "value")
 
 
 def _tsv(spark: SparkSession, schema, path: str) -> DataFrame:
