@@ -1 +1,5 @@
-"""streaming"""
+"""Streaming variants of the stateless log operators."""
+
+from .logs import log_stream, read_log_stream, start_log_sink
+
+__all__ = ["log_stream", "read_log_stream", "start_log_sink"]
