@@ -48,3 +48,55 @@ def row_index(
     out = local.join(o, cond, "inner")
     out = out.withColumn(name, F.col("_off") + F.col("_local"))
     return out.drop(b, "_local", "_off", "_kb", *[f"_k{i}" for i in range(len(keys))])
+
+
+def prefix_last(
+    df: DataFrame,
+    keys: Sequence[str],
+    index: str,
+    value: str,
+    name: str,
+    bucket_size: int = 4096,
+) -> DataFrame:
+    """Add `name`: the last non-null `value` at a smaller `index` within the
+    key (exclusive running "last"), computed in buckets of `bucket_size`
+    consecutive indexes so that no key is handled by a single task."""
+    keys = list(keys)
+    b = F.floor(F.col(index) / bucket_size).cast("bigint")
+    staged = df.withColumn("_b", b)
+    summary = (
+        staged.where(F.col(value).isNotNull())
+        .groupBy(*keys, "_b")
+        .agg(F.max_by(value, index).alias("_last"))
+    )
+    # every bucket of the key, with the last value of the buckets before it
+    buckets = staged.select(*keys, "_b").distinct().join(summary, [*keys, "_b"], "left")
+    w_prev = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    filled = buckets.select(
+        *keys, "_b", F.last("_last", ignorenulls=True).over(w_prev).alias("_from_before")
+    )
+    w_in = Window.partitionBy(*keys, "_b").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    inside = staged.withColumn("_in", F.last(value, ignorenulls=True).over(w_in))
+    out = inside.join(filled, [*keys, "_b"], "left")
+    return out.withColumn(name, F.coalesce(F.col("_in"), F.col("_from_before"))).drop("_b", "_in", "_from_before")
+
+
+def prefix_sum(
+    df: DataFrame,
+    keys: Sequence[str],
+    index: str,
+    value: str,
+    name: str,
+    bucket_size: int = 4096,
+) -> DataFrame:
+    """Add `name`: the sum of `value` over rows with a smaller `index`
+    within the key (exclusive running sum), in buckets like `prefix_last`."""
+    keys = list(keys)
+    staged = df.withColumn("_b", F.floor(F.col(index) / bucket_size).cast("bigint"))
+    per_b = staged.groupBy(*keys, "_b").agg(F.sum(value).alias("_s"))
+    w_off = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = per_b.select(*keys, "_b", F.coalesce(F.sum("_s").over(w_off), F.lit(0)).alias("_off"))
+    w_in = Window.partitionBy(*keys, "_b").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    inside = staged.withColumn("_in", F.coalesce(F.sum(value).over(w_in), F.lit(0)))
+    out = inside.join(off, [*keys, "_b"], "inner")
+    return out.withColumn(name, F.col("_off") + F.col("_in")).drop("_b", "_in", "_off")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import diff_us
-from ..schemas import THANK_YOU
+from ..functions import add_us, diff_us, padded, pid_from_name, study_ord
+from ..schemas import MIN_FILLER_GAP_US, THANK_YOU
+from .log import parse_clip_name
+from .ordering import prefix_last, prefix_sum, row_index
 
 
 def recording_bounds(log: DataFrame) -> DataFrame:
@@ -72,9 +74,6 @@ def recording_durations(log: DataFrame) -> DataFrame:
 
 # --- D20: clip timeline family --------------------------------------------------------
 
-from ..functions import add_us, padded, pid_from_name, study_ord  # noqa: E402
-from ..schemas import MIN_FILLER_GAP_US  # noqa: E402
-from .log import parse_clip_name  # noqa: E402
 
 
 def clip_manifest(manifest: DataFrame, strict: bool = False) -> DataFrame:
@@ -122,7 +121,13 @@ TIMELINE_FIELDS = [
 ]
 
 
-def clip_timeline(starts: DataFrame, clips: DataFrame, form: DataFrame) -> DataFrame:
+def clip_timeline(
+    starts: DataFrame,
+    clips: DataFrame,
+    form: DataFrame,
+    max_fold: int | None = 50_000,
+    bucket_us: int = 1_000_000,
+) -> DataFrame:
     """Plan of one participant's webcam video from its clips.
 
     starts: log rows with event `start` (pid, record, study, timestamp);
@@ -135,29 +140,58 @@ def clip_timeline(starts: DataFrame, clips: DataFrame, form: DataFrame) -> DataF
     at least 30 ms.
 
     The running end depends on earlier accept decisions, so this is a
-    sequential fold: it runs as Spark's `aggregate` over the participant's
-    clips sorted by (offset, record, study order). A participant has one
-    clip per recording, tens in practice."""
+    sequential fold. A participant with at most `max_fold` starts (all of
+    them in practice: one clip per recording) is folded by Spark's
+    `aggregate` over its sorted clips. Participants above it are planned
+    by `_timeline_chain`, an exact distributed form of the same fold, so a
+    participant holding a large share of the data never lands in one task.
+    `max_fold=None` folds everyone by `aggregate` without the size check
+    (one small count job)."""
+    items = _timeline_items(starts, clips, form)
+    if max_fold is None:
+        return _timeline_fold(items)
+    sizes = items.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
+    heavy = sizes.where(F.col("n") > max_fold).select("pid", "n")
+    # at most (rows / max_fold) participants: a proven bound for a broadcast
+    heavy_rows = heavy.collect()
+    if not heavy_rows:
+        return _timeline_fold(items)
+    spark = items.sparkSession
+    hv = F.broadcast(spark.createDataFrame([(r["pid"],) for r in heavy_rows], "pid int"))
+    light = _timeline_fold(items.join(hv, "pid", "left_anti"))
+    big = _timeline_chain(items.join(hv, "pid", "left_semi"), max(r["n"] for r in heavy_rows), bucket_us)
+    return light.unionByName(big)
+
+
+def _timeline_items(starts: DataFrame, clips: DataFrame, form: DataFrame) -> DataFrame:
     s = starts.join(form.select("pid", "webcam_start"), "pid", "inner")
     s = s.join(clips.select("pid", "record", "study", F.col("duration").alias("_dur")),
                ["pid", "record", "study"], "left")
-    item = F.struct(
+    return s.select(
+        "pid",
         diff_us("timestamp", "webcam_start").alias("offset"),
-        F.col("record").alias("record"),
+        F.col("record").cast("int").alias("record"),
         F.coalesce(study_ord("study"), F.lit(-1)).alias("ord"),
         F.col("study").alias("study"),
         F.col("_dur").alias("duration"),
     )
-    grouped = s.groupBy("pid").agg(F.array_sort(F.collect_list(item)).alias("_clips"))
 
-    out_type = (
-        "array<struct<record:int,study:string,offset:bigint,duration:bigint,has_file:boolean,"
-        "accepted:boolean,gap:bigint,filler:bigint,end:bigint>>"
-    )
+
+_OUT_TYPE = (
+    "array<struct<record:int,study:string,offset:bigint,duration:bigint,has_file:boolean,"
+    "accepted:boolean,gap:bigint,filler:bigint,end:bigint>>"
+)
+
+
+def _timeline_fold(items: DataFrame) -> DataFrame:
+    """The fold as Spark's `aggregate` over each participant's clips sorted
+    by (offset, record, study order, study)."""
+    item = F.struct("offset", "record", "ord", "study", "duration")
+    grouped = items.groupBy("pid").agg(F.array_sort(F.collect_list(item)).alias("_clips"))
     init = F.struct(
         F.lit(0).cast("bigint").alias("end"),
         F.lit(0).alias("n"),
-        F.array().cast(out_type).alias("out"),
+        F.array().cast(_OUT_TYPE).alias("out"),
     )
 
     def step(acc, x):
@@ -181,6 +215,71 @@ def clip_timeline(starts: DataFrame, clips: DataFrame, form: DataFrame) -> DataF
     return folded.select("pid", F.inline("_out"))
 
 
+def _timeline_chain(items: DataFrame, max_n: int, bucket_us: int = 1_000_000) -> DataFrame:
+    """The same fold for participants too large for one task.
+
+    With clips in start order, offsets never decrease. A clip j with a
+    file, once accepted, sets end = b_j = offset_j + duration_j; the next
+    accepted clip is then the first file k after j with offset_k >= b_j:
+    next(j) = max(j + 1, number of files with offset < b_j) in file order.
+    The first accepted clip is the first file with offset >= 0. So the
+    accepted clips are the chain entry, next(entry), next(next(entry)), ...
+    It is found by pointer doubling: jump tables next^(2^k) built by self
+    joins, then the chain marked level by level; log2(files) rounds of
+    joins keyed by (pid, file ordinal), each cut from its lineage by a
+    checkpoint in the session's checkpoint folder. Running values (end
+    before a clip, accepted clips before it) are bucketed prefix
+    operations (`prefix_last`, `prefix_sum`)."""
+    it = row_index(items, ["pid"], ["offset", "record", "ord", "study"],
+                   bucket=F.floor(F.col("offset") / bucket_us).cast("bigint"), name="i")
+    it = it.withColumn("_f", F.col("duration").isNotNull().cast("int"))
+    it = prefix_sum(it, ["pid"], "i", "_f", "p")  # file ordinal (for file rows)
+    files = it.where(F.col("_f") == 1).select(
+        "pid", "p", F.col("offset").alias("a"), (F.col("offset") + F.col("duration")).alias("b")
+    )
+    m = files.groupBy("pid").agg(F.count(F.lit(1)).alias("m"), F.sum((F.col("a") < 0).cast("int")).alias("e"))
+    # lb(b_j): files with offset < b_j, by a merged sorted stream of a's and b's
+    ev = files.select("pid", F.col("a").alias("v"), F.lit(1).alias("t"), "p").unionByName(
+        files.select("pid", F.col("b").alias("v"), F.lit(0).alias("t"), "p"))
+    ev = row_index(ev, ["pid"], ["v", "t", "p"], bucket=F.floor(F.col("v") / bucket_us).cast("bigint"), name="k")
+    ev = prefix_sum(ev, ["pid"], "k", "t", "lb")
+    nxt = ev.where(F.col("t") == 0).join(m, "pid").select(
+        "pid", "p",
+        F.when(F.greatest(F.col("p") + 1, F.col("lb")) < F.col("m"),
+               F.greatest(F.col("p") + 1, F.col("lb"))).alias("nxt"),
+    ).checkpoint()
+    levels = max(1, int(max_n).bit_length())
+    jumps = [nxt]
+    for _ in range(levels - 1):
+        cur = jumps[-1]
+        x, y = cur.alias("x"), cur.alias("y")
+        nxt2 = x.join(y, (F.col("x.pid") == F.col("y.pid")) & (F.col("x.nxt") == F.col("y.p")), "left").select(
+            F.col("x.pid").alias("pid"), F.col("x.p").alias("p"), F.col("y.nxt").alias("nxt"))
+        jumps.append(nxt2.checkpoint())
+    chain = m.where(F.col("e") < F.col("m")).select("pid", F.col("e").alias("p")).checkpoint()
+    for jump in jumps:
+        step = chain.join(jump, ["pid", "p"], "inner").where(F.col("nxt").isNotNull()).select(
+            "pid", F.col("nxt").alias("p"))
+        chain = chain.unionByName(step).distinct().checkpoint()
+    acc = chain.withColumn("_acc", F.lit(True))
+    rows = it.join(acc, ["pid", "p"], "left").withColumn(
+        "_acc", F.coalesce(F.col("_acc") & (F.col("_f") == 1), F.lit(False)))
+    rows = rows.withColumn("_b_acc", F.when(F.col("_acc"), F.col("offset") + F.col("duration")))
+    rows = prefix_last(rows, ["pid"], "i", "_b_acc", "_end_before")
+    rows = prefix_sum(rows.withColumn("_acc_i", F.col("_acc").cast("int")), ["pid"], "i", "_acc_i", "_n_before")
+    end_before = F.coalesce(F.col("_end_before"), F.lit(0).cast("bigint"))
+    has = F.col("_f") == 1
+    gap = F.col("offset") - end_before
+    return rows.select(
+        "pid", "record", "study", "offset", "duration",
+        has.alias("has_file"),
+        F.col("_acc").alias("accepted"),
+        F.when(has, gap).alias("gap"),
+        F.when(F.col("_acc") & (F.col("_n_before") > 0) & (gap >= MIN_FILLER_GAP_US), gap).alias("filler"),
+        F.when(F.col("_acc"), F.col("_b_acc")).otherwise(end_before).alias("end"),
+    )
+
+
 def frame_index(frames: DataFrame, form: DataFrame) -> DataFrame:
     """D20d: every video frame on every clock.
 

@@ -139,3 +139,37 @@ def test_frame_index(spark):
 
 
 _ = random
+
+
+def test_clip_timeline_distributed_path_matches_fold(spark):
+    import __spark_entry__ as E
+    from glint.plans.queries import _clip_inputs
+
+    starts, files, form = _clip_inputs(spark, "/root/testdata/sf0.001")
+    cols = ["pid", "record", "study", "offset", "duration", "has_file", "accepted", "gap", "filler", "end"]
+    fold = rows(clip_timeline(starts, files, form, max_fold=None), *cols)
+    chain = rows(clip_timeline(starts, files, form, max_fold=0, bucket_us=3_600_000_000), *cols)
+    assert chain == fold
+    assert sum(1 for r in fold if r[6]) > 10
+    _ = E
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.one_of(st.none(), st.integers(-5, 90))),
+                min_size=1, max_size=25))
+def test_chain_matches_fold_property(spark, clips):
+    offs, t = [], -20
+    for step, _ in clips:
+        t += step
+        offs.append(t)
+    starts = spark.createDataFrame(
+        [(1, i, "dot_test", T0 + dt.timedelta(milliseconds=100 + o)) for i, o in enumerate(offs)],
+        "pid int, record int, study string, timestamp timestamp_ntz")
+    files = spark.createDataFrame(
+        [(1, i, "dot_test", d * 1000) for i, (_, d) in enumerate(clips) if d is not None] or [(9, 9, "x", 0)],
+        "pid int, record int, study string, duration bigint")
+    form = spark.createDataFrame([(1, T0 + dt.timedelta(milliseconds=100))], "pid int, webcam_start timestamp_ntz")
+    cols = ["record", "accepted", "gap", "filler", "end"]
+    a = rows(clip_timeline(starts, files, form, max_fold=None), *cols)
+    b = rows(clip_timeline(starts, files, form, max_fold=0, bucket_us=7_000), *cols)
+    assert a == b
