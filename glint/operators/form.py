@@ -138,60 +138,72 @@ def spec_lines(files: DataFrame, path_col: str = "path", text_col: str = "value"
 def parse_specs(lines: DataFrame, strict: bool = False) -> DataFrame:
     """Spec text lines (pid, line_no, line) to one row per participant:
     tracking_box (8 corners as ARRAY<DOUBLE>(3)), illumination_mode,
-    frequency. Lines that match nothing are ignored; a corner that does not
-    hold three numbers raises in strict mode and is null otherwise."""
-    line = F.trim(F.col("line"))
-    corner = F.regexp_extract(line, SPEC_CORNER_PATTERN, 0)
-    key = F.lower(F.concat_ws(
-        "_",
-        F.substring(F.regexp_extract(line, SPEC_CORNER_PATTERN, 1), 1, 1),
-        F.substring(F.regexp_extract(line, SPEC_CORNER_PATTERN, 2), 1, 2),
-        F.substring(F.regexp_extract(line, SPEC_CORNER_PATTERN, 3), 1, 1),
-    ))
-    rest = F.regexp_replace(
-        F.substring(line, F.length(corner) + 1, 1 << 20), r"^[ ()\t\n]+|[ ()\t\n]+$", ""
+    frequency. Lines that match nothing are ignored; a repeated line keeps
+    its last value; a corner that does not hold three numbers raises in
+    strict mode and is null otherwise.
+
+    The numbers are reduced by one hash aggregate of `max_by(value,
+    line_no)` over doubles (24 coordinates and the frequency); the one text
+    field is reduced separately over its own lines, since a text buffer
+    would push the whole aggregate onto the sort-based path."""
+    # Staged projections: each intermediate value is computed once per line
+    # (a single projection would repeat the regex work in every branch).
+    step1 = lines.select(
+        "pid", "line_no", F.trim(F.col("line")).alias("_l"),
+    ).select(
+        "pid", "line_no", "_l",
+        F.regexp_extract("_l", SPEC_CORNER_PATTERN, 0).alias("_corner"),
+        F.regexp_extract("_l", SPEC_ILLUMINATION_PATTERN, 0).alias("_illum"),
+        F.regexp_extract("_l", SPEC_FREQUENCY_PATTERN, 1).alias("_freq"),
+    ).where((F.col("_corner") != "") | (F.col("_illum") != "") | (F.col("_freq") != ""))
+    step2 = step1.select(
+        "pid", "line_no", "_l", "_illum", "_freq",
+        F.when(F.col("_corner") != "", F.lower(F.concat_ws(
+            "_",
+            F.substring(F.regexp_extract("_corner", SPEC_CORNER_PATTERN, 1), 1, 1),
+            F.substring(F.regexp_extract("_corner", SPEC_CORNER_PATTERN, 2), 1, 2),
+            F.substring(F.regexp_extract("_corner", SPEC_CORNER_PATTERN, 3), 1, 1),
+        ))).alias("corner"),
+        F.when(F.col("_corner") != "", F.split(F.regexp_replace(
+            F.substring("_l", F.length("_corner") + 1, 1 << 20), r"^[ ()\t\n]+|[ ()\t\n]+$", ""
+        ), ", ")).alias("_parts"),
     )
-    parts = F.split(rest, ", ")
-    point = F.transform(parts, lambda v: v.cast("double"))
-    good = (F.size(parts) == 3) & F.forall(point, lambda v: v.isNotNull())
+    step3 = step2.select(
+        "pid", "line_no", "_l", "corner", "_illum", "_freq", F.size("_parts").alias("_n"),
+        *[F.get("_parts", i).cast("double").alias(f"_{a}") for i, a in enumerate("xyz")],
+    )
+    good = (F.col("_n") == 3) & F.col("_x").isNotNull() & F.col("_y").isNotNull() & F.col("_z").isNotNull()
     if strict:
-        point = F.when(good, point).otherwise(
-            F.raise_error(F.concat(F.lit("bad tracking box line: "), line))
-        )
-    else:
-        point = F.when(good, point)
-    illum_prefix = F.regexp_extract(line, SPEC_ILLUMINATION_PATTERN, 0)
-    parsed = lines.select(
-        "pid", "line_no",
-        F.when(corner != "", key).alias("corner"),
-        F.when(corner != "", point).alias("point"),
-        F.when(illum_prefix != "", F.trim(F.substring(line, F.length(illum_prefix) + 1, 1 << 20))).alias(
-            "illumination_mode"
-        ),
-        F.when(
-            line.rlike(SPEC_FREQUENCY_PATTERN),
-            F.regexp_extract(line, SPEC_FREQUENCY_PATTERN, 1).cast("double"),
-        ).alias("frequency"),
-    ).where(
-        F.col("corner").isNotNull()
-        | F.col("illumination_mode").isNotNull()
-        | F.col("frequency").isNotNull()
+        good = F.when(F.col("corner").isNull() | good, F.lit(True)).otherwise(
+            F.raise_error(F.concat(F.lit("bad tracking box line: "), F.col("_l"))))
+    parsed = step3.select(
+        "pid", "line_no", "corner",
+        *[F.when(good, F.col(f"_{a}")).alias(f"_{a}") for a in "xyz"],
+        F.when(F.col("_illum") != "", F.trim(F.substring("_l", F.length("_illum") + 1, 1 << 20))).alias(
+            "illumination_mode"),
+        F.when(F.col("_freq") != "", F.col("_freq").cast("double")).alias("frequency"),
     )
     keys = [corner_key(*c) for c in CORNERS]
-    aggs = [
-        F.max_by(F.when(F.col("corner") == k, F.col("point")),
-                 F.when(F.col("corner") == k, F.col("line_no"))).alias(k)
-        for k in keys
-    ]
-    aggs.append(F.max_by("illumination_mode",
-                         F.when(F.col("illumination_mode").isNotNull(), F.col("line_no"))).alias(
-        "illumination_mode"))
-    aggs.append(F.max_by("frequency",
-                         F.when(F.col("frequency").isNotNull(), F.col("line_no"))).alias("frequency"))
-    out = parsed.groupBy("pid").agg(*aggs)
+    aggs = []
+    for k in keys:
+        at = F.when(F.col("corner") == k, F.col("line_no"))
+        aggs += [F.max_by(F.col(f"_{a}"), at).alias(f"{k}_{a}") for a in "xyz"]
+    aggs.append(F.max_by("frequency", F.when(F.col("frequency").isNotNull(), F.col("line_no"))).alias(
+        "frequency"))
+    numbers = parsed.groupBy("pid").agg(*aggs)
+    texts = (
+        parsed.where(F.col("illumination_mode").isNotNull())
+        .groupBy("pid").agg(F.max_by("illumination_mode", "line_no").alias("illumination_mode"))
+    )
+    out = numbers.join(texts, "pid", "left")
+
+    def point(k):
+        xyz = [F.col(f"{k}_{a}") for a in "xyz"]
+        return F.when(xyz[0].isNotNull() & xyz[1].isNotNull() & xyz[2].isNotNull(), F.array(*xyz)).alias(k)
+
     return out.select(
         "pid",
-        F.struct(*[F.col(k) for k in keys]).alias("tracking_box"),
+        F.struct(*[point(k) for k in keys]).alias("tracking_box"),
         "illumination_mode",
         "frequency",
     )

@@ -93,24 +93,29 @@ def mouse_points(tl: DataFrame) -> DataFrame:
     )
 
 
-def merge_gaze(tl: DataFrame, form: DataFrame, broadcast_form: bool | None = None) -> DataFrame:
+def merge_gaze(tl: DataFrame, form: DataFrame | None = None, broadcast_form: bool | None = None) -> DataFrame:
     """One gaze point per sample in display pixels.
 
     Both eyes valid: the mean of the two points (colour cyan); one eye
     valid: that eye (blue left, green right); neither (or unknown): the row
-    is dropped. x and y are scaled by the display resolution. One filter and
-    one CASE replace the three-way union of the reference, so the gaze table
-    is scanned once."""
+    is dropped. x and y are scaled by the display resolution, taken from
+    `tl` when it carries `display_resolution` (`with_timelines(...,
+    keep=["display_resolution"])`, one join with the form) and from `form`
+    otherwise. One filter and one CASE replace the three-way union of the
+    reference, so the gaze table is scanned once."""
     lv = F.col("gazepoint_validity.left")
     rv = F.col("gazepoint_validity.right")
     lx, ly = F.col("gazepoint_display.left.x"), F.col("gazepoint_display.left.y")
     rx, ry = F.col("gazepoint_display.right.x"), F.col("gazepoint_display.right.y")
     both, left_only, right_only = lv & rv, lv & ~rv, ~lv & rv
     kept = tl.where(both | left_only | right_only)
-    res = form.select(
-        "pid", F.col("display_resolution.w").alias("_w"), F.col("display_resolution.h").alias("_h")
-    )
-    kept = kept.join(F.broadcast(res) if broadcast_form else res, "pid", "left")
+    if "display_resolution" in tl.columns:
+        kept = kept.withColumns({"_w": F.col("display_resolution.w"), "_h": F.col("display_resolution.h")})
+    else:
+        res = form.select(
+            "pid", F.col("display_resolution.w").alias("_w"), F.col("display_resolution.h").alias("_h")
+        )
+        kept = kept.join(F.broadcast(res) if broadcast_form else res, "pid", "left")
     x = F.when(both, (lx + rx) / 2.0).when(left_only, lx).otherwise(rx)
     y = F.when(both, (ly + ry) / 2.0).when(left_only, ly).otherwise(ry)
     color = F.when(both, rgb(COLOR_BOTH_EYES)).when(left_only, rgb(COLOR_LEFT_EYE)).otherwise(

@@ -143,7 +143,8 @@ def views(
         "events": lambda: event_log(tl(log)),
         "markers": lambda: recording_markers(tl(log)),
         "mouse": lambda: mouse_points(tl(log)),
-        "gaze": lambda: merge_gaze(tl(load_table(spark, root, "tobii")), form),
+        "gaze": lambda: merge_gaze(with_timelines(load_table(spark, root, "tobii"), form, screen=screen,
+                                                  keep=["display_resolution"])),
         "dots": lambda: dot_points(tl(load_table(spark, root, "dot"))),
         "targets": lambda: calibration_targets(log, form),
         "durations": lambda: recording_durations(log),

@@ -258,7 +258,7 @@ def q_merge_gaze(spark, sf):
     """D15 (U2 single pass, J12): gaze samples in display pixels."""
     gaze = shape_gaze(px.raw_tobii(px.load(spark, sf, "embeddings")))
     form = form_of(spark, sf)
-    m = merge_gaze(with_timelines(gaze, form), form)
+    m = merge_gaze(with_timelines(gaze, form, keep=["display_resolution"]))
     return m.select(
         "pid", *flat_clocks(m), "x", "y",
         F.get("color", 0).alias("r"), F.get("color", 1).alias("g"), F.get("color", 2).alias("b"),
