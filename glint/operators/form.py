@@ -21,7 +21,6 @@ from ..schemas import (
     SCREEN_START_ADJUSTMENTS,
     SPEC_CORNER_PATTERN,
     SPEC_FREQUENCY_PATTERN,
-    SPEC_ILLUMINATION_PATTERN,
     STUDIES,
     VIEWPORT_Y,
 )
@@ -146,26 +145,34 @@ def parse_specs(lines: DataFrame, strict: bool = False) -> DataFrame:
     line_no)` over doubles (24 coordinates and the frequency); the one text
     field is reduced separately over its own lines, since a text buffer
     would push the whole aggregate onto the sort-based path."""
-    # Staged projections: each intermediate value is computed once per line
-    # (a single projection would repeat the regex work in every branch).
-    step1 = lines.select(
-        "pid", "line_no", F.trim(F.col("line")).alias("_l"),
-    ).select(
+    parsed = parse_spec_lines(lines, strict)
+    return _pivot_specs(parsed)
+
+
+def parse_spec_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """Spec lines to typed fields: (pid, line_no, corner, _x, _y, _z,
+    illumination_mode, frequency); lines matching nothing are dropped."""
+    # A cheap prefix test picks the line kind, so each line runs at most
+    # one regex; staged projections compute every value once.
+    step1 = lines.select("pid", "line_no", F.trim(F.col("line")).alias("_l")).select(
         "pid", "line_no", "_l",
-        F.regexp_extract("_l", SPEC_CORNER_PATTERN, 0).alias("_corner"),
-        F.regexp_extract("_l", SPEC_ILLUMINATION_PATTERN, 0).alias("_illum"),
-        F.regexp_extract("_l", SPEC_FREQUENCY_PATTERN, 1).alias("_freq"),
-    ).where((F.col("_corner") != "") | (F.col("_illum") != "") | (F.col("_freq") != ""))
+        F.when(F.col("_l").startswith("Back ") | F.col("_l").startswith("Front "),
+               F.regexp_extract("_l", SPEC_CORNER_PATTERN, 0)).alias("_corner"),
+        F.when(F.col("_l").startswith("Illumination mode:"), F.lit(True)).alias("_illum"),
+        F.when(F.col("_l").startswith("Initial gaze output frequency:"),
+               F.regexp_extract("_l", SPEC_FREQUENCY_PATTERN, 1)).alias("_freq"),
+    ).where((F.col("_corner") != "") | F.col("_illum").isNotNull() | (F.col("_freq") != ""))
+    words = F.split(F.col("_corner"), " ")
     step2 = step1.select(
         "pid", "line_no", "_l", "_illum", "_freq",
         F.when(F.col("_corner") != "", F.lower(F.concat_ws(
             "_",
-            F.substring(F.regexp_extract("_corner", SPEC_CORNER_PATTERN, 1), 1, 1),
-            F.substring(F.regexp_extract("_corner", SPEC_CORNER_PATTERN, 2), 1, 2),
-            F.substring(F.regexp_extract("_corner", SPEC_CORNER_PATTERN, 3), 1, 1),
+            F.substring(F.get(words, 0), 1, 1),
+            F.substring(F.get(words, 1), 1, 2),
+            F.substring(F.get(words, 2), 1, 1),
         ))).alias("corner"),
-        F.when(F.col("_corner") != "", F.split(F.regexp_replace(
-            F.substring("_l", F.length("_corner") + 1, 1 << 20), r"^[ ()\t\n]+|[ ()\t\n]+$", ""
+        F.when(F.col("_corner") != "", F.split(F.btrim(
+            F.substring("_l", F.length("_corner") + 1, 1 << 20), F.lit(" ()\t\n")
         ), ", ")).alias("_parts"),
     )
     step3 = step2.select(
@@ -179,10 +186,14 @@ def parse_specs(lines: DataFrame, strict: bool = False) -> DataFrame:
     parsed = step3.select(
         "pid", "line_no", "corner",
         *[F.when(good, F.col(f"_{a}")).alias(f"_{a}") for a in "xyz"],
-        F.when(F.col("_illum") != "", F.trim(F.substring("_l", F.length("_illum") + 1, 1 << 20))).alias(
+        F.when(F.col("_illum"), F.trim(F.substring("_l", len("Illumination mode:") + 1, 1 << 20))).alias(
             "illumination_mode"),
         F.when(F.col("_freq") != "", F.col("_freq").cast("double")).alias("frequency"),
     )
+    return parsed
+
+
+def _pivot_specs(parsed: DataFrame) -> DataFrame:
     keys = [corner_key(*c) for c in CORNERS]
     aggs = []
     for k in keys:

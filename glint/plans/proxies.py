@@ -32,13 +32,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the benchmark directory.
 
     A scan that yields fewer splits than the session has cores (a small
-    file of one row group) is spread by one round-robin repartition so the
-    derivations above it run in parallel. A large input has at least that
-    many splits and is left as it is, without a shuffle."""
+    file of one row group) would run every derivation above it in one task:
+    Catalyst pushes the derived filters below a repartition into the scan.
+    Such an input is spread over the cores once and kept in memory (its
+    size is bounded by the split size; lost blocks are recomputed from the
+    file). A large input has at least that many splits and is read as it
+    is, without a shuffle or a cache."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
+        df = df.repartition(target).cache()
     return df
 
 
