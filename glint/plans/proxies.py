@@ -28,7 +28,24 @@ from ..schemas import STUDIES
 DAY_US = 86_400_000_000
 
 
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Build a derived DataFrame once per session and reuse the same lazy
+    plan: PySpark analyzes a plan on every step, which costs more on the
+    driver than running these small inputs."""
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return memo(spark, ("load", sf_dir.rstrip("/"), name), lambda: _load(spark, sf_dir, name))
+
+
+def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the benchmark directory.
 
     A scan that yields fewer splits than the session has cores (a small

@@ -40,7 +40,7 @@ def flat_log(log: DataFrame) -> DataFrame:
 
 
 def events_log(spark: SparkSession, sf: str) -> DataFrame:
-    return px.log(px.load(spark, sf, "events"))
+    return px.memo(spark, ("log", sf), lambda: px.log(px.load(spark, sf, "events")))
 
 
 @query("normalize_log")
@@ -115,11 +115,12 @@ from ..functions import duration_text_us  # noqa: E402
 
 
 def form_of(spark, sf, strict: bool = False):
-    ev = px.load(spark, sf, "events")
-    cu = px.load(spark, sf, "customer")
-    form = clean_form(px.raw_form(ev, cu), strict=strict)
-    specs = parse_specs(spec_lines(px.spec_files(cu)))
-    return build_form(form, px.log(ev), specs)
+    def build():
+        cu = px.load(spark, sf, "customer")
+        form = clean_form(px.raw_form(px.load(spark, sf, "events"), cu), strict=strict)
+        specs = parse_specs(spec_lines(px.spec_files(cu)))
+        return build_form(form, events_log(spark, sf), specs)
+    return px.memo(spark, ("form", sf, strict), build)
 
 
 def _us(c):
@@ -141,7 +142,7 @@ def q_parse_alignment(spark, sf):
 def q_align_log(spark, sf):
     """D4 (J8): the tidy log shifted by each clip's frame shift."""
     ev = px.load(spark, sf, "events")
-    aligned = align_log(px.log(ev), parse_alignment(px.alignment_csv(ev)))
+    aligned = align_log(events_log(spark, sf), parse_alignment(px.alignment_csv(ev)))
     return aligned.select("pid", "record", "study", "event", micros("timestamp").alias("ts_us"))
 
 
@@ -204,28 +205,28 @@ def q_domain_check(spark, sf):
 @query("with_timelines")
 def q_with_timelines(spark, sf):
     """D11 (J12): the whole log on the log, rec, webcam and screen clocks."""
-    tl = with_timelines(px.log(px.load(spark, sf, "events")), form_of(spark, sf))
+    tl = with_timelines(events_log(spark, sf), form_of(spark, sf))
     return tl.select("pid", "record", "event", *flat_clocks(tl))
 
 
 @query("event_log")
 def q_event_log(spark, sf):
     """D12."""
-    ev = event_log(with_timelines(px.log(px.load(spark, sf, "events")), form_of(spark, sf)))
+    ev = event_log(with_timelines(events_log(spark, sf), form_of(spark, sf)))
     return ev.select("pid", "event", "record", "study", *flat_clocks(ev))
 
 
 @query("recording_markers")
 def q_recording_markers(spark, sf):
     """D13."""
-    m = recording_markers(with_timelines(px.log(px.load(spark, sf, "events")), form_of(spark, sf)))
+    m = recording_markers(with_timelines(events_log(spark, sf), form_of(spark, sf)))
     return m.select("pid", "record", "event", "study", *flat_clocks(m))
 
 
 @query("mouse_points")
 def q_mouse_points(spark, sf):
     """D14."""
-    m = mouse_points(with_timelines(px.log(px.load(spark, sf, "events")), form_of(spark, sf)))
+    m = mouse_points(with_timelines(events_log(spark, sf), form_of(spark, sf)))
     return m.select(
         "pid", *flat_clocks(m), "event",
         F.get("mouse", 0).alias("x"), F.get("mouse", 1).alias("y"),
@@ -296,7 +297,7 @@ def q_shape_calibration(spark, sf):
 @query("calibration_targets")
 def q_calibration_targets(spark, sf):
     """Dot test / Fitts' law mouse points as weighted targets."""
-    t = calibration_targets(px.log(px.load(spark, sf, "events")), form_of(spark, sf))
+    t = calibration_targets(events_log(spark, sf), form_of(spark, sf))
     return t.select("pid", "study", F.col("timestamp").alias("ts_ms"), "screen_x", "screen_y",
                     "event", micros("webcam_start").alias("webcam_start_us"), "weight")
 
@@ -305,7 +306,7 @@ def q_calibration_targets(spark, sf):
 def q_paired_targets(spark, sf):
     """D17b (J11): frame ids paired with mouse points by position."""
     ev = px.load(spark, sf, "events")
-    pts = px.log(ev).where(F.col("source") == "mouse").select(
+    pts = events_log(spark, sf).where(F.col("source") == "mouse").select(
         "pid", "record", "timestamp", F.col("mouse.x").alias("x"), F.col("mouse.y").alias("y"), "event")
     hour = (micros("timestamp") / 3_600_000_000).cast("bigint")
     out = paired_targets(
@@ -335,7 +336,7 @@ def _clip_inputs(spark, sf):
     from ..operators.form import first_starts
     from ..operators.recordings import recording_durations
 
-    lg = px.log(px.load(spark, sf, "events"))
+    lg = events_log(spark, sf)
     starts = lg.where(F.col("event") == "start").select("pid", "record", "study", "timestamp")
     clips = (
         recording_durations(lg).where(F.col("duration") >= 0)
