@@ -93,6 +93,11 @@ def clip_manifest(manifest: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
+def clip_sort_key() -> list:
+    """clips ordered by (log, record, study order, aux or 0)."""
+    return [F.col("log"), F.col("record"), study_ord("study"), F.coalesce(F.col("aux"), F.lit(0))]
+
+
 def fragment_parts(clips: DataFrame) -> DataFrame:
     """Clips recorded in several fragments, as an ordered part list.
 

@@ -2,6 +2,8 @@
 
 from .archive import (
     read_zip,
+    screen_files,
+    webcam_files,
     zip_calibration,
     zip_dots,
     zip_form,
@@ -25,5 +27,5 @@ from .readers import (
 __all__ = [
     "read_alignment_csv", "read_calib_tsv", "read_dot_tsv", "read_form_csv", "read_log_json",
     "read_spec_text", "read_tobii", "read_tracker_frames", "read_video_manifest", "read_zip",
-    "video_parts", "zip_calibration", "zip_dots", "zip_form", "zip_logs", "zip_specs", "zip_tobii",
+    "video_parts", "screen_files", "webcam_files", "zip_calibration", "zip_dots", "zip_form", "zip_logs", "zip_specs", "zip_tobii",
 ]

@@ -70,12 +70,13 @@ class ZipMembersReader(DataSourceReader):
                 if self.mode == "list":
                     yield (name, z.getinfo(name).file_size)
                     continue
-                data = z.read(name).decode("utf-8", errors="replace")
                 if self.mode == "text":
-                    yield (name, data)
-                else:
-                    for i, line in enumerate(data.splitlines()):
-                        yield (name, i, line)
+                    yield (name, z.read(name).decode("utf-8", errors="replace"))
+                    continue
+                # lines are streamed: a large member is never held whole
+                with z.open(name) as f:
+                    for i, raw in enumerate(f):
+                        yield (name, i, raw.decode("utf-8", errors="replace").rstrip("\r\n"))
 
 
 class ZipMembers(DataSource):
@@ -162,3 +163,13 @@ def zip_form(spark: SparkSession, path: str) -> DataFrame:
         else F.col(f"`{f.name}`")
         for f in FORM_CSV_SCHEMA.fields
     ])
+
+
+def screen_files(spark: SparkSession, path: str) -> DataFrame:
+    """Screen recordings (`.flv`, `.mov`) of the archive, by name."""
+    return read_zip(spark, path, "list", r"\.(flv|mov)$").orderBy("member")
+
+
+def webcam_files(spark: SparkSession, path: str) -> DataFrame:
+    """Webcam clips (`.webm`) of the archive, by name."""
+    return read_zip(spark, path, "list", r"\.webm$").orderBy("member")

@@ -72,3 +72,18 @@ def test_video_manifest(spark, tmp):
     got = rows(video_parts(m), "pid", "record", "study", "aux", "gap")
     assert got == [(1, 2, "dot_test", None, False), (1, 3, "fitts_law", 1, False)]
     assert video_parts(m, gaps=True).count() == 3
+
+
+def test_archive_video_lists(spark, tmp):
+    from glint.operators.recordings import clip_manifest, clip_sort_key
+    from glint.sources import screen_files, webcam_files
+
+    path = os.path.join(tmp, "v.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for n in ["ds/P_02/b.mov", "ds/P_01/a.flv", "ds/P_01/1_3_-study-fitts_law.webm",
+                  "ds/P_01/1_2_-study-dot_test (1).webm", "ds/P_01/1_2_-study-dot_test.webm"]:
+            z.writestr(n, b"x")
+    assert [r["member"] for r in screen_files(spark, path).collect()] == ["ds/P_01/a.flv", "ds/P_02/b.mov"]
+    clips = clip_manifest(webcam_files(spark, path))
+    order = [(r["record"], r["study"], r["aux"]) for r in clips.orderBy(*clip_sort_key()).collect()]
+    assert order == [(2, "dot_test", None), (2, "dot_test", 1), (3, "fitts_law", None)]
