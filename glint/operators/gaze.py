@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import diff_ms, from_micros, from_millis, to_struct, value_map
+from ..functions import diff_ms, from_micros, from_millis, micros, to_struct, value_map
 from ..schemas import CALIBRATION_STUDIES, TARGET_WEIGHTS
 from .ordering import row_index
 
@@ -107,16 +107,25 @@ def paired_targets(
     points: DataFrame,
     frame_order: list[str] | None = None,
     point_order: list[str] | None = None,
-    frame_bucket: Column | None = None,
-    point_bucket: Column | None = None,
+    frame_bucket: Column | None = ...,
+    point_bucket: Column | None = ...,
 ) -> DataFrame:
     """The n-th frame id of a recording paired with its n-th mouse
     point (horizontal concat per (pid, record)); the longer side's surplus
     has no partner and is dropped, as are rows with a null.
 
     frames: (pid, record, frame); points: (pid, record, x, y, event).
-    Positions come from `row_index`, split by the optional buckets so that
-    a long recording is not numbered in one task."""
+    Positions come from `row_index`, split into buckets so that a long
+    recording is not numbered in one task: by default frame id / 1024 and
+    the hour of the point's timestamp (both never decrease along the
+    default orders); pass None to number each recording in one window."""
+    if frame_bucket is ...:
+        frame_bucket = F.floor(F.col("frame") / 1024).cast("bigint") if frame_order is None else None
+    if point_bucket is ...:
+        point_bucket = (
+            F.floor(micros("timestamp") / 3_600_000_000).cast("bigint")
+            if (point_order or ["timestamp"])[0] == "timestamp" else None
+        )
     f = row_index(frames, ["pid", "record"], frame_order or ["frame"], frame_bucket, "_n")
     p = row_index(points, ["pid", "record"], point_order or ["timestamp"], point_bucket, "_n")
     p = p.select(
