@@ -54,6 +54,17 @@ def clean_form(raw: DataFrame, strict: bool = True) -> DataFrame:
         )
     else:
         time_of_day = F.when(tod_ok.isNotNull(), time_of_day)
+    if strict:
+        # the date and the H:M:S duration are parsed, then dropped: a value
+        # that does not parse still fails the strict read
+        date_ok = F.try_to_timestamp(c["date"], F.lit("MM/dd/yyyy")).isNotNull()
+        hms_ok = c["duration"].rlike(r"^\d+:\d+:\d+$")
+        check = F.when(
+            (c["date"].isNull() | date_ok) & (c["duration"].isNull() | hms_ok), F.lit(True)
+        ).otherwise(F.raise_error(F.concat(
+            F.lit("bad date or duration: "), F.coalesce(c["date"], F.lit("")), F.lit(" "),
+            F.coalesce(c["duration"], F.lit("")))))
+        raw = raw.where(check)
     enums = {
         name: checked(c[name], values, name, strict).alias(name)
         for name, values in FORM_DOMAINS.items()

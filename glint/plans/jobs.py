@@ -171,6 +171,9 @@ def prepare(
     order = {"timeline": "offset", "frames": "frame", "durations": "start", "targets": "timestamp"}
 
     def sink(name: str, df: DataFrame) -> None:
-        write_partitioned(df, f"{out}/{name}", order=order.get(name, "timestamp"), overwrite=overwrite)
+        # calibration targets go out as CSV per participant (key left out)
+        fmt = "csv" if name == "targets" else "parquet"
+        write_partitioned(df, f"{out}/{name}", order=order.get(name, "timestamp"), overwrite=overwrite,
+                          fmt=fmt)
 
     return build_tables(builders, process, sink)

@@ -51,6 +51,10 @@ def test_clean_form_strict_enum(spark, tmp):
     with pytest.raises(Exception, match="value outside eye_color"):
         clean_form(read_form_csv(spark, path)).collect()
     assert clean_form(read_form_csv(spark, path), strict=False).first()["eye_color"] is None
+    bad_date = ROWS[0].replace("04/05/2017", "2017-04-05")
+    path2 = write(tmp, "form2.csv", "\n".join([HEADER, bad_date]) + "\n")
+    with pytest.raises(Exception, match="bad date or duration"):
+        clean_form(read_form_csv(spark, path2)).collect()
 
 
 SPEC = """Back Lower Left: (-250.0, -175.0, 850.0)

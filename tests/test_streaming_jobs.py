@@ -38,6 +38,7 @@ def test_etl_and_prepare(spark, tmp):
     assert "gaze" in made and "timeline" in made
     assert spark.read.parquet(f"{views}/gaze").count() == 40
     assert spark.read.parquet(f"{views}/timeline").where("accepted").count() == 1
+    assert spark.read.option("header", True).csv(f"{views}/targets").count() > 0
 
     zpath = os.path.join(tmp, "raw.zip")
     with zipfile.ZipFile(zpath, "w") as z:
