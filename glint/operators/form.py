@@ -13,6 +13,7 @@ from ..functions import (
     diff_us,
     duration_text_us,
     from_millis,
+    minute_of_day,
     split_part,
 )
 from ..schemas import (
@@ -90,6 +91,7 @@ def clean_form(raw: DataFrame, strict: bool = True) -> DataFrame:
         enums["pointing_device"],
         c["notes"].alias("notes"),
         time_of_day.alias("time_of_day"),
+        minute_of_day(time_of_day).alias("time_of_day_min"),
         from_millis(c["log"]).alias("init_start"),
         F.struct(c["screen_width"].alias("w"), c["screen_height"].alias("h")).alias("screen_size"),
         F.struct(c["display_width"].alias("w"), c["display_height"].alias("h")).alias(

@@ -121,11 +121,6 @@ def fragment_parts(clips: DataFrame) -> DataFrame:
     )
 
 
-TIMELINE_FIELDS = [
-    "record", "study", "offset", "duration", "has_file", "accepted", "gap", "filler", "end",
-]
-
-
 def clip_timeline(
     starts: DataFrame,
     clips: DataFrame,

@@ -60,20 +60,25 @@ def tidy_tables(
     alignment_path: str | None = None,
     sync: bool = True,
     strict: bool = True,
+    align_first: bool = False,
 ) -> dict[str, Callable[[], DataFrame]]:
-    """Builders of the tidy tables (E1): form, log, tobii, dot, calib."""
+    """Builders of the tidy tables (E1): form, log, tobii, dot, calib.
+
+    The webcam start comes from the log before alignment, as in the source
+    data, so a positive shift can reject a participant's first clip (Q3);
+    `align_first=True` takes it from the aligned log instead."""
     src = raw_sources(spark, root, layout)
     raw_log = normalize_log(src["log"](), strict)
 
-    def form() -> DataFrame:
-        specs = parse_specs(spec_lines(src["spec"]()))
-        return build_form(clean_form(src["form"](), strict), raw_log, specs, sync)
-
     def log() -> DataFrame:
         if alignment_path is None:
             return raw_log
         return align_log(raw_log, parse_alignment(R.read_alignment_csv(spark, alignment_path), strict))
 
+    def form() -> DataFrame:
+        specs = parse_specs(spec_lines(src["spec"]()))
+        return build_form(clean_form(src["form"](), strict), log() if align_first else raw_log, specs, sync)
+
     return {
         "form": form,
         "log": log,
@@ -93,12 +98,13 @@ def etl(
     sync: bool = True,
     overwrite: bool = False,
     dry_run: bool = False,
+    align_first: bool = False,
 ) -> list[str]:
     """Raw files -> tidy tables under `out` (K7 picks the tables).
 
     form, log, dot, calib: one Parquet table each (K1). tobii, the big
     one: one folder per participant, sorted by time (K2)."""
-    builders = tidy_tables(spark, root, layout, alignment_path, sync)
+    builders = tidy_tables(spark, root, layout, alignment_path, sync, align_first=align_first)
 
     def sink(name: str, df: DataFrame) -> None:
         if dry_run:
@@ -177,3 +183,16 @@ def prepare(
                           fmt=fmt)
 
     return build_tables(builders, process, sink)
+
+
+def tracker_frames(spark: SparkSession, path: str, out: str, overwrite: bool = False) -> DataFrame:
+    """Tracker-output NDJSON per clip -> one lz4 Parquet table (K4),
+    rows numbered in file order and sorted by (pid, record, aux, index)."""
+    from pyspark.sql import functions as F
+
+    from ..operators.frames import shape_tracker_frames
+    from ..sinks import write_sorted
+
+    raw = R.read_tracker_frames(spark, path)
+    frames = shape_tracker_frames(raw, order=["_block", "_row"], bucket=F.col("_block"))
+    return write_sorted(frames, out, ["pid", "record", "aux", "index"], overwrite=overwrite)

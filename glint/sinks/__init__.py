@@ -1,5 +1,13 @@
 """Sinks (K1-K7)."""
 
-from .writers import build_tables, form_json, write_csv, write_json, write_partitioned, write_table
+from .writers import (
+    build_tables,
+    form_json,
+    write_csv,
+    write_json,
+    write_partitioned,
+    write_sorted,
+    write_table,
+)
 
-__all__ = ["build_tables", "form_json", "write_csv", "write_json", "write_partitioned", "write_table"]
+__all__ = ["build_tables", "form_json", "write_csv", "write_json", "write_partitioned", "write_sorted", "write_table"]

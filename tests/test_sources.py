@@ -59,6 +59,10 @@ def test_tracker_frames_file_order(spark, tmp):
     big = sorted((r["index"], r["timestamp"]) for r in got if r["record"] == 3)
     assert big == [(i, i * 1000) for i in range(3000)]
     assert {(r["pid"], r["aux"]) for r in got} == {(10, 0), (10, 1)}
+    from glint.plans.jobs import tracker_frames
+    tracker_frames(spark, f"{tmp}/*.jsonl", f"{tmp}/frames.parquet")
+    back = spark.read.parquet(f"{tmp}/frames.parquet")
+    assert back.count() == 3005 and back.where("record = 3").agg(F.max("index")).first()[0] == 2999
     r0 = [r for r in got if r["record"] == 3 and r["index"] == 7][0]
     assert r0["offset"].asDict() == {"x": 7, "y": -7}
     assert r0["eyes"]["right"] is None
