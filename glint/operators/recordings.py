@@ -232,6 +232,9 @@ def _timeline_chain(items: DataFrame, max_n: int, bucket_us: int = 1_000_000) ->
     checkpoint in the session's checkpoint folder. Running values (end
     before a clip, accepted clips before it) are bucketed prefix
     operations (`prefix_last`, `prefix_sum`)."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(items.sparkSession)
     it = row_index(items, ["pid"], ["offset", "record", "ord", "study"],
                    bucket=F.floor(F.col("offset") / bucket_us).cast("bigint"), name="i")
     it = it.withColumn("_f", F.col("duration").isNotNull().cast("int"))
