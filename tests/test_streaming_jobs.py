@@ -70,3 +70,16 @@ def test_log_stream(spark, tmp):
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == first + 3  # resumed, old file not read again
     assert spark.read.parquet(out).where("rec_time IS NOT NULL").count() == first + 3
+
+
+def test_command_line(spark, tmp):
+    from glint.__main__ import main
+
+    raw, out, views = (os.path.join(tmp, d) for d in ("raw", "tidy", "views"))
+    make_dataset(raw)
+    assert main(["etl", raw, "--output-path", out, "--process", "form", "log", "tobii"]) == ["form", "log", "tobii"]
+    assert main(["etl", raw, "--output-path", out, "--dry-run"]) == ["form", "log", "tobii", "dot", "calib"]
+    assert not os.path.exists(os.path.join(out, "dot.parquet"))
+    done = main(["prepare", out, "--output-path", views, "--process", "events", "gaze", "timeline"])
+    assert done == ["events", "gaze"]  # no clip table given: no timeline
+    assert spark.read.parquet(f"{views}/events").count() > 0
