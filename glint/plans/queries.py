@@ -123,11 +123,11 @@ def form_of(spark, sf, strict: bool = False):
     return px.memo(spark, ("form", sf, strict), build)
 
 
-def _us(c):
-    return micros(c)
+_us = micros
 
 
-def flat_clocks(df: DataFrame) -> list:
+def flat_clocks(_df: DataFrame | None = None) -> list:
+    """The wall clock as epoch us and the three derived clocks."""
     return [micros("timestamp").alias("ts_us"), "rec_time", "webcam_time", "screen_time"]
 
 
