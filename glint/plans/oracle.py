@@ -535,3 +535,16 @@ SELECT CAST(label AS INTEGER) AS pid, CAST(vec_id % 3 + 1 AS INTEGER) AS record,
   CAST(3 AS INTEGER) AS face_n,
   CAST({_E(49)} AS FLOAT) AS face_2_y
 FROM embeddings"""
+
+SQL["video_parts"] = "WITH " + CLIPS_CTE + """
+SELECT pid, record, study, aux,
+  'webcam/' || printf('P_%02d/%02d-%s', pid, record, study)
+    || CASE WHEN aux IS NOT NULL THEN '-' || CAST(aux AS VARCHAR) ELSE '' END || '.mp4' AS member,
+  CAST(trunc((value / CAST(100 AS DOUBLE)) * 1000000) AS BIGINT) AS size
+FROM clips"""
+
+SQL["form_delays"] = with_form("""
+SELECT pid, webcam_start_us - init_start_us AS webcam_delay,
+       bscreen_start_us - init_start_us AS screen_delay,
+       webcam_start_us - bscreen_start_us AS video_delay
+FROM bform""")

@@ -385,3 +385,29 @@ def q_indexed_frames(spark, sf):
         F.col("gazepoint.right.y").alias("gaze_r_y"), F.col("gazedur").alias("gazedur_us"),
         F.size("faceshape").alias("face_n"), F.col("faceshape")[2]["y"].alias("face_2_y"),
     )
+
+
+@query("video_parts")
+def q_video_parts(spark, sf):
+    """A listing of extracted webcam parts (every clip's part file,
+    plus a filler `-gap` file beside each first fragment) parsed back to
+    (pid, record, study, aux), filler files hidden."""
+    from ..sources.readers import video_parts
+
+    m = clip_manifest(px.archive_manifest(px.load(spark, sf, "events")))
+    listing = m.select(F.concat(F.lit("webcam/"), "part_path").alias("member"), "size").unionByName(
+        m.where(F.col("aux") == 1).select(
+            F.format_string("webcam/P_%02d/%02d-%s-gap.mp4", "pid", "record", "study").alias("member"),
+            F.lit(0).cast("bigint").alias("size"),
+        )
+    )
+    return video_parts(listing).select("pid", "record", "study", "aux", "member", "size")
+
+
+@query("form_delays")
+def q_form_delays(spark, sf):
+    """D11 clocks: webcam and screen start after the log start, webcam after
+    screen, per participant (us)."""
+    from ..operators.form import form_delays
+
+    return form_delays(form_of(spark, sf)).select("pid", "webcam_delay", "screen_delay", "video_delay")
