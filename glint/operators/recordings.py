@@ -125,7 +125,7 @@ def clip_timeline(
     starts: DataFrame,
     clips: DataFrame,
     form: DataFrame,
-    max_fold: int | None = 50_000,
+    max_fold: int | None = 2_000,
     bucket_us: int = 1_000_000,
 ) -> DataFrame:
     """Plan of one participant's webcam video from its clips.
@@ -142,8 +142,10 @@ def clip_timeline(
     The running end depends on earlier accept decisions, so this is a
     sequential fold. A participant with at most `max_fold` starts (all of
     them in practice: one clip per recording) is folded by Spark's
-    `aggregate` over its sorted clips. Participants above it are planned
-    by `_timeline_chain`, an exact distributed form of the same fold, so a
+    `aggregate` over its sorted clips; the fold appends to its output
+    array, so its cost grows with the square of the group, which the
+    threshold keeps small. Participants above it are planned by
+    `_timeline_chain`, an exact distributed form of the same fold, so a
     participant holding a large share of the data never lands in one task.
     `max_fold=None` folds everyone by `aggregate` without the size check
     (one small count job)."""
