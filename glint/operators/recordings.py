@@ -240,11 +240,15 @@ def _timeline_chain(items: DataFrame, max_n: int, bucket_us: int = 1_000_000) ->
     it = row_index(items, ["pid"], ["offset", "record", "ord", "study"],
                    bucket=F.floor(F.col("offset") / bucket_us).cast("bigint"), name="i")
     it = it.withColumn("_f", F.col("duration").isNotNull().cast("int"))
-    it = prefix_sum(it, ["pid"], "i", "_f", "p")  # file ordinal (for file rows)
+    # file ordinal (for file rows); the numbered input is read by every
+    # round below, so it is computed once and cut from its lineage
+    it = prefix_sum(it, ["pid"], "i", "_f", "p").checkpoint()
     files = it.where(F.col("_f") == 1).select(
         "pid", "p", F.col("offset").alias("a"), (F.col("offset") + F.col("duration")).alias("b")
     )
-    m = files.groupBy("pid").agg(F.count(F.lit(1)).alias("m"), F.sum((F.col("a") < 0).cast("int")).alias("e"))
+    m = files.groupBy("pid").agg(
+        F.count(F.lit(1)).alias("m"), F.sum((F.col("a") < 0).cast("int")).alias("e")
+    ).checkpoint()
     # lb(b_j): files with offset < b_j, by a merged sorted stream of a's and b's
     ev = files.select("pid", F.col("a").alias("v"), F.lit(1).alias("t"), "p").unionByName(
         files.select("pid", F.col("b").alias("v"), F.lit(0).alias("t"), "p"))
