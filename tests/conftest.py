@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -40,5 +39,3 @@ def rows(df, *cols):
         key=lambda t: tuple((x is None, str(x)) for x in t),
     )
 
-
-_ = tempfile

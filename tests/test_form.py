@@ -1,10 +1,8 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows, write
-from glint.functions import micros
 from glint.operators.form import (
     build_form, check_domains, clean_form, domain_violations, form_delays, parse_specs,
     screen_adjustments, spec_lines,
@@ -117,5 +115,3 @@ def test_domains(spark):
     with pytest.raises(Exception, match="value outside"):
         check_domains(df).collect()
 
-
-_ = (F, micros)

@@ -44,10 +44,7 @@ def test_merge_gaze_single_pass(spark):
 
 def test_pushdown(spark):
     from pyspark.sql import functions as F
-    from glint.plans import proxies as px
-
     ev = spark.read.parquet(f"{SF}/events.parquet")
     p = plan(ev.where(F.col("user_id") == 1).select("ts"))
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,1)]" in p
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
-    _ = px

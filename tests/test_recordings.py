@@ -1,5 +1,4 @@
 import datetime as dt
-import random
 
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -138,11 +137,8 @@ def test_frame_index(spark):
     ]
 
 
-_ = random
-
 
 def test_clip_timeline_distributed_path_matches_fold(spark):
-    import __spark_entry__ as E
     from glint.plans.queries import _clip_inputs
 
     starts, files, form = _clip_inputs(spark, "/root/testdata/sf0.001")
@@ -151,7 +147,6 @@ def test_clip_timeline_distributed_path_matches_fold(spark):
     chain = rows(clip_timeline(starts, files, form, max_fold=0, bucket_us=3_600_000_000), *cols)
     assert chain == fold
     assert sum(1 for r in fold if r[6]) > 10
-    _ = E
 
 
 @settings(max_examples=4, deadline=None)
