@@ -35,7 +35,11 @@ def memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Build a derived DataFrame once per session and reuse the same lazy
     plan: PySpark analyzes a plan on every step, which costs more on the
     driver than running these small inputs."""
-    k = (spark.sparkContext.applicationId, *key)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # a Spark Connect session has no SparkContext
+        app = id(spark)
+    k = (app, *key)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
@@ -56,8 +60,12 @@ def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     file). A large input has at least that many splits and is read as it
     is, without a shuffle or a cache."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view; read as it is
+        return df
+    if splits < target:
         df = df.repartition(target).cache()
     return df
 

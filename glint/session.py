@@ -42,11 +42,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the operator of the session sets this to a shared store;
     it is read, never replaced. Only when it is unset (local runs, tests)
     a private folder is created."""
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        sc = None
+    current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not current:
         current = tempfile.mkdtemp(prefix="glint-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
