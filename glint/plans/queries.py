@@ -333,6 +333,14 @@ def q_fragments(spark, sf):
 
 
 def _clip_inputs(spark, sf):
+    return (
+        px.memo(spark, ("clip_starts", sf), lambda: _clip_parts(spark, sf)[0]),
+        px.memo(spark, ("clip_files", sf), lambda: _clip_parts(spark, sf)[1]),
+        px.memo(spark, ("clip_form", sf), lambda: _clip_parts(spark, sf)[2]),
+    )
+
+
+def _clip_parts(spark, sf):
     from ..operators.form import first_starts
     from ..operators.recordings import recording_durations
 
