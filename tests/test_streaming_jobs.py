@@ -3,6 +3,8 @@ import json
 import os
 import zipfile
 
+from pyspark.sql import functions as F
+
 from conftest import write
 from glint.plans.jobs import etl, load_table, prepare
 from glint.streaming import log_stream, start_log_sink
@@ -83,3 +85,24 @@ def test_command_line(spark, tmp):
     done = main(["prepare", out, "--output-path", views, "--process", "events", "gaze", "timeline"])
     assert done == ["events", "gaze"]  # no clip table given: no timeline
     assert spark.read.parquet(f"{views}/events").count() > 0
+
+
+def test_align_first_and_screen_list(spark, tmp):
+    from glint.operators.timelines import with_timelines
+
+    raw, a, b = (os.path.join(tmp, d) for d in ("raw", "plain", "first"))
+    make_dataset(raw)
+    align = write(tmp, "align.csv", "video,frameshift,corrOptimal,corrOrig\n"
+                  "P_01/1491423217564_2_-study-dot_test.webm,0.5,,\n")
+    etl(spark, raw, a, process=["form", "log"], alignment_path=align)
+    etl(spark, raw, b, process=["form", "log"], alignment_path=align, align_first=True)
+    fa = {r["pid"]: r["webcam_start"] for r in load_table(spark, a, "form").collect()}
+    fb = {r["pid"]: r["webcam_start"] for r in load_table(spark, b, "form").collect()}
+    assert fa[1] - fb[1] == dt.timedelta(milliseconds=500)  # first start shifted by the clip's 0.5 s
+    assert fa[6] == fb[6]
+    shifted = load_table(spark, a, "log").where("pid = 1 AND record = 2").count()
+    assert shifted == load_table(spark, b, "log").where("pid = 1 AND record = 2").count()
+    form = load_table(spark, a, "form").withColumn("screen_start", F.col("webcam_start"))
+    tl = with_timelines(load_table(spark, a, "log"), form, screen=spark.createDataFrame([(6,)], "pid int"))
+    assert tl.where("pid = 1 AND screen_time IS NOT NULL").count() == 0
+    assert tl.where("pid = 6 AND screen_time IS NULL").count() == 0
