@@ -110,7 +110,9 @@ def etl(
         if dry_run:
             return
         if name == "tobii":
-            write_partitioned(df, f"{out}/tobii", overwrite=overwrite)
+            # one recording file per participant: splits are already
+            # clustered by pid, so no shuffle of the largest table
+            write_partitioned(df, f"{out}/tobii", overwrite=overwrite, shuffle=False)
         elif name == "form":
             write_table(df.drop("screen_viewport_y"), f"{out}/form.parquet", overwrite)
         else:

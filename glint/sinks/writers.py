@@ -34,6 +34,7 @@ def write_partitioned(
     files: int | None = None,
     bucket_mod: int | None = None,
     header: bool = True,
+    shuffle: bool = True,
 ) -> DataFrame:
     """K2 / K3: one folder per key (`pid=7/`), rows sorted by `order` in
     every file; the key comes back from the folder name on read (and is
@@ -44,14 +45,21 @@ def write_partitioned(
     several tasks instead of one, and each file covers one contiguous,
     sorted range (tight min/max statistics). With `bucket_mod`, folders are
     `pid % n` buckets instead of one per participant, to avoid many small
-    files when there are many participants."""
+    files when there are many participants.
+
+    `shuffle=False` skips the range shuffle and only sorts within each
+    task: for input already clustered by key (one file per participant, as
+    the eye-tracker recordings are) every task writes its own participant's
+    sorted file and the largest table is never moved."""
     out = df
     part_col = key
     if bucket_mod:
         part_col = f"{key}_bucket"
         out = out.withColumn(part_col, F.pmod(F.col(key), F.lit(bucket_mod)))
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = out.repartitionByRange(n, key, order).sortWithinPartitions(key, order)
+    if shuffle:
+        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartitionByRange(n, key, order)
+    out = out.sortWithinPartitions(key, order)
     w = out.write.mode("overwrite" if overwrite else "ignore").partitionBy(part_col)
     if compression and fmt == "parquet":
         w = w.option("compression", compression)

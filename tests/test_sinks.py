@@ -33,6 +33,12 @@ def test_partitioned_sorted(spark, tmp):
     assert back.where("pid = 2").count() == 200
     plan = back.where("pid = 2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(pid" in plan
+    ns = os.path.join(tmp, "noshuffle")
+    write_partitioned(df.repartition(3), ns, shuffle=False)
+    for f in glob.glob(f"{ns}/pid=*/*.parquet"):
+        ts = pq.read_table(f).column("timestamp").to_pylist()
+        assert ts == sorted(ts)
+    assert spark.read.parquet(ns).count() == 600
     c = os.path.join(tmp, "csv")
     write_partitioned(df, c, fmt="csv")
     first = open(sorted(glob.glob(f"{c}/pid=2/*.csv"))[0]).readline()
