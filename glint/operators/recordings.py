@@ -155,15 +155,18 @@ def clip_timeline(
     # starts per participant bound its clip count; counting them alone is
     # one cheap partial aggregate
     sizes = starts.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
-    heavy = sizes.where(F.col("n") > max_fold).select("pid", "n")
-    # at most (rows / max_fold) participants: a proven bound for a broadcast
-    heavy_rows = heavy.collect()
-    if not heavy_rows:
+    heavy = sizes.where(F.col("n") > max_fold)
+    # one number reaches the driver: the largest heavy group, which fixes
+    # the number of doubling rounds (none when there is no heavy group)
+    max_n = heavy.agg(F.max("n")).first()[0]
+    if max_n is None:
         return _timeline_fold(items)
-    spark = items.sparkSession
-    hv = F.broadcast(spark.createDataFrame([(r["pid"],) for r in heavy_rows], "pid int"))
+    # at most (starts / max_fold) participants; joined without a hint so the
+    # planner broadcasts it while it is measured small, and otherwise uses a
+    # shuffle join whose hot partitions AQE splits
+    hv = heavy.select("pid")
     light = _timeline_fold(items.join(hv, "pid", "left_anti"))
-    big = _timeline_chain(items.join(hv, "pid", "left_semi"), max(r["n"] for r in heavy_rows), bucket_us)
+    big = _timeline_chain(items.join(hv, "pid", "left_semi"), max_n, bucket_us)
     return light.unionByName(big)
 
 
