@@ -13,10 +13,8 @@ from pyspark.sql.types import (
     BooleanType,
     ByteType,
     DoubleType,
-    FloatType,
     IntegerType,
     LongType,
-    ShortType,
     StringType,
     StructField,
     StructType,
