@@ -147,7 +147,7 @@ def spec_lines(files: DataFrame, path_col: str = "path", text_col: str = "value"
     )
 
 
-def parse_specs(lines: DataFrame, strict: bool = False) -> DataFrame:
+def parse_specs(lines: DataFrame, strict: bool = True) -> DataFrame:
     """Spec text lines (pid, line_no, line) to one row per participant:
     tracking_box (8 corners as ARRAY<DOUBLE>(3)), illumination_mode,
     frequency. Lines that match nothing are ignored; a repeated line keeps
@@ -162,7 +162,7 @@ def parse_specs(lines: DataFrame, strict: bool = False) -> DataFrame:
     return _pivot_specs(parsed)
 
 
-def parse_spec_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
+def parse_spec_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     """Spec lines to typed fields: (pid, line_no, corner, _x, _y, _z,
     illumination_mode, frequency); lines matching nothing are dropped."""
     # A cheap prefix test picks the line kind, so each line runs at most
@@ -190,7 +190,7 @@ def parse_spec_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
     )
     step3 = step2.select(
         "pid", "line_no", "_l", "corner", "_illum", "_freq", F.size("_parts").alias("_n"),
-        *[F.get("_parts", i).cast("double").alias(f"_{a}") for i, a in enumerate("xyz")],
+        *[F.get("_parts", i).try_cast("double").alias(f"_{a}") for i, a in enumerate("xyz")],
     )
     good = (F.col("_n") == 3) & F.col("_x").isNotNull() & F.col("_y").isNotNull() & F.col("_z").isNotNull()
     if strict:

@@ -115,3 +115,12 @@ def test_domains(spark):
     with pytest.raises(Exception, match="value outside"):
         check_domains(df).collect()
 
+
+
+def test_parse_specs_bad_corner(spark, tmp):
+    write(tmp, "P_03/P_03_specs.txt", "Back Lower Left: (-250.0, oops, 850.0)\nIllumination mode: Default\n")
+    lines = spec_lines(read_spec_text(spark, f"{tmp}/P_03/*specs.txt"))
+    with pytest.raises(Exception, match="bad tracking box line"):
+        parse_specs(lines).collect()
+    r = parse_specs(lines, strict=False).first()
+    assert r["tracking_box"]["b_lo_l"] is None and r["illumination_mode"] == "Default"
