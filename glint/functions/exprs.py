@@ -104,7 +104,7 @@ def hms_to_us(c: ColumnOrName) -> Column:
 
 def minute_of_day(c: ColumnOrName) -> Column:
     """`HH:mm` text to minutes after midnight (F7, time of day)."""
-    t = F.to_timestamp(F.concat(F.lit("1970-01-01 "), _col(c)), "yyyy-MM-dd HH:mm")
+    t = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), _col(c)), F.lit("yyyy-MM-dd HH:mm"))
     return F.hour(t) * 60 + F.minute(t)
 
 

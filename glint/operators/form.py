@@ -48,7 +48,7 @@ def clean_form(raw: DataFrame, strict: bool = True) -> DataFrame:
     table does."""
     c = {v: F.col(f"`{k}`") for k, v in FORM_COLUMNS.items()}
     time_of_day = c["time_of_day"]
-    tod_ok = F.to_timestamp(F.concat(F.lit("1970-01-01 "), time_of_day), "yyyy-MM-dd HH:mm")
+    tod_ok = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), time_of_day), F.lit("yyyy-MM-dd HH:mm"))
     if strict:
         time_of_day = F.when(time_of_day.isNull() | tod_ok.isNotNull(), time_of_day).otherwise(
             F.raise_error(F.concat(F.lit("bad time of day: "), time_of_day))
@@ -71,13 +71,16 @@ def clean_form(raw: DataFrame, strict: bool = True) -> DataFrame:
         for name, values in FORM_DOMAINS.items()
         if name in c
     }
+    pid = split_part(c["pid"], "_", 1)
+    wall_ok = F.try_to_timestamp(c["wall_clock"], F.lit("MM/dd/yyyy HH:mm")).isNotNull()
+    wall = F.to_timestamp_ntz(c["wall_clock"], F.lit("MM/dd/yyyy HH:mm"))
     return raw.select(
-        split_part(c["pid"], "_", 1).cast("int").alias("pid"),
+        (pid.cast("int") if strict else pid.try_cast("int")).alias("pid"),
         c["log"].alias("log"),
         enums["setting"],
         c["screen_distance"].alias("screen_distance"),
         from_millis(c["screen_start"]).alias("screen_start"),
-        F.to_timestamp_ntz(c["wall_clock"], F.lit("MM/dd/yyyy HH:mm")).alias("wall_clock"),
+        (wall if strict else F.when(wall_ok, wall)).alias("wall_clock"),
         enums["gender"],
         c["age"].cast("int").alias("age"),
         enums["race"],

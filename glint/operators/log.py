@@ -70,9 +70,10 @@ def normalize_log(raw: DataFrame, strict: bool = True) -> DataFrame:
     def pair(a: str, b: str, x: str, y: str, t: str):
         return F.struct(F.col(x).cast(t).alias(a), F.col(y).cast(t).alias(b))
 
+    record = split_part("sessionId", "_", 1)
     return raw.select(
         F.col("pid").cast("int").alias("pid"),
-        split_part("sessionId", "_", 1).cast("int").alias("record"),
+        (record.cast("int") if strict else record.try_cast("int")).alias("record"),
         from_millis("epoch").alias("timestamp"),
         study_from_page(F.col("webpage"), strict).alias("study"),
         canonical_event().alias("event"),
@@ -99,13 +100,11 @@ def parse_clip_name(name):
     def grp(i):
         return F.regexp_extract(name, CLIP_NAME_PATTERN, i)
 
-    aux = grp(5)
-    return (
-        grp(1).cast("bigint"),
-        grp(2).cast("int"),
-        grp(3),
-        F.when(aux != "", aux.cast("int")),
-    )
+    def num(i, t):
+        g = grp(i)
+        return F.when(g != "", g.cast(t))
+
+    return (num(1, "bigint"), num(2, "int"), F.when(grp(3) != "", grp(3)), num(5, "int"))
 
 
 def parse_alignment(raw: DataFrame, strict: bool = True) -> DataFrame:
@@ -122,8 +121,9 @@ def parse_alignment(raw: DataFrame, strict: bool = True) -> DataFrame:
         log = F.when(matched, log).otherwise(
             F.raise_error(F.concat(F.lit("unparsable clip name: "), F.col("video")))
         )
+    pid = split_part(parent, "_", 1)
     return raw.select(
-        split_part(parent, "_", 1).cast("int").alias("pid"),
+        (pid.cast("int") if strict else pid.try_cast("int")).alias("pid"),
         log.alias("log"),
         record.alias("record"),
         checked(F.when(matched, study), STUDIES, "study", strict).alias("study"),

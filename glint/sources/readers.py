@@ -137,11 +137,15 @@ def read_tracker_frames(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.schema(TRACKER_JSON_SCHEMA).json(path)
     stem = F.regexp_extract(F.col(FILE), r"P(\d+)_R(\d+)_A(\d+)\.[^/]*$", 0)
     pat = r"P(\d+)_R(\d+)_A(\d+)"
+    def key(i):
+        g = F.regexp_extract(stem, pat, i)
+        return F.when(g != "", g.cast("int"))
+
     return df.select(
         "*",
-        F.regexp_extract(stem, pat, 1).cast("int").alias("pid"),
-        F.regexp_extract(stem, pat, 2).cast("int").alias("record"),
-        F.regexp_extract(stem, pat, 3).cast("int").alias("aux"),
+        key(1).alias("pid"),
+        key(2).alias("record"),
+        key(3).alias("aux"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )

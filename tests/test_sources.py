@@ -91,3 +91,30 @@ def test_archive_video_lists(spark, tmp):
     clips = clip_manifest(webcam_files(spark, path))
     order = [(r["record"], r["study"], r["aux"]) for r in clips.orderBy(*clip_sort_key()).collect()]
     assert order == [(2, "dot_test", None), (2, "dot_test", 1), (3, "fitts_law", None)]
+
+
+def test_tolerant_paths_do_not_raise(spark, tmp):
+    """Under ANSI casts, the tolerant modes give nulls for bad text."""
+    from glint.operators.form import clean_form
+    from glint.operators.log import normalize_log, parse_alignment
+    from glint.operators.recordings import clip_manifest
+    from glint.schemas import ALIGNMENT_CSV_SCHEMA, FORM_CSV_SCHEMA, LOG_JSON_SCHEMA
+
+    man = spark.createDataFrame([("z/P_01/odd name.webm", 1)], "member string, size bigint")
+    r = clip_manifest(man).first()
+    assert (r["pid"], r["log"], r["record"], r["study"], r["aux"]) == (1, None, None, None, None)
+    al = spark.createDataFrame([("P_xx/nope.webm", 0.1, None, None)], ALIGNMENT_CSV_SCHEMA)
+    assert parse_alignment(al, strict=False).first()["pid"] is None
+    row = {f.name: None for f in LOG_JSON_SCHEMA.fields}
+    row.update(sessionId="abc_x_y", webpage="/study/dot_test.htm", epoch=1.0)
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    schema = StructType(LOG_JSON_SCHEMA.fields + [StructField("pid", IntegerType())])
+    lg = spark.createDataFrame([tuple(row[f.name] for f in LOG_JSON_SCHEMA.fields) + (1,)], schema)
+    assert normalize_log(lg, strict=False).first()["record"] is None
+    vals = {f.name: None for f in FORM_CSV_SCHEMA.fields}
+    vals.update({"Participant ID": "P_03", "Screen Recording Start Time (Wall Clock)": "tomorrow",
+                 "Time of day": "25:99"})
+    fm = spark.createDataFrame([tuple(vals[f.name] for f in FORM_CSV_SCHEMA.fields)], FORM_CSV_SCHEMA)
+    got = clean_form(fm, strict=False).first()
+    assert (got["pid"], got["wall_clock"], got["time_of_day"], got["time_of_day_min"]) == (3, None, None, None)
