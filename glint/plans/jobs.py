@@ -181,8 +181,10 @@ def prepare(
     def sink(name: str, df: DataFrame) -> None:
         # calibration targets go out as CSV per participant (key left out)
         fmt = "csv" if name == "targets" else "parquet"
+        # the gaze view comes row by row from the tidy eye-tracker table,
+        # already one folder per participant: sort within tasks, no shuffle
         write_partitioned(df, f"{out}/{name}", order=order.get(name, "timestamp"), overwrite=overwrite,
-                          fmt=fmt)
+                          fmt=fmt, shuffle=name != "gaze")
 
     return build_tables(builders, process, sink)
 
