@@ -106,3 +106,15 @@ def test_align_first_and_screen_list(spark, tmp):
     tl = with_timelines(load_table(spark, a, "log"), form, screen=spark.createDataFrame([(6,)], "pid int"))
     assert tl.where("pid = 1 AND screen_time IS NOT NULL").count() == 0
     assert tl.where("pid = 6 AND screen_time IS NULL").count() == 0
+
+
+def test_gaze_view_has_no_shuffle(spark, tmp):
+    from glint.plans.jobs import views
+
+    raw, out = os.path.join(tmp, "raw"), os.path.join(tmp, "tidy")
+    make_dataset(raw)
+    etl(spark, raw, out, process=["form", "log", "tobii"])
+    gaze = views(spark, out)["gaze"]()
+    plan = gaze.sortWithinPartitions("pid", "timestamp")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan  # the form goes to the samples
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
