@@ -118,3 +118,13 @@ def test_gaze_view_has_no_shuffle(spark, tmp):
     plan = gaze.sortWithinPartitions("pid", "timestamp")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" in plan  # the form goes to the samples
     assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+
+
+def test_tobii_table_has_no_shuffle(spark, tmp):
+    from glint.plans.jobs import tidy_tables
+
+    raw = os.path.join(tmp, "raw")
+    make_dataset(raw)
+    tobii = tidy_tables(spark, raw)["tobii"]()
+    plan = tobii.sortWithinPartitions("pid", "timestamp")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
