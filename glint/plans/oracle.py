@@ -410,7 +410,7 @@ shifts AS (
 )""",
 )
 
-_MEMBER = """'eott/' || printf('P_%02d/%d_%d_-study-%s', pid, log, record, study)
+_MEMBER = """'archive/' || printf('P_%02d/%d_%d_-study-%s', pid, log, record, study)
     || CASE WHEN aux IS NOT NULL THEN printf(' (%d)', aux) ELSE '' END || '.webm'"""
 SQL["clip_manifest"] = "WITH " + CLIPS_CTE + f"""
 SELECT pid, log, record, study, aux, {_MEMBER} AS member,

@@ -184,11 +184,11 @@ def archive_manifest(events: DataFrame) -> DataFrame:
     """Archive listing (member, size): the clips plus one questionnaire and
     one log file per participant, which the clip parser must skip."""
     c = alignment_csv(events).select(
-        F.concat(F.lit("eott/"), F.col("video")).alias("member"),
+        F.concat(F.lit("archive/"), F.col("video")).alias("member"),
         (F.col("corrOptimal") * 1_000_000).cast("bigint").alias("size"),
     )
     other = events.where(F.col("event_type") == "view").select(
-        F.format_string("eott/P_%02d/%d.json", F.col("user_id").cast("int"), "event_id").alias("member"),
+        F.format_string("archive/P_%02d/%d.json", F.col("user_id").cast("int"), "event_id").alias("member"),
         F.col("event_id").alias("size"),
     )
     return c.unionByName(other)
