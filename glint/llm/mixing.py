@@ -14,8 +14,10 @@ sources as labels of the corpus there are few. Beyond `max_patterns` the
 operator raises an error rather than drop anything.
 
 The choice needs no global sort: documents are hashed into `BUCKETS` buckets
-per pattern; whole buckets below the cut are taken, and only the one bucket
-that holds the cut is ranked, so no task gets a whole source.
+per pattern; whole buckets below the cut are taken, only the one bucket that
+holds the cut is ranked, so no task gets a whole source, and one document
+whose size fits best fills what is still missing. The cuts are one row per
+pattern; applying them is a map over the documents.
 
 Defined cases: a null text has size 0; a document without words takes none;
 a null source is a source of its own, the last; with an empty input the
@@ -28,7 +30,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, skew_lookup
+from .common import WORD_PATTERN, save_table, skew_lookup
 
 BUCKETS = 4_096
 
@@ -117,12 +119,14 @@ def mix_sources(
     allowed); `weight(sorted sources) -> {source: weight}`."""
     spark = docs.sparkSession
     own = docs.columns
-    pattern = F.array_sort(F.array_distinct(members))
-    m = docs.withColumn("_size", word_count(F.col(text_col))).withColumn("_pattern", pattern)
-    m = m.withColumn("_pkey", F.to_json(F.struct(F.col("_pattern").alias("p")), {"ignoreNullFields": "false"}))
     u = F.xxhash64(F.lit(seed), F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-    m = m.withColumn("_u", u).withColumn("_bucket", F.pmod("_u", F.lit(BUCKETS)).cast("int"))
-    stats = m.groupBy("_pkey", "_bucket").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("n"), F.first("_pattern").alias("p"))
+    m = docs.withColumn("_size", word_count(F.col(text_col))).withColumn("_u", u)
+    m = m.withColumn("_pattern", F.array_sort(F.array_distinct(members)))
+    m = m.withColumn("_pkey", F.to_json(F.struct(F.col("_pattern").alias("p")), {"ignoreNullFields": "false"}))
+    m = m.withColumn("_bucket", F.pmod("_u", F.lit(BUCKETS)).cast("int"))
+    each = save_table(m.select("_pkey", "_pattern", "_bucket", "_u", "_size"), "sizes")
+    stats = each.groupBy("_pkey", "_bucket").agg(
+        F.sum("_size").alias("words"), F.count(F.lit(1)).alias("n"), F.first("_pattern").alias("p"))
     groups = stats.groupBy("_pkey").agg(F.sum("words").alias("words"), F.sum("n").alias("n"), F.first("p").alias("p"))
     found = groups.limit(max_patterns + 1).collect()
     if len(found) > max_patterns:
@@ -137,31 +141,46 @@ def mix_sources(
         p = frozenset(r.p)
         first = max(p, key=lambda s: (sent.get((p, s), 0), repr(s)), default=None)
         words = sum((sent.get((p, s), Fraction(0)) for s in p), Fraction(0))
-        whole, rest = (int(words // r.words), words % r.words) if r.words else (0, Fraction(0))
-        plan.append((r._pkey, first, int(sizes.get(first, 0)), float(goal.get(first, 0)), whole, int(round(rest)), int(r.n)))
+        whole, rest = (int(words // r.words), int(round(words % r.words))) if r.words else (0, 0)
+        plan.append((r._pkey, first, int(sizes.get(first, 0)), float(goal.get(first, 0)), whole, rest, int(r.n)))
     schema = "_pkey string, _source string, _source_size long, _target double, _whole int, _rest long, _n long"
     plan = spark.createDataFrame(plan, schema)
-    # the bucket in which the running total of a pattern reaches its rest
+    m = skew_lookup(m, _cuts(each, stats, plan), "_pkey", "_n", sum(r.n for r in found), "inner")
+    more = (
+        (F.col("_bucket") < F.coalesce("_cut", F.when(F.col("_rest") > 0, F.lit(BUCKETS)).otherwise(F.lit(0))))
+        | F.coalesce((F.col("_bucket") == F.col("_cut")) & (F.col("_u") <= F.col("_last")), F.lit(False))
+        | F.coalesce(F.col("_u") == F.col("_fill"), F.lit(False))
+    )
+    copies = F.when(F.col("_size") > 0, F.col("_whole") + more.cast("int")).otherwise(0)
+    return m.select(*own, "_size", "_source", "_source_size", "_target", copies.alias("_copies"))
+
+
+def _cuts(each: DataFrame, stats: DataFrame, plan: DataFrame) -> DataFrame:
+    """`plan` with, per pattern, the bucket `_cut` in which the words reach
+    `_rest`, the hash `_last` of the last document before that (in the order
+    of hashes within the bucket), and the hash `_fill` of the document
+    outside whose size fits best what is then still missing."""
     w = Window.partitionBy("_pkey").orderBy("_bucket")
     cut = (
         stats.withColumn("_before", F.sum("words").over(w) - F.col("words"))
         .join(plan.select("_pkey", "_rest"), "_pkey")
-        .where((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("words") >= F.col("_rest")))
-        .groupBy("_pkey").agg(F.min("_bucket").alias("_cut"), F.min_by("_before", "_bucket").alias("_before"))
+        .where((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("words") > F.col("_rest")))
+        .groupBy("_pkey", "_rest").agg(F.min("_bucket").alias("_cut"), F.min_by("_before", "_bucket").alias("_before"))
     )
-    plan = plan.join(cut, "_pkey", "left")
-    total = sum(r.n for r in found)
-    m = skew_lookup(m, plan.withColumn("_weight", F.col("_n")).drop("_n"), "_pkey", "_weight", total, "inner")
-    inside = F.col("_bucket") == F.col("_cut")
-    edge = m.where(inside)
-    at = Window.partitionBy("_pkey").orderBy("_u", id_col, "_size").rowsBetween(Window.unboundedPreceding, -1)
-    edge = edge.withColumn("_at", F.col("_before") + F.coalesce(F.sum("_size").over(at), F.lit(0)))
-    # a document is taken if that brings the total nearer to the target
-    edge = edge.withColumn("_more", (F.col("_at") + F.col("_size") / 2 <= F.col("_rest")) & (F.col("_at") < F.col("_rest"))).drop("_at")
-    rest = m.where(F.coalesce(~inside, F.lit(True))).withColumn("_more", F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)))
-    both = rest.unionByName(edge)
-    copies = F.when(F.col("_size") > 0, F.col("_whole") + F.col("_more").cast("int")).otherwise(0)
-    return both.select(*own, "_size", "_source", "_source_size", "_target", copies.alias("_copies"))
+    # one bucket per pattern is ranked: 1 / BUCKETS of its documents
+    edge = each.select("_pkey", F.col("_bucket").alias("_cut"), "_u", "_size").join(F.broadcast(cut), ["_pkey", "_cut"])
+    at = Window.partitionBy("_pkey").orderBy("_u")
+    edge = edge.withColumn("_upto", F.col("_before") + F.sum("_size").over(at))
+    last = edge.groupBy("_pkey").agg(
+        F.max(F.when(F.col("_upto") <= F.col("_rest"), F.col("_u"))).alias("_last"),
+        F.max(F.when(F.col("_upto") <= F.col("_rest"), F.col("_upto"))).alias("_upto"))
+    cut = cut.join(last, "_pkey", "left").select(
+        "_pkey", "_cut", "_last", (F.col("_rest") - F.coalesce("_upto", "_before")).alias("_gap"))
+    out = each.where("_size > 0").join(F.broadcast(cut), "_pkey").where(
+        ~((F.col("_bucket") < F.col("_cut")) | ((F.col("_bucket") == F.col("_cut")) & F.coalesce(F.col("_u") <= F.col("_last"), F.lit(False)))))
+    off = F.abs(F.col("_size") - F.col("_gap"))
+    fill = out.where(off < F.col("_gap")).groupBy("_pkey").agg(F.min_by("_u", F.struct(off, "_u")).alias("_fill"))
+    return plan.join(cut.drop("_gap"), "_pkey", "left").join(fill, "_pkey", "left")
 
 
 def by_turns(names: list) -> dict:
