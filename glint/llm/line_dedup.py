@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import WORD_SPACE, save_table, skew_lookup
 
@@ -44,7 +45,7 @@ def _hashed(min_chars: int):
     return lines
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(text: pd.Series, drops: pd.Series) -> pd.Series:
     def one(t, d):
         if t is None or d is None:
