@@ -58,7 +58,7 @@ BOILER = frozenset(
     "comment comments comentarios disqus discussion replies reply respond legal copyright disclaimer skip button".split())
 MAIN = frozenset("article main content post entry story text articlebody body prose".split())
 
-PATH_DIM, WORD_DIM = 96, 24
+PATH_DIM, WORD_DIM = 160, 24
 SHAPE = 8
 DIM = PATH_DIM + WORD_DIM + SHAPE
 
@@ -294,7 +294,8 @@ def _varied(page, others: list[str], rng) -> tuple[list, list[int]]:
     late = [(("aside", "sidebar"),), (("section", "comments"),), (("div", "comment", "list"),), (("ol", "comments"), ("li", "comment")),
             (("form", "newsletter"),), (("div", "related"),), (("div", "share", "social"),), (("aside",),), (("div", "sidebar"),),
             (("div", "popup", "modal"),), (("form",),), (("div", "widget"),)]
-    inner = [(*main, *p) for p in ((("div", "ad"),), (("aside",),), (("div", "share"),), (("section", "comments"),), (("form",),), (("div", "notice"),), (("figure", "advert"),))]
+    inner = [(*main[: rng.integers(1, len(main) + 1)], *p) for p in ((("div", "ad"),), (("aside",),), (("div", "share"),), (("section", "comments"),), (("div", "comment"),),
+                                    (("form",),), (("div", "notice"),), (("figure", "advert"),), (("nav",),), (("ul", "menu"),), (("div", "related"),))]
     extra(top)
     mains = sum(teacher(b[0]) == 1 for b in page)
     seen = 0
@@ -305,13 +306,14 @@ def _varied(page, others: list[str], rng) -> tuple[list, list[int]]:
         if label == 1:
             seen += 1
             add((*main, *(leaf or pick((("p",),), ()))), text, links, 1)
-            if seen == mains // 2 and rng.random() < 0.4:
+            if seen in (mains // 3, 2 * mains // 3) and rng.random() < 0.4:
                 extra(inner)
         elif label == 0:
             words = {w for part in path for w in part}
             kind = 2 if "footer" in words else 0 if words & {"nav", "menu", "header"} else 1
             add((*junk[kind], *leaf), text, links, 0)
-    extra(inner if rng.random() < 0.3 else late)
+    for _ in range(2):
+        extra(inner if rng.random() < 0.4 else late)
     extra(late)
     if rng.random() < 0.15:  # names that say nothing: the context must do
         hide = {w for path, _, _ in out for part in path for w in part[1:] if rng.random() < 0.3}

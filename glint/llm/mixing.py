@@ -39,10 +39,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def targets(sizes: dict, weights: dict, most: float = 3.0) -> dict:
-    """Shares of the total by weight; none above `most` times its size: the
+def targets(sizes: dict, weights: dict, total: int, most: float = 3.0) -> dict:
+    """Shares of `total` by weight; none above `most` times its size: the
     excess is shared again by weight among the others."""
-    total, out, open_ = Fraction(sum(sizes.values())), {}, set(sizes)
+    total, out, open_ = Fraction(total), {}, set(sizes)
     while open_:
         w = sum(weights[s] for s in open_)
         over = {s for s in open_ if w and total * weights[s] / w > Fraction(most) * sizes[s]}
@@ -69,8 +69,8 @@ def flow(supply: dict[frozenset, int], quota: dict, repeats: int) -> dict:
             # breadth-first search from patterns with words left in this tier
             room = {p: Fraction(supply[p]) * tier - used[p] for p in supply}
             back: dict = {p: None for p in supply if room[p] > 0}
-            todo, goal = list(back), None
-            while todo and goal is None:
+            todo, goal, reached = list(back), None, False  # a source may be null
+            while todo and not reached:
                 nxt = []
                 for p in todo:
                     for s in sorted(p, key=repr):
@@ -78,16 +78,16 @@ def flow(supply: dict[frozenset, int], quota: dict, repeats: int) -> dict:
                             continue
                         back["s", s] = p
                         if need.get(s, 0) > 0:
-                            goal = s
+                            goal, reached = s, True
                             break
                         for q in supply:  # reroute what q sends to s
                             if q not in back and sent.get((q, s), 0) > 0:
                                 back[q] = s
                                 nxt.append(q)
-                    if goal is not None:
+                    if reached:
                         break
                 todo = nxt
-            if goal is None:
+            if not reached:
                 break
             path, s = [], goal
             while True:
@@ -134,7 +134,7 @@ def mix_sources(
     supply = {frozenset(r.p): r.words for r in found}
     names = sorted({s for p in supply for s in p}, key=lambda s: (s is None, s or ""))
     sizes = {s: sum(w for p, w in supply.items() if s in p) for s in names}
-    goal = targets(sizes, weight(names), repeats)
+    goal = targets(sizes, weight(names), sum(supply.values()), repeats)
     sent = flow(supply, goal, repeats)
     plan = []
     for r in found:
