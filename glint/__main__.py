@@ -29,12 +29,14 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--process", nargs="*", default=TABLES, choices=TABLES)
     e.add_argument("--overwrite", action="store_true")
     e.add_argument("--dry-run", action="store_true")
+    e.add_argument("--tolerant", action="store_true", help="set aside what does not parse instead of failing")
 
     r = sub.add_parser("prepare", help="tidy tables -> views")
     r.add_argument("input_path")
     r.add_argument("--output-path", required=True)
     r.add_argument("--clips", default=None, help="parquet of (pid, record, study, duration us)")
     r.add_argument("--frames", default=None, help="parquet of (pid, video, frame us)")
+    r.add_argument("--screen-videos", default=None, help="parquet of the pids that have a screen video")
     r.add_argument("--process", nargs="*", default=VIEWS, choices=VIEWS)
     r.add_argument("--overwrite", action="store_true")
 
@@ -54,7 +56,7 @@ def main(argv: list[str] | None = None) -> list[str]:
             spark, args.dataset, args.output_path, process=args.process,
             layout="zip" if args.zip else "dir", alignment_path=args.alignment_path,
             sync=not args.no_sync_video, overwrite=args.overwrite, dry_run=args.dry_run,
-            align_first=args.align_first,
+            align_first=args.align_first, strict=not args.tolerant,
         )
     elif args.command == "prepare":
         inputs = {}
@@ -62,6 +64,8 @@ def main(argv: list[str] | None = None) -> list[str]:
             inputs["clips"] = spark.read.parquet(args.clips)
         if args.frames:
             inputs["frames"] = spark.read.parquet(args.frames)
+        if args.screen_videos:
+            inputs["screen_videos"] = spark.read.parquet(args.screen_videos)
         process = [v for v in args.process if v not in ("timeline", "frames") or
                    (v == "timeline" and args.clips) or (v == "frames" and args.frames)]
         done = prepare(spark, args.input_path, args.output_path, process=process,

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import PID_IN_NAME_PATTERN, STUDIES
+from ..schemas import PID_SEGMENT, STUDIES
 
 ColumnOrName = Column | str
 
@@ -85,12 +85,15 @@ def strip_affixes(c: ColumnOrName, prefix: str, suffix: str) -> Column:
 
 
 def pid_from_name(path: ColumnOrName, strict: bool = True) -> Column:
-    """Participant number from `P_dd` inside a file path."""
-    raw = F.regexp_extract(_col(path), PID_IN_NAME_PATTERN, 1)
-    pid = F.when(raw != "", raw.cast("int"))
+    """Participant number (S2) from the last path segment that starts with
+    `P_` and digits, however many; folders above it, such as `/EXP_2018/`,
+    don't count."""
+    names = F.filter(F.split(_col(path), "/"), lambda s: s.rlike(PID_SEGMENT))
+    name = F.when(F.size(names) > 0, F.element_at(names, -1))
+    pid = F.regexp_extract(name, PID_SEGMENT, 1).try_cast("int")
     if strict:
         return F.when(pid.isNotNull(), pid).otherwise(
-            F.raise_error(F.concat(F.lit("Invalid participant name: "), _col(path)))
+            F.raise_error(F.concat(F.lit("no participant in path: "), F.coalesce(_col(path), F.lit(""))))
         )
     return pid
 
@@ -98,8 +101,8 @@ def pid_from_name(path: ColumnOrName, strict: bool = True) -> Column:
 def hms_to_us(c: ColumnOrName) -> Column:
     """`H:M:S` text to microseconds."""
     parts = F.split(_col(c), ":")
-    h, m, s = (F.get(parts, i).cast("int") for i in range(3))
-    return ((h * 3600 + m * 60 + s) * F.lit(1000)).cast("bigint") * F.lit(1000)
+    h, m, s = (F.get(parts, i).cast("bigint") for i in range(3))
+    return (h * 3600 + m * 60 + s) * F.lit(1_000_000)
 
 
 def minute_of_day(c: ColumnOrName) -> Column:
@@ -125,9 +128,6 @@ _UNIT_US = {
     "ms": 1_000,
     "us": 1,
 }
-_TOKEN = r"(\d+(?:\.\d+)?)(us|ms|[wdhms])"
-
-
 def duration_text_us(c: ColumnOrName, strict: bool = False) -> Column:
     """Parse text such as `1w2d3h4m5s6ms7us` or `2m 34s 29ms` to microseconds.
 
@@ -136,18 +136,29 @@ def duration_text_us(c: ColumnOrName, strict: bool = False) -> Column:
     or not fully made of `<number><unit>` tokens gives null, or an error when
     `strict`."""
     text = F.lower(F.regexp_replace(_col(c), r"\s", ""))
-    valid = text.rlike(rf"^({_TOKEN})+$")
-    nums = F.reverse(F.regexp_extract_all(text, F.lit(_TOKEN), 1))
-    units = F.reverse(F.regexp_extract_all(text, F.lit(_TOKEN), 2))
+    # a token ends where a letter is followed by a digit
+    tokens = F.split(text, "(?<=[a-z])(?=[0-9.])")
+    unit = lambda t: F.ltrim(t, F.lit("0123456789."))
+    number = lambda t: F.rtrim(t, F.lit("".join(sorted(set("".join(_UNIT_US))))))
+
+    def good(t):
+        n = number(t)
+        return (
+            unit(t).isin(list(_UNIT_US)) & F.concat(n, unit(t)).eqNullSafe(t)
+            & ~n.startswith(".") & ~n.endswith(".") & n.try_cast("double").isNotNull()
+        )
+
+    valid = text.isNotNull() & F.forall(tokens, good)
     total = F.lit(0.0)
-    for unit, factor in _UNIT_US.items():
-        pos = F.array_position(units, unit)
-        value = F.when(pos > 0, F.element_at(nums, pos.cast("int")).cast("double")).otherwise(0.0)
-        total = total + value * F.lit(float(factor))
+    of = lambda name: F.filter(tokens, lambda t: unit(t) == name)
+    for name, factor in _UNIT_US.items():
+        of_unit = of(name)
+        value = F.when(F.size(of_unit) > 0, number(F.element_at(of_unit, -1)).try_cast("double"))
+        total = total + F.coalesce(value, F.lit(0.0)) * F.lit(float(factor))
     parsed = F.when(valid, F.round(total).cast("bigint"))
     if strict:
         return F.when(valid, parsed).otherwise(
-            F.raise_error(F.concat(F.lit("Invalid time format: "), F.coalesce(_col(c), F.lit(""))))
+            F.raise_error(F.concat(F.lit("not a duration: "), F.coalesce(_col(c), F.lit(""))))
         )
     return parsed
 

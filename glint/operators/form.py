@@ -20,8 +20,8 @@ from ..schemas import (
     FORM_COLUMNS,
     FORM_DOMAINS,
     SCREEN_START_ADJUSTMENTS,
-    SPEC_CORNER_PATTERN,
-    SPEC_FREQUENCY_PATTERN,
+    SPEC_FREQUENCY,
+    SPEC_ILLUMINATION,
     STUDIES,
     VIEWPORT_Y,
 )
@@ -133,13 +133,6 @@ def viewport_offsets(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(VIEWPORT_Y, schema)
 
 
-def study_order(spark: SparkSession) -> DataFrame:
-    schema = StructType([StructField("study", StringType()), StructField("study_ord", IntegerType())])
-    return spark.createDataFrame([(s, i) for i, s in enumerate(STUDIES)], schema)
-
-
-# --- D9: device specs ---------------------------------------------------------------
-
 
 def spec_lines(files: DataFrame, path_col: str = "path", text_col: str = "value") -> DataFrame:
     """One row per line of each spec file read whole (`wholetext`), with the
@@ -168,28 +161,21 @@ def parse_specs(lines: DataFrame, strict: bool = True) -> DataFrame:
 def parse_spec_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     """Spec lines to typed fields: (pid, line_no, corner, _x, _y, _z,
     illumination_mode, frequency); lines matching nothing are dropped."""
-    # A cheap prefix test picks the line kind, so each line runs at most
-    # one regex; staged projections compute every value once.
+    # `<name>: <value>`; the name says what the line is
+    name = F.substring_index("_l", ":", 1)
+    corners = F.create_map(*[F.lit(x) for c in CORNERS for x in (" ".join(c), corner_key(*c))])
     step1 = lines.select("pid", "line_no", F.trim(F.col("line")).alias("_l")).select(
-        "pid", "line_no", "_l",
-        F.when(F.col("_l").startswith("Back ") | F.col("_l").startswith("Front "),
-               F.regexp_extract("_l", SPEC_CORNER_PATTERN, 0)).alias("_corner"),
-        F.when(F.col("_l").startswith("Illumination mode:"), F.lit(True)).alias("_illum"),
-        F.when(F.col("_l").startswith("Initial gaze output frequency:"),
-               F.regexp_extract("_l", SPEC_FREQUENCY_PATTERN, 1)).alias("_freq"),
-    ).where((F.col("_corner") != "") | F.col("_illum").isNotNull() | (F.col("_freq") != ""))
-    words = F.split(F.col("_corner"), " ")
+        "pid", "line_no", "_l", name.alias("_name"),
+        F.trim(F.expr("substring(_l, length(substring_index(_l, ':', 1)) + 2)")).alias("_value"),
+        F.try_element_at(corners, name).alias("corner"),
+    ).where(F.col("_l").contains(":") & (
+        F.col("corner").isNotNull() | F.col("_name").isin(SPEC_ILLUMINATION, SPEC_FREQUENCY)))
+    first = F.substring_index("_value", " ", 1)
     step2 = step1.select(
-        "pid", "line_no", "_l", "_illum", "_freq",
-        F.when(F.col("_corner") != "", F.lower(F.concat_ws(
-            "_",
-            F.substring(F.get(words, 0), 1, 1),
-            F.substring(F.get(words, 1), 1, 2),
-            F.substring(F.get(words, 2), 1, 1),
-        ))).alias("corner"),
-        F.when(F.col("_corner") != "", F.split(F.btrim(
-            F.substring("_l", F.length("_corner") + 1, 1 << 20), F.lit(" ()\t\n")
-        ), ", ")).alias("_parts"),
+        "pid", "line_no", "_l", "corner",
+        F.when(F.col("_name") == SPEC_ILLUMINATION, F.col("_value")).alias("_illum"),
+        F.when(F.col("_name") == SPEC_FREQUENCY, F.rtrim(first, F.lit("Hhz")).try_cast("double")).alias("_freq"),
+        F.when(F.col("corner").isNotNull(), F.split(F.btrim("_value", F.lit(" ()\t\n")), ", ")).alias("_parts"),
     )
     step3 = step2.select(
         "pid", "line_no", "_l", "corner", "_illum", "_freq", F.size("_parts").alias("_n"),
@@ -202,9 +188,7 @@ def parse_spec_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
     parsed = step3.select(
         "pid", "line_no", "corner",
         *[F.when(good, F.col(f"_{a}")).alias(f"_{a}") for a in "xyz"],
-        F.when(F.col("_illum"), F.trim(F.substring("_l", len("Illumination mode:") + 1, 1 << 20))).alias(
-            "illumination_mode"),
-        F.when(F.col("_freq") != "", F.col("_freq").cast("double")).alias("frequency"),
+        F.col("_illum").alias("illumination_mode"), F.col("_freq").alias("frequency"),
     )
     return parsed
 
@@ -338,7 +322,7 @@ def check_domains(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 __all__ = [
     "CORNERS", "build_form", "check_domains", "clean_form", "corner_key",
     "domain_table", "domain_violations", "first_starts", "form_delays",
-    "parse_specs", "screen_adjustments", "spec_lines", "study_order",
+    "parse_specs", "screen_adjustments", "spec_lines",
     "viewport_offsets",
 ]
 

@@ -105,29 +105,23 @@ def calibration_targets(log: DataFrame, form: DataFrame) -> DataFrame:
 def paired_targets(
     frames: DataFrame,
     points: DataFrame,
-    frame_order: list[str] | None = None,
-    point_order: list[str] | None = None,
-    frame_bucket: Column | None = ...,
-    point_bucket: Column | None = ...,
+    frame_order: list[str],
+    point_order: list[str],
+    frame_bucket: Column,
+    point_bucket: Column,
 ) -> DataFrame:
-    """The n-th frame id of a recording paired with its n-th mouse
+    """The n-th row of a recording's frames paired with its n-th mouse
     point (horizontal concat per (pid, record)); the longer side's surplus
-    has no partner and is dropped, as are rows with a null.
-
-    frames: (pid, record, frame); points: (pid, record, x, y, event).
-    Positions come from `row_index`, split into buckets so that a long
-    recording is not numbered in one task: by default frame id / 1024 and
-    the hour of the point's timestamp (both never decrease along the
-    default orders); pass None to number each recording in one window."""
-    if frame_bucket is ...:
-        frame_bucket = F.floor(F.col("frame") / 1024).cast("bigint") if frame_order is None else None
-    if point_bucket is ...:
-        point_bucket = (
-            F.floor(micros("timestamp") / 3_600_000_000).cast("bigint")
-            if (point_order or ["timestamp"])[0] == "timestamp" else None
-        )
-    f = row_index(frames, ["pid", "record"], frame_order or ["frame"], frame_bucket, "_n")
-    p = row_index(points, ["pid", "record"], point_order or ["timestamp"], point_bucket, "_n")
+    has no partner and is dropped, then rows with a null: a null frame id
+    keeps its place.
+
+    frames: (pid, record, frame, ...); points: (pid, record, x, y, event,
+    ...). The orders name the columns that hold the position (file order,
+    time). Rows are numbered by `row_index` in buckets, which must never
+    decrease along the order, so a long recording is not numbered in one
+    task."""
+    f = row_index(frames, ["pid", "record"], frame_order, frame_bucket, "_n")
+    p = row_index(points, ["pid", "record"], point_order, point_bucket, "_n")
     p = p.select(
         "pid", "record", "_n", "x", "y",
         F.when(F.col("event") == "click", F.lit(1.0)).otherwise(F.lit(0.5)).alias("w"),

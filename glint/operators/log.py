@@ -15,7 +15,8 @@ from ..functions import (
     value_map,
 )
 from ..schemas import (
-    CLIP_NAME_PATTERN,
+    CLIP_STUDY_MARK,
+    CLIP_SUFFIX,
     MOUSE_TYPES,
     PAGE_RENAMES,
     RECORDING_TYPES,
@@ -94,17 +95,33 @@ def normalize_log(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def parse_clip_name(name):
-    """Parts of a raw webcam clip file name (X1 without a UDF): log, record,
-    study, aux (null when the name has no ` (n)` suffix)."""
-    def grp(i):
-        return F.regexp_extract(name, CLIP_NAME_PATTERN, i)
+def clip_name(name):
+    """A raw webcam clip file name as struct(log, record, study, aux) (X1
+    without a UDF; aux is null when the name has no ` (n)` suffix). The name
+    is split by its naming rule; the struct is null for any other name."""
+    def let(value, body):  # `value` is evaluated once
+        return F.get(F.transform(F.array(value), body), 0)
+
+    def parts(sides):
+        numbers, rest = F.split(F.get(sides, 0), "_"), F.get(sides, 1)
+        stem = F.left(rest, F.length(rest) - len(CLIP_SUFFIX))
+        found = F.struct(
+            F.when(F.size(numbers) == 2, F.get(numbers, 0).try_cast("bigint")).alias("log"),
+            F.get(numbers, 1).try_cast("int").alias("record"),
+            F.substring_index(stem, " (", 1).alias("study"),
+            F.when(stem.contains(" ("), F.rtrim(F.substring_index(stem, " (", -1), F.lit(")")).try_cast("int")).alias("aux"),
+            stem.contains(" (").alias("numbered"),
+        )
+        return F.when((F.size(sides) == 2) & rest.endswith(CLIP_SUFFIX), found)
+
+    whole = let(F.split(F.element_at(F.split(name, "/"), -1), CLIP_STUDY_MARK), parts)
+    return let(whole, lambda c: F.when(
+        c["log"].isNotNull() & c["record"].isNotNull() & (c["study"] != "") & (c["aux"].isNotNull() | ~c["numbered"]), c))
 
-    def num(i, t):
-        g = grp(i)
-        return F.when(g != "", g.cast(t))
 
-    return (num(1, "bigint"), num(2, "int"), F.when(grp(3) != "", grp(3)), num(5, "int"))
+def with_clip_name(df: DataFrame, name) -> DataFrame:
+    """`df` with the struct `_clip` of `clip_name`."""
+    return df.withColumn("_clip", clip_name(name))
 
 
 def parse_alignment(raw: DataFrame, strict: bool = True) -> DataFrame:
@@ -113,21 +130,20 @@ def parse_alignment(raw: DataFrame, strict: bool = True) -> DataFrame:
 
     `aux` is kept so that fragments of one clip can be told apart; the
     shift is cut to whole milliseconds like the source data."""
-    parent = split_part("video", "/", 0)
-    filename = split_part("video", "/", 1)
-    log, record, study, aux = parse_clip_name(filename)
-    matched = filename.rlike(CLIP_NAME_PATTERN)
+    named = with_clip_name(raw, F.col("video"))
+    study = F.col("_clip.study")
+    log = F.col("_clip.log")
     if strict:
-        log = F.when(matched, log).otherwise(
+        log = F.when(F.col("_clip").isNotNull(), log).otherwise(
             F.raise_error(F.concat(F.lit("unparsable clip name: "), F.col("video")))
         )
-    pid = split_part(parent, "_", 1)
-    return raw.select(
+    pid = split_part(split_part("video", "/", 0), "_", 1)
+    return named.select(
         (pid.cast("int") if strict else pid.try_cast("int")).alias("pid"),
         log.alias("log"),
-        record.alias("record"),
-        checked(F.when(matched, study), STUDIES, "study", strict).alias("study"),
-        aux.alias("aux"),
+        F.col("_clip.record").alias("record"),
+        checked(study, STUDIES, "study", strict).alias("study"),
+        F.col("_clip.aux").alias("aux"),
         ms_to_us(F.col("frameshift") * F.lit(1e3)).alias("frameshift"),
     )
 
@@ -144,13 +160,15 @@ def clip_shifts(alignment: DataFrame) -> DataFrame:
     return alignment.groupBy("pid", "record", "study").agg(pick["shift"].alias("frameshift"))
 
 
-def align_log(log: DataFrame, alignment: DataFrame) -> DataFrame:
+def align_log(log: DataFrame, alignment: DataFrame, dedupe: bool = False) -> DataFrame:
     """Subtract each clip's frame shift from its log rows (missing = 0).
 
-    The shift table has one row per clip; it is joined without a broadcast
-    hint so the planner broadcasts it only while its measured size is under
-    the threshold, and shuffles otherwise."""
-    shifts = clip_shifts(alignment)
+    A log row meets every clip of its (pid, record, study), so it comes once
+    per clip (J8). `dedupe=True` takes one shift per key (`clip_shifts`) and
+    keeps the number of log rows. The shift table is joined without a
+    broadcast hint: the planner broadcasts it while its measured size is
+    under the threshold, and shuffles otherwise."""
+    shifts = clip_shifts(alignment) if dedupe else alignment.select("pid", "record", "study", "frameshift")
     joined = log.join(shifts, ["pid", "record", "study"], "left")
     return joined.withColumn(
         "timestamp", add_us("timestamp", -F.coalesce(F.col("frameshift"), F.lit(0)))

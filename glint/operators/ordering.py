@@ -63,22 +63,22 @@ def prefix_last(
     consecutive indexes so that no key is handled by a single task."""
     keys = list(keys)
     b = F.floor(F.col(index) / bucket_size).cast("bigint")
-    staged = df.withColumn("_b", b)
+    staged = df.withColumn("_k", b)
     summary = (
         staged.where(F.col(value).isNotNull())
-        .groupBy(*keys, "_b")
+        .groupBy(*keys, "_k")
         .agg(F.max_by(value, index).alias("_last"))
     )
     # every bucket of the key, with the last value of the buckets before it
-    buckets = staged.select(*keys, "_b").distinct().join(summary, [*keys, "_b"], "left")
-    w_prev = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = staged.select(*keys, "_k").distinct().join(summary, [*keys, "_k"], "left")
+    w_prev = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
     filled = buckets.select(
-        *keys, "_b", F.last("_last", ignorenulls=True).over(w_prev).alias("_from_before")
+        *keys, "_k", F.last("_last", ignorenulls=True).over(w_prev).alias("_from_before")
     )
-    w_in = Window.partitionBy(*keys, "_b").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    w_in = Window.partitionBy(*keys, "_k").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
     inside = staged.withColumn("_in", F.last(value, ignorenulls=True).over(w_in))
-    out = inside.join(filled, [*keys, "_b"], "left")
-    return out.withColumn(name, F.coalesce(F.col("_in"), F.col("_from_before"))).drop("_b", "_in", "_from_before")
+    out = inside.join(filled, [*keys, "_k"], "left")
+    return out.withColumn(name, F.coalesce(F.col("_in"), F.col("_from_before"))).drop("_k", "_in", "_from_before")
 
 
 def prefix_sum(
@@ -92,11 +92,33 @@ def prefix_sum(
     """Add `name`: the sum of `value` over rows with a smaller `index`
     within the key (exclusive running sum), in buckets like `prefix_last`."""
     keys = list(keys)
-    staged = df.withColumn("_b", F.floor(F.col(index) / bucket_size).cast("bigint"))
-    per_b = staged.groupBy(*keys, "_b").agg(F.sum(value).alias("_s"))
-    w_off = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = per_b.select(*keys, "_b", F.coalesce(F.sum("_s").over(w_off), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy(*keys, "_b").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    staged = df.withColumn("_k", F.floor(F.col(index) / bucket_size).cast("bigint"))
+    per_b = staged.groupBy(*keys, "_k").agg(F.sum(value).alias("_s"))
+    w_off = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    off = per_b.select(*keys, "_k", F.coalesce(F.sum("_s").over(w_off), F.lit(0)).alias("_off"))
+    w_in = Window.partitionBy(*keys, "_k").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
     inside = staged.withColumn("_in", F.coalesce(F.sum(value).over(w_in), F.lit(0)))
-    out = inside.join(off, [*keys, "_b"], "inner")
-    return out.withColumn(name, F.col("_off") + F.col("_in")).drop("_b", "_in", "_off")
+    out = inside.join(off, [*keys, "_k"], "inner")
+    return out.withColumn(name, F.col("_off") + F.col("_in")).drop("_k", "_in", "_off")
+
+
+def prefix_max(
+    df: DataFrame,
+    keys: Sequence[str],
+    index: str,
+    value: str,
+    name: str,
+    bucket_size: int = 4096,
+) -> DataFrame:
+    """Add `name`: the largest non-null `value` over rows with a smaller
+    `index` within the key (null if there is none), in buckets like
+    `prefix_last`."""
+    keys = list(keys)
+    staged = df.withColumn("_k", F.floor(F.col(index) / bucket_size).cast("bigint"))
+    per_b = staged.groupBy(*keys, "_k").agg(F.max(value).alias("_m"))
+    before = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    top = per_b.select(*keys, "_k", F.max("_m").over(before).alias("_top"))
+    w_in = Window.partitionBy(*keys, "_k").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    inside = staged.withColumn("_in", F.max(value).over(w_in))
+    out = inside.join(top, [*keys, "_k"], "inner")
+    return out.withColumn(name, F.greatest("_top", "_in")).drop("_k", "_in", "_top")

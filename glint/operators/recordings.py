@@ -7,18 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import add_us, diff_us, padded, pid_from_name, study_ord
 from ..schemas import MIN_FILLER_GAP_US, THANK_YOU
-from .log import parse_clip_name
-from .ordering import prefix_last, prefix_sum, row_index
-
-
-def recording_bounds(log: DataFrame) -> DataFrame:
-    """Per (pid, record): latest stop and earliest start. One partial +
-    final aggregate over the start/stop rows only (A1, A5)."""
-    ev = log.where(F.col("event").isin("start", "stop"))
-    return ev.groupBy("pid", "record").agg(
-        F.max(F.when(F.col("event") == "stop", F.col("timestamp"))).alias("stop"),
-        F.min(F.when(F.col("event") == "start", F.col("timestamp"))).alias("first_start"),
-    )
+from .log import with_clip_name
+from .ordering import prefix_last, prefix_max, prefix_sum, row_index
 
 
 def recording_ends(log: DataFrame) -> DataFrame:
@@ -45,26 +35,33 @@ def recording_ends(log: DataFrame) -> DataFrame:
     )
 
 
-def recording_durations(log: DataFrame) -> DataFrame:
+def recording_durations(log: DataFrame, dedupe: bool = False) -> DataFrame:
     """How long each recording ran.
 
     Rows are the `start` events except the thank-you page. A recording ends
     at the stop of the same (pid, record) (J1); when it has none and its
-    record number is above 1, at the first start of record + 1 (J2); a next
-    start is only taken where the recording has no stop (J3); otherwise the
-    duration is null.
-
-    Stops and next starts are reduced to one row per (pid, record) before
-    the join (`recording_ends`), so a recording with several stops or
-    restarts never multiplies rows (the latest stop and the earliest next
-    start win) and a hot (pid, record) meets a one-row build side. The log
-    is scanned twice: once for the starts, once for the ends."""
-    ends = recording_ends(log)
+    record number is above 1, at the start of record + 1 (J2, J3); otherwise
+    the duration is null. Several stops, or several next starts, each give a
+    row. `dedupe=True` reduces them first (`recording_ends`: the latest stop,
+    the earliest next start), so that each start gives one row and a hot
+    (pid, record) meets a one-row build side."""
     starts = log.where(
         (F.col("event") == "start") & (F.col("study") != THANK_YOU)
     ).select("pid", "record", "study", F.col("timestamp").alias("start"))
-    out = starts.join(ends, ["pid", "record"], "left")
-    end = F.coalesce(F.col("stop"), F.when(F.col("stop").isNull(), F.col("next")))
+    if dedupe:
+        out = starts.join(recording_ends(log), ["pid", "record"], "left")
+        end = F.coalesce("stop", "next")
+    else:
+        stops = log.where(F.col("event") == "stop").select(
+            "pid", "record", F.col("timestamp").alias("_end"), F.lit(True).alias("_stop"))
+        # a next start counts for a recording without any stop: keys with one
+        # are taken out of the (small) table of next starts
+        nexts = log.where((F.col("event") == "start") & (F.col("record") > 2)).select(
+            "pid", (F.col("record") - 1).alias("record"), F.col("timestamp").alias("_end"))
+        nexts = nexts.join(stops.select("pid", "record"), ["pid", "record"], "left_anti")
+        ends = stops.select("pid", "record", "_end").unionByName(nexts)
+        out = starts.join(ends, ["pid", "record"], "left")
+        end = F.col("_end")
     return out.select(
         "pid", "record", "study", "start",
         end.alias("stop"),
@@ -81,11 +78,10 @@ def clip_manifest(manifest: DataFrame, strict: bool = False) -> DataFrame:
     (pid, log, record, study, aux) with the tidy part path
     `P_dd/RR-study[-aux].mp4` they are extracted to."""
     clips = manifest.where(F.col("member").endswith(".webm"))
-    log, record, study, aux = parse_clip_name(F.col("member"))
     part = padded("P_%02d/%02d-%s", "pid", "record", "study")
-    return clips.select(
-        pid_from_name("member", strict).alias("pid"), log.alias("log"), record.alias("record"),
-        study.alias("study"), aux.alias("aux"), "member", "size",
+    return with_clip_name(clips, F.col("member")).select(
+        pid_from_name("member", strict).alias("pid"), "_clip.log", "_clip.record", "_clip.study", "_clip.aux",
+        "member", "size",
     ).select(
         "*",
         F.concat(part, F.when(F.col("aux").isNotNull(), F.concat(F.lit("-"), F.col("aux").cast("string")))
@@ -125,49 +121,95 @@ def clip_timeline(
     starts: DataFrame,
     clips: DataFrame,
     form: DataFrame,
-    max_fold: int | None = 2_000,
     bucket_us: int = 1_000_000,
 ) -> DataFrame:
-    """Plan of one participant's webcam video from its clips.
+    """Plan of each participant's webcam video from its clips.
 
     starts: log rows with event `start` (pid, record, study, timestamp);
     clips: part files that exist (pid, record, study, duration us);
     form: (pid, webcam_start). Per participant in start order, with the
     running end at 0: a start without a file is skipped; gap = offset -
-    end; a negative gap (overlap) rejects the clip; otherwise the clip is
-    accepted, end = offset + duration, and a filler of length gap is
-    planned before it when it is not the first accepted clip and the gap is
-    at least 30 ms.
+    end; a negative gap (overlap) rejects the clip, as does a start without
+    an offset; otherwise the clip is accepted, end = offset + duration, and
+    a filler of length gap is planned before it when it is not the first
+    accepted clip and the gap is at least 30 ms.
+
+    The running end depends on earlier decisions, but not always: a file
+    whose offset reaches the largest offset + duration of all earlier files
+    is accepted whatever was decided before. Such files start islands; only
+    inside an island of several files is there anything to decide, by
+    following, from its first file, the next file that starts after the
+    accepted one's end. These chains are found by pointer doubling, with as
+    many rounds as the longest island needs (none without overlaps; its
+    length is the one number that reaches the driver). Row numbers and
+    running sums, maxima and last values are all taken in buckets
+    (`ordering`), so no participant is one task's work."""
+    from ..session import ensure_checkpoint_dir
 
-    The running end depends on earlier accept decisions, so this is a
-    sequential fold. A participant with at most `max_fold` starts (all of
-    them in practice: one clip per recording) is folded by Spark's
-    `aggregate` over its sorted clips; the fold appends to its output
-    array, so its cost grows with the square of the group, which the
-    threshold keeps small. Participants above it are planned by
-    `_timeline_chain`, an exact distributed form of the same fold, so a
-    participant holding a large share of the data never lands in one task.
-    `max_fold=None` folds everyone by `aggregate` without the size check
-    (one small count job)."""
-    items = _timeline_items(starts, clips, form)
-    if max_fold is None:
-        return _timeline_fold(items)
-    # starts per participant bound its clip count; counting them alone is
-    # one cheap partial aggregate
-    sizes = starts.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
-    heavy = sizes.where(F.col("n") > max_fold)
-    # one number reaches the driver: the largest heavy group, which fixes
-    # the number of doubling rounds (none when there is no heavy group)
-    max_n = heavy.agg(F.max("n")).first()[0]
-    if max_n is None:
-        return _timeline_fold(items)
-    # at most (starts / max_fold) participants; joined without a hint so the
-    # planner broadcasts it while it is measured small, and otherwise uses a
-    # shuffle join whose hot partitions AQE splits
-    hv = heavy.select("pid")
-    light = _timeline_fold(items.join(hv, "pid", "left_anti"))
-    big = _timeline_chain(items.join(hv, "pid", "left_semi"), max_n, bucket_us)
-    return light.unionByName(big)
+    ensure_checkpoint_dir(starts.sparkSession)
+    pid = ["pid"]
+    it = row_index(
+        _timeline_items(starts, clips, form), pid, ["offset", "record", "ord", "study", "duration"],
+        bucket=F.floor(F.col("offset") / bucket_us).cast("bigint"), name="i")
+    # a file with an offset below 0, the first end, is never accepted
+    file = F.col("duration").isNotNull() & F.coalesce(F.col("offset") >= 0, F.lit(False))
+    it = it.withColumn("_f", file.cast("int")).withColumn(
+        "_b", F.when(file, F.col("offset") + F.col("duration")))
+    it = prefix_max(it, pid, "i", "_b", "_reach")
+    sure = (F.col("_f") == 1) & (F.col("offset") >= F.coalesce("_reach", F.lit(0)))
+    it = it.withColumn("_sure", sure.cast("int"))
+    it = prefix_sum(prefix_sum(it, pid, "i", "_f", "p"), pid, "i", "_sure", "_isl")
+    it = it.withColumn("_isl", F.col("_isl") + F.col("_sure")).checkpoint()
+    files = it.where(F.col("_f") == 1).select("pid", "_isl", "p", "_sure", F.col("offset").alias("a"), F.col("_b").alias("b"))
+    accepted = files.where(F.col("_sure") == 1).select("pid", "p")
+    sizes = files.groupBy("pid", "_isl").agg(F.count(F.lit(1)).alias("m"), F.min("p").alias("p0")).where("m > 1")
+    longest = sizes.agg(F.max("m")).first()[0]
+    if longest:
+        accepted = accepted.unionByName(_chains(files.join(sizes, ["pid", "_isl"]), int(longest), bucket_us))
+    rows = it.join(accepted.withColumn("_acc", F.lit(True)), ["pid", "p"], "left").withColumn(
+        "_acc", F.coalesce(F.col("_acc") & (F.col("_f") == 1), F.lit(False)))
+    rows = rows.withColumn("_b_acc", F.when(F.col("_acc"), F.col("_b")))
+    rows = prefix_last(rows, pid, "i", "_b_acc", "_end_before")
+    rows = prefix_sum(rows.withColumn("_acc_i", F.col("_acc").cast("int")), pid, "i", "_acc_i", "_n_before")
+    end_before = F.coalesce(F.col("_end_before"), F.lit(0).cast("bigint"))
+    has = F.col("duration").isNotNull()
+    gap = F.col("offset") - end_before
+    return rows.select(
+        "pid", "record", "study", "offset", "duration",
+        has.alias("has_file"),
+        F.col("_acc").alias("accepted"),
+        F.when(has, gap).alias("gap"),
+        F.when(F.col("_acc") & (F.col("_n_before") > 0) & (gap >= MIN_FILLER_GAP_US), gap).alias("filler"),
+        F.when(F.col("_acc"), F.col("_b")).otherwise(end_before).alias("end"),
+    )
+
+
+def _chains(files: DataFrame, longest: int, bucket_us: int) -> DataFrame:
+    """Accepted files (pid, p) after the first of each island.
+
+    files: (pid, _isl, p, a, b; m files from ordinal p0 on) of islands of
+    several files, a = offset, b = offset + duration. After j the next
+    accepted is the first file of the island that starts at b_j or later:
+    max(j + 1, p0 + number of its files with a < b_j), found from one sorted
+    stream of a's and b's."""
+    key = ["pid", "_isl"]
+    ev = files.select(*key, F.col("a").alias("v"), F.lit(1).alias("t"), "p", "p0", "m").unionByName(
+        files.select(*key, F.col("b").alias("v"), F.lit(0).alias("t"), "p", "p0", "m"))
+    ev = row_index(ev, key, ["v", "t", "p"], bucket=F.floor(F.col("v") / bucket_us).cast("bigint"), name="k")
+    ev = prefix_sum(ev, key, "k", "t", "_lower")
+    to = F.greatest(F.col("p") + 1, F.col("p0") + F.col("_lower"))
+    jump = ev.where(F.col("t") == 0).select(
+        "pid", "p", F.when(to < F.col("p0") + F.col("m"), to).alias("nxt")).checkpoint()
+    chain = files.where(F.col("p") == F.col("p0")).select("pid", "p").checkpoint()
+    for _ in range(longest.bit_length()):
+        # all reached so far, and from there 2^k steps on
+        step = chain.join(jump, ["pid", "p"], "inner").where(F.col("nxt").isNotNull()).select(
+            "pid", F.col("nxt").alias("p"))
+        chain = chain.unionByName(step).distinct().checkpoint()
+        x, y = jump.alias("x"), jump.alias("y")
+        jump = x.join(y, (F.col("x.pid") == F.col("y.pid")) & (F.col("x.nxt") == F.col("y.p")), "left").select(
+            F.col("x.pid").alias("pid"), F.col("x.p").alias("p"), F.col("y.nxt").alias("nxt")).checkpoint()
+    return chain.join(files.where(F.col("p") == F.col("p0")).select("pid", "p"), ["pid", "p"], "left_anti")
 
 
 def _timeline_items(starts: DataFrame, clips: DataFrame, form: DataFrame) -> DataFrame:
@@ -184,125 +226,24 @@ def _timeline_items(starts: DataFrame, clips: DataFrame, form: DataFrame) -> Dat
     )
 
 
-_OUT_TYPE = (
-    "array<struct<record:int,study:string,offset:bigint,duration:bigint,has_file:boolean,"
-    "accepted:boolean,gap:bigint,filler:bigint,end:bigint>>"
-)
-
-
-def _timeline_fold(items: DataFrame) -> DataFrame:
-    """The fold as Spark's `aggregate` over each participant's clips sorted
-    by (offset, record, study order, study)."""
-    item = F.struct("offset", "record", "ord", "study", "duration")
-    grouped = items.groupBy("pid").agg(F.array_sort(F.collect_list(item)).alias("_clips"))
-    init = F.struct(
-        F.lit(0).cast("bigint").alias("end"),
-        F.lit(0).alias("n"),
-        F.array().cast(_OUT_TYPE).alias("out"),
-    )
-
-    def step(acc, x):
-        has = x["duration"].isNotNull()
-        gap = x["offset"] - acc["end"]
-        accept = has & (gap >= 0)
-        new_end = F.when(accept, x["offset"] + x["duration"]).otherwise(acc["end"])
-        filler = F.when(accept & (acc["n"] > 0) & (gap >= MIN_FILLER_GAP_US), gap)
-        row = F.struct(
-            x["record"].alias("record"), x["study"].alias("study"), x["offset"].alias("offset"),
-            x["duration"].alias("duration"), has.alias("has_file"), accept.alias("accepted"),
-            F.when(has, gap).alias("gap"), filler.alias("filler"), new_end.alias("end"),
-        )
-        return F.struct(
-            new_end.alias("end"),
-            (acc["n"] + F.when(accept, 1).otherwise(0)).alias("n"),
-            F.concat(acc["out"], F.array(row)).alias("out"),
-        )
-
-    folded = grouped.select("pid", F.aggregate("_clips", init, step)["out"].alias("_out"))
-    return folded.select("pid", F.inline("_out"))
-
-
-def _timeline_chain(items: DataFrame, max_n: int, bucket_us: int = 1_000_000) -> DataFrame:
-    """The same fold for participants too large for one task.
-
-    With clips in start order, offsets never decrease. A clip j with a
-    file, once accepted, sets end = b_j = offset_j + duration_j; the next
-    accepted clip is then the first file k after j with offset_k >= b_j:
-    next(j) = max(j + 1, number of files with offset < b_j) in file order.
-    The first accepted clip is the first file with offset >= 0. So the
-    accepted clips are the chain entry, next(entry), next(next(entry)), ...
-    It is found by pointer doubling: jump tables next^(2^k) built by self
-    joins, then the chain marked level by level; log2(files) rounds of
-    joins keyed by (pid, file ordinal), each cut from its lineage by a
-    checkpoint in the session's checkpoint folder. Running values (end
-    before a clip, accepted clips before it) are bucketed prefix
-    operations (`prefix_last`, `prefix_sum`)."""
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(items.sparkSession)
-    it = row_index(items, ["pid"], ["offset", "record", "ord", "study"],
-                   bucket=F.floor(F.col("offset") / bucket_us).cast("bigint"), name="i")
-    it = it.withColumn("_f", F.col("duration").isNotNull().cast("int"))
-    # file ordinal (for file rows); the numbered input is read by every
-    # round below, so it is computed once and cut from its lineage
-    it = prefix_sum(it, ["pid"], "i", "_f", "p").checkpoint()
-    files = it.where(F.col("_f") == 1).select(
-        "pid", "p", F.col("offset").alias("a"), (F.col("offset") + F.col("duration")).alias("b")
-    )
-    m = files.groupBy("pid").agg(
-        F.count(F.lit(1)).alias("m"), F.sum((F.col("a") < 0).cast("int")).alias("e")
-    ).checkpoint()
-    # lb(b_j): files with offset < b_j, by a merged sorted stream of a's and b's
-    ev = files.select("pid", F.col("a").alias("v"), F.lit(1).alias("t"), "p").unionByName(
-        files.select("pid", F.col("b").alias("v"), F.lit(0).alias("t"), "p"))
-    ev = row_index(ev, ["pid"], ["v", "t", "p"], bucket=F.floor(F.col("v") / bucket_us).cast("bigint"), name="k")
-    ev = prefix_sum(ev, ["pid"], "k", "t", "lb")
-    nxt = ev.where(F.col("t") == 0).join(m, "pid").select(
-        "pid", "p",
-        F.when(F.greatest(F.col("p") + 1, F.col("lb")) < F.col("m"),
-               F.greatest(F.col("p") + 1, F.col("lb"))).alias("nxt"),
-    ).checkpoint()
-    levels = max(1, int(max_n).bit_length())
-    jumps = [nxt]
-    for _ in range(levels - 1):
-        cur = jumps[-1]
-        x, y = cur.alias("x"), cur.alias("y")
-        nxt2 = x.join(y, (F.col("x.pid") == F.col("y.pid")) & (F.col("x.nxt") == F.col("y.p")), "left").select(
-            F.col("x.pid").alias("pid"), F.col("x.p").alias("p"), F.col("y.nxt").alias("nxt"))
-        jumps.append(nxt2.checkpoint())
-    chain = m.where(F.col("e") < F.col("m")).select("pid", F.col("e").alias("p")).checkpoint()
-    for jump in jumps:
-        step = chain.join(jump, ["pid", "p"], "inner").where(F.col("nxt").isNotNull()).select(
-            "pid", F.col("nxt").alias("p"))
-        chain = chain.unionByName(step).distinct().checkpoint()
-    acc = chain.withColumn("_acc", F.lit(True))
-    rows = it.join(acc, ["pid", "p"], "left").withColumn(
-        "_acc", F.coalesce(F.col("_acc") & (F.col("_f") == 1), F.lit(False)))
-    rows = rows.withColumn("_b_acc", F.when(F.col("_acc"), F.col("offset") + F.col("duration")))
-    rows = prefix_last(rows, ["pid"], "i", "_b_acc", "_end_before")
-    rows = prefix_sum(rows.withColumn("_acc_i", F.col("_acc").cast("int")), ["pid"], "i", "_acc_i", "_n_before")
-    end_before = F.coalesce(F.col("_end_before"), F.lit(0).cast("bigint"))
-    has = F.col("_f") == 1
-    gap = F.col("offset") - end_before
-    return rows.select(
-        "pid", "record", "study", "offset", "duration",
-        has.alias("has_file"),
-        F.col("_acc").alias("accepted"),
-        F.when(has, gap).alias("gap"),
-        F.when(F.col("_acc") & (F.col("_n_before") > 0) & (gap >= MIN_FILLER_GAP_US), gap).alias("filler"),
-        F.when(F.col("_acc"), F.col("_b_acc")).otherwise(end_before).alias("end"),
-    )
-
-
-def frame_index(frames: DataFrame, form: DataFrame) -> DataFrame:
-    """D20d: every video frame on every clock.
+def frame_index(frames: DataFrame, form: DataFrame, screen: bool | DataFrame = True) -> DataFrame:
+    """D20d: every video frame on every clock. `screen`: as in
+    `with_timelines`, who has a screen video (True: everyone with a screen
+    start; False: nobody; a DataFrame: the pids in it).
 
     frames: (pid, video 'webcam' | 'screen', frame us since the video
     start). wall = start + frame; rec = delay + frame; own clock = frame;
     the other video's clock = frame + (webcam_start - screen_start) for the
     webcam, frame - that for the screen, null without a screen video.
     Screen frames of participants without a screen start are dropped."""
-    f = frames.join(form.select("pid", "init_start", "webcam_start", "screen_start"), "pid", "inner")
+    side = form.select("pid", "init_start", "webcam_start", "screen_start")
+    if isinstance(screen, DataFrame):
+        flags = screen.select("pid").distinct().withColumn("_has_screen", F.lit(True))
+        side = side.join(flags, "pid", "left").withColumn(
+            "screen_start", F.when(F.col("_has_screen"), F.col("screen_start"))).drop("_has_screen")
+    elif not screen:
+        side = side.withColumn("screen_start", F.lit(None).cast("timestamp_ntz"))
+    f = frames.join(side, "pid", "inner")
     is_cam = F.col("video") == "webcam"
     start = F.when(is_cam, F.col("webcam_start")).otherwise(F.col("screen_start"))
     video_delay = diff_us("webcam_start", "screen_start")

@@ -25,17 +25,11 @@ from ..schemas import (
 CLOCKS = ["rec_time", "webcam_time", "screen_time"]
 
 
-def _form_side(form: DataFrame, extra: list[str], broadcast: bool | None) -> DataFrame:
-    side = form.select("pid", "init_start", "webcam_start", "screen_start", *extra)
-    return F.broadcast(side) if broadcast else side
-
-
 def with_timelines(
     df: DataFrame,
     form: DataFrame,
     tc: str = "timestamp",
     screen: bool | DataFrame = True,
-    broadcast_form: bool | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Add rec_time, webcam_time and screen_time (BIGINT us) beside the
@@ -44,11 +38,10 @@ def with_timelines(
     rec = t - init_start; webcam = rec - (webcam_start - init_start);
     screen = rec - (screen_start - init_start), null without a screen start
     or without a screen video (`screen=False`, or a DataFrame of the pids
-    that have one). `broadcast_form=None` leaves the join strategy to the
-    planner's size estimate (broadcast below the threshold, shuffle join
-    above); True forces it for a form known to be small."""
+    that have one). The join strategy is left to the planner's size
+    estimate (broadcast below the threshold, shuffle join above)."""
     extra = keep or []
-    side = _form_side(form, extra, broadcast_form)
+    side = form.select("pid", "init_start", "webcam_start", "screen_start", *extra)
     out = df.join(side, "pid", "inner")
     rec = diff_us(tc, "init_start")
     webcam = rec - diff_us("webcam_start", "init_start")
@@ -93,7 +86,7 @@ def mouse_points(tl: DataFrame) -> DataFrame:
     )
 
 
-def merge_gaze(tl: DataFrame, form: DataFrame | None = None, broadcast_form: bool | None = None) -> DataFrame:
+def merge_gaze(tl: DataFrame, form: DataFrame | None = None) -> DataFrame:
     """One gaze point per sample in display pixels.
 
     Both eyes valid: the mean of the two points (colour cyan); one eye
@@ -115,7 +108,7 @@ def merge_gaze(tl: DataFrame, form: DataFrame | None = None, broadcast_form: boo
         res = form.select(
             "pid", F.col("display_resolution.w").alias("_w"), F.col("display_resolution.h").alias("_h")
         )
-        kept = kept.join(F.broadcast(res) if broadcast_form else res, "pid", "left")
+        kept = kept.join(res, "pid", "left")
     x = F.when(both, (lx + rx) / 2.0).when(left_only, lx).otherwise(rx)
     y = F.when(both, (ly + ry) / 2.0).when(left_only, ly).otherwise(ry)
     color = F.when(both, rgb(COLOR_BOTH_EYES)).when(left_only, rgb(COLOR_LEFT_EYE)).otherwise(

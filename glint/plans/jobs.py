@@ -32,21 +32,23 @@ from ..sources import archive as Z
 TABLES = ["form", "log", "tobii", "dot", "calib"]
 
 
-def raw_sources(spark: SparkSession, root: str, layout: str = "dir", calib_glob: str = "*calibration*.tsv"):
+def raw_sources(
+    spark: SparkSession, root: str, layout: str = "dir", calib_glob: str = "*calibration*.tsv", strict: bool = True
+):
     """Raw DataFrames of every source, from a folder or a zip."""
     if layout == "zip":
         return {
             "form": lambda: Z.zip_form(spark, root),
-            "log": lambda: Z.zip_logs(spark, root),
-            "tobii": lambda: Z.zip_tobii(spark, root),
+            "log": lambda: Z.zip_logs(spark, root, strict),
+            "tobii": lambda: Z.zip_tobii(spark, root, strict),
             "dot": lambda: Z.zip_dots(spark, root),
             "calib": lambda: Z.zip_calibration(spark, root, calib_glob.replace("*", ".*") + "$"),
             "spec": lambda: Z.zip_specs(spark, root),
         }
     return {
         "form": lambda: R.read_form_csv(spark, f"{root}/*participant_characteristics.csv"),
-        "log": lambda: R.read_log_json(spark, f"{root}/P_*/*.json"),
-        "tobii": lambda: R.read_tobii(spark, f"{root}/P_*/P_[0-9][0-9].txt"),
+        "log": lambda: R.read_log_json(spark, f"{root}/P_*/*.json", strict),
+        "tobii": lambda: R.read_tobii(spark, f"{root}/P_*/{{P_[0-9],P_[0-9]*[0-9]}}.txt", strict),
         "dot": lambda: R.read_dot_tsv(spark, f"{root}/P_*/*final_dot_test_locations.tsv"),
         "calib": lambda: R.read_calib_tsv(spark, f"{root}/P_*/{calib_glob}"),
         "spec": lambda: R.read_spec_text(spark, f"{root}/P_*/*specs.txt"),
@@ -67,7 +69,7 @@ def tidy_tables(
     The webcam start comes from the log before alignment, as in the source
     data, so a positive shift can reject a participant's first clip (Q3);
     `align_first=True` takes it from the aligned log instead."""
-    src = raw_sources(spark, root, layout)
+    src = raw_sources(spark, root, layout, strict=strict)
     raw_log = normalize_log(src["log"](), strict)
 
     def log() -> DataFrame:
@@ -99,12 +101,18 @@ def etl(
     overwrite: bool = False,
     dry_run: bool = False,
     align_first: bool = False,
+    strict: bool = True,
 ) -> list[str]:
     """Raw files -> tidy tables under `out` (K7 picks the tables).
 
     form, log, dot, calib: one Parquet table each (K1). tobii, the big
-    one: one folder per participant, sorted by time (K2)."""
-    builders = tidy_tables(spark, root, layout, alignment_path, sync, align_first=align_first)
+    one: one folder per participant, sorted by time (K2). With `strict=False`
+    what does not parse is written beside the table, as `log_rejects` and
+    `tobii_rejects`, and can be counted there."""
+    builders = tidy_tables(spark, root, layout, alignment_path, sync, strict, align_first)
+    if not strict:
+        builders |= rejects(spark, root, layout)
+        process = [*process, *(f"{p}_rejects" for p in process if f"{p}_rejects" in builders)]
 
     def sink(name: str, df: DataFrame) -> None:
         if dry_run:
@@ -115,16 +123,39 @@ def etl(
             write_partitioned(df, f"{out}/tobii", overwrite=overwrite, shuffle=False)
         elif name == "form":
             write_table(df.drop("screen_viewport_y"), f"{out}/form.parquet", overwrite)
+        elif name in ("log", "dot"):
+            write_table(df, f"{out}/{name}.parquet", overwrite, keys=["pid", "timestamp"])
+        elif name == "calib":
+            write_table(df, f"{out}/{name}.parquet", overwrite, keys=["pid"])
         else:
             write_table(df, f"{out}/{name}.parquet", overwrite)
 
     return build_tables(builders, process, sink)
 
 
-def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A tidy table (tobii is a folder partitioned by pid)."""
+def rejects(spark: SparkSession, root: str, layout: str = "dir") -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the tables of what tolerant parsing leaves out."""
+    if layout == "zip":
+        return {
+            "log_rejects": lambda: Z.zip_logs(spark, root, False, rejects=True),
+            "tobii_rejects": lambda: Z.zip_tobii(spark, root, False, rejects=True),
+        }
+    return {
+        "log_rejects": lambda: R.read_log_json(spark, f"{root}/P_*/*.json", False, rejects=True),
+        "tobii_rejects": lambda: R.read_tobii(spark, f"{root}/P_*/{{P_[0-9],P_[0-9]*[0-9]}}.txt", False, rejects=True),
+    }
+
+
+def load_table(spark: SparkSession, root: str, name: str, **options) -> DataFrame:
+    """A tidy table (tobii is a folder partitioned by pid); `options`
+    go to the Parquet reader."""
     path = f"{root}/tobii" if name == "tobii" else f"{root}/{name}.parquet"
-    return spark.read.parquet(path)
+    return spark.read.options(**options).parquet(path)
+
+
+def table_schema(spark: SparkSession, root: str, name: str, **options):
+    """The schema of a tidy table, without reading its rows."""
+    return load_table(spark, root, name, **options).schema
 
 
 VIEWS = ["events", "markers", "mouse", "gaze", "dots", "targets", "durations", "timeline", "frames"]
@@ -161,7 +192,7 @@ def views(
         starts = log.where(F.col("event") == "start").select("pid", "record", "study", "timestamp")
         out["timeline"] = lambda: clip_timeline(starts, clips, form)
     if frames is not None:
-        out["frames"] = lambda: frame_index(frames, form)
+        out["frames"] = lambda: frame_index(frames, form, screen)
     return out
 
 

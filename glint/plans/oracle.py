@@ -74,7 +74,17 @@ SQL: dict[str, str] = {}
 
 SQL["normalize_log"] = with_log("SELECT * FROM log")
 
-SQL["recording_durations"] = with_log(
+SQL["recording_durations"] = with_log("""
+SELECT s.pid, s.record, s.study, s.ts_us AS start_us,
+       COALESCE(b.ts_us, n.ts_us) AS stop_us, COALESCE(b.ts_us, n.ts_us) - s.ts_us AS duration_us
+FROM log s
+LEFT JOIN log b ON b.event = 'stop' AND b.pid = s.pid AND b.record = s.record
+LEFT JOIN log n ON n.event = 'start' AND n.pid = s.pid AND n.record = s.record + 1 AND s.record > 1
+  AND NOT EXISTS (SELECT 1 FROM log x WHERE x.event = 'stop' AND x.pid = s.pid AND x.record = s.record)
+WHERE s.event = 'start' AND s.study <> 'thank_you'
+""")
+
+SQL["recording_durations_dedupe"] = with_log(
     """
 SELECT s.pid, s.record, s.study, s.ts_us AS start_us,
        COALESCE(b.stop_us, n.first_us) AS stop_us,
@@ -106,18 +116,21 @@ SQL["record_count"] = with_log(
 
 # --- shared CTEs of the derived inputs ---------------------------------------------------
 
-import re as _re  # noqa: E402
-
 from ..schemas import FORM_DOMAINS, SCREEN_START_ADJUSTMENTS  # noqa: E402
 
 
 def _text_ms(text: str) -> float:
-    """Brute-force reading of duration text (unit -> value, last wins)."""
-    units = {"w": 604_800_000, "d": 86_400_000, "h": 3_600_000, "m": 60_000, "s": 1000, "ms": 1, "us": 0.001}
-    seen = {}
-    for num, unit in _re.findall(r"(\d+(?:\.\d+)?)(us|ms|[wdhms])", text.replace(" ", "").lower()):
-        seen[unit] = float(num)
-    return sum(units[u] * v for u, v in seen.items())
+    """Milliseconds of a duration text, read character by character."""
+    units = {"h": 3_600_000, "m": 60_000, "s": 1000, "ms": 1}
+    total, number, unit = 0.0, "", ""
+    for c in text.replace(" ", "").lower() + "0":
+        if c.isalpha():
+            unit += c
+            continue
+        if unit:
+            total, number, unit = total + units[unit] * float(number), "", ""
+        number += c
+    return total
 
 
 def _adjust_values() -> str:
@@ -365,10 +378,10 @@ SQL["paired_targets"] = with_log(
     """
 SELECT fr.pid, fr.record, fr.frame AS id, pt.x, pt.y, pt.w
 FROM fr JOIN pt ON fr.pid = pt.pid AND fr.record = pt.record AND fr.n = pt.n
-WHERE pt.x IS NOT NULL AND pt.y IS NOT NULL""",
+WHERE fr.frame IS NOT NULL AND pt.x IS NOT NULL AND pt.y IS NOT NULL""",
     """
 fr AS (
-  SELECT CAST(user_id AS INTEGER) AS pid, CAST(dayofmonth(ts) AS INTEGER) AS record, event_id AS frame,
+  SELECT CAST(user_id AS INTEGER) AS pid, CAST(dayofmonth(ts) AS INTEGER) AS record, CASE WHEN event_id % 7 <> 0 THEN event_id END AS frame,
          row_number() OVER (PARTITION BY user_id, dayofmonth(ts) ORDER BY event_id) AS n
   FROM events WHERE event_type = 'error'
 ),
@@ -400,6 +413,13 @@ SQL["parse_alignment"] = "WITH " + CLIPS_CTE + "\nSELECT pid, log, record, study
 
 SQL["align_log"] = with_log(
     """
+SELECT l.pid, l.record, l.study, l.event, l.ts_us - coalesce(c.frameshift_us, 0) AS ts_us
+FROM log l LEFT JOIN clips c ON c.pid = l.pid AND c.record = l.record AND c.study = l.study""",
+    CLIPS_CTE,
+)
+
+SQL["align_log_dedupe"] = with_log(
+    """
 SELECT l.pid, l.record, l.study, l.event, l.ts_us - coalesce(s.shift, 0) AS ts_us
 FROM log l LEFT JOIN shifts s ON s.pid = l.pid AND s.record = l.record AND s.study = l.study""",
     CLIPS_CTE + """,
@@ -432,21 +452,14 @@ SELECT c.pid, c.record, c.study, coalesce(c.aux, 0) AS part, c.member,
   g.n_parts
 FROM clipm c JOIN grp g ON g.pid = c.pid AND g.record = c.record AND g.study = c.study"""
 
-_DUR_CTE = """
-bounds AS (
-  SELECT pid, record,
-         max(CASE WHEN event = 'stop' THEN ts_us END) AS stop_us,
-         min(CASE WHEN event = 'start' THEN ts_us END) AS first_us
-  FROM log WHERE event IN ('start', 'stop') GROUP BY pid, record
-),
+_SEQ_CTE = """
 durs AS (
-  SELECT s.pid, s.record, s.study,
-         max(COALESCE(b.stop_us, n.first_us) - s.ts_us) AS dur
+  SELECT s.pid, s.record, s.study, max(COALESCE(b.ts_us, n.ts_us) - s.ts_us) AS dur
   FROM log s
-  LEFT JOIN bounds b ON b.pid = s.pid AND b.record = s.record
-  LEFT JOIN bounds n ON n.pid = s.pid AND n.record = s.record + 1 AND s.record > 1
+  LEFT JOIN log b ON b.event = 'stop' AND b.pid = s.pid AND b.record = s.record
+  LEFT JOIN log n ON n.event = 'start' AND n.pid = s.pid AND n.record = s.record + 1 AND s.record > 1
+    AND NOT EXISTS (SELECT 1 FROM log x WHERE x.event = 'stop' AND x.pid = s.pid AND x.record = s.record)
   WHERE s.event = 'start' AND s.study <> 'thank_you'
-    AND COALESCE(b.stop_us, n.first_us) - s.ts_us >= 0
   GROUP BY s.pid, s.record, s.study
 ),
 fs AS (SELECT pid, min(ts_us) AS ws FROM log WHERE event = 'start' GROUP BY pid),
@@ -458,6 +471,23 @@ seq AS (
   LEFT JOIN durs d ON d.pid = l.pid AND d.record = l.record AND d.study = l.study
   WHERE l.event = 'start'
 ),
+"""
+
+_DENSE_SEQ_CTE = """
+src AS (
+  SELECT CAST(user_id % 5 AS INTEGER) AS pid, CAST(event_id AS INTEGER) AS record, epoch_us(ts) AS us, event_id
+  FROM events
+),
+seq AS (
+  SELECT pid, record, 'dot_test' AS study, us - min(us) OVER (PARTITION BY pid) AS offset_us,
+    CASE WHEN event_id % 10 <> 3 THEN event_id * 7919 % 180000 * 1000000 END AS dur,
+    row_number() OVER (PARTITION BY pid ORDER BY us, record) AS rn
+  FROM src
+),
+"""
+
+# the plain loop over each participant's starts, as a recursion
+_FOLD_CTE = """
 fold AS (
   SELECT pid, rn, record, study, offset_us, dur,
     dur IS NOT NULL AS has_file,
@@ -480,9 +510,11 @@ fold AS (
   FROM fold f JOIN seq s ON s.pid = f.pid AND s.rn = f.rn + 1
 )"""
 
-SQL["clip_timeline"] = "WITH RECURSIVE " + LOG_CTES + "," + _DUR_CTE + """
+_FOLD_OUT = """
 SELECT pid, record, study, offset_us, dur AS duration_us, has_file, accepted, gap_us, filler_us, end_us
 FROM fold"""
+SQL["clip_timeline"] = "WITH RECURSIVE " + LOG_CTES + "," + _SEQ_CTE + _FOLD_CTE + _FOLD_OUT
+SQL["clip_timeline_dense"] = "WITH RECURSIVE " + _DENSE_SEQ_CTE + _FOLD_CTE + _FOLD_OUT
 
 SQL["frame_index"] = with_form(
     """
@@ -548,3 +580,38 @@ SELECT pid, webcam_start_us - init_start_us AS webcam_delay,
        bscreen_start_us - init_start_us AS screen_delay,
        webcam_start_us - bscreen_start_us AS video_delay
 FROM bform""")
+
+
+_BSCR = """
+bscr AS (
+  SELECT * EXCLUDE (bscreen_start_us),
+    CASE WHEN pid IN (SELECT c_custkey FROM customer WHERE c_nationkey % 2 = 0) THEN bscreen_start_us END
+      AS bscreen_start_us
+  FROM bform
+),"""
+
+
+def _with_screens(sql: str) -> str:
+    """The same query with the screen start of listed participants only."""
+    head, mark, tail = sql.partition(BFORM_CTE)
+    return head + mark + "," + _BSCR.rstrip(",") + tail.replace("bform f", "bscr f")
+
+
+SQL["frame_index_screens"] = _with_screens(SQL["frame_index"])
+SQL["with_timelines_screens"] = _with_screens(SQL["with_timelines"])
+
+SQL["hms_durations"] = """
+WITH u AS (
+  SELECT CAST(user_id AS INTEGER) AS pid, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS secs
+  FROM events GROUP BY 1
+)
+SELECT pid, printf('%d:%d:%d', secs // 3600, secs % 3600 // 60, secs % 60) AS text, secs * 1000000 AS duration_us
+FROM u"""
+
+SQL["clip_order"] = "WITH " + CLIPS_CTE + f""",
+m AS (
+  SELECT *, {_MEMBER} AS member, CAST(trunc((value / CAST(100 AS DOUBLE)) * 1000000) AS BIGINT) AS size FROM clips
+)
+SELECT pid, member, size, CAST(row_number() OVER (
+  PARTITION BY pid ORDER BY log, record, list_position({_STUDY_LIST}, study), coalesce(aux, 0), member, size
+) AS INTEGER) AS place FROM m"""

@@ -28,46 +28,10 @@ from ..schemas import STUDIES
 DAY_US = 86_400_000_000
 
 
-_MEMO: dict[tuple, DataFrame] = {}
-
-
-def memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Build a derived DataFrame once per session and reuse the same lazy
-    plan: PySpark analyzes a plan on every step, which costs more on the
-    driver than running these small inputs."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # a Spark Connect session has no SparkContext
-        app = id(spark)
-    k = (app, *key)
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return memo(spark, ("load", sf_dir.rstrip("/"), name), lambda: _load(spark, sf_dir, name))
-
-
-def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of the benchmark directory.
-
-    A scan that yields fewer splits than the session has cores (a small
-    file of one row group) would run every derivation above it in one task:
-    Catalyst pushes the derived filters below a repartition into the scan.
-    Such an input is spread over the cores once and kept in memory (its
-    size is bounded by the split size; lost blocks are recomputed from the
-    file). A large input has at least that many splits and is read as it
-    is, without a shuffle or a cache."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        target = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view; read as it is
-        return df
-    if splits < target:
-        df = df.repartition(target).cache()
-    return df
+    """One table of the benchmark directory, read as it is, so filters
+    and column choices reach the scan."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _prop_k() -> F.Column:

@@ -40,7 +40,7 @@ def flat_log(log: DataFrame) -> DataFrame:
 
 
 def events_log(spark: SparkSession, sf: str) -> DataFrame:
-    return px.memo(spark, ("log", sf), lambda: px.log(px.load(spark, sf, "events")))
+    return px.log(px.load(spark, sf, "events"))
 
 
 @query("normalize_log")
@@ -52,7 +52,10 @@ def q_normalize_log(spark, sf):
 @query("recording_durations")
 def q_recording_durations(spark, sf):
     """D10 (J1-J3, A1, A5)."""
-    d = recording_durations(events_log(spark, sf))
+    return _flat_durations(recording_durations(events_log(spark, sf)))
+
+
+def _flat_durations(d):
     return d.select(
         "pid", "record", "study",
         micros("start").alias("start_us"), micros("stop").alias("stop_us"),
@@ -115,12 +118,9 @@ from ..functions import duration_text_us  # noqa: E402
 
 
 def form_of(spark, sf, strict: bool = False):
-    def build():
-        cu = px.load(spark, sf, "customer")
-        form = clean_form(px.raw_form(px.load(spark, sf, "events"), cu), strict=strict)
-        specs = parse_specs(spec_lines(px.spec_files(cu)))
-        return build_form(form, events_log(spark, sf), specs)
-    return px.memo(spark, ("form", sf, strict), build)
+    cu = px.load(spark, sf, "customer")
+    form = clean_form(px.raw_form(px.load(spark, sf, "events"), cu), strict=strict)
+    return build_form(form, events_log(spark, sf), parse_specs(spec_lines(px.spec_files(cu))))
 
 
 _us = micros
@@ -308,14 +308,12 @@ def q_paired_targets(spark, sf):
     ev = px.load(spark, sf, "events")
     pts = events_log(spark, sf).where(F.col("source") == "mouse").select(
         "pid", "record", "timestamp", F.col("mouse.x").alias("x"), F.col("mouse.y").alias("y"), "event")
-    hour = (micros("timestamp") / 3_600_000_000).cast("bigint")
-    out = paired_targets(
-        px.error_frames(ev), pts,
-        point_order=["timestamp", "x", "y", "event"],
-        frame_bucket=(F.col("frame") / 1024).cast("bigint"),
-        point_bucket=hour,
-    )
-    return out
+    hour = F.floor(micros("timestamp") / 3_600_000_000).cast("bigint")
+    frames = px.error_frames(ev).withColumns({
+        "order": F.col("frame"), "frame": F.when(F.col("frame") % 7 != 0, F.col("frame"))})
+    return paired_targets(
+        frames, pts, ["order"], ["timestamp", "x", "y", "event"],
+        F.floor(F.col("order") / 1024).cast("bigint"), hour)
 
 
 @query("clip_manifest")
@@ -333,31 +331,20 @@ def q_fragments(spark, sf):
 
 
 def _clip_inputs(spark, sf):
-    return (
-        px.memo(spark, ("clip_starts", sf), lambda: _clip_parts(spark, sf)[0]),
-        px.memo(spark, ("clip_files", sf), lambda: _clip_parts(spark, sf)[1]),
-        px.memo(spark, ("clip_form", sf), lambda: _clip_parts(spark, sf)[2]),
-    )
-
-
-def _clip_parts(spark, sf):
+    """Starts, one file per (pid, record, study) - its longest duration,
+    negative ones included - and the webcam start."""
     from ..operators.form import first_starts
-    from ..operators.recordings import recording_durations
 
     lg = events_log(spark, sf)
     starts = lg.where(F.col("event") == "start").select("pid", "record", "study", "timestamp")
     clips = (
-        recording_durations(lg).where(F.col("duration") >= 0)
+        recording_durations(lg).where(F.col("duration").isNotNull())
         .groupBy("pid", "record", "study").agg(F.max("duration").alias("duration"))
     )
     return starts, clips, first_starts(lg)
 
 
-@query("clip_timeline")
-def q_clip_timeline(spark, sf):
-    """D20c (W2, J13): per-participant accept/reject fold with fillers."""
-    starts, clips, form = _clip_inputs(spark, sf)
-    t = clip_timeline(starts, clips, form)
+def _flat_timeline(t):
     return t.select(
         "pid", "record", "study", F.col("offset").alias("offset_us"),
         F.col("duration").alias("duration_us"), "has_file", "accepted",
@@ -365,15 +352,94 @@ def q_clip_timeline(spark, sf):
     )
 
 
-@query("frame_index")
-def q_frame_index(spark, sf):
-    """D20d: webcam and screen frames on every clock."""
-    fr = frame_index(px.video_frames(px.load(spark, sf, "embeddings")), form_of(spark, sf))
+@query("clip_timeline")
+def q_clip_timeline(spark, sf):
+    """D20c (W2, J13): per-participant accept/reject plan with fillers."""
+    return _flat_timeline(clip_timeline(*_clip_inputs(spark, sf)))
+
+
+@query("clip_timeline_dense")
+def q_clip_timeline_dense(spark, sf):
+    """D20c with heavy overlap: every event is a start of one of five
+    participants; its file lasts up to 50 hours, a tenth have none."""
+    ev = px.load(spark, sf, "events").select(
+        (F.col("user_id") % 5).cast("int").alias("pid"), F.col("event_id").cast("int").alias("record"),
+        F.lit("dot_test").alias("study"), F.col("ts").cast("timestamp_ntz").alias("timestamp"), "event_id")
+    starts = ev.drop("event_id")
+    clips = ev.where("event_id % 10 <> 3").select(
+        "pid", "record", "study", (F.col("event_id") * 7919 % 180_000 * 1_000_000).alias("duration"))
+    form = starts.groupBy("pid").agg(F.min("timestamp").alias("webcam_start"))
+    return _flat_timeline(clip_timeline(starts, clips, form))
+
+
+def _screen_videos(spark, sf):
+    """Participants with a screen video: half of the customers."""
+    return px.load(spark, sf, "customer").where("c_nationkey % 2 = 0").select(F.col("c_custkey").cast("int").alias("pid"))
+
+
+def _flat_frames(fr):
     return fr.select("pid", "video", F.col("frame").alias("frame_us"),
                      micros("log_time").alias("log_time_us"), F.col("rec_time").alias("rec_time_us"),
                      F.col("own_time").alias("own_time_us"), F.col("other_time").alias("other_time_us"))
 
 
+@query("frame_index")
+def q_frame_index(spark, sf):
+    """D20d: webcam and screen frames on every clock."""
+    return _flat_frames(frame_index(px.video_frames(px.load(spark, sf, "embeddings")), form_of(spark, sf)))
+
+
+@query("frame_index_screens")
+def q_frame_index_screens(spark, sf):
+    """D20d (P18): only listed participants have a screen video."""
+    return _flat_frames(frame_index(
+        px.video_frames(px.load(spark, sf, "embeddings")), form_of(spark, sf), screen=_screen_videos(spark, sf)))
+
+
+@query("with_timelines_screens")
+def q_with_timelines_screens(spark, sf):
+    """D11 (P18): the screen clock only where a screen video exists."""
+    tl = with_timelines(events_log(spark, sf), form_of(spark, sf), screen=_screen_videos(spark, sf))
+    return tl.select("pid", "record", "event", *flat_clocks(tl))
+
+
+@query("hms_durations")
+def q_hms_durations(spark, sf):
+    """The questionnaire's `H:M:S` texts to microseconds."""
+    from ..functions import hms_to_us
+
+    raw = px.raw_form(px.load(spark, sf, "events"), px.load(spark, sf, "customer"))
+    return raw.select(F.split("Participant ID", "_").getItem(1).cast("int").alias("pid"),
+                      F.col("Duration").alias("text"), hms_to_us("Duration").alias("duration_us"))
+
+
+@query("clip_order")
+def q_clip_order(spark, sf):
+    """every clip's place among its participant's, by log, record,
+    study order and fragment."""
+    from pyspark.sql import Window
+
+    from ..operators.recordings import clip_sort_key
+
+    m = clip_manifest(px.archive_manifest(px.load(spark, sf, "events")))
+    w = Window.partitionBy("pid").orderBy(*clip_sort_key(), "member", "size")
+    return m.select("pid", "member", "size", F.row_number().over(w).alias("place"))
+
+
+@query("recording_durations_dedupe")
+def q_recording_durations_dedupe(spark, sf):
+    """D10 reduced to one row per start."""
+    return _flat_durations(recording_durations(events_log(spark, sf), dedupe=True))
+
+
+@query("align_log_dedupe")
+def q_align_log_dedupe(spark, sf):
+    """D4 with one shift per clip key."""
+    ev = px.load(spark, sf, "events")
+    aligned = align_log(events_log(spark, sf), parse_alignment(px.alignment_csv(ev)), dedupe=True)
+    return aligned.select("pid", "record", "study", "event", micros("timestamp").alias("ts_us"))
+
+
 @query("duration_text")
 def q_duration_text(spark, sf):
     """duration text in several spellings parsed to microseconds."""

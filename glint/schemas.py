@@ -136,20 +136,20 @@ EVENT_VIEW_EVENTS = ["start", "stop", "click", "save", "response"]
 # Studies whose mouse points serve as calibration targets, and weights.
 CALIBRATION_STUDIES = ["dot_test", "fitts_law"]
 TARGET_WEIGHTS = {"click": 1.0, "move": 0.5}
-PAIRED_WEIGHTS = {"click": 1.0}  # anything else 0.5
 
 # A filler clip is planned when a gap reaches this many microseconds.
 MIN_FILLER_GAP_US = 30_000
 
-# Raw webcam clip names: `<log>_<record>_-study-<study>[ (<aux>)].webm`.
-CLIP_NAME_PATTERN = r"([0-9]+)_([0-9]+)_-study-([a-z_]+)( \(([0-9]+)\))?\.webm$"
-# Participant folders are `P_` + two digits; two or more are accepted here.
-PID_IN_NAME_PATTERN = r"P_(\d{2,})"
+# Raw webcam clip names are `<log>_<record>_-study-<study>[ (<aux>)].webm`.
+CLIP_STUDY_MARK = "_-study-"
+CLIP_SUFFIX = ".webm"
+# A path segment that names a participant: `P_` and any number of digits,
+# then the end or something that is no digit or letter.
+PID_SEGMENT = r"^P_([0-9]+)(?![0-9A-Za-z])"
 
-# Device spec text lines.
-SPEC_CORNER_PATTERN = r"^(Back|Front) (Lower|Upper) (Left|Right):"
-SPEC_ILLUMINATION_PATTERN = r"^Illumination mode:"
-SPEC_FREQUENCY_PATTERN = r"^Initial gaze output frequency: (\d+\.?\d+)"
+# Device spec text lines: `<name>: <value>`.
+SPEC_ILLUMINATION = "Illumination mode"
+SPEC_FREQUENCY = "Initial gaze output frequency"
 
 # Questionnaire CSV header -> tidy column name.
 FORM_COLUMNS = {
@@ -247,16 +247,17 @@ LOG_JSON_SCHEMA = _struct(
 )
 
 _vec = ArrayType(DoubleType())
+# Whole numbers may be written as `1.0`: read as double, cast when shaped.
 TOBII_JSON_SCHEMA = _struct(
-    ("device_time_stamp", LongType()),
-    ("system_time_stamp", LongType()),
+    ("device_time_stamp", DoubleType()),
+    ("system_time_stamp", DoubleType()),
     ("true_time", DoubleType()),
-    ("left_pupil_validity", IntegerType()),
-    ("right_pupil_validity", IntegerType()),
-    ("left_gaze_origin_validity", IntegerType()),
-    ("right_gaze_origin_validity", IntegerType()),
-    ("left_gaze_point_validity", IntegerType()),
-    ("right_gaze_point_validity", IntegerType()),
+    ("left_pupil_validity", DoubleType()),
+    ("right_pupil_validity", DoubleType()),
+    ("left_gaze_origin_validity", DoubleType()),
+    ("right_gaze_origin_validity", DoubleType()),
+    ("left_gaze_point_validity", DoubleType()),
+    ("right_gaze_point_validity", DoubleType()),
     ("left_pupil_diameter", DoubleType()),
     ("right_pupil_diameter", DoubleType()),
     ("left_gaze_origin_in_user_coordinate_system", _vec),
@@ -321,4 +322,3 @@ TRACKER_JSON_SCHEMA = _struct(
     ("faceShape", ArrayType(_vec)),
 )
 
-MANIFEST_SCHEMA = _struct(("member", StringType()), ("size", LongType()))

@@ -31,23 +31,24 @@ def get_session(master: str | None = None, app: str = "glint", **conf: str) -> S
         builder = builder.master(master)
     for key, value in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
 
-    On a cluster the operator of the session sets this to a shared store;
-    it is read, never replaced. Only when it is unset (local runs, tests)
-    a private folder is created."""
+    On a cluster the operator of the session sets this to a shared store; it
+    is read, never replaced, and an unset one is an error: a local folder of
+    the driver would not be seen by executors. Only in local mode a private
+    folder is created."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the checkpoint folder
         sc = None
     current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not current:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="glint-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and not sc.getCheckpointDir():

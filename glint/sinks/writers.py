@@ -14,11 +14,15 @@ def write_table(
     overwrite: bool = False,
     dry_run: bool = False,
     compression: str = "uncompressed",
+    keys: list[str] | None = None,
 ) -> DataFrame:
     """K1: Parquet table. An existing target is kept unless `overwrite`;
-    `dry_run` returns the DataFrame without writing."""
+    `dry_run` returns the DataFrame without writing. With `keys` (O1) rows
+    are range-partitioned and sorted by them, so row groups hold narrow key
+    ranges that a filter can skip."""
     if not dry_run:
-        (df.write.mode("overwrite" if overwrite else "ignore")
+        out = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
+        (out.write.mode("overwrite" if overwrite else "ignore")
          .option("compression", compression).parquet(path))
     return df
 
@@ -57,8 +61,8 @@ def write_partitioned(
         part_col = f"{key}_bucket"
         out = out.withColumn(part_col, F.pmod(F.col(key), F.lit(bucket_mod)))
     if shuffle:
-        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, key, order)
+        # without a count AQE merges small ranges of a small view
+        out = out.repartitionByRange(files, key, order) if files else out.repartitionByRange(key, order)
     out = out.sortWithinPartitions(key, order)
     w = out.write.mode("overwrite" if overwrite else "ignore").partitionBy(part_col)
     if compression and fmt == "parquet":
@@ -79,13 +83,13 @@ def write_sorted(
 ) -> DataFrame:
     """K4: one table sorted by `keys`: range-partitioned so that each file
     holds one contiguous key range, sorted within."""
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    out = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    (out.sortWithinPartitions(*keys)
      .write.mode("overwrite" if overwrite else "ignore").option("compression", compression).parquet(path))
     return df
 
 
-def write_csv(df: DataFrame, path: str, overwrite: bool = True) -> DataFrame:
+def write_csv(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
     """K5: CSV with a header (one file per task)."""
     df.write.mode("overwrite" if overwrite else "ignore").option("header", True).csv(path)
     return df
@@ -98,7 +102,7 @@ def form_json(form: DataFrame) -> DataFrame:
     return form.select("pid", F.to_json(F.struct(*form.columns), opts).alias("json"))
 
 
-def write_json(df: DataFrame, path: str, overwrite: bool = True) -> DataFrame:
+def write_json(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
     """K6: rows as JSON lines."""
     (df.write.mode("overwrite" if overwrite else "ignore")
      .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path))

@@ -8,32 +8,33 @@ no member passes through the driver. A member is not splittable; many
 members read in parallel.
 
 Modes: `list` (member, size), `text` (member, value: the whole member as
-UTF-8), `lines` (member, line_no, value).
+UTF-8), `lines` (member, line_no, value), `records` (member, record_no,
+fields: the records of a CSV member).
 """
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import ArrayType
 
 from ..functions import pid_from_name
 from ..schemas import (
     CALIB_TSV_SCHEMA,
     DOT_TSV_SCHEMA,
-    FORM_CSV_SCHEMA,
-    LOG_JSON_SCHEMA,
-    TOBII_JSON_SCHEMA,
 )
+from .parse import gaze_rejects, log_rejects, parse_delimited, parse_gaze_lines, parse_log_text, type_form_fields
 
 _SCHEMAS = {
     "list": "member string, size bigint",
     "text": "member string, value string",
     "lines": "member string, line_no bigint, value string",
+    "records": "member string, record_no bigint, fields array<string>",
 }
 
 
@@ -73,6 +74,13 @@ class ZipMembersReader(DataSourceReader):
                 if self.mode == "text":
                     yield (name, z.read(name).decode("utf-8", errors="replace"))
                     continue
+                if self.mode == "records":
+                    with z.open(name) as f:
+                        text = io.TextIOWrapper(f, encoding="utf-8", errors="replace", newline="")
+                        for i, fields in enumerate(csv.reader(text)):
+                            if fields:
+                                yield (name, i, fields)
+                    continue
                 # lines are streamed: a large member is never held whole
                 with z.open(name) as f:
                     for i, raw in enumerate(f):
@@ -105,33 +113,21 @@ def _tag(df: DataFrame, strict: bool) -> DataFrame:
     return df.withColumn("pid", pid_from_name(F.col("member"), strict))
 
 
-def zip_logs(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+def zip_logs(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
     """S4 from the archive: each `*.json` member is one array of events."""
-    arr = read_zip(spark, path, "text", r"\.json$")
-    rows = arr.select("member", F.explode(F.from_json("value", ArrayType(LOG_JSON_SCHEMA))).alias("r"))
-    return _tag(rows.select("member", "r.*"), strict).drop("member")
-
-
-def zip_tobii(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """S5 from the archive: `P_dd.txt` NDJSON members; unparsable lines
-    (a cut-off last record) are dropped."""
-    lines = read_zip(spark, path, "lines", r"P_[0-9][0-9]\.txt$").where(F.trim("value") != "")
-    parsed = lines.select(
-        "member",
-        F.from_json("value", TOBII_JSON_SCHEMA, {
-            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record",
-            "allowNonNumericNumbers": "true",
-        }).alias("r"),
-    )
-    out = parsed.select("member", "r.*").where(F.col("_corrupt_record").isNull())
-    return _tag(out, strict).drop("member", "_corrupt_record")
+    files = _tag(read_zip(spark, path, "text", r"\.json$"), strict)
+    return log_rejects(files) if rejects else parse_log_text(files, strict).drop("member")
+
+
+def zip_tobii(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
+    """S5 from the archive: NDJSON members `P_<pid>.txt`."""
+    lines = _tag(read_zip(spark, path, "lines", r"(^|/)P_[0-9]+\.txt$"), strict).drop("line_no")
+    return gaze_rejects(lines) if rejects else parse_gaze_lines(lines, strict).drop("member")
 
 
 def _tsv_members(spark, path, pattern, schema, strict):
-    lines = read_zip(spark, path, "lines", pattern).where(F.col("line_no") > 0)
-    parsed = lines.select("member", F.from_csv("value", schema.simpleString(), {
-        "sep": "\t", "mode": "PERMISSIVE", "nanValue": "NaN"}).alias("r"))
-    return _tag(parsed.select("member", "r.*"), strict).drop("member")
+    lines = _tag(read_zip(spark, path, "lines", pattern).where(F.col("line_no") > 0), strict)
+    return parse_delimited(lines.drop("line_no"), schema).drop("member")
 
 
 def zip_dots(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -151,18 +147,11 @@ def zip_specs(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
 
 def zip_form(spark: SparkSession, path: str) -> DataFrame:
     """S3 from the archive: the first `participant_characteristics.csv`
-    member, split into records at newlines outside quotes."""
-    text = read_zip(spark, path, "text", r"participant_characteristics\.csv").orderBy("member").limit(1)
-    recs = text.select(F.posexplode(F.split("value", r"\r?\n(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)")).alias(
-        "n", "line")).where((F.col("n") > 0) & (F.trim("line") != ""))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FORM_CSV_SCHEMA.fields)
-    parsed = recs.select(F.from_csv("line", ddl, {"nullValue": "-", "quote": '"', "escape": '"'}).alias("r"))
-    out = parsed.select("r.*")
-    return out.select(*[
-        F.nullif(F.col(f"`{f.name}`"), F.lit("")).alias(f.name) if f.dataType.simpleString() == "string"
-        else F.col(f"`{f.name}`")
-        for f in FORM_CSV_SCHEMA.fields
-    ])
+    member, read record by record by a CSV reader, so that a quoted note may
+    hold line breaks."""
+    records = read_zip(spark, path, "records", r"participant_characteristics\.csv")
+    first = records.agg(F.min("member").alias("_first"))
+    return type_form_fields(records.where("record_no > 0").join(F.broadcast(first), F.col("member") == F.col("_first")))
 
 
 def screen_files(spark: SparkSession, path: str) -> DataFrame:

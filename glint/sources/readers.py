@@ -18,10 +18,9 @@ from ..schemas import (
     CALIB_TSV_SCHEMA,
     DOT_TSV_SCHEMA,
     FORM_CSV_SCHEMA,
-    LOG_JSON_SCHEMA,
-    TOBII_JSON_SCHEMA,
     TRACKER_JSON_SCHEMA,
 )
+from .parse import gaze_rejects, log_rejects, parse_gaze_lines, parse_log_text
 
 FILE = "_metadata.file_path"
 
@@ -42,7 +41,7 @@ def _blank_to_null(df: DataFrame) -> DataFrame:
 
 def read_form_csv(spark: SparkSession, path: str) -> DataFrame:
     """S3: the questionnaire CSV (header, `,`, quote `"`, `-` and empty are
-    null), typed by FORM_CSV_SCHEMA."""
+    null), typed by FORM_CSV_SCHEMA. A quoted note may hold line breaks."""
     df = (
         spark.read.schema(FORM_CSV_SCHEMA)
         .option("header", True)
@@ -50,39 +49,34 @@ def read_form_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "-")
+        .option("multiLine", True)
         .option("mode", "FAILFAST")
         .csv(path)
     )
     return _blank_to_null(df)
 
 
-def read_log_json(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """Browser logs, one JSON array per file, tagged with pid."""
-    df = spark.read.schema(LOG_JSON_SCHEMA).option("multiLine", True).json(path)
-    return _tag_pid(df.select("*", FILE), strict).drop("_metadata")
+def _files(spark: SparkSession, path: str, strict: bool) -> DataFrame:
+    """Files read whole: (pid, file, value)."""
+    df = spark.read.text(path, wholetext=True).select("value", F.col(FILE).alias("file"))
+    return df.withColumn("pid", pid_from_name("file", strict))
 
 
-TOBII_JSON_OPTIONS = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": "_corrupt_record",
-    "allowNonNumericNumbers": "true",
-}
+def read_log_json(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
+    """Browser logs, one JSON array per file, tagged with pid.
+    `rejects=True` returns the files that do not parse (pid, file, value)."""
+    files = _files(spark, path, strict)
+    if rejects:
+        return log_rejects(files)
+    return parse_log_text(files, strict).drop("file")
 
 
 def read_tobii(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
-    """Eye-tracker NDJSON, tagged with pid. Lines are read as text and
-    parsed with `from_json`; a line that does not parse (a recording cut off
-    mid-line) is set aside. `rejects=True` returns those lines (pid, file,
-    text) instead of the samples."""
-    lines = spark.read.text(path).select("value", FILE).where(F.trim("value") != "")
-    parsed = lines.select(
-        F.from_json("value", TOBII_JSON_SCHEMA, TOBII_JSON_OPTIONS).alias("r"), "value", FILE
-    )
-    df = _tag_pid(parsed.select("r.*", "value", FILE), strict)
-    bad = F.col("_corrupt_record").isNotNull()
-    if rejects:
-        return df.where(bad).select("pid", F.col(FILE).alias("file"), F.col("value").alias("text"))
-    return df.where(~bad).drop("_corrupt_record", "_metadata", "value")
+    """Eye-tracker NDJSON, tagged with pid; the files are split by lines.
+    `rejects=True` returns the lines that are left out (pid, file, value)."""
+    lines = spark.read.text(path).select("value", F.col(FILE).alias("file"))
+    lines = lines.withColumn("pid", pid_from_name("file", strict))
+    return gaze_rejects(lines) if rejects else parse_gaze_lines(lines, strict).drop("file")
 
 
 def _tsv(spark: SparkSession, schema, path: str) -> DataFrame:

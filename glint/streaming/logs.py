@@ -4,10 +4,9 @@ D3 (`normalize_log`) and D11 (`with_timelines`) are stateless row maps plus
 a join with the static participant table, so the same functions run on a
 Structured Streaming source: new log files landing in a folder are read
 with the declared schema, normalized, put on every clock and appended to a
-Parquet sink partitioned by participant. Progress lives in a checkpoint
-folder under the session's `spark.checkpoint.dir` (shared storage), so a
-restarted query resumes where it stopped, and a lost executor only reruns
-its tasks.
+Parquet sink partitioned by participant. Progress lives in a
+checkpoint folder on shared storage that the caller names, so a restarted
+query resumes where it stopped, and a lost executor only reruns its tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from ..functions import pid_from_name
 from ..operators.log import normalize_log
 from ..operators.timelines import with_timelines
 from ..schemas import LOG_JSON_SCHEMA
-from ..session import ensure_checkpoint_dir
 
 
 def read_log_stream(spark: SparkSession, path: str, max_files: int = 100, strict: bool = True) -> DataFrame:
@@ -46,19 +44,19 @@ def log_stream(spark: SparkSession, path: str, form: DataFrame | None = None, st
 def start_log_sink(
     df: DataFrame,
     out: str,
+    checkpoint: str,
     name: str = "log_stream",
-    checkpoint: str | None = None,
     available_now: bool = False,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Append the stream to Parquet partitioned by pid. `available_now`
+    """Append the stream to Parquet partitioned by pid. `checkpoint`: the
+    stream's own folder on shared storage, the same one at every start, so
+    that a restarted query goes on where it stopped. `available_now`
     processes what is there and stops (a catch-up or scheduled run)."""
-    spark = df.sparkSession
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
     w = (
         df.writeStream.format("parquet")
         .option("path", out)
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint)
         .partitionBy("pid")
         .outputMode("append")
         .queryName(name)

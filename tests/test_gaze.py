@@ -111,11 +111,12 @@ def test_views(spark):
 
 
 def test_paired_targets(spark):
+    """Rows pair by position; a null frame id keeps its place."""
     t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
-    frames = spark.createDataFrame([(1, 1, f) for f in (30, 10, 20, 40)], "pid int, record int, frame bigint")
+    frames = spark.createDataFrame(
+        [(1, 1, i, f) for i, f in enumerate((10, None, 30, 40))], "pid int, record int, line bigint, frame bigint")
     pts = spark.createDataFrame(
         [(1, 1, t(3), 3, 3, "move"), (1, 1, t(1), 1, 1, "click"), (1, 1, t(2), None, 2, "move")],
         "pid int, record int, timestamp timestamp_ntz, x int, y int, event string")
-    for fb, pb in [(None, None), ((F.col("frame") / 15).cast("bigint"), F.second("timestamp"))]:
-        got = rows(paired_targets(frames, pts, frame_bucket=fb, point_bucket=pb), "id", "x", "y", "w")
-        assert got == [(10, 1, 1, 1.0), (30, 3, 3, 0.5)]
+    got = paired_targets(frames, pts, ["line"], ["timestamp"], F.floor(F.col("line") / 2), F.second("timestamp"))
+    assert rows(got, "id", "x", "y", "w") == [(10, 1, 1, 1.0), (30, 3, 3, 0.5)]

@@ -1,6 +1,7 @@
 """Contract and plan-shape checks on the registered queries."""
 
 import __spark_entry__ as E
+from glint.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,7 +25,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_plans(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, SF)
         assert df.columns, name
         p = plan(df)
@@ -33,7 +34,7 @@ def test_every_query_plans(spark):
 
 
 def test_recording_durations_single_aggregate(spark):
-    p = E.queries()["recording_durations"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    p = E.queries()["recording_durations_dedupe"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Aggregate [") == 1  # stops and next starts come from one aggregate
 
 
@@ -48,3 +49,9 @@ def test_pushdown(spark):
     p = plan(ev.where(F.col("user_id") == 1).select("ts"))
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,1)]" in p
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
+
+
+def test_registered_queries_push_filters_to_the_scan(spark):
+    assert "EqualTo(event_type,signup)" in plan(E.queries()["parse_alignment"](spark, SF))
+    for name in ("merge_gaze", "with_timelines"):
+        assert "InMemoryTableScan" not in plan(E.queries()[name](spark, SF))

@@ -118,3 +118,63 @@ def test_tolerant_paths_do_not_raise(spark, tmp):
     fm = spark.createDataFrame([tuple(vals[f.name] for f in FORM_CSV_SCHEMA.fields)], FORM_CSV_SCHEMA)
     got = clean_form(fm, strict=False).first()
     assert (got["pid"], got["wall_clock"], got["time_of_day"], got["time_of_day_min"]) == (3, None, None, None)
+
+
+def both_layouts(tmp, files):
+    """The same files as a folder and as an archive."""
+    path = os.path.join(tmp, "d.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for name, text in files.items():
+            write(tmp, f"EXP_2018/{name}", text)
+            z.writestr(f"EXP_2018/{name}", text)
+    return f"{tmp}/EXP_2018", path
+
+
+def test_any_number_of_digits_names_a_participant(spark, tmp):
+    """P_101 is read, and a folder such as EXP_2018 above is no participant."""
+    from glint.plans.jobs import raw_sources
+
+    root, path = both_layouts(tmp, {
+        f"P_{p}/P_{p}.txt": json.dumps(sample(0, 1, 1)) + "\n" for p in ("01", "7", "101")} | {"P_101/P_101_specs.txt": SPEC})
+    for where, layout in ((root, "dir"), (path, "zip")):
+        assert rows(raw_sources(spark, where, layout)["tobii"](), "pid") == [(1,), (101,), (7,)]
+
+
+def test_broken_input_is_loud_or_set_aside(spark, tmp):
+    import pytest
+
+    from glint.plans.jobs import raw_sources, rejects
+
+    event = {"sessionId": "1_2_/study/dot_test", "webpage": "/study/dot_test.htm", "epoch": 5, "type": "recording start"}
+    floats = json.dumps(sample(0, 1, 1)).replace('_validity": 1', '_validity": 1.0')
+    root, path = both_layouts(tmp, {
+        "P_01/1.json": json.dumps([event, event]), "P_02/2.json": json.dumps([event, event])[:-20],
+        "P_01/P_01.txt": floats + "\n" + json.dumps(sample(1, 1, 0)) + "\n" + json.dumps(sample(2, 1, 0))[:40],
+        "P_02/P_02.txt": json.dumps(sample(0, 1, 1)) + "\nnoise\n" + json.dumps(sample(1, 1, 0)) + "\n",
+    })
+    for where, layout in ((root, "dir"), (path, "zip")):
+        strict, calm, out = raw_sources(spark, where, layout), raw_sources(spark, where, layout, strict=False), rejects(spark, where, layout)
+        for name in ("log", "tobii"):
+            with pytest.raises(Exception):
+                strict[name]().collect()
+        assert rows(calm["log"](), "pid") == [(1,), (1,)]
+        assert rows(out["log_rejects"](), "pid") == [(2,)]
+        assert rows(calm["tobii"](), "pid") == [(1,), (1,), (2,), (2,)]
+        assert sorted(r["value"][:5] for r in out["tobii_rejects"]().collect()) == ["noise", '{"dev']
+
+
+def test_a_long_form_with_line_breaks_in_notes(spark, tmp):
+    from glint.sources import read_form_csv
+
+    head = HEADER.split(",")
+    at = head.index("Notes")
+    lines = [HEADER]
+    for i in range(20_000):
+        cells = ["" if c not in ("Participant ID",) else f"P_{i:02d}" for c in head]
+        cells[at] = f'"two\nlines ""{i}"", here"' if i % 2 else "-"
+        lines.append(",".join(cells))
+    root, path = both_layouts(tmp, {"participant_characteristics.csv": "\n".join(lines) + "\n"})
+    for form in (read_form_csv(spark, f"{root}/*.csv"), zip_form(spark, path)):
+        assert form.count() == 20_000
+        assert form.where("`Participant ID` = 'P_777'").first()["Notes"] == 'two\nlines "777", here'
+        assert form.where("Notes is null").count() == 10_000
