@@ -215,7 +215,7 @@ specs AS (
 BFORM_CTE = """
 bform AS (
   SELECT f.*, CASE f.setting WHEN 'Laptop' THEN 97 WHEN 'PC' THEN 66 END AS screen_viewport_y,
-    s.illumination_mode, s.frequency, s.b_lo_l_x, s.f_up_r_z,
+    s.* EXCLUDE (pid),
     fs.webcam_start_us, fs.webcam_start_us - a.start_time_us AS bscreen_start_us
   FROM form f
   LEFT JOIN adjust a ON a.pid = f.pid
@@ -230,14 +230,14 @@ def with_form(body: str, extra: str = "") -> str:
     return with_log(body, ALL_FORM + ("," + extra if extra else ""))
 
 
-SQL["clean_form"] = with_form("SELECT * EXCLUDE (webcam_start_us, bscreen_start_us, screen_viewport_y, "
-                              "illumination_mode, frequency, b_lo_l_x, f_up_r_z) FROM bform")
+SQL["clean_form"] = with_form("SELECT * FROM form")
+SQL["read_form_records"] = SQL["clean_form"]
 
 SQL["build_form"] = with_form("""
 SELECT pid, setting, screen_viewport_y, init_start_us, webcam_start_us,
-       bscreen_start_us AS screen_start_us, illumination_mode, frequency,
-       b_lo_l_x AS box_b_lo_l_x, f_up_r_z AS box_f_up_r_z
-FROM bform""")
+       bscreen_start_us AS screen_start_us, b.illumination_mode, b.frequency,
+       """ + ", ".join(c.rpartition(" AS ")[2] for c in _corner_cols) + """
+FROM bform b""")
 
 SQL["spec_pivot"] = "WITH " + SPEC_CTE + "\nSELECT * FROM specs"
 
@@ -615,3 +615,47 @@ m AS (
 SELECT pid, member, size, CAST(row_number() OVER (
   PARTITION BY pid ORDER BY log, record, list_position({_STUDY_LIST}, study), coalesce(aux, 0), member, size
 ) AS INTEGER) AS place FROM m"""
+
+SQL["read_log_files"] = with_log("SELECT * FROM log WHERE NOT (pid % 10 = 3 AND record % 2 = 0)")
+SQL["read_gaze_lines"] = SQL["shape_gaze"] + " WHERE device_us // 16667 % 50 NOT IN (7, 9)"
+SQL["read_alignment_lines"] = SQL["parse_alignment"]
+SQL["read_tracker_lines"] = SQL["indexed_frames"]
+SQL["read_dot_lines"] = """
+SELECT CAST(o_custkey AS INTEGER) AS pid,
+  CAST(trunc(CAST(1704067200000 AS DOUBLE) + o_orderkey * CAST(1000.5 AS DOUBLE)) AS BIGINT) * 1000 AS ts_us,
+  CAST((o_orderkey * 37) % 1280 AS INTEGER) AS x,
+  CASE WHEN o_orderkey % 11 <> 5 THEN CAST((o_orderkey * 53) % 720 AS INTEGER) END AS y
+FROM orders"""
+SQL["read_calibration_lines"] = """
+SELECT CAST(l_suppkey AS INTEGER) AS pid, l_quantity * CAST(20 AS DOUBLE) AS point_x, l_returnflag = 'R' AS valid_l,
+  l_linenumber = 2 AS nan,
+  CASE WHEN l_linenumber = 2 THEN CAST(-1 AS DOUBLE)
+       ELSE l_quantity * CAST(20 AS DOUBLE) - l_discount * CAST(50 AS DOUBLE) END AS right_x,
+  l_extendedprice / CAST(100 AS DOUBLE) + l_tax * CAST(50 AS DOUBLE) AS right_y
+FROM lineitem
+WHERE l_linenumber <> 7 AND l_suppkey IS NOT NULL AND l_quantity IS NOT NULL
+  AND l_extendedprice IS NOT NULL AND l_discount IS NOT NULL AND l_tax IS NOT NULL"""
+
+_ISO = lambda us: (
+    f"strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%S') || CASE WHEN {us} % 1000000 <> 0 "
+    f"THEN printf('.%06d', {us} % 1000000) ELSE '' END")
+SQL["form_json"] = with_form(f"""
+SELECT pid, {_ISO('init_start_us')} AS init_start, {_ISO('webcam_start_us')} AS webcam_start,
+  time_of_day || ':00' AS time_of_day, CAST(display_w AS VARCHAR) AS display_w,
+  CAST(b_lo_l_x AS VARCHAR) AS corner_x, setting, true AS no_helper
+FROM bform""")
+
+# every leaf of the gaze table, from the vector's components
+_LEAVES = []
+for _name, _left, _right in (
+    ("gazepoint_display", (0, 1), (3, 4)), ("gazepoint_ucs", (9, 10, 11), (12, 13, 14)),
+    ("gazeorigin_ucs", (15, 16, 17), (18, 19, 20)), ("gazeorigin_trackbox", (21, 22, 23), (24, 25, 26)),
+):
+    for _side, _at in (("left", _left), ("right", _right)):
+        _LEAVES += [(f"{_name}.{'xyz'[i]}", _side, _E(k)) for i, k in enumerate(_at)]
+for _name, _left, _right in (("pupil_validity", 6, 6), ("gazeorigin_validity", 7, 7), ("gazepoint_validity", 2, 5)):
+    _LEAVES += [(_name, s, f"CAST(coalesce({_E(k)} > 0, false) AS DOUBLE)") for s, k in (("left", _left), ("right", _right))]
+_LEAVES += [("pupil_diameter", "left", f"CAST(3 AS DOUBLE) + {_E(8)}"), ("pupil_diameter", "right", f"CAST(3 AS DOUBLE) - {_E(8)}")]
+SQL["shape_gaze_leaves"] = " UNION ALL ".join(
+    f"SELECT CAST(label AS INTEGER) AS pid, vec_id * 16667 AS device_us, '{n}' AS name, '{s}' AS side, {e} AS value FROM embeddings"
+    for n, s, e in _LEAVES)

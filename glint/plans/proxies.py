@@ -384,3 +384,70 @@ def duration_texts(orders: DataFrame) -> DataFrame:
         .otherwise(F.format_string("%ds %ds", s, m))
     )
     return orders.select("o_orderkey", text.alias("text"))
+
+
+# --- raw files as text (from the same views) -------------------------------------------
+#
+# The given tables rendered as the files would be, broken input included:
+# cut logs, cut and noisy sample lines, whole numbers as `1.0`, fields that
+# don't parse, NaN, `-` for missing.
+
+
+def log_files(events: DataFrame) -> DataFrame:
+    """One JSON array per (participant, record); those of participants
+    ending in 3 and even records are cut off."""
+    rows = raw_log(events)
+    cols = [c for c in rows.columns if c != "pid"]
+    files = rows.groupBy("pid", F.split("sessionId", "_")[1].cast("int").alias("record")).agg(
+        F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
+    cut = (F.col("pid") % 10 == 3) & (F.col("record") % 2 == 0)
+    return files.select("pid", F.when(cut, F.left("value", F.length("value") - 20)).otherwise(F.col("value")).alias("value"))
+
+
+def gaze_lines(embeddings: DataFrame) -> DataFrame:
+    """NDJSON samples; of 50, one is cut off and one is noise."""
+    raw = raw_tobii(embeddings)
+    whole = [F.col(c).cast("double").alias(c) if c.endswith("validity") or c.endswith("stamp") else F.col(c) for c in raw.columns if c != "pid"]
+    n = (F.col("device_time_stamp") / SAMPLE_US).cast("bigint") % 50
+    text = F.to_json(F.struct(*whole))
+    return raw.select("pid", F.when(n == 7, F.left(text, F.lit(40))).when(n == 9, F.lit("noise")).otherwise(text).alias("value"))
+
+
+def _joined(sep: str, *cols: F.Column) -> F.Column:
+    return F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
+
+
+def dot_lines(orders: DataFrame) -> DataFrame:
+    """TSV lines; every 11th order's y doesn't parse."""
+    raw = raw_dots(orders.withColumn("o_custkey", F.col("o_custkey")))
+    key = F.round((F.col("Epoch") - 1704067200000.0) / 1000.5).cast("bigint")
+    y = F.when(key % 11 == 5, F.lit("n/a")).otherwise(F.col("Dot_Y").cast("string"))
+    return raw.select("pid", _joined("\t", F.col("Dot_X"), y, F.col("Epoch")).alias("value"))
+
+
+def calibration_lines(lineitem: DataFrame) -> DataFrame:
+    """TSV lines; second lines of an order have a NaN, seventh ones a gap."""
+    raw = raw_calibration(lineitem.withColumn("l_suppkey", F.col("l_suppkey") * 8 + F.col("l_linenumber")))
+    nan = F.when(F.col("pid") % 8 == 2, F.lit("NaN")).otherwise(F.col("prediction_x_right").cast("string"))
+    cols = [nan if c == "prediction_x_right" else F.col(c) for c in raw.columns if c != "pid"]
+    return raw.select(F.floor(F.col("pid") / 8).cast("int").alias("pid"), _joined("\t", *cols).alias("value"))
+
+
+def alignment_lines(events: DataFrame) -> DataFrame:
+    """CSV lines with `-` for a missing shift."""
+    a = alignment_csv(events)
+    shift = F.coalesce(F.col("frameshift").cast("string"), F.lit("-"))
+    return a.select(_joined(",", F.col("video"), shift, F.col("corrOptimal"), F.col("corrOrig")).alias("value"))
+
+
+def tracker_lines(embeddings: DataFrame) -> DataFrame:
+    raw = raw_tracker(embeddings)
+    keys = ["pid", "record", "aux", "order"]
+    return raw.select(*keys, F.to_json(F.struct(*[c for c in raw.columns if c not in keys])).alias("value"))
+
+
+def form_records(events: DataFrame, customer: DataFrame) -> DataFrame:
+    """Questionnaire records split into text fields, `-` for missing."""
+    raw = raw_form(events, customer)
+    return raw.select(F.array(*[
+        F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")) for c in raw.columns]).alias("fields"))

@@ -98,7 +98,7 @@ from ..operators.gaze import (  # noqa: E402
     shape_dots,
     shape_gaze,
 )
-from ..operators.log import align_log, parse_alignment  # noqa: E402
+from ..operators.log import align_log, normalize_log, parse_alignment  # noqa: E402
 from ..operators.recordings import (  # noqa: E402
     clip_manifest,
     clip_timeline,
@@ -149,7 +149,10 @@ def q_align_log(spark, sf):
 @query("clean_form")
 def q_clean_form(spark, sf):
     """D1 (tolerant mode: the invalid eye colour becomes null)."""
-    f = clean_form(px.raw_form(px.load(spark, sf, "events"), px.load(spark, sf, "customer")), strict=False)
+    return _flat_form(clean_form(px.raw_form(px.load(spark, sf, "events"), px.load(spark, sf, "customer")), strict=False))
+
+
+def _flat_form(f):
     return f.select(
         "pid", "log", "setting", "screen_distance", _us("screen_start").alias("screen_start_us"),
         _us("wall_clock").alias("wall_clock_us"), "gender", "age", "race", "skin_color", "eye_color",
@@ -169,23 +172,25 @@ def q_build_form(spark, sf):
         "pid", "setting", "screen_viewport_y", _us("init_start").alias("init_start_us"),
         _us("webcam_start").alias("webcam_start_us"), _us("screen_start").alias("screen_start_us"),
         "illumination_mode", "frequency",
-        F.get(F.col("tracking_box.b_lo_l"), 0).alias("box_b_lo_l_x"),
-        F.get(F.col("tracking_box.f_up_r"), 2).alias("box_f_up_r_z"),
+        *_box_columns(),
     )
 
 
 @query("spec_pivot")
 def q_spec_pivot(spark, sf):
     """Device-spec text of every customer to one typed row."""
+    s = parse_specs(spec_lines(px.spec_files(px.load(spark, sf, "customer"))))
+    return s.select("pid", "illumination_mode", "frequency", *_box_columns())
+
+
+def _box_columns():
+    """All 24 coordinates."""
     from ..operators.form import CORNERS, corner_key
 
-    s = parse_specs(spec_lines(px.spec_files(px.load(spark, sf, "customer"))))
-    cols = ["pid", "illumination_mode", "frequency"]
-    for c in CORNERS:
-        k = corner_key(*c)
-        for i, axis in enumerate("xyz"):
-            cols.append(F.get(F.col(f"tracking_box.{k}"), i).alias(f"{k}_{axis}"))
-    return s.select(*cols)
+    return [
+        F.get(F.col(f"tracking_box.{k}"), i).alias(f"{k}_{axis}")
+        for k in (corner_key(*c) for c in CORNERS) for i, axis in enumerate("xyz")
+    ]
 
 
 @query("domain_check")
@@ -234,10 +239,7 @@ def q_mouse_points(spark, sf):
     )
 
 
-@query("shape_gaze")
-def q_shape_gaze(spark, sf):
-    """D6 over eye-tracker rows derived from every embedding."""
-    g = shape_gaze(px.raw_tobii(px.load(spark, sf, "embeddings")))
+def _flat_gaze(g):
     return g.select(
         "pid", micros("timestamp").alias("ts_us"), micros("clock").alias("clock_us"),
         micros("duration").alias("device_us"),
@@ -254,6 +256,105 @@ def q_shape_gaze(spark, sf):
     )
 
 
+@query("shape_gaze")
+def q_shape_gaze(spark, sf):
+    """D6 over eye-tracker rows derived from every embedding."""
+    return _flat_gaze(shape_gaze(px.raw_tobii(px.load(spark, sf, "embeddings"))))
+
+
+@query("shape_gaze_leaves")
+def q_shape_gaze_leaves(spark, sf):
+    """Every measure, as (pid, device time, name, side, value)."""
+    g = shape_gaze(px.raw_tobii(px.load(spark, sf, "embeddings")))
+    rows = []
+    for f in g.schema.fields:
+        if f.name in ("pid", "timestamp", "clock", "duration"):
+            continue
+        for side in ("left", "right"):
+            leaf = f.dataType[side].dataType
+            parts = leaf.fieldNames() if hasattr(leaf, "fieldNames") else [None]
+            for p in parts:
+                c = F.col(f"{f.name}.{side}" + (f".{p}" if p else ""))
+                rows.append(F.struct(F.lit(f.name + (f".{p}" if p else "")).alias("name"), F.lit(side).alias("side"), c.cast("double").alias("value")))
+    return g.select("pid", micros("duration").alias("device_us"), F.inline(F.array(*rows)))
+
+
+# --- raw text to rows (S3-S7, S9, S11) ---------------------------------------------------
+
+from ..sources.parse import (  # noqa: E402
+    parse_delimited, parse_gaze_lines, parse_log_text, parse_tracker_lines, type_form_fields,
+)
+
+
+@query("read_log_files")
+def q_read_log_files(spark, sf):
+    """JSON arrays, some cut off, to the tidy log (tolerant)."""
+    files = px.log_files(px.load(spark, sf, "events"))
+    return flat_log(normalize_log(parse_log_text(files, strict=False)))
+
+
+@query("read_gaze_lines")
+def q_read_gaze_lines(spark, sf):
+    """Sample lines, some cut off or noise, to samples (tolerant)."""
+    return _flat_gaze(shape_gaze(parse_gaze_lines(px.gaze_lines(px.load(spark, sf, "embeddings")), strict=False)))
+
+
+@query("read_dot_lines")
+def q_read_dot_lines(spark, sf):
+    """TSV lines with fields that don't parse."""
+    from ..schemas import DOT_TSV_SCHEMA
+
+    d = shape_dots(parse_delimited(px.dot_lines(px.load(spark, sf, "orders")), DOT_TSV_SCHEMA))
+    return d.select("pid", micros("timestamp").alias("ts_us"), F.col("dot.x").alias("x"), F.col("dot.y").alias("y"))
+
+
+@query("read_calibration_lines")
+def q_read_calibration_lines(spark, sf):
+    """S7, D8 (P13): TSV lines; a gap drops the row, NaN stays a value."""
+    from ..schemas import CALIB_TSV_SCHEMA
+
+    c = shape_calibration(parse_delimited(px.calibration_lines(px.load(spark, sf, "lineitem")), CALIB_TSV_SCHEMA))
+    return c.select(
+        "pid", F.col("point.x").alias("point_x"), F.col("validity.left").alias("valid_l"),
+        F.isnan("right.x").alias("nan"), F.nanvl("right.x", F.lit(-1.0)).alias("right_x"), F.col("right.y").alias("right_y"))
+
+
+@query("read_alignment_lines")
+def q_read_alignment_lines(spark, sf):
+    """CSV lines with `-` for missing."""
+    from ..schemas import ALIGNMENT_CSV_SCHEMA
+
+    lines = px.alignment_lines(px.load(spark, sf, "events"))
+    a = parse_alignment(parse_delimited(lines, ALIGNMENT_CSV_SCHEMA, sep=",", null="-", strict=True))
+    return a.select("pid", "log", "record", "study", "aux", F.col("frameshift").alias("frameshift_us"))
+
+
+@query("read_tracker_lines")
+def q_read_tracker_lines(spark, sf):
+    """Tracker NDJSON to numbered frames."""
+    raw = parse_tracker_lines(px.tracker_lines(px.load(spark, sf, "embeddings")))
+    return _flat_tracker(shape_tracker_frames(raw, order=["order"], bucket=(F.col("order") / 256).cast("bigint")))
+
+
+@query("read_form_records")
+def q_read_form_records(spark, sf):
+    """Text fields of questionnaire records to the typed form."""
+    records = px.form_records(px.load(spark, sf, "events"), px.load(spark, sf, "customer"))
+    return _flat_form(clean_form(type_form_fields(records), strict=False))
+
+
+@query("form_json")
+def q_form_json(spark, sf):
+    """K6: fields of each participant's JSON text."""
+    from ..sinks import form_json
+
+    get = lambda name, path: F.get_json_object("json", path).alias(name)
+    return form_json(form_of(spark, sf)).select(
+        "pid", get("init_start", "$.init_start"), get("webcam_start", "$.webcam_start"), get("time_of_day", "$.time_of_day"),
+        get("display_w", "$.display_resolution.w"), get("corner_x", "$.tracking_box.b_lo_l.x"), get("setting", "$.setting"),
+        F.get_json_object("json", "$.time_of_day_min").isNull().alias("no_helper"))
+
+
 @query("merge_gaze")
 def q_merge_gaze(spark, sf):
     """D15 (U2 single pass, J12): gaze samples in display pixels."""
@@ -451,7 +552,10 @@ def q_duration_text(spark, sf):
 def q_indexed_frames(spark, sf):
     """D18 (W1): tracker frames shaped, with their row index in file order."""
     raw = px.raw_tracker(px.load(spark, sf, "embeddings"))
-    fr = shape_tracker_frames(raw, order=["order"], bucket=(F.col("order") / 256).cast("bigint"))
+    return _flat_tracker(shape_tracker_frames(raw, order=["order"], bucket=(F.col("order") / 256).cast("bigint")))
+
+
+def _flat_tracker(fr):
     return fr.select(
         "pid", "record", "aux", "index", F.col("timestamp").alias("ts_us"), "tracking",
         F.col("offset.x").alias("offset_x"), F.col("target.s").alias("target_s"),

@@ -95,11 +95,36 @@ def write_csv(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
     return df
 
 
+def _iso(c: str) -> F.Column:
+    """ISO text of an instant; a fraction only where there is one."""
+    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    fraction = F.date_format(c, "SSSSSS")
+    return F.when(fraction == "000000", whole).otherwise(F.concat(whole, F.lit("."), fraction))
+
+
 def form_json(form: DataFrame) -> DataFrame:
-    """K6: each participant row as one JSON text (ISO times, nested sizes
-    kept as {w, h})."""
-    opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
-    return form.select("pid", F.to_json(F.struct(*form.columns), opts).alias("json"))
+    """K6: each participant row as one JSON text (pid, json): ISO instants
+    and times of day with seconds, sizes as {w, h}, corners of the tracking
+    box as {x, y, z}, nulls kept."""
+    cols = []
+    for f in form.schema.fields:
+        name, kind = f.name, f.dataType.simpleString()
+        if name == "time_of_day_min":  # a helper of ours
+            continue
+        if name == "time_of_day":
+            cols.append(F.concat(name, F.lit(":00")).alias(name))
+        elif name == "tracking_box":
+            def corner(k):
+                c = F.col("tracking_box")[k]
+                return F.when(c.isNotNull(), F.struct(*[F.get(c, i).alias(a) for i, a in enumerate("xyz")])).alias(k)
+
+            box = F.struct(*[corner(k) for k in f.dataType.fieldNames()])
+            cols.append(F.when(F.col(name).isNotNull(), box).alias(name))
+        elif kind.startswith("timestamp"):
+            cols.append(_iso(name).alias(name))
+        else:
+            cols.append(F.col(name))
+    return form.select("pid", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def write_json(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from ..schemas import FORM_CSV_SCHEMA, LOG_JSON_SCHEMA, TOBII_JSON_SCHEMA
+from ..schemas import FORM_CSV_SCHEMA, LOG_JSON_SCHEMA, TOBII_JSON_SCHEMA, TRACKER_JSON_SCHEMA
 
 _JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "allowNonNumericNumbers": "true"}
 
@@ -101,3 +101,13 @@ def type_form_fields(records: DataFrame, fields: str = "fields") -> DataFrame:
     return records.select(*[
         text(i).cast(f.dataType).alias(f.name) for i, f in enumerate(FORM_CSV_SCHEMA.fields)
     ])
+
+
+# --- S11: tracker frames ----------------------------------------------------------
+
+
+def parse_tracker_lines(lines: DataFrame) -> DataFrame:
+    """NDJSON lines of tracker output to rows; a line that doesn't parse
+    is a row of nulls, so the numbering of frames is that of the lines."""
+    parsed = lines.select(*_rest(lines), F.from_json("value", TRACKER_JSON_SCHEMA).alias("_r"))
+    return parsed.select(*_rest(parsed, "_r"), "_r.*")

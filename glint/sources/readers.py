@@ -18,9 +18,8 @@ from ..schemas import (
     CALIB_TSV_SCHEMA,
     DOT_TSV_SCHEMA,
     FORM_CSV_SCHEMA,
-    TRACKER_JSON_SCHEMA,
 )
-from .parse import gaze_rejects, log_rejects, parse_gaze_lines, parse_log_text
+from .parse import gaze_rejects, log_rejects, parse_gaze_lines, parse_log_text, parse_tracker_lines
 
 FILE = "_metadata.file_path"
 
@@ -128,21 +127,23 @@ def read_tracker_frames(spark: SparkSession, path: str) -> DataFrame:
     id. `shape_tracker_frames(df, order=["_block", "_row"],
     bucket=F.col("_block"))` numbers rows in file order even when a file
     is read in several splits."""
-    df = spark.read.schema(TRACKER_JSON_SCHEMA).json(path)
+    lines = spark.read.text(path).where(F.trim("value") != "")
     stem = F.regexp_extract(F.col(FILE), r"P(\d+)_R(\d+)_A(\d+)\.[^/]*$", 0)
     pat = r"P(\d+)_R(\d+)_A(\d+)"
+
     def key(i):
         g = F.regexp_extract(stem, pat, i)
         return F.when(g != "", g.cast("int"))
 
-    return df.select(
-        "*",
+    keyed = lines.select(
+        "value",
         key(1).alias("pid"),
         key(2).alias("record"),
         key(3).alias("aux"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
+    return parse_tracker_lines(keyed)
 
 
 def read_video_manifest(spark: SparkSession, path: str) -> DataFrame:
