@@ -50,75 +50,56 @@ def row_index(
     return out.drop(b, "_local", "_off", "_kb", *[f"_k{i}" for i in range(len(keys))])
 
 
-def prefix_last(
+def prefixes(
     df: DataFrame,
     keys: Sequence[str],
     index: str,
-    value: str,
-    name: str,
+    wanted: dict[str, tuple[str, str]],
     bucket_size: int = 4096,
 ) -> DataFrame:
-    """Add `name`: the last non-null `value` at a smaller `index` within the
-    key (exclusive running "last"), computed in buckets of `bucket_size`
-    consecutive indexes so that no key is handled by a single task."""
-    keys = list(keys)
-    b = F.floor(F.col(index) / bucket_size).cast("bigint")
-    staged = df.withColumn("_k", b)
-    summary = (
-        staged.where(F.col(value).isNotNull())
-        .groupBy(*keys, "_k")
-        .agg(F.max_by(value, index).alias("_last"))
-    )
-    # every bucket of the key, with the last value of the buckets before it
-    buckets = staged.select(*keys, "_k").distinct().join(summary, [*keys, "_k"], "left")
-    w_prev = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    filled = buckets.select(
-        *keys, "_k", F.last("_last", ignorenulls=True).over(w_prev).alias("_from_before")
-    )
-    w_in = Window.partitionBy(*keys, "_k").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
-    inside = staged.withColumn("_in", F.last(value, ignorenulls=True).over(w_in))
-    out = inside.join(filled, [*keys, "_k"], "left")
-    return out.withColumn(name, F.coalesce(F.col("_in"), F.col("_from_before"))).drop("_k", "_in", "_from_before")
+    """Add running values over the rows with a smaller `index` within the
+    key (exclusive): `wanted` maps a new name to (kind, column), kind one of
+    `sum` (0 at first), `max` and `last` (of the non-null values, null if
+    there is none).
 
-
-def prefix_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    index: str,
-    value: str,
-    name: str,
-    bucket_size: int = 4096,
-) -> DataFrame:
-    """Add `name`: the sum of `value` over rows with a smaller `index`
-    within the key (exclusive running sum), in buckets like `prefix_last`."""
+    All are computed together in buckets of `bucket_size` consecutive
+    indexes, one row per bucket carrying what came before it, so that no key
+    is handled by a single task."""
     keys = list(keys)
     staged = df.withColumn("_k", F.floor(F.col(index) / bucket_size).cast("bigint"))
-    per_b = staged.groupBy(*keys, "_k").agg(F.sum(value).alias("_s"))
-    w_off = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    off = per_b.select(*keys, "_k", F.coalesce(F.sum("_s").over(w_off), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy(*keys, "_k").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
-    inside = staged.withColumn("_in", F.coalesce(F.sum(value).over(w_in), F.lit(0)))
-    out = inside.join(off, [*keys, "_k"], "inner")
-    return out.withColumn(name, F.col("_off") + F.col("_in")).drop("_k", "_in", "_off")
+    names = list(wanted)
+    whole = {
+        "sum": lambda v: F.sum(v),
+        "max": lambda v: F.max(v),
+        "last": lambda v: F.max_by(v, F.when(F.col(v).isNotNull(), F.col(index))),
+    }
+    running = {
+        "sum": lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0)),
+        "max": lambda c, w: F.max(c).over(w),
+        "last": lambda c, w: F.last(c, ignorenulls=True).over(w),
+    }
+    join = {
+        "sum": lambda a, b: a + b,
+        "max": lambda a, b: F.greatest(a, b),
+        "last": lambda a, b: F.coalesce(b, a),
+    }
+    per = staged.groupBy(*keys, "_k").agg(*[whole[k](v).alias(f"_o{i}") for i, (k, v) in enumerate(wanted.values())])
+    before = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    outer = per.select(*keys, "_k", *[
+        running[k](f"_o{i}", before).alias(f"_o{i}") for i, (k, _) in enumerate(wanted.values())])
+    inner = Window.partitionBy(*keys, "_k").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    inside = staged.select("*", *[running[k](v, inner).alias(f"_i{i}") for i, (k, v) in enumerate(wanted.values())])
+    out = inside.join(outer, [*keys, "_k"], "inner")
+    for i, name in enumerate(names):
+        out = out.withColumn(name, join[wanted[name][0]](F.col(f"_o{i}"), F.col(f"_i{i}")))
+    return out.drop("_k", *[f"_{s}{i}" for i in range(len(names)) for s in "io"])
 
 
-def prefix_max(
-    df: DataFrame,
-    keys: Sequence[str],
-    index: str,
-    value: str,
-    name: str,
-    bucket_size: int = 4096,
-) -> DataFrame:
-    """Add `name`: the largest non-null `value` over rows with a smaller
-    `index` within the key (null if there is none), in buckets like
-    `prefix_last`."""
-    keys = list(keys)
-    staged = df.withColumn("_k", F.floor(F.col(index) / bucket_size).cast("bigint"))
-    per_b = staged.groupBy(*keys, "_k").agg(F.max(value).alias("_m"))
-    before = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    top = per_b.select(*keys, "_k", F.max("_m").over(before).alias("_top"))
-    w_in = Window.partitionBy(*keys, "_k").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
-    inside = staged.withColumn("_in", F.max(value).over(w_in))
-    out = inside.join(top, [*keys, "_k"], "inner")
-    return out.withColumn(name, F.greatest("_top", "_in")).drop("_k", "_in", "_top")
+def prefix_last(df: DataFrame, keys: Sequence[str], index: str, value: str, name: str, bucket_size: int = 4096) -> DataFrame:
+    """The last non-null `value` at a smaller `index` (`prefixes`)."""
+    return prefixes(df, keys, index, {name: ("last", value)}, bucket_size)
+
+
+def prefix_sum(df: DataFrame, keys: Sequence[str], index: str, value: str, name: str, bucket_size: int = 4096) -> DataFrame:
+    """The sum of `value` at smaller indexes (`prefixes`)."""
+    return prefixes(df, keys, index, {name: ("sum", value)}, bucket_size)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import add_us, diff_us, padded, pid_from_name, study_ord
 from ..schemas import MIN_FILLER_GAP_US, THANK_YOU
 from .log import with_clip_name
-from .ordering import prefix_last, prefix_max, prefix_sum, row_index
+from .ordering import prefix_sum, prefixes, row_index
 
 
 def recording_ends(log: DataFrame) -> DataFrame:
@@ -148,17 +148,20 @@ def clip_timeline(
 
     ensure_checkpoint_dir(starts.sparkSession)
     pid = ["pid"]
+    # numbering and running values read their input twice: cut the lineage
+    # first, so that what lies above is computed once
+    items = _timeline_items(starts, clips, form).checkpoint()
     it = row_index(
-        _timeline_items(starts, clips, form), pid, ["offset", "record", "ord", "study", "duration"],
+        items, pid, ["offset", "record", "ord", "study", "duration"],
         bucket=F.floor(F.col("offset") / bucket_us).cast("bigint"), name="i")
     # a file with an offset below 0, the first end, is never accepted
     file = F.col("duration").isNotNull() & F.coalesce(F.col("offset") >= 0, F.lit(False))
     it = it.withColumn("_f", file.cast("int")).withColumn(
         "_b", F.when(file, F.col("offset") + F.col("duration")))
-    it = prefix_max(it, pid, "i", "_b", "_reach")
+    it = prefixes(it.checkpoint(), pid, "i", {"_reach": ("max", "_b"), "p": ("sum", "_f")}).checkpoint()
     sure = (F.col("_f") == 1) & (F.col("offset") >= F.coalesce("_reach", F.lit(0)))
     it = it.withColumn("_sure", sure.cast("int"))
-    it = prefix_sum(prefix_sum(it, pid, "i", "_f", "p"), pid, "i", "_sure", "_isl")
+    it = prefix_sum(it, pid, "i", "_sure", "_isl")
     it = it.withColumn("_isl", F.col("_isl") + F.col("_sure")).checkpoint()
     files = it.where(F.col("_f") == 1).select("pid", "_isl", "p", "_sure", F.col("offset").alias("a"), F.col("_b").alias("b"))
     accepted = files.where(F.col("_sure") == 1).select("pid", "p")
@@ -168,9 +171,8 @@ def clip_timeline(
         accepted = accepted.unionByName(_chains(files.join(sizes, ["pid", "_isl"]), int(longest), bucket_us))
     rows = it.join(accepted.withColumn("_acc", F.lit(True)), ["pid", "p"], "left").withColumn(
         "_acc", F.coalesce(F.col("_acc") & (F.col("_f") == 1), F.lit(False)))
-    rows = rows.withColumn("_b_acc", F.when(F.col("_acc"), F.col("_b")))
-    rows = prefix_last(rows, pid, "i", "_b_acc", "_end_before")
-    rows = prefix_sum(rows.withColumn("_acc_i", F.col("_acc").cast("int")), pid, "i", "_acc_i", "_n_before")
+    rows = rows.withColumns({"_b_acc": F.when(F.col("_acc"), F.col("_b")), "_acc_i": F.col("_acc").cast("int")})
+    rows = prefixes(rows.checkpoint(), pid, "i", {"_end_before": ("last", "_b_acc"), "_n_before": ("sum", "_acc_i")})
     end_before = F.coalesce(F.col("_end_before"), F.lit(0).cast("bigint"))
     has = F.col("duration").isNotNull()
     gap = F.col("offset") - end_before
@@ -195,7 +197,7 @@ def _chains(files: DataFrame, longest: int, bucket_us: int) -> DataFrame:
     key = ["pid", "_isl"]
     ev = files.select(*key, F.col("a").alias("v"), F.lit(1).alias("t"), "p", "p0", "m").unionByName(
         files.select(*key, F.col("b").alias("v"), F.lit(0).alias("t"), "p", "p0", "m"))
-    ev = row_index(ev, key, ["v", "t", "p"], bucket=F.floor(F.col("v") / bucket_us).cast("bigint"), name="k")
+    ev = row_index(ev, key, ["v", "t", "p"], bucket=F.floor(F.col("v") / bucket_us).cast("bigint"), name="k").checkpoint()
     ev = prefix_sum(ev, key, "k", "t", "_lower")
     to = F.greatest(F.col("p") + 1, F.col("p0") + F.col("_lower"))
     jump = ev.where(F.col("t") == 0).select(

@@ -55,3 +55,16 @@ def test_registered_queries_push_filters_to_the_scan(spark):
     assert "EqualTo(event_type,signup)" in plan(E.queries()["parse_alignment"](spark, SF))
     for name in ("merge_gaze", "with_timelines"):
         assert "InMemoryTableScan" not in plan(E.queries()[name](spark, SF))
+
+
+def test_entry_works_without_the_training_data_part():
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.modules['glint.llm'] = None\n"
+        "import __spark_entry__ as e\n"
+        "assert not [k for k in e.queries() if k.startswith('op') or k == 'pipeline'] and len(e.queries()) > 40")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
