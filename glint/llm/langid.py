@@ -1,8 +1,7 @@
 """Language identification by error-correcting output codes.
 
 Each language has a binary codeword. For every bit a binary n-gram
-classifier (log odds of hashed character n-grams of words, calibrated by a
-logistic fit) says how strongly a text belongs to the languages that have
+classifier (log odds of hashed byte n-grams, calibrated by a logistic fit) says how strongly a text belongs to the languages that have
 the bit set. The losses of the classifiers' margins against each codeword
 are added up; the codeword with the least loss is the answer, and a small
 lead over the second flags the text as ambiguous.
@@ -10,8 +9,7 @@ lead over the second flags the text as ambiguous.
 Classifiers learn n-gram counts from a bounded sample (`sample_docs` whole
 documents per language, chosen by a hash); only the counts, at most
 languages x `DIM`, and a few margins per sampled document reach the driver.
-Prediction reads whole texts; a word's part of every margin is computed once
-per worker and added up by word counts.
+Prediction reads whole texts.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0
 and not ambiguous; so is everything when no language can be learned; with a
@@ -20,8 +18,6 @@ the language that comes first; repeated rows get the same answer."""
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from itertools import product
 
@@ -31,14 +27,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIM = 1 << 15
+from .common import save_table
+
+BITS = 15
+DIM = 1 << BITS
 ORDERS = (1, 2, 3, 4)
-CACHED_WORDS = 200_000
+SLICE = 1 << 16
 
 
-def grams(word: str) -> np.ndarray:
-    raw = f" {word} "
-    return np.array([zlib.crc32(raw[i: i + n].encode()) % DIM for n in ORDERS for i in range(len(raw) - n + 1)], np.int64)
+def grams(text: str) -> list[np.ndarray]:
+    """Hashed byte n-grams of the lower-cased text, one array per order."""
+    b = np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
+    out, run = [], np.zeros(len(b) + 1, np.uint32)
+    for n in ORDERS:
+        run = (run[:-1] << np.uint32(8)) | b[n - 1:]
+        out.append((run * np.uint32(0x9E3779B1) + np.uint32(n * 0x85EBCA6B & 0xFFFFFFFF)) >> np.uint32(32 - BITS))
+        if len(b) <= n:
+            break
+    return out
 
 
 def codewords(n: int, seed: int = 1) -> np.ndarray:
@@ -63,33 +69,15 @@ class Model:
     def __init__(self, langs: list[str], code: np.ndarray, table: np.ndarray):
         self.langs, self.code, self.table = langs, code, table
         self.scale, self.shift = np.ones(code.shape[1]), np.zeros(code.shape[1])
-        self._at: dict[str, int] = {}
-        self._rows = np.zeros((0, code.shape[1] + 1), np.float32)
-
-    def __getstate__(self):  # what a worker has cached stays there
-        return self.__dict__ | {"_at": {}, "_rows": np.zeros((0, self.code.shape[1] + 1), np.float32)}
-
-    def _word(self, word: str) -> np.ndarray:
-        g = grams(word)
-        return np.append(self.table[g].sum(0), len(g)).astype(np.float32)
 
     def margins(self, text: str) -> np.ndarray:
         """Mean log odds per bit of all n-grams of the text."""
-        counts = Counter(text.lower().split())
-        if len(self._at) + len(counts) > CACHED_WORDS:
-            self._at, self._rows = {}, self._rows[:0]
-        new = [w for w in counts if w not in self._at]
-        if new:
-            self._at |= {w: len(self._at) + i for i, w in enumerate(new)}
-            if len(self._at) > len(self._rows):
-                grown = np.zeros((max(len(self._at), min(2 * len(self._rows), CACHED_WORDS)), self.code.shape[1] + 1), np.float32)
-                grown[: len(self._rows)] = self._rows
-                self._rows = grown
-            for w in new:
-                self._rows[self._at[w]] = self._word(w)
-        at = np.fromiter(map(self._at.__getitem__, counts), np.int64, len(counts))
-        sums = np.fromiter(counts.values(), np.float64, len(counts)) @ self._rows[at]
-        return sums[:-1] / max(sums[-1], 1.0)
+        total, n = np.zeros(self.code.shape[1]), 0
+        for h in grams(text):
+            n += len(h)
+            for at in range(0, len(h), SLICE):
+                total += self.table[h[at: at + SLICE]].sum(0, dtype=np.float64)
+        return total / max(n, 1)
 
     def decode(self, margins: np.ndarray) -> tuple[str, float, float]:
         """Language, its share of belief, and its lead over the second."""
@@ -107,14 +95,13 @@ def has_letter(text: str) -> bool:
 
 def _sums(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) -> n-gram counts per language of the partition."""
-    words: dict[str, Counter] = {}
+    total: dict[str, np.ndarray] = {}
     for b in it:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            words.setdefault(lang, Counter()).update((text or "").lower().split())
-    for lang, found in words.items():
-        t = np.zeros(DIM)
-        for w, n in found.items():
-            np.add.at(t, grams(w), n)
+            t = total.setdefault(lang, np.zeros(DIM))
+            for h in grams(text or ""):
+                t += np.bincount(h, minlength=DIM)
+    for lang, t in total.items():
         at = np.flatnonzero(t)
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(t[at])], ["lang", "gram", "n"])
@@ -136,7 +123,8 @@ def fit(labelled: DataFrame, sample_docs: int = 600, max_langs: int = 1_000) ->
     sample = (
         some.where(u < share[F.col("lang")]).withColumn("_r", F.row_number().over(w))
         .where(F.col("_r") <= sample_docs).select("lang", "text")
-    ).persist()
+    )
+    sample = save_table(sample, "sample")
     counts = sample.mapInArrow(_sums, "lang string, gram int, n double").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     freq = np.zeros((len(langs), DIM))
     for r in counts.collect():
@@ -152,7 +140,6 @@ def fit(labelled: DataFrame, sample_docs: int = 600, max_langs: int = 1_000) ->
         margins = F.pandas_udf(lambda t: t.map(lambda x: model.margins(x).tolist()), "array<double>")
         found = sample.select("lang", margins("text").alias("m")).collect()
         _calibrate(model, np.array([r.m for r in found]), np.array([langs.index(r.lang) for r in found]))
-    sample.unpersist()
     return model
 
 
