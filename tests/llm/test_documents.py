@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from llm_rows import DOCS, odd_docs, prose
 from pyspark.sql import functions as F
 
@@ -190,8 +192,16 @@ def test_ids_equal_the_tokenizers(vocabulary):
         " lead", "trail ", "two  spaces", "a \n b", "tab\t x", "nb sp   x", "it's we'll", "<|endoftext|> in text", "x" * 500,
         "a   b", "\x1c \x1d y", "  ", "émigré 東京 \U0001f600 z", "a\n\n\nb \n\n c", "a \x85 b"]
     enc = packing.Encoder(vocabulary)
-    for t, raw in zip(texts, enc.encode(texts)):
-        assert np.frombuffer(raw, "<u4").tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, repr(t[:40])
+    assert enc.ranks is not None
+    for t in [*texts, "x" * 9_000, " " * 9_000 + "y", "\u2028 a\xa0\xa0b", "\u180e\u200b\ufeff z", "1\u00bd\u0663 II"]:
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, repr(t[:40])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=40) | st.text(" \n\t\xa0\u2003'stremvdl.aA1é!\x1c\x85", max_size=40))
+def test_ids_equal_the_tokenizers_for_any_text(text):
+    enc = packing.encoder(pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json"))
+    assert enc.encode(text) == enc.by_file(text)
 
 
 def test_packing_round_trip(docs, clash, vocabulary):
