@@ -9,9 +9,8 @@
    coverage gain weight, a knapsack dynamic program prices the best
    configurations, and every configuration near the best is used for part of
    what is left.
-3. The solution is rounded down, what remains is solved again, and the last
-   pieces, as many as there are configurations but not as there are
-   documents, are placed by best fit.
+3. The solution is rounded, what remains is solved again, and the last
+   pieces, a few hundred whatever the corpus, are placed by best fit.
 4. The plan says, for each length, which rank goes to which sequence and
    offset. Pieces are ranked per length by task-local ranks plus running
    sums over the tasks' counts, so no length, however common, is ranked by
@@ -166,9 +165,10 @@ def token_pieces(
 
 # --- the configuration program --------------------------------------------
 
-def price(lengths: np.ndarray, weight: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def price(lengths: np.ndarray, weight: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unbounded knapsack: the best weight for every capacity up to `size`,
-    and the length placed last there (0: none, look one lower)."""
+    the length placed last, and the highest capacity not above at which one
+    is placed (0: none)."""
     best, last = np.zeros(size + 1), np.zeros(size + 1, np.int64)
     fits = np.searchsorted(lengths, np.arange(size + 1), side="right")
     for c in range(1, size + 1):
@@ -178,21 +178,18 @@ def price(lengths: np.ndarray, weight: np.ndarray, size: int) -> tuple[np.ndarra
             i = int(v.argmax())
             if v[i] > best[c] + 1e-12:
                 best[c], last[c] = v[i], lengths[i]
-    return best, last
+    return best, last, np.maximum.accumulate(np.where(last > 0, np.arange(size + 1), 0))
 
 
-def _fill(last: np.ndarray, c: int) -> list[int]:
+def _fill(last: list[int], down: list[int], c: int) -> list[int]:
     out = []
-    while c > 0:
-        if last[c]:
-            out.append(int(last[c]))
-            c -= int(last[c])
-        else:
-            c -= 1
+    while c := down[c]:
+        out.append(last[c])
+        c -= last[c]
     return out
 
 
-def solve(counts: dict[int, int], size: int, near: float = 0.004, rate: float = 2.0, rounds: int = 60) -> dict:
+def solve(counts: dict[int, int], size: int, near: float = 0.004, rate: float = 2.0, rounds: int = 10) -> dict:
     """A fractional solution {configuration: amount} of the configuration
     LP for the histogram `counts`."""
     lengths = np.array(sorted(counts), np.int64)
@@ -206,13 +203,14 @@ def solve(counts: dict[int, int], size: int, near: float = 0.004, rate: float =
         # multiplicative weights: what is less covered weighs more
         lag = left / total
         weight = lengths * np.exp(rate * near * (lag - lag[live].mean()))
-        best, last = price(lengths[live], weight[live], size)
+        best, last, down = price(lengths[live], weight[live], size)
+        last, down = last.tolist(), down.tolist()
         goal = best[size] * (1 - near)
         for lead in lengths[live][::-1]:
             i = at[int(lead)]
             if weight[i] + best[size - lead] < goal:
                 continue
-            conf = Counter([int(lead), *_fill(last, size - int(lead))])
+            conf = Counter([int(lead), *_fill(last, down, size - int(lead))])
             amount = 0.5 * min(left[at[x]] / n for x, n in conf.items())
             if amount <= 0:
                 continue
@@ -228,16 +226,16 @@ def configurations(counts: dict[int, int], size: int) -> list[tuple[tuple, int]]
     left, plan = Counter({k: v for k, v in counts.items() if v}), Counter()
     if left[size]:  # a full piece is a sequence
         plan[((size, 1),)] = left.pop(size)
-    while sum(left.values()) > 500:
-        done = 0
-        for conf, amount in solve(+left, size).items():
-            n = min([int(amount + 1e-9), *(left[x] // k for x, k in conf)])
+    while (open_ := sum(left.values())) > 500:
+        # rounded up, the most used first, as far as the pieces last: the
+        # configurations are full, so what they take is well placed
+        for conf, amount in sorted(solve(+left, size).items(), key=lambda x: (-x[1], x[0])):
+            n = min([int(np.ceil(amount)), *(left[x] // k for x, k in conf)])
             if n > 0:
                 plan[conf] += n
-                done += n
                 for x, k in conf:
                     left[x] -= n * k
-        if not done:
+        if sum(left.values()) == open_:
             break
     for conf, n in _best_fit(+left, size).items():
         plan[conf] += n
