@@ -158,7 +158,7 @@ def clip_timeline(
     file = F.col("duration").isNotNull() & F.coalesce(F.col("offset") >= 0, F.lit(False))
     it = it.withColumn("_f", file.cast("int")).withColumn(
         "_b", F.when(file, F.col("offset") + F.col("duration")))
-    it = prefixes(it.checkpoint(), pid, "i", {"_reach": ("max", "_b"), "p": ("sum", "_f")}).checkpoint()
+    it = prefixes(it, pid, "i", {"_reach": ("max", "_b"), "p": ("sum", "_f")}).checkpoint()
     sure = (F.col("_f") == 1) & (F.col("offset") >= F.coalesce("_reach", F.lit(0)))
     it = it.withColumn("_sure", sure.cast("int"))
     it = prefix_sum(it, pid, "i", "_sure", "_isl")
@@ -172,7 +172,7 @@ def clip_timeline(
     rows = it.join(accepted.withColumn("_acc", F.lit(True)), ["pid", "p"], "left").withColumn(
         "_acc", F.coalesce(F.col("_acc") & (F.col("_f") == 1), F.lit(False)))
     rows = rows.withColumns({"_b_acc": F.when(F.col("_acc"), F.col("_b")), "_acc_i": F.col("_acc").cast("int")})
-    rows = prefixes(rows.checkpoint(), pid, "i", {"_end_before": ("last", "_b_acc"), "_n_before": ("sum", "_acc_i")})
+    rows = prefixes(rows, pid, "i", {"_end_before": ("last", "_b_acc"), "_n_before": ("sum", "_acc_i")})
     end_before = F.coalesce(F.col("_end_before"), F.lit(0).cast("bigint"))
     has = F.col("duration").isNotNull()
     gap = F.col("offset") - end_before
@@ -197,21 +197,23 @@ def _chains(files: DataFrame, longest: int, bucket_us: int) -> DataFrame:
     key = ["pid", "_isl"]
     ev = files.select(*key, F.col("a").alias("v"), F.lit(1).alias("t"), "p", "p0", "m").unionByName(
         files.select(*key, F.col("b").alias("v"), F.lit(0).alias("t"), "p", "p0", "m"))
-    ev = row_index(ev, key, ["v", "t", "p"], bucket=F.floor(F.col("v") / bucket_us).cast("bigint"), name="k").checkpoint()
+    ev = row_index(ev, key, ["v", "t", "p"], bucket=F.floor(F.col("v") / bucket_us).cast("bigint"), name="k")
     ev = prefix_sum(ev, key, "k", "t", "_lower")
     to = F.greatest(F.col("p") + 1, F.col("p0") + F.col("_lower"))
-    jump = ev.where(F.col("t") == 0).select(
-        "pid", "p", F.when(to < F.col("p0") + F.col("m"), to).alias("nxt")).checkpoint()
-    chain = files.where(F.col("p") == F.col("p0")).select("pid", "p").checkpoint()
+    state = ev.where(F.col("t") == 0).select(
+        "pid", "p", F.when(to < F.col("p0") + F.col("m"), to).alias("nxt"), (F.col("p") == F.col("p0")).alias("hit"),
+    ).checkpoint()
     for _ in range(longest.bit_length()):
-        # all reached so far, and from there 2^k steps on
-        step = chain.join(jump, ["pid", "p"], "inner").where(F.col("nxt").isNotNull()).select(
-            "pid", F.col("nxt").alias("p"))
-        chain = chain.unionByName(step).distinct().checkpoint()
-        x, y = jump.alias("x"), jump.alias("y")
-        jump = x.join(y, (F.col("x.pid") == F.col("y.pid")) & (F.col("x.nxt") == F.col("y.p")), "left").select(
-            F.col("x.pid").alias("pid"), F.col("x.p").alias("p"), F.col("y.nxt").alias("nxt")).checkpoint()
-    return chain.join(files.where(F.col("p") == F.col("p0")).select("pid", "p"), ["pid", "p"], "left_anti")
+        # what is hit so far also hits what lies 2^k steps on; one checkpoint
+        # for both the hits and the doubled steps
+        hits = state.where(F.col("hit") & F.col("nxt").isNotNull()).select(
+            "pid", F.col("nxt").alias("p"), F.lit(True).alias("_m")).distinct()
+        ahead = state.select("pid", F.col("p").alias("nxt"), F.col("nxt").alias("_far"))
+        state = state.join(hits, ["pid", "p"], "left").join(ahead, ["pid", "nxt"], "left").select(
+            "pid", "p", F.col("_far").alias("nxt"), (F.col("hit") | F.coalesce("_m", F.lit(False))).alias("hit"),
+        ).checkpoint()
+    firsts = files.where(F.col("p") == F.col("p0")).select("pid", "p")
+    return state.where("hit").select("pid", "p").join(firsts, ["pid", "p"], "left_anti")
 
 
 def _timeline_items(starts: DataFrame, clips: DataFrame, form: DataFrame) -> DataFrame:

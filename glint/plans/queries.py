@@ -435,8 +435,12 @@ def _clip_inputs(spark, sf):
     """Starts, one file per (pid, record, study) - its longest duration,
     negative ones included - and the webcam start."""
     from ..operators.form import first_starts
+    from ..session import ensure_checkpoint_dir
 
-    lg = events_log(spark, sf)
+    # starts and stops are read five times below: derived once
+    ensure_checkpoint_dir(spark)
+    lg = events_log(spark, sf).where(F.col("event").isin("start", "stop")).select(
+        "pid", "record", "study", "event", "timestamp").checkpoint()
     starts = lg.where(F.col("event") == "start").select("pid", "record", "study", "timestamp")
     clips = (
         recording_durations(lg).where(F.col("duration").isNotNull())
