@@ -194,7 +194,7 @@ def reseat(rng, c, others, theta, d, base):
 
 _STATE = (
     "part int, words binary, lens binary, ctx binary, cnt binary, tab binary, top binary, acc binary, "
-    "tables array<long>, customers array<long>, scalars array<long>")
+    "sums binary")
 _KINDS = {"words": np.uint64, "lens": np.uint32, "ctx": np.uint16, "cnt": np.uint32, "tab": np.uint32, "top": np.uint32, "acc": np.float32}
 
 
@@ -209,8 +209,9 @@ def _state_row(part, s: dict, n_ctx: int) -> pa.RecordBatch:
     c0 = _parent(s, word)
     scalars = [c0.sum(), s["top"].sum(), c.sum(), (sums > 0).sum(), *((c[own] == k).sum() for k in (1, 2)), *((c0 == k).sum() for k in (1, 2))]
     per = [np.bincount(s["ctx"], weights=v, minlength=n_ctx).astype(np.int64) for v in (np.where(own, s["tab"], 0), np.where(own, c, 0))]
+    sums = np.concatenate((*per, np.array(scalars, np.int64)))
     cols = [pa.array([part], pa.int32()), *(pa.array([s[k].astype(t).tobytes()], pa.binary()) for k, t in _KINDS.items()),
-            *(pa.array([v.tolist()], pa.list_(pa.int64())) for v in (*per, np.array(scalars, np.int64)))]
+            pa.array([sums.tobytes()], pa.binary())]
     return pa.RecordBatch.from_arrays(cols, [f.split()[0] for f in _STATE.split(", ")])
 
 
@@ -294,17 +295,25 @@ def _sweep(g: dict, n_ctx: int, step: int, sample: bool):
     return sweep
 
 
-def _totals(state: DataFrame, n_ctx: int) -> dict:
-    """One number per context, and eight more: the model's part of the
-    driver's memory is bounded by the number of contexts."""
-    out = {}
-    for name, col, n in (("T", "tables", n_ctx), ("C", "customers", n_ctx), ("S", "scalars", 8)):
-        v = np.zeros(n)
-        for r in state.select(F.posexplode(col).alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect():
-            v[r.i] = r.v
-        out[name] = v
-    out |= {"C0": out["S"][0], "T0": out["S"][1]}
-    return out
+def _added(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for b in it:
+        for raw in b.column(0).to_pylist():
+            v = np.frombuffer(raw, np.int64)
+            total = v if total is None else total + v
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+
+def _totals(state: DataFrame, n_ctx: int, parts: int) -> dict:
+    """Two numbers per context, and eight more, added up in two levels: the
+    driver gets the root of the number of parts as vectors."""
+    some = state.select("sums").repartition(int(parts**0.5) + 1).mapInArrow(_added, "sums binary").collect()
+    v = np.zeros(2 * n_ctx + 8)
+    for r in some:
+        v += np.frombuffer(r.sums, np.int64)
+    out = {"T": v[:n_ctx], "C": v[n_ctx: 2 * n_ctx], "S": v[2 * n_ctx:]}
+    return out | {"C0": out["S"][0], "T0": out["S"][1]}
 
 
 # --- answers --------------------------------------------------------------
@@ -392,7 +401,7 @@ def score_texts(
     asked = chunks.where("part >= 0").select("part", "words", "lens", "ctx", "cnt", "chunk")
     state, path = saved(
         asked.drop("chunk").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merged(n_ctx), _STATE), "state")
-    g = _totals(state, n_ctx)
+    g = _totals(state, n_ctx, parts)
     n, v = g["S"][2], g["S"][3]
     share = lambda a, b: float(np.clip(a / max(1.0, a + 2 * b), 0.05, 0.95))
     fixed = {"d1": share(g["S"][4], g["S"][5]), "d0": share(g["S"][6], g["S"][7]), "th1": 1.0, "th0": 1.0, "base": 1 / (v + 1)}
@@ -402,7 +411,7 @@ def score_texts(
         drop_saved(spark, path)
         state, path = new, new_path
         if step + 1 < burn_in + samples:
-            g = _totals(state, n_ctx)
+            g = _totals(state, n_ctx, parts)
     cols = ["part", "words", "lens", "ctx", "cnt"]
     both = state.select(*cols, "acc", F.lit(None).cast("long").alias("chunk")).unionByName(
         asked.select(*cols, F.lit(None).cast("binary").alias("acc"), "chunk"))
