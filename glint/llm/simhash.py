@@ -66,8 +66,8 @@ def fingerprint(text: bytes | None, size: int, seed: int) -> int:
 def _fingerprints(size: int, seed: int):
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            fp = np.array([fingerprint(t, size, seed) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), size, seed) for t in b.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64())], ["id", "md5", "fp"])
 
     return batches
 
@@ -214,11 +214,11 @@ def link_fingerprints(fps: DataFrame, bits: int = 3) -> DataFrame:
 def simhash_dedup(
     docs: DataFrame, shingle: int = 3, bits: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of `docs`: id (the id column), fp (the fingerprint as
-    a signed long), component_id, and `leader_fp` (the smallest fingerprint
-    of the component)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, fp long"
+    """One row per row of `docs`: id (the id column), md5 (of the text, as
+    `text_key`), fp (the fingerprint as a signed long), component_id, and
+    `leader_fp` (the smallest fingerprint of the component)."""
+    rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("md5"), F.col(text_col).cast("binary").alias("text"))
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, md5 binary, fp long"
     prints = save_table(rows.mapInArrow(_fingerprints(shingle, seed), schema), "prints")
     each = save_table(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
     groups = components(link_fingerprints(each, bits))
@@ -229,26 +229,24 @@ def simhash_dedup(
     per = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.min("fp").alias("leader_fp"), F.count(F.lit(1)).alias("m"))
     named = save_table(
         skew_lookup(joined, per, "root", "m", total, "inner").select("fp", "component_id", "leader_fp", "n"), "named")
-    return skew_lookup(prints, named, "fp", "n", total, "inner").select("id", "fp", "component_id", "leader_fp")
+    return skew_lookup(prints, named, "fp", "n", total, "inner").select("id", "md5", "fp", "component_id", "leader_fp")
+
+
+def text_key(text_col: str):
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of `docs` with one row of each component: the one with the
-    smallest id (among its rows, the smallest fingerprint)."""
+    smallest id (among several with that id, the smallest md5)."""
     found = simhash_dedup(docs, id_col=id_col, text_col=text_col, **kw)
-    best = found.where(same_or_all_null("id", "component_id")).groupBy("id", "component_id", "leader_fp").agg(
-        F.min("fp").alias("fp"))
-    n = kw.get("shingle", 3), kw.get("seed", 42)
-    one = F.pandas_udf(lambda t: t.map(lambda x: np.uint64(fingerprint(x, *n)).astype(np.int64)), "long")
+    best = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id", "leader_fp").agg(
+        F.min("md5").alias("best"))
+    b = best.select(F.col("id").alias("_id"), F.col("best").alias("_best")).distinct()
     own = docs.columns
-    marked = docs.withColumn("_fp", one(F.col(text_col).cast("binary")))
-    b = best.select(F.col("id").alias("_id"), F.col("fp").alias("_best"))
-    kept = marked.join(b, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_best")), "left_semi")
-    return kept.dropDuplicates([id_col, "_fp"]).select(*own)
-
-
-def same_or_all_null(a: str, b: str):
-    return F.col(a).eqNullSafe(F.col(b))
+    marked = docs.withColumn("_md5", text_key(text_col))
+    kept = marked.join(b, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_best")), "left_semi")
+    return kept.dropDuplicates([id_col, "_md5"]).select(*own)
 
 
 def op10_simhash(spark, sf_dir) -> DataFrame:
