@@ -22,6 +22,22 @@ WORD_SPACE = " \t\n\x0b\f\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows sent to a Python worker at once. Texts, pages and packed arrays are
+#: large: the default of 10,000 would hold hundreds of MB in the worker and
+#: again outside the heap of the executor's JVM.
+BATCH_ROWS = 1_000
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session to `BATCH_ROWS` rows and
+    about `BATCH_BYTES`."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder of `spark.checkpoint.dir` and read it
     back: cuts the lineage, and any executor may be lost afterwards."""

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 # Element kinds of HTML.
 RAW = "script style title textarea noscript template svg math iframe object select canvas audio video".split()
 INLINE = frozenset(
@@ -378,6 +380,7 @@ def extract_main(
     """page_id, url, text, n_chars for every row of `pages`. Training reads
     at most `sample_pages` pages of at most `sample_chars` characters, chosen
     by a hash."""
+    small_batches(pages.sparkSession)
     fitting = pages.select(F.col(html_col).alias("html")).where(F.length("html").between(1, sample_chars))
     n = fitting.count()
     share = min(1.0, 2.0 * sample_pages / max(1, n))

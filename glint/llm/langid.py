@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save_table
+from .common import save_table, small_batches
 
 BITS = 15
 DIM = 1 << BITS
@@ -178,6 +178,7 @@ def remainder(key: str, n: int) -> Column:
 
 def language_model(docs: DataFrame, id_col: str = "doc_id", sample_docs: int = 600) -> Model | None:
     """Learned from the rows of `docs` that are not held out."""
+    small_batches(docs.sparkSession)
     train = docs.where(remainder(id_col, 4) != 2)
     return fit(train.select(F.col(id_col).alias("key"), "text", "lang"), sample_docs)
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_SPACE, save_table, skew_lookup
+from .common import WORD_SPACE, save_table, skew_lookup, small_batches
 
 _STRIP = WORD_SPACE.encode()
 
@@ -61,6 +61,7 @@ def line_dedup(
 ) -> DataFrame:
     """Return the rows of `docs` with `kept` (the text without its shared
     lines), `n_lines` and `n_dropped`."""
+    small_batches(docs.sparkSession)
     text = F.col(text_col)
     txt = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
     keyed = docs.select(F.col(id_col).cast("string").alias("id"), txt.alias("txt"), text.cast("binary").alias("text"))

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_saved, n_partitions, save_table, saved
+from .common import drop_saved, n_partitions, save_table, saved, small_batches
 
 CONTEXT_SHARE = 1 / 5_000
 CHUNK_TOKENS = 1_500_000
@@ -402,6 +402,7 @@ def score_texts(
     base_score, score, perplexity. `train`: a boolean column, which rows to
     learn from."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     id_type = rows.schema["id"].dataType.simpleString()

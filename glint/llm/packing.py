@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save_table
+from .common import save_table, small_batches
 
 LONG_RUN = 2_000      # characters without a break
 GROUP_CHARS = 1_000_000  # text encoded before its pieces leave a task
@@ -157,6 +157,7 @@ def token_pieces(
 ) -> DataFrame:
     """doc_id, piece, start, length, ids (binary, little-endian uint32):
     each document's ids and the end id, in pieces of at most `size`."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HEAVY_ROWS, components, n_partitions, save_table, skew_lookup
+from .common import HEAVY_ROWS, components, n_partitions, save_table, skew_lookup, small_batches
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # (shift, bits)
 KEY_BLOCK = 4_096   # rows of one key that meet at once
@@ -217,6 +217,7 @@ def simhash_dedup(
     """One row per row of `docs`: id (the id column), md5 (of the text, as
     `text_key`), fp (the fingerprint as a signed long), component_id, and
     `leader_fp` (the smallest fingerprint of the component)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("md5"), F.col(text_col).cast("binary").alias("text"))
     schema = f"id {rows.schema['id'].dataType.simpleString()}, md5 binary, fp long"
     prints = save_table(rows.mapInArrow(_fingerprints(shingle, seed), schema), "prints")
