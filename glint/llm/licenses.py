@@ -114,9 +114,12 @@ def license_scan(
     unit = clean.select("doc_id", "row", F.inline(every))
     n = F.length("unit") - F.length(F.replace("unit", F.lit(" "), F.lit("")))
     unit = unit.withColumn("n", n).where(fits & (F.col("n") > 0))
+    # the words and the words one further, side by side: the text is split
+    # outside the lambda
     w = F.split("unit", " ")
-    grams = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.concat(w[i], F.lit(" "), w[i + 1]))
-    gram = unit.withColumn("words", w).select("doc_id", "row", "kind", "pos", "n", F.explode(grams).alias("bigram"))
+    grams = F.zip_with(
+        F.slice(w, F.lit(1), F.col("n")), F.slice(w, F.lit(2), F.col("n")), lambda a, b: F.concat(a, F.lit(" "), b))
+    gram = unit.select("doc_id", "row", "kind", "pos", "n", F.explode(grams).alias("bigram"))
     met = gram.join(F.broadcast(known), "bigram").where(F.col("n").between(F.col("low"), F.col("high")))
     common = met.groupBy("doc_id", "row", "kind", "pos", "n", "license", "size", "bigram").agg(
         F.least(F.count(F.lit(1)), F.first("m")).alias("c"))
