@@ -95,10 +95,19 @@ def license_scan(
     rows = template_bigrams(TEMPLATES if templates is None else templates)
     known = spark.createDataFrame(
         [(*r, *bounds(r[3], least)) for r in rows], "license string, bigram string, m int, size int, low int, high int")
-    ranges = sorted({bounds(r[3], least) for r in rows})
-    fits = F.lit(False)
-    for low, high in ranges:
-        fits = fits | F.col("n").between(low, high)
+    ranges: list[list[int]] = []  # of sizes that fit any template, merged
+    for low, high in sorted({bounds(r[3], least) for r in rows}):
+        if ranges and low <= ranges[-1][1] + 1:
+            ranges[-1][1] = max(high, ranges[-1][1])
+        else:
+            ranges.append([low, high])
+
+    def fits(n):
+        out = F.lit(False)
+        for low, high in ranges:
+            out = out | n.between(max(1, low), high)
+        return out
+
     # lower case; everything but letters, digits and line ends is one space
     text = F.regexp_replace(F.lower(F.col(text_col)), r"[^\p{L}\p{N}\n]+", " ")
     text = F.regexp_replace(text, r" ?\n ?", "\n")
@@ -107,13 +116,14 @@ def license_scan(
 
     def units(kind: int, parts):
         parts = F.filter(F.transform(parts, lambda x: F.trim(F.replace(x, F.lit("\n"), F.lit(" ")))), lambda x: x != "")
-        return F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), x.alias("unit")))
+        sized = F.transform(parts, lambda x, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("pos"), x.alias("unit"),
+            (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))).alias("n")))
+        return F.filter(sized, lambda u: fits(u["n"]))
 
     every = F.concat(
         units(0, F.array("text")), units(1, F.split("text", r"\n\n+")), units(2, F.split("text", r"\n")))
     unit = clean.select("doc_id", "row", F.inline(every))
-    n = F.length("unit") - F.length(F.replace("unit", F.lit(" "), F.lit("")))
-    unit = unit.withColumn("n", n).where(fits & (F.col("n") > 0))
     # the words and the words one further, side by side: the text is split
     # outside the lambda
     w = F.split("unit", " ")
