@@ -1,12 +1,11 @@
 """Language-model scoring by a hierarchical Pitman-Yor process.
 
-Model. Every frequent word, and the start of a text, is a context with a
-restaurant of its own; all context restaurants share one parent restaurant
-over single words, whose base is uniform over the vocabulary and one unknown
-word. A token after a rare word is a customer of the parent directly. A word
-is a context if it makes up at least `CONTEXT_SHARE` of the training tokens,
-so there are at most 1 / CONTEXT_SHARE contexts at any corpus size; words
-and (context, word) pairs are all kept and grow with the corpus.
+Model. Every word, and the start of a text, is a context with a restaurant of
+its own; all context restaurants share one parent restaurant over single
+words, whose base is uniform over the vocabulary and one unknown word. A
+context without training tokens is an empty restaurant: its tokens are scored
+by the parent. Words, contexts and (context, word) pairs are all kept and grow
+with the corpus; nothing is chosen by a count.
 
 Sampling. The seating is sampled by Gibbs sweeps: all customers of a dish in
 a restaurant leave and are seated again one after the other, given the rest
@@ -15,16 +14,19 @@ one is drawn at once (the Beta-geometric law of that urn), so a dish costs as
 many steps as it has tables, not customers. As sequential seating is not
 quite the conditional, two seatings are drawn and one is chosen by its
 importance weight. Predictive probabilities are averaged over the sweeps
-after the burn-in.
+after the burn-in. A pair that was seen once has one table in every seating,
+so only pairs seen more often are state of the sweeps.
 
-Distribution. Words are dealt to parts by a hash. A task turns a chunk of
-texts into the chunk's distinct (word, context) pairs with training counts -
+Distribution. Hashes are dealt to parts; a part holds its words with all their
+pairs, and the totals of the contexts with these hashes. A task turns a chunk
+of texts into the chunk's distinct (word, context) pairs with training counts -
 sent to the parts as arrays, one row per (chunk, part), so even the most
-common word is one small entry per chunk - and a stream of pair numbers that
-stays with the chunk. A part holds all pairs of its words, so the parent
-needs no shuffle; only the restaurants' totals (one number per context) are
-added up between sweeps. At the end each part answers every chunk with
-probabilities, and the chunk sums them over its stream.
+common word is one small entry per chunk - and a stream of word numbers that
+stays with the chunk. The parent needs no shuffle. Before each sweep the
+parts send the tables of their contexts, as arrays, to the parts that hold
+the contexts' totals, and get the totals back; the driver sees eight sums. At
+the end each part answers every chunk with its words' and contexts' factors
+and its pairs' own shares, and the chunk puts them together over its stream.
 
 Defined cases: null and empty texts are the end token alone; repeated rows
 are scored, and learned from, separately; a null id is never held out; with
@@ -32,7 +34,7 @@ no training text every token is unknown; an empty table gives no row."""
 
 from __future__ import annotations
 
-from collections import Counter
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,12 +46,10 @@ from pyspark.sql import functions as F
 
 from .common import drop_saved, n_partitions, save_table, saved, small_batches
 
-CONTEXT_SHARE = 1 / 5_000
 CHUNK_TOKENS = 1_500_000
 PART_TOKENS = 2_000_000
 CACHED_WORDS = 400_000
-END = 0        # the end token's word hash
-RARE, START = 0, 1  # context numbers; frequent words follow
+END = 0  # the end token's word hash; as a context, the start of a text
 
 _known: dict[bytes, int] = {}
 
@@ -64,68 +64,48 @@ def hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
-# --- contexts -------------------------------------------------------------
+# --- chunks ---------------------------------------------------------------
 
-def _frequent(share: float):
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(hash or null, count): words that are frequent in this partition
-        by a low mark, and the number of tokens. Lossy counting: what is
-        dropped from the counter is below the mark."""
-        seen, tokens, dropped = Counter(), 0, 0
-        for b in it:
-            for t in b.column(0).to_pylist():
-                words = (t or b"").lower().split()
-                tokens += len(words) + 1
-                seen.update(words)
-                if len(seen) > 500_000:
-                    dropped = int(share / 8 * tokens)
-                    seen = Counter({w: n for w, n in seen.items() if n > max(1, dropped)})
-        rows = [(xxhash.xxh64_intdigest(w) or 1, n) for w, n in seen.items() if n >= max(2, share / 4 * tokens)]
-        h = np.array([r[0] for r in rows], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None, *h.tolist()], pa.int64()), pa.array([tokens, *(r[1] for r in rows)], pa.int64())], ["h", "n"])
+def _tokens(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of tokens of this partition."""
+    n = sum(len((t or b"").split()) + 1 for b in it for t in b.column(0).to_pylist())
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
-    return count
 
+def _pairs(r: np.ndarray, ns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of texts -> the distinct word << 32 | context, sorted,
+    and each token's place among them."""
+    c = np.empty_like(r)
+    c[1:] = r[:-1]
+    c[np.concatenate(([0], np.cumsum(ns, dtype=np.int64)[:-1]))] = r[-1]  # END
+    return np.unique(r << 32 | c, return_inverse=True)
 
-# --- chunks ---------------------------------------------------------------
 
-def _chunks(contexts: np.ndarray, parts: int, kind: pa.DataType):
+def _chunks(parts: int, kind: pa.DataType):
     """(id, text, train) -> stream rows (part -1) and request rows."""
-    order = np.argsort(contexts)
-    heavy, number = contexts[order], (order + 2).astype(np.uint16)
-
-    def context(h: np.ndarray) -> np.ndarray:
-        if not len(heavy):
-            return np.zeros(len(h), np.uint16)
-        at = np.minimum(np.searchsorted(heavy, h), len(heavy) - 1)
-        return np.where(heavy[at] == h, number[at], RARE).astype(np.uint16)
-
     names = ["chunk", "part", "ids", "ns", "idx", "words", "lens", "ctx", "cnt"]
     types = [pa.int64(), pa.int32(), pa.list_(kind), *[pa.binary()] * 6]
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, ids, toks, ctxs, train = 0, [], [], [], []
+        made, ids, toks, train = 0, [], [], []
 
         def flush():
-            nonlocal made, ids, toks, ctxs, train
+            nonlocal made, ids, toks, train
             chunk = TaskContext.get().partitionId() << 32 | made
             made += 1
-            h, c = np.concatenate(toks), np.concatenate(ctxs)
             ns = np.array([len(t) for t in toks], np.uint32)
-            learn = np.repeat(np.array(train, bool), ns)
-            words, at = np.unique(h, return_inverse=True)
+            words, at = np.unique(np.concatenate(toks), return_inverse=True)
             part = (words % np.uint64(parts)).astype(np.int64)
             by = np.lexsort((words, part))
             rank = np.empty(len(words), np.int64)
             rank[by] = np.arange(len(words))
-            pairs, idx = np.unique(rank[at] << 16 | c, return_inverse=True)
-            cnt = np.bincount(idx, weights=learn, minlength=len(pairs)).astype(np.uint32)
+            r = rank[at]
+            pairs, idx = _pairs(r, ns)
+            cnt = np.bincount(idx, weights=np.repeat(np.array(train, bool), ns), minlength=len(pairs)).astype(np.uint32)
             word, part = words[by], part[by]
-            owner = pairs >> 16
-            lens = np.bincount(owner, minlength=len(word)).astype(np.uint32)
-            ctx = (pairs & 0xFFFF).astype(np.uint16)
-            rows = [(chunk, -1, ids, ns.tobytes(), _shrunk(idx, ns), None, None, None, None)]
+            lens = np.bincount(pairs >> 32, minlength=len(word)).astype(np.uint32)
+            ctx = word[pairs & 0xFFFFFFFF]
+            rows = [(chunk, -1, ids, ns.tobytes(), _shrunk(r), None, None, None, None)]
             cut = np.searchsorted(part, np.arange(parts + 1))
             upto = np.concatenate(([0], np.cumsum(lens, dtype=np.int64)))
             for p in range(parts):
@@ -133,7 +113,7 @@ def _chunks(contexts: np.ndarray, parts: int, kind: pa.DataType):
                 if a < b:
                     x, y = upto[a], upto[b]
                     rows.append((chunk, p, None, None, None, word[a:b].tobytes(), lens[a:b].tobytes(), ctx[x:y].tobytes(), cnt[x:y].tobytes()))
-            ids, toks, ctxs, train = [], [], [], []
+            ids, toks, train = [], [], []
             return pa.RecordBatch.from_arrays([pa.array(list(v), t) for v, t in zip(zip(*rows), types)], names)
 
         held = 0
@@ -142,7 +122,6 @@ def _chunks(contexts: np.ndarray, parts: int, kind: pa.DataType):
                 h = np.append(hashes((t or b"").lower().split()), np.uint64(END))
                 ids.append(i)
                 toks.append(h)
-                ctxs.append(np.concatenate((np.array([START], np.uint16), context(h[:-1]))))
                 train.append(learn)
                 held += len(h)
                 if held >= CHUNK_TOKENS:
@@ -154,21 +133,13 @@ def _chunks(contexts: np.ndarray, parts: int, kind: pa.DataType):
     return split
 
 
-def _shrunk(idx: np.ndarray, ns: np.ndarray) -> bytes:
-    """Pair numbers of each document as sorted steps (their order doesn't
-    matter for a sum), stored by byte planes, which compress well."""
-    doc = np.repeat(np.arange(len(ns)), ns)
-    idx = idx[np.lexsort((idx, doc))]
-    step = np.diff(idx, prepend=0)
-    first = np.concatenate(([0], np.cumsum(ns, dtype=np.int64)[:-1]))
-    step[first] = idx[first]
-    return step.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _shrunk(r: np.ndarray) -> bytes:
+    """Word numbers by byte planes, which compress well."""
+    return r.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _grown(raw: bytes, ns: np.ndarray) -> np.ndarray:
-    step = np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
-    total, first = np.cumsum(step), np.concatenate(([0], np.cumsum(ns)[:-1]))
-    return total - np.repeat(total[first] - step[first], ns)
+def _grown(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
 
 
 _CHUNK = "chunk long, part int, ids array<{}>, ns binary, idx binary, words binary, lens binary, ctx binary, cnt binary"
@@ -209,155 +180,241 @@ def reseat(rng, c, others, theta, d, base):
     return np.where(rng.random(len(c)) < 1 / (1 + np.exp(np.clip(w2 - w1, -700, 700))), t1, t2)
 
 
-_STATE = (
-    "part int, words binary, lens binary, ctx binary, cnt binary, tab binary, top binary, acc binary, "
-    "sums binary")
-_KINDS = {"words": np.uint64, "lens": np.uint32, "ctx": np.uint16, "cnt": np.uint32, "tab": np.uint32, "top": np.uint32, "acc": np.float32}
+# --- parts ----------------------------------------------------------------
+
+# Rows between parts: the part that reads it, what it is, where it comes from,
+# arrays by name and (STATE) eight numbers for the driver's sums. In this
+# order a part reads them.
+_ROW = "part int, kind int, src long, data binary, v array<long>"
+PAIRS, STATE, TOTALS, TABLES, REPLY, FACTOR, ASKED = range(7)
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    """(part, kind, src, arrays, numbers or None)"""
+    part, kind, src, data, v = zip(*rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(src, pa.int64()),
+         pa.array([pickle.dumps(d, 5) for d in data], pa.binary()), pa.array(v, pa.list_(pa.int64()))],
+        [f.split()[0] for f in _ROW.split(", ")])
+
+
+def _by_part(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list]]]:
+    """Rows sorted by part, kind, src -> each part's (src, arrays) by kind."""
+    part, held = None, {}
+    for b in it:
+        for p, kind, src, data in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if p != part:
+                if held:
+                    yield part, held
+                part, held = p, {}
+            held.setdefault(kind, []).append((src, pickle.loads(data)))
+    if held:
+        yield part, held
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "kind", "src")
+
+
+def _to_parts(kind: int, part: int, parts: int, u: np.ndarray, **arrays) -> list[tuple]:
+    """Arrays over contexts sorted by part, hash -> one row per part."""
+    cut = np.searchsorted((u % np.uint64(parts)).astype(np.int64), np.arange(parts + 1))
+    return [(c, kind, part, {"u": u[a:b]} | {k: v[a:b] for k, v in arrays.items()}, None)
+            for c, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+
+
+def _contexts(ctx: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct contexts sorted by part, hash, and each one's place."""
+    u, at = np.unique(ctx, return_inverse=True)
+    by = np.lexsort((u, u % np.uint64(parts)))
+    place = np.empty(len(u), np.int64)
+    place[by] = np.arange(len(u))
+    return u[by], place[at].astype(np.uint32)
 
 
-def _state_row(part, s: dict, n_ctx: int) -> pa.RecordBatch:
-    """With the totals: per context tables and customers; scalars are the
-    parent's customers and tables, training tokens, vocabulary, and how many
-    pairs and words count once and twice."""
-    c = s["cnt"].astype(np.int64)
-    own = s["ctx"] > 0
-    word = np.repeat(np.arange(len(s["words"])), s["lens"])
-    sums = np.bincount(word, weights=c, minlength=len(s["words"]))
-    c0 = _parent(s, word)
-    scalars = [c0.sum(), s["top"].sum(), c.sum(), (sums > 0).sum(), *((c[own] == k).sum() for k in (1, 2)), *((c0 == k).sum() for k in (1, 2))]
-    per = [np.bincount(s["ctx"], weights=v, minlength=n_ctx).astype(np.int64) for v in (np.where(own, s["tab"], 0), np.where(own, c, 0))]
-    sums = np.concatenate((*per, np.array(scalars, np.int64)))
-    cols = [pa.array([part], pa.int32()), *(pa.array([s[k].astype(t).tobytes()], pa.binary()) for k, t in _KINDS.items()),
-            pa.array([sums.tobytes()], pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, [f.split()[0] for f in _STATE.split(", ")])
+def _summed(at: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(at, weights=v, minlength=n).astype(np.int64)
 
 
-def _parent(s: dict, word: np.ndarray) -> np.ndarray:
-    """The parent's customers per word: tables of the contexts, and tokens
-    after rare words."""
-    served = np.where(s["ctx"] > 0, s["tab"], s["cnt"]).astype(float)
-    return np.bincount(word, weights=served, minlength=len(s["words"])).astype(np.int64)
+def _customers(s: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The word of each pair of the state, and the parent's customers per
+    word: the tables of all contexts."""
+    word = np.repeat(np.arange(len(s["one"])), s["lens"])
+    return word, s["one"] + _summed(word, s["tab"], len(s["one"]))
 
 
-def _merged(n_ctx: int):
+def _merged(parts: int):
     def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Request rows sorted by part -> one state row per part, with one
-        table per dish."""
+        """Request rows sorted by part -> the part's training pairs, its
+        state with one table per dish, and its contexts' totals and tables."""
         part, held = None, []
 
         def close():
-            words, lens, ctx, cnt = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in enumerate((np.uint64, np.uint32, np.uint16, np.uint32)))
-            names, at = np.unique(words, return_inverse=True)
-            pairs, to = np.unique(np.repeat(at, lens) << 16 | ctx, return_inverse=True)
-            n = np.bincount(to, weights=cnt, minlength=len(pairs)).astype(np.uint32)
-            s = {"words": names, "lens": np.bincount(pairs >> 16, minlength=len(names)).astype(np.uint32),
-                 "ctx": (pairs & 0xFFFF).astype(np.uint16), "cnt": n, "acc": np.zeros(len(pairs), np.float32)}
-            s["tab"] = ((n > 0) & (s["ctx"] > 0)).astype(np.uint32)
-            s["top"] = np.zeros(len(names), np.uint32)
-            s["top"] = (_parent(s, np.repeat(np.arange(len(names)), s["lens"])) > 0).astype(np.uint32)
-            return _state_row(part, s, n_ctx)
+            words, lens, ctx, cnt = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in enumerate((np.uint64, np.uint32, np.uint64, np.uint32)))
+            seen = cnt > 0
+            words, ctx, cnt = np.repeat(words, lens)[seen], ctx[seen], cnt[seen]
+            if not len(cnt):
+                return None
+            words, at = np.unique(words, return_inverse=True)
+            known, c = np.unique(ctx, return_inverse=True)
+            pairs, to = np.unique(at << 32 | c, return_inverse=True)
+            n = _summed(to, cnt, len(pairs)).astype(np.uint32)
+            ctx, word = known[pairs & 0xFFFFFFFF], pairs >> 32
+            rows = [(part, PAIRS, part, {
+                "words": words, "lens": np.bincount(word, minlength=len(words)).astype(np.uint32), "ctx": ctx, "cnt": n}, None)]
+            u, c = _contexts(ctx, parts)
+            rows += _to_parts(TOTALS, part, parts, u, one=_summed(c, n == 1, len(u)).astype(np.uint32), all=_summed(c, n, len(u)))
+            more = n > 1
+            u, c = _contexts(ctx[more], parts)
+            s = {"one": _summed(word, n == 1, len(words)), "lens": np.bincount(word[more], minlength=len(words)).astype(np.uint32),
+                 "u": u, "c": c, "cnt": n[more], "tab": np.ones(more.sum(), np.uint32), "top": np.ones(len(words), np.uint32),
+                 "own": np.zeros(more.sum(), np.float32), "p0": []}
+            c0 = _customers(s)[1]
+            v = [c0.sum(), len(words), n.sum(dtype=np.int64), len(words), *((n == k).sum() for k in (1, 2)), *((c0 == k).sum() for k in (1, 2))]
+            return _rows([*rows, (part, STATE, part, s, list(map(int, v))), *_tables(part, parts, s)])
 
         for b in it:
             for p, *r in zip(*(b.column(i).to_pylist() for i in range(5))):
                 if p != part:
-                    if held:
-                        yield close()
+                    if held and (out := close()):
+                        yield out
                     part, held = p, []
                 held.append(r)
-        if held:
-            yield close()
+        if held and (out := close()):
+            yield out
 
     return merge
 
 
-def _read(b: pa.RecordBatch, i: int) -> dict:
-    return {k: np.frombuffer(b.column(1 + j)[i].as_py(), t) for j, (k, t) in enumerate(_KINDS.items())}
+def _tables(part: int, parts: int, s: dict) -> list[tuple]:
+    return _to_parts(TABLES, part, parts, s["u"], t=_summed(s["c"], s["tab"], len(s["u"])).astype(np.uint32))
+
+
+def _context_totals(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Totals rows of all parts -> one a part: customers, and tables of pairs
+    seen once."""
+    for part, held in _by_part(it):
+        rows = [d for _, d in held[TOTALS]]
+        u, at = np.unique(np.concatenate([d["u"] for d in rows]), return_inverse=True)
+        one, every = (_summed(at, np.concatenate([d[k] for d in rows]), len(u)) for k in ("one", "all"))
+        yield _rows([(part, TOTALS, part, {"u": u, "one": one, "all": every}, None)])
+
+
+def _exchange(g: dict, step: int, sample: bool):
+    def exchange(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every part's tables added up by context, and sent back."""
+        for part, held in _by_part(it):
+            k = held[TOTALS][0][1]
+            tables = k["one"].copy()
+            asked = [(src, np.searchsorted(k["u"], d["u"]), d["t"]) for src, d in held.get(TABLES, [])]
+            for _, at, t in asked:
+                tables[at] += t
+            for src, at, _ in asked:
+                yield _rows([(src, REPLY, part, {"T": tables[at]}, None)])
+            if sample:
+                a = (g["th1"] + g["d1"] * tables) / (g["th1"] + k["all"])
+                yield _rows([(part, FACTOR, step, {"a": a.astype(np.float32)}, None)])
+
+    return exchange
 
 
-def predictive(s: dict, word: np.ndarray, g: dict) -> tuple[np.ndarray, np.ndarray]:
-    """The parent's probability per word, and each pair's."""
-    c0 = _parent(s, word)
-    p0 = (np.maximum(c0 - g["d0"] * s["top"], 0) + (g["th0"] + g["d0"] * g["T0"]) * g["base"]) / (g["th0"] + g["C0"])
-    u, pw = s["ctx"], p0[word]
-    own = (np.maximum(s["cnt"] - g["d1"] * s["tab"], 0) + (g["th1"] + g["d1"] * g["T"][u]) * pw) / (g["th1"] + g["C"][u])
-    return p0, np.where((u > 0) & (g["C"][u] > 0), own, pw)
+def _unseen(g: dict) -> float:
+    """The parent's probability of a word without customers."""
+    return (g["th0"] + g["d0"] * g["T0"]) * g["base"] / (g["th0"] + g["C0"])
 
 
-def _sweep(g: dict, n_ctx: int, step: int, sample: bool):
+def _recorded(s: dict, g: dict) -> dict:
+    """The state with this seating's share of the averages: the parent's
+    probability per word, and what each pair has in its own restaurant."""
+    c0 = _customers(s)[1]
+    p0 = np.maximum(c0 - g["d0"] * s["top"], 0) / (g["th0"] + g["C0"]) + _unseen(g)
+    own = s["own"] + np.maximum(s["cnt"] - g["d1"] * s["tab"], 0).astype(np.float32)
+    return s | {"p0": [*s["p0"], p0.astype(np.float32)], "own": own}
+
+
+def _sweep(g: dict, parts: int, step: int, sample: bool):
     def sweep(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            for i in range(b.num_rows):
-                part, s = b.column(0)[i].as_py(), _read(b, i)
-                rng = np.random.default_rng([step, part])
-                word = np.repeat(np.arange(len(s["words"])), s["lens"])
-                p0, p = predictive(s, word, g)
-                if sample:
-                    s["acc"] = s["acc"] + p.astype(np.float32)
-                tab = s["tab"].astype(np.int64)
-                pick = np.flatnonzero((s["ctx"] > 0) & (s["cnt"] > 1))
-                w, u = word[pick], s["ctx"][pick]
+        for part, held in _by_part(it):
+            s = held[STATE][0][1]
+            if sample:
+                s = _recorded(s, g)
+            rng = np.random.default_rng([step, part])
+            word, c0 = _customers(s)
+            tab, top = s["tab"].astype(np.int64), s["top"].astype(np.int64)
+            if len(tab):
+                total = np.concatenate([d["T"] for _, d in held[REPLY]])[s["c"]]
                 # the parent without this dish's tables
-                c0 = _parent(s, word)
-                free = np.maximum(c0[w] - tab[pick] - g["d0"] * s["top"][w], 0)
-                base = (free + (g["th0"] + g["d0"] * g["T0"]) * g["base"]) / (g["th0"] + np.maximum(g["C0"] - tab[pick], 0))
-                tab[pick] = reseat(rng, s["cnt"][pick].astype(np.int64), g["T"][u] - tab[pick], g["th1"], g["d1"], base)
-                s["tab"] = tab.astype(np.uint32)
-                c0, top = _parent(s, word), s["top"].astype(np.int64)
-                pick = np.flatnonzero(c0 > 1)
-                top[c0 == 1] = 1
-                top[pick] = reseat(rng, c0[pick], g["T0"] - top[pick], g["th0"], g["d0"], np.full(len(pick), g["base"]))
-                s["top"] = top.astype(np.uint32)
-                yield _state_row(part, s, n_ctx)
+                free = np.maximum(c0[word] - tab - g["d0"] * top[word], 0)
+                base = (free + (g["th0"] + g["d0"] * g["T0"]) * g["base"]) / (g["th0"] + np.maximum(g["C0"] - tab, 0))
+                tab = reseat(rng, s["cnt"].astype(np.int64), total - tab, g["th1"], g["d1"], base)
+            s["tab"] = tab.astype(np.uint32)
+            c0 = _customers(s)[1]
+            pick = np.flatnonzero(c0 > 1)
+            top[c0 == 1] = 1
+            top[pick] = reseat(rng, c0[pick], g["T0"] - top[pick], g["th0"], g["d0"], np.full(len(pick), g["base"]))
+            s["top"] = top.astype(np.uint32)
+            yield _rows([(part, STATE, part, s, [int(c0.sum()), int(top.sum()), *[0] * 6]), *_tables(part, parts, s)])
 
     return sweep
 
 
-def _added(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
-    for b in it:
-        for raw in b.column(0).to_pylist():
-            v = np.frombuffer(raw, np.int64)
-            total = v if total is None else total + v
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+def _numbers(state: DataFrame) -> list[int]:
+    return [x or 0 for x in state.where(F.col("kind") == STATE).agg(*[F.sum(F.col("v")[i]) for i in range(8)]).first()]
 
 
-def _totals(state: DataFrame, n_ctx: int, parts: int) -> dict:
-    """Two numbers per context, and eight more, added up in two levels: the
-    driver gets the root of the number of parts as vectors."""
-    some = state.select("sums").repartition(int(parts**0.5) + 1).mapInArrow(_added, "sums binary").collect()
-    v = np.zeros(2 * n_ctx + 8)
-    for r in some:
-        v += np.frombuffer(r.sums, np.int64)
-    out = {"T": v[:n_ctx], "C": v[n_ctx: 2 * n_ctx], "S": v[2 * n_ctx:]}
-    return out | {"C0": out["S"][0], "T0": out["S"][1]}
+# --- answers --------------------------------------------------------------
 
+def _answers(gs: list[dict]):
+    """`gs`: the sums of each sample, in order."""
+    n = len(gs)
+    unseen = np.array([[_unseen(g)] for g in gs], np.float32)
+    d1, th1 = gs[0]["d1"], gs[0]["th1"]
 
-# --- answers --------------------------------------------------------------
+    def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(table, keys), max(len(table) - 1, 0))
+        return at, table[at] == keys if len(table) else np.zeros(len(keys), bool)
 
-def _answers(samples: int):
     def answer(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by part, the state row of a part first."""
-        s = keys = logs = sums = None
+        """Rows sorted by part, a part's own rows before what it is asked."""
+        part = None
         for b in it:
             out = []
-            for i in range(b.num_rows):
-                raw = {k: b.column(k)[i].as_py() for k in ("chunk", "part", "words", "lens", "ctx", "cnt", "acc")}
-                get = lambda k: np.frombuffer(raw[k], _KINDS[k])  # noqa: B023, E731
-                words, lens, ctx = get("words"), get("lens"), get("ctx")
-                if raw["acc"] is not None:
-                    word = np.repeat(np.arange(len(words)), lens)
-                    s, keys = words, word << 16 | ctx
-                    sums = np.bincount(word, weights=get("cnt"), minlength=len(words)).astype(np.uint64)
-                    logs = np.log10(np.maximum(get("acc").astype(float) / samples, 1e-300))
+            for p, kind, src, data, *raw in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if p != part:
+                    part, m, s, k, a = p, None, None, None, []
+                if kind == PAIRS:
+                    m = pickle.loads(data)
+                    word = np.repeat(np.arange(len(m["words"])), m["lens"])
+                    sums = _summed(word, m["cnt"], len(m["words"]))
+                    known, c = np.unique(m["ctx"], return_inverse=True)
+                    keys, own = word << 32 | c, np.full(len(word), 1 - d1, np.float32)
+                elif kind == STATE:
+                    s = _recorded(pickle.loads(data), gs[-1])
+                    own[m["cnt"] > 1] = s["own"] / n
+                    p0 = np.stack(s["p0"])
+                elif kind == TOTALS:
+                    k = pickle.loads(data)
+                elif kind == FACTOR:
+                    a.append(pickle.loads(data)["a"])
+                if kind != ASKED:
                     continue
-                at = np.searchsorted(s, words)
-                to = np.searchsorted(keys, np.repeat(at, lens) << 16 | ctx)
-                out.append((raw["chunk"], raw["part"], logs[to].astype(np.float32).tobytes(), raw["lens"], sums[at].tobytes()))
+                words, lens, ctx = (np.frombuffer(x, t) for x, t in zip(raw, (np.uint64, np.uint32, np.uint64)))
+                reply = {"p0": np.repeat(unseen, len(words), 1), "known": np.zeros(len(words), np.int64),
+                         "a": np.ones((n, len(words)), np.float32), "b": np.full(len(words), 1 / th1, np.float32), "own": np.zeros(len(ctx), np.float32)}
+                if m:
+                    at, hit = find(m["words"], words)
+                    reply["p0"][:, hit], reply["known"][hit] = p0[:, at[hit]], sums[at[hit]]
+                    c, met = find(known, ctx)
+                    to, same = find(keys, np.repeat(at, lens) << 32 | c)
+                    same &= met & np.repeat(hit, lens)
+                    reply["own"][same] = own[to[same]]
+                if k:
+                    at, hit = find(k["u"], words)
+                    reply["a"][:, hit], reply["b"][hit] = np.stack(a)[:, at[hit]], 1 / (th1 + k["all"][at[hit]])
+                out.append((src, p, pickle.dumps(reply, 5)))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(v), t) for v, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-                    ["chunk", "part", "logs", "lens", "known"])
+                    [pa.array(v, t) for v, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], ["chunk", "part", "data"])
 
     return answer
 
@@ -368,27 +425,31 @@ def _scored(tokens: float, vocabulary: float, kind: pa.DataType):
     types = [kind, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, logs, known = None, [], []
+        head, replies = None, []
 
         def close():
-            ids, ns, idx = head
-            ns = np.frombuffer(ns, np.uint32).astype(np.int64)
-            idx = _grown(idx, ns)
-            log, n = np.concatenate(logs).astype(float), np.concatenate(known)
-            base = np.log10((n + 0.5) / (tokens + 0.5 * (vocabulary + 1)))
+            ids, ns, r = head
+            ns, r = np.frombuffer(ns, np.uint32).astype(np.int64), _grown(r)
+            p0, known, a, b, own = (np.concatenate([x[k] for x in replies], -1) for k in ("p0", "known", "a", "b", "own"))
+            pairs, idx = _pairs(r, ns)
+            w, c = pairs >> 32, pairs & 0xFFFFFFFF
+            p = b[c].astype(float) * own
+            for x, y in zip(a, p0):
+                p += x[c].astype(float) * y[w] / len(a)
+            log = np.log10(np.maximum(p, 1e-300))
+            base = np.log10((known + 0.5) / (tokens + 0.5 * (vocabulary + 1)))
             at = np.concatenate(([0], np.cumsum(ns)[:-1]))
-            sums = [np.add.reduceat(v, at) for v in ((n > 0)[idx].astype(np.int64), base[idx], log[idx])]
+            sums = [np.add.reduceat(v, at) for v in ((known > 0)[r].astype(np.int64), base[r], log[idx])]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((ids, ns, *sums), types)], names)
 
-        for b in it:
-            for chunk, part, ids, ns, idx, lg, lens, kn in zip(*(b.column(i).to_pylist() for i in range(8))):
+        for batch in it:
+            for chunk, part, ids, ns, r, data in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if part == -1:
                     if head:
                         yield close()
-                    head, logs, known = (ids, ns, idx), [], []
+                    head, replies = (ids, ns, r), []
                 else:
-                    logs.append(np.frombuffer(lg, np.float32))
-                    known.append(np.repeat(np.frombuffer(kn, np.uint64), np.frombuffer(lens, np.uint32)).astype(float))
+                    replies.append(pickle.loads(data))
         if head:
             yield close()
 
@@ -407,39 +468,47 @@ def score_texts(
         F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     id_type = rows.schema["id"].dataType.simpleString()
     kind = rows.limit(0).toArrow().schema.field("id").type
-    freq = rows.where("train").select("text").mapInArrow(_frequent(CONTEXT_SHARE), "h long, n long")
-    freq = save_table(freq.groupBy("h").agg(F.sum("n").alias("n")), "frequent")
-    first = freq.where("h is null").first()
-    tokens = first.n if first else 0
-    found = freq.where(F.col("h").isNotNull() & (F.col("n") >= CONTEXT_SHARE * tokens)).orderBy("h").collect()
-    contexts = np.array([r.h for r in found], np.int64).view(np.uint64)
-    n_ctx = len(contexts) + 2
+    tokens = rows.where("train").select("text").mapInArrow(_tokens, "n long").agg(F.sum("n")).first()[0] or 0
     width = n_partitions(spark)
     parts = max(width, -(-tokens // PART_TOKENS))
-    chunks = save_table(rows.mapInArrow(_chunks(contexts, parts, kind), _CHUNK.format(id_type)), "chunks")
-    asked = chunks.where("part >= 0").select("part", "words", "lens", "ctx", "cnt", "chunk")
-    state, path = saved(
-        asked.drop("chunk").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merged(n_ctx), _STATE), "state")
-    g = _totals(state, n_ctx, parts)
-    n, v = g["S"][2], g["S"][3]
+    chunks = save_table(rows.mapInArrow(_chunks(parts, kind), _CHUNK.format(id_type)), "chunks")
+    asked = chunks.where("part >= 0")
+    merged = save_table(
+        asked.select("part", "words", "lens", "ctx", "cnt").repartitionById(parts, "part").mapInArrow(_merged(parts), _ROW), "merged")
+    of = lambda t, *kinds: t.where(F.col("kind").isin(*kinds))
+    totals = save_table(_dealt(of(merged, TOTALS), parts).mapInArrow(_context_totals, _ROW), "totals")
+    state, path = merged, None
+    first = _numbers(state)
+    n, v = first[2:4]
     share = lambda a, b: float(np.clip(a / max(1.0, a + 2 * b), 0.05, 0.95))
-    fixed = {"d1": share(g["S"][4], g["S"][5]), "d0": share(g["S"][6], g["S"][7]), "th1": 1.0, "th0": 1.0, "base": 1 / (v + 1)}
+    fixed = {"d1": share(*first[4:6]), "d0": share(*first[6:8]), "th1": 1.0, "th0": 1.0, "base": 1 / (v + 1)}
+    gs, factors = [], []
     for step in range(burn_in + samples):
-        # totals of all parts are brought together before each sweep
-        new, new_path = saved(state.mapInArrow(_sweep(g | fixed, n_ctx, step, step >= burn_in), _STATE), "state")
-        drop_saved(spark, path)
-        state, path = new, new_path
+        c0, t0 = _numbers(state)[:2]
+        g, sample = fixed | {"C0": c0, "T0": t0}, step >= burn_in
+        back, back_path = saved(
+            _dealt(totals.unionByName(of(state, TABLES)), parts).mapInArrow(_exchange(g, step, sample), _ROW), "tables")
+        if sample:
+            gs.append(g)
+            factors.append(of(back, FACTOR))
         if step + 1 < burn_in + samples:
-            g = _totals(state, n_ctx, parts)
-    cols = ["part", "words", "lens", "ctx", "cnt"]
-    both = state.select(*cols, "acc", F.lit(None).cast("long").alias("chunk")).unionByName(
-        asked.select(*cols, F.lit(None).cast("binary").alias("acc"), "chunk"))
-    answers = both.repartition(parts, "part").sortWithinPartitions("part", F.col("acc").isNull()).mapInArrow(
-        _answers(samples), "chunk long, part int, logs binary, lens binary, known binary")
+            new, new_path = saved(
+                _dealt(of(state, STATE).unionByName(of(back, REPLY)), parts).mapInArrow(_sweep(g, parts, step, sample), _ROW), "state")
+            if path:
+                drop_saved(spark, path)
+            state, path = new, new_path
+        if not sample:
+            drop_saved(spark, back_path)
     none = lambda *names: [F.lit(None).cast("binary").alias(x) for x in names]
-    streams = chunks.where("part = -1").select("chunk", "part", "ids", "ns", "idx", *none("logs", "lens", "known"))
-    answers = answers.select(
-        "chunk", "part", F.lit(None).cast(f"array<{id_type}>").alias("ids"), *none("ns", "idx"), "logs", "lens", "known")
+    own = of(merged, PAIRS).unionByName(of(state, STATE)).unionByName(totals)
+    for f in factors:
+        own = own.unionByName(f)
+    both = own.drop("v").select("*", *none("words", "lens", "ctx")).unionByName(
+        asked.select("part", F.lit(ASKED).alias("kind"), F.col("chunk").alias("src"), *none("data"), "words", "lens", "ctx"))
+    answers = _dealt(both, parts).select("part", "kind", "src", "data", "words", "lens", "ctx").mapInArrow(
+        _answers(gs), "chunk long, part int, data binary")
+    streams = chunks.where("part = -1").select("chunk", "part", "ids", "ns", "idx", *none("data"))
+    answers = answers.select("chunk", "part", F.lit(None).cast(f"array<{id_type}>").alias("ids"), *none("ns", "idx"), "data")
     out = streams.unionByName(answers).repartition(width, "chunk").sortWithinPartitions("chunk", "part").mapInArrow(
         _scored(n, v, kind), f"id {id_type}, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(int(n)).cast("long")).withColumn(

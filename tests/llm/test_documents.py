@@ -385,3 +385,19 @@ def test_seating_follows_the_restaurant():
     assert abs(mean - t.mean()) < 0.1
 
 
+
+
+def _after_rare_words(n: int) -> list[tuple]:
+    """Each of `n` words is followed, ten times, by a word of its own."""
+    one = lambda k: f"ctx{k} next{k} " + " ".join(f"pad{(k * 7 + j) % 50}" for j in range(8))
+    return [(i, " ".join(one(k) for k in range(i % 20, n, 20)), "en", "s", 1) for i in range(200)]
+
+
+def test_every_training_word_is_a_context(spark):
+    """Words far below 1 in 5,000 tokens predict what follows them."""
+    n = 1_200
+    rows = _after_rare_words(n)
+    asked = [(1000 + k, f"ctx{k} next{k}", "en", "s", 1) for k in range(40)]
+    asked += [(2000 + k, f"ctx{k} next{(k + 600) % n}", "en", "s", 1) for k in range(40)]
+    got = {r.id: r.score for r in score_texts(spark.createDataFrame(rows + asked, DOCS), F.col("doc_id") < 1000).collect()}
+    assert all(got[1000 + k] > got[2000 + k] + 1 for k in range(40))
