@@ -401,3 +401,12 @@ def test_every_training_word_is_a_context(spark):
     asked += [(2000 + k, f"ctx{k} next{(k + 600) % n}", "en", "s", 1) for k in range(40)]
     got = {r.id: r.score for r in score_texts(spark.createDataFrame(rows + asked, DOCS), F.col("doc_id") < 1000).collect()}
     assert all(got[1000 + k] > got[2000 + k] + 1 for k in range(40))
+
+
+def test_scores_do_not_depend_on_the_split(spark):
+    """All counts are over the whole table, however it is cut."""
+    table = spark.createDataFrame(_after_rare_words(400), DOCS)
+    whole, cut = ({r.id: tuple(r) for r in score_texts(table.repartition(n), ~held_out()).collect()} for n in (1, 64))
+    assert whole.keys() == cut.keys()
+    for k, r in whole.items():
+        assert r[:4] == cut[k][:4] and np.allclose(r[4:], cut[k][4:], rtol=1e-6)
