@@ -2,7 +2,8 @@
 coefficient over word bigrams.
 
 DataFrame operations only. A document is compared as a whole, by blocks
-(lines between blank lines) and line by line. Dice counts bigrams with their
+(lines between blank lines), line by line, and by every run of its words,
+whatever lines, blocks or sentences it spans. Dice counts bigrams with their
 repetitions, so a unit of n words has n - 1 of them without building any,
 and d(A, B) >= t needs t / (2 - t) * |B| <= |A| <= (2 - t) / t * |B|: units
 whose size fits no template are dropped before their bigrams are made, and
@@ -10,10 +11,17 @@ a bigram only meets templates of a fitting size. The templates are a fixed
 small table (broadcast); only bigrams that occur in a template leave the
 task, already counted.
 
+Runs. The best run begins and ends with a bigram of the template. From a
+first one at word s, an occurrence counts if fewer than m of its bigram (m in
+the template) lie between, so if the m-th one before it lies before s; the
+j-th that counts, at word e, ends a run of Dice 2j / (e - s + 1 + |B|). So
+the longest run of a template bounds the work from each start. Only documents
+that hold t / (2 - t) of the template's bigrams at all are searched.
+
 Defined cases: null and empty texts match nothing; a unit of one word has no
 bigram and matches nothing; each row is scanned by itself, and rows that
 share an id are reported together by their best match; ties go to the whole
-text before blocks before lines, then to the first."""
+text before blocks before lines before runs, then to the first."""
 
 from __future__ import annotations
 
@@ -63,7 +71,7 @@ TEMPLATES = {
     "If not, see https://www.gnu.org/licenses/.",
 }
 
-KINDS = ("whole", "block", "line")  # in the order of ties
+KINDS = ("whole", "block", "line", "run")  # in the order of ties
 
 
 def _words(text: str) -> list[str]:
@@ -84,13 +92,38 @@ def bounds(size: int, least: float) -> tuple[int, int]:
     return ceil(least / (2 - least) * size - 1e-9), floor((2 - least) / least * size + 1e-9)
 
 
+def _runs(clean: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """The best run of words per row and licence: Dice >= `least`."""
+    w = F.split(F.trim(F.regexp_replace("text", r"[ \n]+", " ")), " ")
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    grams = F.zip_with(F.slice("w", F.lit(1), n), F.slice("w", F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+    gram = clean.select("doc_id", "row", w.alias("w")).select("doc_id", "row", F.posexplode(grams).alias("pos", "bigram"))
+    met = gram.join(F.broadcast(known), "bigram")
+    at = met.groupBy("doc_id", "row", "license", "size", "low", "high", "bigram", "m").agg(F.sort_array(F.collect_list("pos")).alias("at"))
+    # each place with the one m before it
+    back = F.transform("at", lambda x, i: F.struct(
+        x.alias("pos"), F.when(i >= F.col("m"), F.get("at", i - F.col("m"))).otherwise(-1).alias("back")))
+    hits = at.select("*", back.alias("hits"), F.least(F.size("at"), "m").alias("c")).groupBy(
+        "doc_id", "row", "license", "size", "low", "high").agg(
+        F.sum("c").alias("c"), F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits")).where("c >= low")
+
+    def ends(s, i):
+        near = F.filter(F.slice("hits", i + 1, F.col("high")), lambda h: (h["pos"] < s["pos"] + F.col("high")) & (h["back"] < s["pos"]))
+        return F.array_min(F.transform(near, lambda h, j: F.struct(
+            (-2.0 * (j + 1) / (h["pos"] - s["pos"] + 1 + F.col("size"))).alias("d"), s["pos"].alias("pos"))))
+
+    best = hits.select("doc_id", "license", F.array_min(F.transform("hits", ends)).alias("b"))
+    return best.select(
+        "doc_id", "license", (-F.col("b.d")).alias("dice"), F.lit(3).alias("kind"), F.col("b.pos").alias("pos")).where(F.col("dice") >= least)
+
+
 def license_scan(
     docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per document and licence with a unit of Dice >= `least`:
     doc_id, license, dice, kind, position (from 0, among the units of that
-    kind)."""
+    kind; of a run, its first word)."""
     spark = docs.sparkSession
     rows = template_bigrams(TEMPLATES if templates is None else templates)
     known = spark.createDataFrame(
@@ -136,6 +169,8 @@ def license_scan(
     key = ["doc_id", "row", "kind", "pos", "n", "license", "size"]
     dice = common.groupBy(*key).agg(F.sum("c").alias("c")).withColumn(
         "dice", 2.0 * F.col("c") / (F.col("n") + F.col("size"))).where(F.col("dice") >= least)
+    out = ["doc_id", "license", "dice", "kind", "pos"]
+    dice = dice.select(*out).unionByName(_runs(clean, known, least).select(*out))
     best = F.min(F.struct((-F.col("dice")).alias("d"), "kind", "pos")).alias("b")
     return dice.groupBy("doc_id", "license").agg(best).select(
         "doc_id", "license", (-F.col("b.d")).alias("dice"),

@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -410,3 +411,44 @@ def test_scores_do_not_depend_on_the_split(spark):
     assert whole.keys() == cut.keys()
     for k, r in whole.items():
         assert r[:4] == cut[k][:4] and np.allclose(r[4:], cut[k][4:], rtol=1e-6)
+
+
+def _paragraphs(text: str, *starts: str) -> str:
+    """`text` with a blank line before each of `starts`, in lines of 70."""
+    for x in starts:
+        assert x in text
+        text = text.replace(x, "\n\n" + x)
+    return "\n\n".join(re.sub(r"(.{60,70}) ", r"\1\n", p) for p in text.split("\n\n"))
+
+
+def test_licenses_inside_longer_documents(spark):
+    t = licenses.TEMPLATES
+    usual = {
+        "MIT": _paragraphs(t["MIT"], "The above copyright", "THE SOFTWARE IS"),
+        "Apache-2.0 notice": _paragraphs(t["Apache-2.0 notice"], "http://www", "Unless required"),
+        "GPL-3.0 notice": _paragraphs(t["GPL-3.0 notice"], "This program is distributed", "You should have"),
+        "MIT statement": "This file is released under the MIT License.",
+    }
+    long = prose(1, 800)
+    rows = [(i, f"{long}\n\n{u}\n\nimport os\n{prose(2, 500)}", "en", "a", 1) for i, u in enumerate(usual.values())]
+    rows += [(10, prose(3, 50) + " the mit license the software is " + prose(4, 900), "en", "a", 1)]
+    got = {(r.doc_id, r.license): r for r in licenses.license_scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert set(got) == {*enumerate(usual), (1, "Apache-2.0 statement")}  # the notice begins with it
+    assert all(r.dice > 0.97 and r.kind == "run" for r in got.values())
+    assert got[0, "MIT"].position == len(licenses._words(long))
+
+
+def test_runs_equal_brute_force(spark):
+    r, words, grams = random.Random(3), "a b c".split(), lambda w: Counter(zip(w, w[1:]))
+    known = {"x": "a b a b c a", "y": "c c c b", "z": "a a a a a b"}
+    rows = [(i, "".join(r.choice(words) + r.choice([" ", "\n", "\n\n"]) for _ in range(40)), "en", "a", 1) for i in range(60)]
+    got = {(x.doc_id, x.license): x.dice for x in licenses.license_scan(spark.createDataFrame(rows, DOCS), known).collect()}
+    want = {}
+    for i, text, *_ in rows:
+        w = text.split()
+        for name, t in known.items():
+            b = grams(t.split())
+            d = max(2 * (a & b).total() / (a.total() + b.total()) for s in range(39) for e in range(s + 2, 41) if (a := grams(w[s:e])))
+            if d >= 0.8:
+                want[i, name] = d
+    assert got.keys() == want.keys() and all(abs(got[k] - d) < 1e-9 for k, d in want.items())
