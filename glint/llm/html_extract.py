@@ -16,7 +16,9 @@ Pages are labelled in the tasks, all of them whole.
 
 Defined cases: a null or empty page gives an empty text; a page without a
 main block too; markup that is cut off is dropped, open raw elements
-(script, style) run to the end; malformed references stay as they are;
+(script, style, title, textarea, noscript, iframe) run to the end; svg, math,
+object, video, select, template and the like are elements as any other, whose
+blocks are labelled; malformed references stay as they are;
 repeated pages give the same text."""
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 # Element kinds of HTML.
-RAW = "script style title textarea noscript template svg math iframe object select canvas audio video".split()
+RAW = "script style title textarea noscript iframe".split()
+FOREIGN = "svg math".split()  # the only elements that "/>" closes
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr nobr".split())
@@ -45,9 +48,11 @@ CLOSES_P = frozenset(
     "h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SELF_NESTED = frozenset("li dt dd tr td th option p".split())
 
+# quotes count only after "="
+_ATTRS = r"(?:[^>=]++|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))?)*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>]|\Z)" + _ATTRS + r"(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>" + _ATTRS + r")(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -118,7 +123,7 @@ def blocks(html: str) -> list[tuple[tuple, str, int]]:
             shut = "p" if name in CLOSES_P else name
             if stack and stack[-1][0] == shut:
                 stack.pop()
-        if name not in VOID:
+        if name not in VOID and not (name in FOREIGN and m["attrs"].endswith("/")):
             stack.append((name, _path_words(name, m["attrs"])))
     flush()
     return out

@@ -195,3 +195,15 @@ def test_gradients_match_differences():
         down = loss()
         model.p[k][at] = old
         assert abs((up - down) / 2e-3 - grad[k][at]) < 1e-3 + 0.02 * abs(grad[k][at]), k
+
+
+def test_elements_that_are_not_raw_lose_no_text():
+    texts = lambda h: [t for _, t, _ in html_extract.blocks(f"<article><p>one</p>{h}<p>two</p></article>")]
+    for h in ("<svg width=1/>", "<svg viewBox='0 0 1 1' />", "<math/>", "<video-js></video-js>", "<template-x>", "<script-x>", "<object data=x>", "<video>", "<select>",
+              "<p title=it's>", '<p title=5">', "<script>var t = '<p>no</p>'</script>", '<script src="a>b">no</script>', "<style/>p{}</style>"):
+        assert texts(h) == ["one", "two"], h
+    assert texts("<math><mi>x</mi></math>") == ["one", "x", "two"]
+    assert texts("<p title='a > b' class=c>in</p>") == ["one", "in", "two"]
+    assert texts("<script>open") == ["one"]
+    path = html_extract.blocks("<article><svg class=icon /><p>two")[0][0]
+    assert [w[0] for w in path] == ["article", "p"]
