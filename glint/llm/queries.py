@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bpe import op11_bpe
 from .embed_dedup import op3_embed_dedup
 from .html_extract import op5_html
 from .langid import op6_langid
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
+    "op11_bpe": op11_bpe,
 }
 
 SQL = {
