@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op11_bpe
 from .embed_dedup import op3_embed_dedup
+from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .html_extract import op5_html
 from .langid import op6_langid
 from .licenses import OP9_SQL, op9_licenses
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
     "op11_bpe": op11_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL = {
     "op2_line_dedup": OP2_SQL,
     "op7_topk": OP7_SQL,
     "op9_licenses": OP9_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
