@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op11_bpe
+from .conversation_repair import OP12_SQL, op12_conversation_repair
 from .embed_dedup import op3_embed_dedup
 from .hard_negatives import OP13_SQL, op13_hard_negatives
 from .html_extract import op5_html
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
     "op11_bpe": op11_bpe,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -34,5 +36,6 @@ SQL = {
     "op2_line_dedup": OP2_SQL,
     "op7_topk": OP7_SQL,
     "op9_licenses": OP9_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_hard_negatives": OP13_SQL,
 }
