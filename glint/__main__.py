@@ -58,6 +58,8 @@ def main(argv: list[str] | None = None) -> list[str]:
             sync=not args.no_sync_video, overwrite=args.overwrite, dry_run=args.dry_run,
             align_first=args.align_first, strict=not args.tolerant,
         )
+        for name, n in done.counts.items():
+            print(f"{name}: {n['rows']} rows, {n['rejects']} left out")
     elif args.command == "prepare":
         inputs = {}
         if args.clips:

@@ -85,14 +85,16 @@ def prefixes(
     }
     per = staged.groupBy(*keys, "_k").agg(*[whole[k](v).alias(f"_o{i}") for i, (k, v) in enumerate(wanted.values())])
     before = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    outer = per.select(*keys, "_k", *[
+    outer = per.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.col("_k").alias("_ko"), *[
         running[k](f"_o{i}", before).alias(f"_o{i}") for i, (k, _) in enumerate(wanted.values())])
     inner = Window.partitionBy(*keys, "_k").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
     inside = staged.select("*", *[running[k](v, inner).alias(f"_i{i}") for i, (k, v) in enumerate(wanted.values())])
-    out = inside.join(outer, [*keys, "_k"], "inner")
+    # null-safe: a row whose key is null has its prefix, too
+    same = [inside[k].eqNullSafe(outer[f"_g{i}"]) for i, k in enumerate(keys)]
+    out = inside.join(outer, [*same, inside["_k"].eqNullSafe(outer["_ko"])], "inner")
     for i, name in enumerate(names):
         out = out.withColumn(name, join[wanted[name][0]](F.col(f"_o{i}"), F.col(f"_i{i}")))
-    return out.drop("_k", *[f"_{s}{i}" for i in range(len(names)) for s in "io"])
+    return out.drop("_k", "_ko", *[f"_g{i}" for i in range(len(keys))], *[f"_{s}{i}" for i in range(len(names)) for s in "io"])
 
 
 def prefix_last(df: DataFrame, keys: Sequence[str], index: str, value: str, name: str, bucket_size: int = 4096) -> DataFrame:

@@ -9,8 +9,9 @@ table is one Spark write; no participant loop runs on the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.form import build_form, clean_form, parse_specs, spec_lines
@@ -25,30 +26,43 @@ from ..operators.timelines import (
     recording_markers,
     with_timelines,
 )
-from ..sinks import build_tables, write_partitioned, write_table
+from ..sinks import build_tables, finished, write_partitioned, write_table
 from ..sources import readers as R
 from ..sources import archive as Z
+from ..sources.parse import broken_recordings
 
 TABLES = ["form", "log", "tobii", "dot", "calib"]
 
 
+GAZE_FILES = "P_*/{P_[0-9],P_[0-9]*[0-9]}.txt"
+
+
 def raw_sources(
-    spark: SparkSession, root: str, layout: str = "dir", calib_glob: str = "*calibration*.tsv", strict: bool = True
+    spark: SparkSession,
+    root: str,
+    layout: str = "dir",
+    calib_glob: str = "*calibration*.tsv",
+    strict: bool = True,
+    check: bool = True,
+    watch: dict[str, Observation] | None = None,
 ):
-    """Raw DataFrames of every source, from a folder or a zip."""
+    """Raw DataFrames of every source, from a folder or a zip. `watch` counts
+    what is parsed and what is not of `log` and `tobii`; `check=False` leaves
+    the look at unfinished eye-tracker lines to the caller."""
+    seen = watch or {}
     if layout == "zip":
         return {
             "form": lambda: Z.zip_form(spark, root),
-            "log": lambda: Z.zip_logs(spark, root, strict),
-            "tobii": lambda: Z.zip_tobii(spark, root, strict),
+            "log": lambda: Z.zip_logs(spark, root, strict, watch=seen.get("log")),
+            "tobii": lambda: Z.zip_tobii(spark, root, strict, check=check, watch=seen.get("tobii")),
             "dot": lambda: Z.zip_dots(spark, root),
             "calib": lambda: Z.zip_calibration(spark, root, calib_glob.replace("*", ".*") + "$"),
             "spec": lambda: Z.zip_specs(spark, root),
         }
     return {
         "form": lambda: R.read_form_csv(spark, f"{root}/*participant_characteristics.csv"),
-        "log": lambda: R.read_log_json(spark, f"{root}/P_*/*.json", strict),
-        "tobii": lambda: R.read_tobii(spark, f"{root}/P_*/{{P_[0-9],P_[0-9]*[0-9]}}.txt", strict),
+        "log": lambda: R.read_log_json(spark, f"{root}/P_*/*.json", strict, watch=seen.get("log")),
+        "tobii": lambda: R.read_tobii(spark, f"{root}/{GAZE_FILES}", strict, check=check, watch=seen.get("tobii")),
         "dot": lambda: R.read_dot_tsv(spark, f"{root}/P_*/*final_dot_test_locations.tsv"),
         "calib": lambda: R.read_calib_tsv(spark, f"{root}/P_*/{calib_glob}"),
         "spec": lambda: R.read_spec_text(spark, f"{root}/P_*/*specs.txt"),
@@ -63,33 +77,51 @@ def tidy_tables(
     sync: bool = True,
     strict: bool = True,
     align_first: bool = False,
+    watch: dict[str, Observation] | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
     """Builders of the tidy tables (E1): form, log, tobii, dot, calib.
 
     The webcam start comes from the log before alignment, as in the source
     data, so a positive shift can reject a participant's first clip (Q3);
-    `align_first=True` takes it from the aligned log instead."""
-    src = raw_sources(spark, root, layout, strict=strict)
-    raw_log = normalize_log(src["log"](), strict)
+    `align_first=True` takes it from the aligned log instead.
 
-    def log() -> DataFrame:
+    The eye-tracker table leaves out every unfinished line; `etl` then asks
+    `broken_recordings` if there were any (`watch` counts them), before the
+    table appears."""
+    src = raw_sources(spark, root, layout, strict=strict, check=False)
+    counting = raw_sources(spark, root, layout, strict=strict, check=False, watch=watch)
+
+    def log(raw: DataFrame) -> DataFrame:
+        tidy = normalize_log(raw, strict)
         if alignment_path is None:
-            return raw_log
-        return align_log(raw_log, parse_alignment(R.read_alignment_csv(spark, alignment_path), strict))
+            return tidy
+        return align_log(tidy, parse_alignment(R.read_alignment_csv(spark, alignment_path), strict))
 
+    @cache
     def form() -> DataFrame:
         specs = parse_specs(spec_lines(src["spec"]()))
-        return build_form(clean_form(src["form"](), strict), log() if align_first else raw_log, specs, sync)
+        starts = log(src["log"]()) if align_first else normalize_log(src["log"](), strict)
+        return build_form(clean_form(src["form"](), strict), starts, specs, sync)
 
     return {
         "form": form,
-        "log": log,
-        "tobii": lambda: shape_gaze(src["tobii"]()),
+        "log": lambda: log(counting["log"]()),
+        "tobii": lambda: shape_gaze(counting["tobii"]()),
         "dot": lambda: shape_dots(src["dot"](), form()),
         "calib": lambda: shape_calibration(src["calib"]()),
     }
 
 
+class Report(list):
+    """The names of the tables written; `counts`: for log and tobii the
+    numbers of `rows` parsed and `rejects` left out, measured in the pass
+    that wrote the table (none for a table that was there already)."""
+
+    def __init__(self, names: Iterable[str], counts: dict[str, dict[str, int]]):
+        super().__init__(names)
+        self.counts = counts
+
+
 def etl(
     spark: SparkSession,
     root: str,
@@ -102,35 +134,57 @@ def etl(
     dry_run: bool = False,
     align_first: bool = False,
     strict: bool = True,
-) -> list[str]:
+) -> Report:
     """Raw files -> tidy tables under `out` (K7 picks the tables).
 
     form, log, dot, calib: one Parquet table each (K1). tobii, the big
-    one: one folder per participant, sorted by time (K2). With `strict=False`
-    what does not parse is written beside the table, as `log_rejects` and
-    `tobii_rejects`, and can be counted there."""
-    builders = tidy_tables(spark, root, layout, alignment_path, sync, strict, align_first)
+    one: one folder per participant, sorted by time (K2). The pass that
+    writes log and tobii counts what does not parse. With `strict` it is an
+    error, and no table appears, unless it is the unfinished end of a
+    recording: recordings are looked through a second time only if one has
+    an unfinished line. Without, it is written beside the table, as
+    `log_rejects` and `tobii_rejects`, in a second pass only if there is any."""
+    watch = {name: Observation(name) for name in ("log", "tobii")}
+    builders = tidy_tables(spark, root, layout, alignment_path, sync, strict, align_first, watch)
+    counts: dict[str, dict[str, int]] = {}
+    process = list(process)
     if not strict:
         builders |= rejects(spark, root, layout)
-        process = [*process, *(f"{p}_rejects" for p in process if f"{p}_rejects" in builders)]
+        process += [f"{p}_rejects" for p in process if f"{p}_rejects" in builders]
+
+    def whole() -> None:
+        if strict and watch["tobii"].get["rejects"]:
+            bad = [r["source"] for r in broken_recordings(gaze_lines(spark, root, layout)).limit(5).collect()]
+            if bad:
+                raise ValueError(f"lines that are no eye-tracker sample before the end of {', '.join(bad)}")
 
     def sink(name: str, df: DataFrame) -> None:
-        if dry_run:
+        path = f"{out}/tobii" if name == "tobii" else f"{out}/{name}.parquet"
+        if dry_run or not overwrite and finished(spark, path):
             return
         if name == "tobii":
             # one recording file per participant: splits are already
             # clustered by pid, so no shuffle of the largest table
-            write_partitioned(df, f"{out}/tobii", overwrite=overwrite, shuffle=False)
+            write_partitioned(df, path, overwrite=overwrite, shuffle=False, check=whole)
         elif name == "form":
-            write_table(df.drop("screen_viewport_y"), f"{out}/form.parquet", overwrite)
+            write_table(df.drop("screen_viewport_y"), path, overwrite)
         elif name in ("log", "dot"):
-            write_table(df, f"{out}/{name}.parquet", overwrite, keys=["pid", "timestamp"])
+            write_table(df, path, overwrite, keys=["pid", "timestamp"])
         elif name == "calib":
-            write_table(df, f"{out}/{name}.parquet", overwrite, keys=["pid"])
-        else:
-            write_table(df, f"{out}/{name}.parquet", overwrite)
+            write_table(df, path, overwrite, keys=["pid"])
+        elif counts.get(name.removesuffix("_rejects"), {"rejects": 1})["rejects"]:
+            write_table(df, path, overwrite)
+        else:  # nothing was left out: no second pass to find that
+            write_table(spark.createDataFrame([], df.schema), path, overwrite)
+        if name in watch:
+            counts[name] = dict(watch[name].get)
 
-    return build_tables(builders, process, sink)
+    return Report(build_tables(builders, process, sink), counts)
+
+
+def gaze_lines(spark: SparkSession, root: str, layout: str = "dir") -> DataFrame:
+    """The lines of all eye-tracker recordings."""
+    return Z.zip_tobii_lines(spark, root) if layout == "zip" else R.tobii_lines(spark, f"{root}/{GAZE_FILES}")
 
 
 def rejects(spark: SparkSession, root: str, layout: str = "dir") -> dict[str, Callable[[], DataFrame]]:
@@ -142,7 +196,7 @@ def rejects(spark: SparkSession, root: str, layout: str = "dir") -> dict[str, Ca
         }
     return {
         "log_rejects": lambda: R.read_log_json(spark, f"{root}/P_*/*.json", False, rejects=True),
-        "tobii_rejects": lambda: R.read_tobii(spark, f"{root}/P_*/{{P_[0-9],P_[0-9]*[0-9]}}.txt", False, rejects=True),
+        "tobii_rejects": lambda: R.read_tobii(spark, f"{root}/{GAZE_FILES}", False, rejects=True),
     }
 
 

@@ -618,6 +618,18 @@ SELECT pid, member, size, CAST(row_number() OVER (
 
 SQL["read_log_files"] = with_log("SELECT * FROM log WHERE NOT (pid % 10 = 3 AND record % 2 = 0)")
 SQL["read_gaze_lines"] = SQL["shape_gaze"] + " WHERE device_us // 16667 % 50 NOT IN (7, 9)"
+SQL["read_gaze_recordings"] = SQL["shape_gaze"] + """
+WHERE device_us // 16667 <> (SELECT max(e.vec_id) FROM embeddings e WHERE CAST(e.label AS INTEGER) = gaze.pid)"""
+SQL["read_log_elements"] = SQL["read_log_files"].replace("FROM events", "FROM events WHERE event_id % 37 <> 5", 1)
+SQL["log_reject_counts"] = """
+WITH f AS (
+  SELECT CAST(user_id AS INTEGER) AS pid, event_id, event_id // 1000 AS file, dayofmonth(ts) AS record,
+         user_id % 10 = 3 AND dayofmonth(ts) % 2 = 0 AS cut
+  FROM events
+)
+SELECT pid, count(*) FILTER (WHERE NOT cut AND event_id % 37 = 5) AS bad_events,
+       count(DISTINCT (record, file)) FILTER (WHERE cut) AS bad_files
+FROM f GROUP BY pid HAVING bad_events + bad_files > 0"""
 SQL["read_alignment_lines"] = SQL["parse_alignment"]
 SQL["read_tracker_lines"] = SQL["indexed_frames"]
 SQL["read_dot_lines"] = """

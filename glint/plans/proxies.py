@@ -38,7 +38,7 @@ def _prop_k() -> F.Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def raw_log(events: DataFrame) -> DataFrame:
+def raw_log(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     us = micros("ts")
     day0 = us - us % F.lit(DAY_US)
     k = _prop_k()
@@ -63,6 +63,7 @@ def raw_log(events: DataFrame) -> DataFrame:
     )
     d = lambda c: c.cast("double")
     return events.select(
+        *(keep or []),
         F.col("user_id").cast("int").alias("pid"),
         (et != "error").alias("isTrusted"),
         F.concat_ws(
@@ -393,17 +394,36 @@ def duration_texts(orders: DataFrame) -> DataFrame:
 # don't parse, NaN, `-` for missing.
 
 
-def log_files(events: DataFrame) -> DataFrame:
-    """One JSON array per (participant, record); those of participants
-    ending in 3 and even records are cut off."""
-    rows = raw_log(events)
-    cols = [c for c in rows.columns if c != "pid"]
-    files = rows.groupBy("pid", F.split("sessionId", "_")[1].cast("int").alias("record")).agg(
-        F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
+#: Events in one log file at most.
+FILE_EVENTS = 1_000
+
+
+def log_files(events: DataFrame, bad_events: bool = False) -> DataFrame:
+    """One JSON array per (participant, record, `FILE_EVENTS` event ids);
+    those of participants ending in 3 and even records are cut off. With
+    `bad_events` every 37th event's epoch is no number."""
+    rows = raw_log(events, ["event_id"])
+    text = F.to_json(F.struct(*[c for c in rows.columns if c not in ("pid", "event_id")]))
+    if bad_events:
+        text = F.when(F.col("event_id") % 37 == 5, F.regexp_replace(text, '"epoch":[^,}]*', '"epoch":"abc"')).otherwise(text)
+    keys = ["pid", F.split("sessionId", "_")[1].cast("int").alias("record"), F.floor(F.col("event_id") / FILE_EVENTS).alias("file")]
+    files = rows.groupBy(*keys).agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(text)), F.lit("]")).alias("value"))
     cut = (F.col("pid") % 10 == 3) & (F.col("record") % 2 == 0)
     return files.select("pid", F.when(cut, F.left("value", F.length("value") - 20)).otherwise(F.col("value")).alias("value"))
 
 
+def gaze_recordings(embeddings: DataFrame) -> DataFrame:
+    """NDJSON lines of recordings (one per participant, read in blocks of
+    100 lines), each cut off in its last line."""
+    raw = raw_tobii(embeddings)
+    at = (F.col("device_time_stamp") / SAMPLE_US).cast("bigint")
+    last = raw.groupBy("pid").agg(F.max("device_time_stamp").alias("_last"))
+    text = F.to_json(F.struct(*[c for c in raw.columns if c != "pid"]))
+    text = F.when(F.col("device_time_stamp") == F.col("_last"), F.left(text, F.lit(40))).otherwise(text)
+    return raw.join(last, "pid").select(
+        "pid", F.col("pid").cast("string").alias("source"), F.floor(at / 100).alias("block"), (at % 100).alias("row"), text.alias("value"))
+
+
 def gaze_lines(embeddings: DataFrame) -> DataFrame:
     """NDJSON samples; of 50, one is cut off and one is noise."""
     raw = raw_tobii(embeddings)

@@ -282,7 +282,7 @@ def q_shape_gaze_leaves(spark, sf):
 # --- raw text to rows (S3-S7, S9, S11) ---------------------------------------------------
 
 from ..sources.parse import (  # noqa: E402
-    parse_delimited, parse_gaze_lines, parse_log_text, parse_tracker_lines, type_form_fields,
+    log_rejects, parse_delimited, parse_gaze_lines, parse_log_text, parse_tracker_lines, type_form_fields,
 )
 
 
@@ -299,6 +299,28 @@ def q_read_gaze_lines(spark, sf):
     return _flat_gaze(shape_gaze(parse_gaze_lines(px.gaze_lines(px.load(spark, sf, "embeddings")), strict=False)))
 
 
+@query("read_log_elements")
+def q_read_log_elements(spark, sf):
+    """Arrays with events whose epoch is no number: those alone go."""
+    files = px.log_files(px.load(spark, sf, "events"), bad_events=True)
+    return flat_log(normalize_log(parse_log_text(files, strict=False)))
+
+
+@query("log_reject_counts")
+def q_log_reject_counts(spark, sf):
+    """What tolerant reading leaves out, per participant: events and
+    whole files."""
+    out = log_rejects(px.log_files(px.load(spark, sf, "events"), bad_events=True))
+    return out.groupBy("pid").agg(
+        F.count("position").alias("bad_events"), F.count(F.when(F.col("position").isNull(), 1)).alias("bad_files"))
+
+
+@query("read_gaze_recordings")
+def q_read_gaze_recordings(spark, sf):
+    """S5, D6 in strict mode: recordings whose last line is cut off."""
+    return _flat_gaze(shape_gaze(parse_gaze_lines(px.gaze_recordings(px.load(spark, sf, "embeddings")), strict=True)))
+
+
 @query("read_dot_lines")
 def q_read_dot_lines(spark, sf):
     """TSV lines with fields that don't parse."""
@@ -522,13 +544,14 @@ def q_hms_durations(spark, sf):
 def q_clip_order(spark, sf):
     """every clip's place among its participant's, by log, record,
     study order and fragment."""
-    from pyspark.sql import Window
-
+    from ..operators.ordering import row_index
     from ..operators.recordings import clip_sort_key
 
     m = clip_manifest(px.archive_manifest(px.load(spark, sf, "events")))
-    w = Window.partitionBy("pid").orderBy(*clip_sort_key(), "member", "size")
-    return m.select("pid", "member", "size", F.row_number().over(w).alias("place"))
+    # buckets follow the order: a log's start, then its clips in 16 groups of records
+    bucket = F.col("log") * 16 + F.coalesce(F.least(F.floor(F.col("record") / 2), F.lit(15)), F.lit(0))
+    placed = row_index(m, ["pid"], [*clip_sort_key(), "member", "size"], bucket, "place")
+    return placed.select("pid", "member", "size", (F.col("place") + 1).cast("int").alias("place"))
 
 
 @query("recording_durations_dedupe")

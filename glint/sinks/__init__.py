@@ -1,5 +1,6 @@
 """Sinks (K1-K7)."""
 
+from .commit import finished, staged_write
 from .writers import (
     build_tables,
     form_json,
@@ -10,4 +11,4 @@ from .writers import (
     write_table,
 )
 
-__all__ = ["build_tables", "form_json", "write_csv", "write_json", "write_partitioned", "write_sorted", "write_table"]
+__all__ = ["build_tables", "finished", "form_json", "staged_write", "write_csv", "write_json", "write_partitioned", "write_sorted", "write_table"]

@@ -1,4 +1,4 @@
-"""Table sinks (K1-K7)."""
+"""Table sinks (K1-K7). All of them write through `commit.staged_write`."""
 
 from __future__ import annotations
 
@@ -7,6 +7,19 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .commit import save_beside, staged_write
+
+
+def _ranged(df: DataFrame, path: str, keys: list[str], files: int | None, write: Callable[[DataFrame], None]) -> None:
+    """`df` dealt by ranges of `keys`, each sorted, to `write`."""
+
+    def dealt(rows: DataFrame) -> None:
+        # without a count AQE merges small ranges of a small table
+        rows = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
+        write(rows.sortWithinPartitions(*keys))
+
+    save_beside(df, path, dealt)
+
 
 def write_table(
     df: DataFrame,
@@ -15,15 +28,20 @@ def write_table(
     dry_run: bool = False,
     compression: str = "uncompressed",
     keys: list[str] | None = None,
+    check: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """K1: Parquet table. An existing target is kept unless `overwrite`;
+    """K1: Parquet table. A finished target is kept unless `overwrite`;
     `dry_run` returns the DataFrame without writing. With `keys` (O1) rows
     are range-partitioned and sorted by them, so row groups hold narrow key
-    ranges that a filter can skip."""
+    ranges that a filter can skip. `check` may reject the rows before the
+    table appears (see `staged_write`)."""
+
+    def save(stage: str) -> None:
+        put = lambda out: out.write.option("compression", compression).parquet(stage)
+        _ranged(df, path, keys, None, put) if keys else put(df)
+
     if not dry_run:
-        out = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
-        (out.write.mode("overwrite" if overwrite else "ignore")
-         .option("compression", compression).parquet(path))
+        staged_write(df.sparkSession, path, save, overwrite, check)
     return df
 
 
@@ -39,6 +57,7 @@ def write_partitioned(
     bucket_mod: int | None = None,
     header: bool = True,
     shuffle: bool = True,
+    check: Callable[[], None] | None = None,
 ) -> DataFrame:
     """K2 / K3: one folder per key (`pid=7/`), rows sorted by `order` in
     every file; the key comes back from the folder name on read (and is
@@ -60,16 +79,19 @@ def write_partitioned(
     if bucket_mod:
         part_col = f"{key}_bucket"
         out = out.withColumn(part_col, F.pmod(F.col(key), F.lit(bucket_mod)))
-    if shuffle:
-        # without a count AQE merges small ranges of a small view
-        out = out.repartitionByRange(files, key, order) if files else out.repartitionByRange(key, order)
-    out = out.sortWithinPartitions(key, order)
-    w = out.write.mode("overwrite" if overwrite else "ignore").partitionBy(part_col)
-    if compression and fmt == "parquet":
-        w = w.option("compression", compression)
-    if fmt == "csv":
-        w = w.option("header", header)
-    w.format(fmt).save(path)
+
+    def save(stage: str) -> None:
+        def put(rows: DataFrame) -> None:
+            w = rows.write.partitionBy(part_col)
+            if compression and fmt == "parquet":
+                w = w.option("compression", compression)
+            if fmt == "csv":
+                w = w.option("header", header)
+            w.format(fmt).save(stage)
+
+        _ranged(out, path, [key, order], files, put) if shuffle else put(out.sortWithinPartitions(key, order))
+
+    staged_write(df.sparkSession, path, save, overwrite, check)
     return df
 
 
@@ -83,15 +105,17 @@ def write_sorted(
 ) -> DataFrame:
     """K4: one table sorted by `keys`: range-partitioned so that each file
     holds one contiguous key range, sorted within."""
-    out = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-    (out.sortWithinPartitions(*keys)
-     .write.mode("overwrite" if overwrite else "ignore").option("compression", compression).parquet(path))
+
+    def save(stage: str) -> None:
+        _ranged(df, path, keys, files, lambda out: out.write.option("compression", compression).parquet(stage))
+
+    staged_write(df.sparkSession, path, save, overwrite)
     return df
 
 
 def write_csv(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
     """K5: CSV with a header (one file per task)."""
-    df.write.mode("overwrite" if overwrite else "ignore").option("header", True).csv(path)
+    staged_write(df.sparkSession, path, lambda stage: df.write.option("header", True).csv(stage), overwrite)
     return df
 
 
@@ -129,8 +153,8 @@ def form_json(form: DataFrame) -> DataFrame:
 
 def write_json(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
     """K6: rows as JSON lines."""
-    (df.write.mode("overwrite" if overwrite else "ignore")
-     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path))
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    staged_write(df.sparkSession, path, lambda stage: df.write.option("timestampNTZFormat", fmt).json(stage), overwrite)
     return df
 
 

@@ -19,7 +19,7 @@ import io
 import re
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -28,7 +28,15 @@ from ..schemas import (
     CALIB_TSV_SCHEMA,
     DOT_TSV_SCHEMA,
 )
-from .parse import gaze_rejects, log_rejects, parse_delimited, parse_gaze_lines, parse_log_text, type_form_fields
+from .parse import (
+    first_source,
+    gaze_rejects,
+    log_rejects,
+    parse_delimited,
+    parse_gaze_lines,
+    parse_log_text,
+    type_form_fields,
+)
 
 _SCHEMAS = {
     "list": "member string, size bigint",
@@ -110,24 +118,36 @@ def read_zip(spark: SparkSession, path: str, mode: str = "list", pattern: str =
 
 
 def _tag(df: DataFrame, strict: bool) -> DataFrame:
-    return df.withColumn("pid", pid_from_name(F.col("member"), strict))
+    return df.withColumn("pid", pid_from_name(F.col("member"), strict)).withColumnRenamed("member", "source")
 
 
-def zip_logs(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
+def zip_logs(
+    spark: SparkSession, path: str, strict: bool = True, rejects: bool = False, watch: Observation | None = None
+) -> DataFrame:
     """S4 from the archive: each `*.json` member is one array of events."""
     files = _tag(read_zip(spark, path, "text", r"\.json$"), strict)
-    return log_rejects(files) if rejects else parse_log_text(files, strict).drop("member")
+    return log_rejects(files) if rejects else parse_log_text(files, strict, watch).drop("source")
+
+
+def zip_tobii_lines(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """The lines of NDJSON members `P_<pid>.txt` (source, block, row,
+    value, pid)."""
+    lines = _tag(read_zip(spark, path, "lines", r"(^|/)P_[0-9]+\.txt$"), strict)
+    return lines.withColumn("block", F.lit(0)).withColumnRenamed("line_no", "row")
 
 
-def zip_tobii(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
-    """S5 from the archive: NDJSON members `P_<pid>.txt`."""
-    lines = _tag(read_zip(spark, path, "lines", r"(^|/)P_[0-9]+\.txt$"), strict).drop("line_no")
-    return gaze_rejects(lines) if rejects else parse_gaze_lines(lines, strict).drop("member")
+def zip_tobii(
+    spark: SparkSession, path: str, strict: bool = True, rejects: bool = False, check: bool = True,
+    watch: Observation | None = None,
+) -> DataFrame:
+    """S5 from the archive."""
+    lines = zip_tobii_lines(spark, path, strict)
+    return gaze_rejects(lines) if rejects else parse_gaze_lines(lines, strict, check, watch)
 
 
 def _tsv_members(spark, path, pattern, schema, strict):
     lines = _tag(read_zip(spark, path, "lines", pattern).where(F.col("line_no") > 0), strict)
-    return parse_delimited(lines.drop("line_no"), schema).drop("member")
+    return parse_delimited(lines.drop("line_no"), schema).drop("source")
 
 
 def zip_dots(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -149,9 +169,8 @@ def zip_form(spark: SparkSession, path: str) -> DataFrame:
     """S3 from the archive: the first `participant_characteristics.csv`
     member, read record by record by a CSV reader, so that a quoted note may
     hold line breaks."""
-    records = read_zip(spark, path, "records", r"participant_characteristics\.csv")
-    first = records.agg(F.min("member").alias("_first"))
-    return type_form_fields(records.where("record_no > 0").join(F.broadcast(first), F.col("member") == F.col("_first")))
+    records = read_zip(spark, path, "records", r"participant_characteristics\.csv").where("record_no > 0")
+    return type_form_fields(first_source(records, "member"))
 
 
 def screen_files(spark: SparkSession, path: str) -> DataFrame:

@@ -8,9 +8,9 @@ path (`_metadata.file_path`), never a Python loop over files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import pid_from_name
 from ..schemas import (
@@ -19,104 +19,102 @@ from ..schemas import (
     DOT_TSV_SCHEMA,
     FORM_CSV_SCHEMA,
 )
-from .parse import gaze_rejects, log_rejects, parse_gaze_lines, parse_log_text, parse_tracker_lines
+from .parse import (
+    first_source,
+    gaze_rejects,
+    log_rejects,
+    parse_gaze_lines,
+    parse_log_text,
+    parse_tracker_lines,
+    type_fields,
+    type_form_fields,
+)
 
 FILE = "_metadata.file_path"
 
 
-def _tag_pid(df: DataFrame, strict: bool = True) -> DataFrame:
-    """Participant number from `P_dd` in each row's file path."""
-    return df.withColumn("pid", pid_from_name(F.col(FILE), strict))
+def _files(spark: SparkSession, path: str, strict: bool) -> DataFrame:
+    """Files read whole: (pid, source, value); an empty file has a row, too."""
+    df = spark.read.format("binaryFile").load(path).select(F.col("path").alias("source"), F.col("content").cast("string").alias("value"))
+    return df.withColumn("pid", pid_from_name("source", strict))
 
 
-def _blank_to_null(df: DataFrame) -> DataFrame:
-    """Empty text is a missing value in these files."""
-    return df.select(*[
-        F.nullif(F.col(f"`{f.name}`"), F.lit("")).alias(f.name)
-        if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ])
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of files split over tasks: source, block and row (the split's
+    start and the row in it order the lines of a file), value."""
+    return spark.read.text(path).select(
+        F.col(FILE).alias("source"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "value")
 
 
-def read_form_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S3: the questionnaire CSV (header, `,`, quote `"`, `-` and empty are
-    null), typed by FORM_CSV_SCHEMA. A quoted note may hold line breaks."""
-    df = (
-        spark.read.schema(FORM_CSV_SCHEMA)
-        .option("header", True)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "-")
-        .option("multiLine", True)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    return _blank_to_null(df)
+def _table(spark: SparkSession, path: str, schema, sep: str, **options) -> DataFrame:
+    """Records of delimited files below their header line: source, and the
+    columns of `schema` as text."""
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    df = spark.read.schema(text).options(header=True, sep=sep, enforceSchema=True, mode="PERMISSIVE", **options).csv(path)
+    return df.select(F.col(FILE).alias("source"), *[F.col(f"`{f.name}`") for f in text.fields])
 
 
-def _files(spark: SparkSession, path: str, strict: bool) -> DataFrame:
-    """Files read whole: (pid, file, value)."""
-    df = spark.read.text(path, wholetext=True).select("value", F.col(FILE).alias("file"))
-    return df.withColumn("pid", pid_from_name("file", strict))
+def read_form_csv(spark: SparkSession, path: str) -> DataFrame:
+    """S3: the questionnaire CSV, typed by `type_form_fields`; of several
+    matching files the first by name. A quoted note may hold line breaks."""
+    records = _table(spark, path, FORM_CSV_SCHEMA, ",", quote='"', escape='"', multiLine=True)
+    fields = F.array(*[F.col(f"`{f.name}`") for f in FORM_CSV_SCHEMA.fields]).alias("fields")
+    return type_form_fields(first_source(records.select("source", fields)))
 
 
-def read_log_json(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
+def read_log_json(
+    spark: SparkSession, path: str, strict: bool = True, rejects: bool = False, watch: Observation | None = None
+) -> DataFrame:
     """Browser logs, one JSON array per file, tagged with pid.
-    `rejects=True` returns the files that do not parse (pid, file, value)."""
+    `rejects=True` returns what does not parse (pid, source, position,
+    value)."""
     files = _files(spark, path, strict)
-    if rejects:
-        return log_rejects(files)
-    return parse_log_text(files, strict).drop("file")
+    return log_rejects(files) if rejects else parse_log_text(files, strict, watch).drop("source")
 
 
-def read_tobii(spark: SparkSession, path: str, strict: bool = True, rejects: bool = False) -> DataFrame:
+def tobii_lines(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """The lines of eye-tracker recordings (pid, source, block, row, value)."""
+    return _lines(spark, path).withColumn("pid", pid_from_name("source", strict))
+
+
+def read_tobii(
+    spark: SparkSession, path: str, strict: bool = True, rejects: bool = False, check: bool = True,
+    watch: Observation | None = None,
+) -> DataFrame:
     """Eye-tracker NDJSON, tagged with pid; the files are split by lines.
-    `rejects=True` returns the lines that are left out (pid, file, value)."""
-    lines = spark.read.text(path).select("value", F.col(FILE).alias("file"))
-    lines = lines.withColumn("pid", pid_from_name("file", strict))
-    return gaze_rejects(lines) if rejects else parse_gaze_lines(lines, strict).drop("file")
-
-
-def _tsv(spark: SparkSession, schema, path: str) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("nanValue", "NaN")
-        .csv(path)
-    )
+    `rejects=True` returns the lines that are left out (pid, source, value);
+    `check`, `watch`: see `parse_gaze_lines`."""
+    lines = tobii_lines(spark, path, strict)
+    return gaze_rejects(lines) if rejects else parse_gaze_lines(lines, strict, check, watch)
+
+
+def _tsv(spark: SparkSession, schema, path: str, strict: bool) -> DataFrame:
+    rows = type_fields(_table(spark, path, schema, "\t"), schema)
+    return rows.withColumn("pid", pid_from_name("source", strict)).drop("source")
 
 
 def read_dot_tsv(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Dot-test TSV; a field that does not parse is null."""
-    return _tag_pid(_tsv(spark, DOT_TSV_SCHEMA, path).select("*", FILE), strict).drop("_metadata")
+    return _tsv(spark, DOT_TSV_SCHEMA, path, strict)
 
 
 def read_calib_tsv(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Calibration TSV; a field that does not parse is null (the row is
     then dropped by `shape_calibration`). The file glob is a parameter."""
-    return _tag_pid(_tsv(spark, CALIB_TSV_SCHEMA, path).select("*", FILE), strict).drop("_metadata")
+    return _tsv(spark, CALIB_TSV_SCHEMA, path, strict)
 
 
 def read_spec_text(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Device spec files, each read whole (pid, value); feed to
     `spec_lines` + `parse_specs`."""
-    df = spark.read.text(path, wholetext=True)
-    return _tag_pid(df.select("value", FILE), strict).select("pid", "value")
+    return _files(spark, path, strict).select("pid", "value")
 
 
 def read_alignment_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The clip alignment CSV; `-` and empty are null."""
-    df = (
-        spark.read.schema(ALIGNMENT_CSV_SCHEMA)
-        .option("header", True)
-        .option("nullValue", "-")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    return _blank_to_null(df)
+    """The clip alignment CSV; `-` and empty are null, a field that does
+    not parse raises."""
+    return type_fields(_table(spark, path, ALIGNMENT_CSV_SCHEMA, ","), ALIGNMENT_CSV_SCHEMA, null="-", strict=True).drop("source")
 
 
 def read_tracker_frames(spark: SparkSession, path: str) -> DataFrame:

@@ -23,3 +23,11 @@ def test_bucketed_matches_windows(spark, data):
     s = {r["id"]: r["s"] for r in prefix_sum(idx, ["k"], "i", "v", "s", bucket_size=3).collect()}
     last = {r["id"]: r["l"] for r in prefix_last(idx, ["k"], "i", "v", "l", bucket_size=3).collect()}
     assert {k: (s[k], last[k]) for k in s} == want2
+
+
+def test_null_keys_have_prefixes(spark):
+    from glint.operators.ordering import prefixes
+
+    df = spark.createDataFrame([(None, 0, 5), (None, 1, 7), (1, 0, 2)], "k int, i bigint, v bigint")
+    out = prefixes(df, ["k"], "i", {"before": ("sum", "v")}, bucket_size=1)
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, 0, 2, 0), (None, 0, 5, 0), (None, 1, 7, 5)]

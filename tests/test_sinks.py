@@ -59,3 +59,35 @@ def test_json_and_builders(spark, tmp):
     assert done == ["form"] and out == {"form": 1}
     write_csv(spark.range(3), os.path.join(tmp, "targets"))
     assert spark.read.option("header", True).csv(os.path.join(tmp, "targets")).count() == 3
+
+
+def test_a_killed_write_is_done_again(spark, tmp):
+    """What a killed job left is no finished table; a failing write leaves
+    the old table as it was."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    for put in (lambda d, p, **k: write_table(d, p, keys=["id"], **k), lambda d, p, **k: write_table(d, p, **k)):
+        p = os.path.join(tmp, f"t{len(os.listdir(tmp))}")
+        os.makedirs(os.path.join(p, "_temporary", "0"))
+        with open(os.path.join(p, "part-0.parquet"), "w") as f:
+            f.write("cut off")
+        put(spark.range(4), p)
+        assert spark.read.parquet(p).count() == 4 and not os.path.exists(os.path.join(p, "_temporary"))
+        put(spark.range(9), p)
+        assert spark.read.parquet(p).count() == 4  # finished: kept
+        bad = spark.range(9).withColumn("x", F.when(F.col("id") == 7, F.raise_error(F.lit("stop"))).cast("int"))
+        with pytest.raises(Exception, match="stop"):
+            put(bad, p, overwrite=True)
+        assert spark.read.parquet(p).count() == 4
+        assert [n for n in os.listdir(tmp) if n.startswith(".")] == []  # nothing staged is left
+
+
+def test_range_partitioned_writes_compute_their_input_once(spark, tmp):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation("once")
+    df = spark.range(1_000).observe(seen, F.count(F.lit(1)).alias("n"))
+    write_table(df, os.path.join(tmp, "t"), keys=["id"])
+    assert seen.get["n"] == 1_000

@@ -178,3 +178,79 @@ def test_a_long_form_with_line_breaks_in_notes(spark, tmp):
         assert form.count() == 20_000
         assert form.where("`Participant ID` = 'P_777'").first()["Notes"] == 'two\nlines "777", here'
         assert form.where("Notes is null").count() == 10_000
+
+
+def test_only_the_last_line_of_a_recording_may_be_cut(spark, tmp):
+    """Strict: a cut line in mid-file raises, wherever the file is split."""
+    import pytest
+
+    from glint.plans.jobs import raw_sources
+
+    line = [json.dumps(sample(i, 1, 1)) for i in range(60)]
+    cut_end = "\n".join([*line, line[0][:50]])
+    cut_mid = "\n".join([*line[:30], line[0][:50], *line[30:]]) + "\n"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        for name, text, good in (("end", cut_end, True), ("ended", cut_end + "\n\n", True), ("mid", cut_mid, False),
+                                 ("closed", "\n".join([*line, '{"a": }']) + "\n", False)):
+            os.makedirs(f"{tmp}/{name}")
+            root, path = both_layouts(f"{tmp}/{name}", {"P_01/P_01.txt": text, "P_02/P_02.txt": line[0] + "\n"})
+            for where, layout in ((root, "dir"), (path, "zip")):
+                read = raw_sources(spark, where, layout)["tobii"]
+                if good:
+                    assert read().count() == 61
+                else:
+                    with pytest.raises(Exception, match="no eye-tracker sample"):
+                        read().collect()
+                assert raw_sources(spark, where, layout, strict=False)["tobii"]().count() == 61
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_bad_event_goes_alone(spark, tmp):
+    import pytest
+
+    from glint.plans.jobs import raw_sources, rejects
+
+    ok = {"sessionId": "1_2_/study/dot_test", "webpage": "/study/dot_test.htm", "epoch": 5.5, "type": "recording start",
+          "pos": {"top": 1, "left": 2.25}}
+    root, path = both_layouts(tmp, {
+        "P_01/1.json": json.dumps([ok, ok | {"epoch": "abc"}, ok, 7, None]), "P_02/2.json": "[]", "P_03/3.json": "{}",
+        "P_04/4.json": "", "P_05/5.json": json.dumps([ok | {"unknown": [1, {"a": 2}], "text": "a, \"]\" ü"}])})
+    for where, layout in ((root, "dir"), (path, "zip")):
+        calm = raw_sources(spark, where, layout, strict=False)["log"]()
+        assert rows(calm, "pid", "epoch") == [(1, 5.5), (1, 5.5), (5, 5.5)]
+        assert calm.where("pid = 5").first()["text"] == 'a, "]" ü' and calm.first()["pos"]["left"] == 2.25
+        bad = rejects(spark, where, layout)["log_rejects"]()
+        assert rows(bad, "pid", "position") == [(1, 1), (1, 3), (1, 4), (3, None), (4, None)]
+        assert '"abc"' in bad.where("position = 1").first()["value"]
+        with pytest.raises(Exception, match="not a log event"):
+            raw_sources(spark, where, layout)["log"]().collect()
+
+
+def test_folder_and_archive_agree(spark, tmp):
+    """One parser for both layouts, odd fields included."""
+    from glint.plans.jobs import raw_sources
+    from glint.schemas import ALIGNMENT_CSV_SCHEMA
+    from glint.sources import read_alignment_csv
+    from glint.sources.parse import parse_delimited
+
+    calib = ("point_x\tpoint_y\tprediction_x_left\tprediction_y_left\tvalidity_left\tprediction_x_right\t"
+             "prediction_y_right\tvalidity_right\n0.1\tNaN\tx\t\t1\t0.1\t1e3\t1.0\n0.1\t0.2\n")
+    later = [r.replace("P_01", "P_77") for r in ROWS]
+    root, path = both_layouts(tmp, {
+        "participant_characteristics.csv": "\n".join([HEADER, *ROWS]) + "\n",
+        "z_participant_characteristics.csv": "\n".join([HEADER, *later]) + "\n",
+        "P_01/x_final_dot_test_locations.tsv": "Dot_X\tDot_Y\tEpoch\n1\tn/a\t1.5\n2.0\t-\t\n\"3\"\t4\tNaN\textra\n",
+        "P_01/calibration.tsv": calib})
+    a, b = raw_sources(spark, root), raw_sources(spark, path, "zip")
+    for name in ("form", "dot", "calib"):
+        x, y = a[name](), b[name]()
+        assert rows(x, *y.columns).__repr__() == rows(y).__repr__() and set(x.columns) == set(y.columns)
+    assert rows(a["form"](), "Participant ID") == [("P_01",), ("P_06",)]  # the first file only
+    assert [r["Dot_X"] for r in a["dot"]().orderBy("Dot_X").collect()] == [None, 1, 3]
+    text = "P_01/1_2_-study-dot_test.webm,0.5,-,\nP_02/x.webm,-,1,2\n"
+    write(tmp, "al.csv", "video,frameshift,corrOptimal,corrOrig\n" + text)
+    lines = spark.createDataFrame([(t,) for t in text.splitlines()], "value string")
+    both = [rows(t) for t in (read_alignment_csv(spark, f"{tmp}/al.csv"), parse_delimited(lines, ALIGNMENT_CSV_SCHEMA, ",", "-", True))]
+    assert both[0] == both[1]

@@ -128,3 +128,27 @@ def test_tobii_table_has_no_shuffle(spark, tmp):
     tobii = tidy_tables(spark, raw)["tobii"]()
     plan = tobii.sortWithinPartitions("pid", "timestamp")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_etl_counts_in_the_writing_pass(spark, tmp):
+    import pytest
+
+    raw, out = os.path.join(tmp, "raw"), os.path.join(tmp, "tidy")
+    make_dataset(raw)
+    clean = etl(spark, raw, out, process=["log", "tobii"], strict=False)
+    assert clean.counts == {"log": {"rows": 2 * len(LOG), "rejects": 0}, "tobii": {"rows": 40, "rejects": 0}}
+    assert load_table(spark, out, "log_rejects").count() == load_table(spark, out, "tobii_rejects").count() == 0
+    assert etl(spark, raw, out, process=["log"]).counts == {}  # there already
+    samples = [json.dumps(sample(i, 1, 1)) for i in range(3)]
+    write(raw, "P_07/7.json", json.dumps([*LOG[:2], LOG[0] | {"epoch": "abc"}]))
+    write(raw, "P_07/P_07.txt", "\n".join([samples[0], samples[1][:60], samples[2]]) + "\n")
+    bad = etl(spark, raw, f"{out}2", process=["log", "tobii"], strict=False)
+    assert bad.counts == {"log": {"rows": 2 * len(LOG) + 2, "rejects": 1}, "tobii": {"rows": 42, "rejects": 1}}
+    for name in ("log", "tobii"):
+        assert load_table(spark, f"{out}2", f"{name}_rejects").count() == bad.counts[name]["rejects"]
+    for name in ("log", "tobii"):  # strict: an error, and no table
+        with pytest.raises(Exception, match="no eye-tracker sample|not a log event"):
+            etl(spark, raw, f"{out}3", process=[name])
+        assert not os.path.exists(os.path.join(f"{out}3", name)) and not os.path.exists(os.path.join(f"{out}3", f"{name}.parquet"))
+    write(raw, "P_07/P_07.txt", "\n".join([samples[0], samples[1][:60]]))  # cut off at the end
+    assert etl(spark, raw, f"{out}3", process=["tobii"]).counts == {"tobii": {"rows": 41, "rejects": 1}}
