@@ -2,6 +2,7 @@
 
 etl      raw folder or zip -> tidy tables (form, log, tobii, dot, calib)
 prepare  tidy tables -> per-participant views
+index    archive -> restart points of its deflated recordings
 frames   tracker-output NDJSON -> one sorted lz4 table
 """
 
@@ -13,6 +14,7 @@ import time
 
 from .plans.jobs import TABLES, VIEWS, etl, prepare, tracker_frames
 from .session import get_session
+from .sources import index_zip
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -31,6 +33,13 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--dry-run", action="store_true")
     e.add_argument("--tolerant", action="store_true", help="set aside what does not parse instead of failing")
 
+    e.add_argument("--zip-index", default=None, help="restart points written by `index`, so that one recording is many tasks")
+
+    x = sub.add_parser("index", help="restart points of an archive's deflated recordings")
+    x.add_argument("dataset", help="the dataset zip")
+    x.add_argument("--output-path", required=True)
+    x.add_argument("--overwrite", action="store_true")
+
     r = sub.add_parser("prepare", help="tidy tables -> views")
     r.add_argument("input_path")
     r.add_argument("--output-path", required=True)
@@ -56,10 +65,13 @@ def main(argv: list[str] | None = None) -> list[str]:
             spark, args.dataset, args.output_path, process=args.process,
             layout="zip" if args.zip else "dir", alignment_path=args.alignment_path,
             sync=not args.no_sync_video, overwrite=args.overwrite, dry_run=args.dry_run,
-            align_first=args.align_first, strict=not args.tolerant,
+            align_first=args.align_first, strict=not args.tolerant, index=args.zip_index,
         )
         for name, n in done.counts.items():
             print(f"{name}: {n['rows']} rows, {n['rejects']} left out")
+    elif args.command == "index":
+        index_zip(spark, args.dataset, args.output_path, overwrite=args.overwrite)
+        done = ["index"]
     elif args.command == "prepare":
         inputs = {}
         if args.clips:

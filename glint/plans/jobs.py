@@ -45,16 +45,18 @@ def raw_sources(
     strict: bool = True,
     check: bool = True,
     watch: dict[str, Observation] | None = None,
+    index: str | None = None,
 ):
     """Raw DataFrames of every source, from a folder or a zip. `watch` counts
     what is parsed and what is not of `log` and `tobii`; `check=False` leaves
-    the look at unfinished eye-tracker lines to the caller."""
+    the look at unfinished eye-tracker lines to the caller; `index` (zip): see
+    `index_zip`."""
     seen = watch or {}
     if layout == "zip":
         return {
             "form": lambda: Z.zip_form(spark, root),
             "log": lambda: Z.zip_logs(spark, root, strict, watch=seen.get("log")),
-            "tobii": lambda: Z.zip_tobii(spark, root, strict, check=check, watch=seen.get("tobii")),
+            "tobii": lambda: Z.zip_tobii(spark, root, strict, check=check, watch=seen.get("tobii"), index=index),
             "dot": lambda: Z.zip_dots(spark, root),
             "calib": lambda: Z.zip_calibration(spark, root, calib_glob.replace("*", ".*") + "$"),
             "spec": lambda: Z.zip_specs(spark, root),
@@ -78,6 +80,7 @@ def tidy_tables(
     strict: bool = True,
     align_first: bool = False,
     watch: dict[str, Observation] | None = None,
+    index: str | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
     """Builders of the tidy tables (E1): form, log, tobii, dot, calib.
 
@@ -88,8 +91,8 @@ def tidy_tables(
     The eye-tracker table leaves out every unfinished line; `etl` then asks
     `broken_recordings` if there were any (`watch` counts them), before the
     table appears."""
-    src = raw_sources(spark, root, layout, strict=strict, check=False)
-    counting = raw_sources(spark, root, layout, strict=strict, check=False, watch=watch)
+    src = raw_sources(spark, root, layout, strict=strict, check=False, index=index)
+    counting = raw_sources(spark, root, layout, strict=strict, check=False, watch=watch, index=index)
 
     def log(raw: DataFrame) -> DataFrame:
         tidy = normalize_log(raw, strict)
@@ -134,6 +137,7 @@ def etl(
     dry_run: bool = False,
     align_first: bool = False,
     strict: bool = True,
+    index: str | None = None,
 ) -> Report:
     """Raw files -> tidy tables under `out` (K7 picks the tables).
 
@@ -142,19 +146,20 @@ def etl(
     writes log and tobii counts what does not parse. With `strict` it is an
     error, and no table appears, unless it is the unfinished end of a
     recording: recordings are looked through a second time only if one has
-    an unfinished line. Without, it is written beside the table, as
+    an unfinished line. `index`: restart points of the archive's recordings
+    (`index_zip`). Without, it is written beside the table, as
     `log_rejects` and `tobii_rejects`, in a second pass only if there is any."""
     watch = {name: Observation(name) for name in ("log", "tobii")}
-    builders = tidy_tables(spark, root, layout, alignment_path, sync, strict, align_first, watch)
+    builders = tidy_tables(spark, root, layout, alignment_path, sync, strict, align_first, watch, index)
     counts: dict[str, dict[str, int]] = {}
     process = list(process)
     if not strict:
-        builders |= rejects(spark, root, layout)
+        builders |= rejects(spark, root, layout, index)
         process += [f"{p}_rejects" for p in process if f"{p}_rejects" in builders]
 
     def whole() -> None:
         if strict and watch["tobii"].get["rejects"]:
-            bad = [r["source"] for r in broken_recordings(gaze_lines(spark, root, layout)).limit(5).collect()]
+            bad = [r["source"] for r in broken_recordings(gaze_lines(spark, root, layout, index)).limit(5).collect()]
             if bad:
                 raise ValueError(f"lines that are no eye-tracker sample before the end of {', '.join(bad)}")
 
@@ -182,17 +187,17 @@ def etl(
     return Report(build_tables(builders, process, sink), counts)
 
 
-def gaze_lines(spark: SparkSession, root: str, layout: str = "dir") -> DataFrame:
+def gaze_lines(spark: SparkSession, root: str, layout: str = "dir", index: str | None = None) -> DataFrame:
     """The lines of all eye-tracker recordings."""
-    return Z.zip_tobii_lines(spark, root) if layout == "zip" else R.tobii_lines(spark, f"{root}/{GAZE_FILES}")
+    return Z.zip_tobii_lines(spark, root, index=index) if layout == "zip" else R.tobii_lines(spark, f"{root}/{GAZE_FILES}")
 
 
-def rejects(spark: SparkSession, root: str, layout: str = "dir") -> dict[str, Callable[[], DataFrame]]:
+def rejects(spark: SparkSession, root: str, layout: str = "dir", index: str | None = None) -> dict[str, Callable[[], DataFrame]]:
     """Builders of the tables of what tolerant parsing leaves out."""
     if layout == "zip":
         return {
             "log_rejects": lambda: Z.zip_logs(spark, root, False, rejects=True),
-            "tobii_rejects": lambda: Z.zip_tobii(spark, root, False, rejects=True),
+            "tobii_rejects": lambda: Z.zip_tobii(spark, root, False, rejects=True, index=index),
         }
     return {
         "log_rejects": lambda: R.read_log_json(spark, f"{root}/P_*/*.json", False, rejects=True),

@@ -29,6 +29,12 @@ def _bad() -> Column:
     return F.col("_r").isNull() | F.col("_r._corrupt_record").isNotNull()
 
 
+def _once(value: Column, name: str) -> Column:
+    """`value` as a column that is computed once per row: a projection would
+    be merged into each filter that reads it, and parse the text again."""
+    return F.explode(F.array(value)).alias(name)
+
+
 def counted(rows: DataFrame, bad: Column, watch: Observation | None) -> DataFrame:
     """`rows`, with the numbers of good and bad ones (`rows`, `rejects`)
     measured by `watch` in the pass that reads them."""
@@ -45,7 +51,7 @@ def _events(files: DataFrame) -> DataFrame:
     """The elements of each file's array, each parsed alone: position,
     value (its text), `_r` (its fields). A file that is no array is one
     element without a position, holding the file."""
-    whole = files.withColumn("_a", F.from_json("value", ArrayType(StringType())))
+    whole = files.select("*", _once(F.from_json("value", ArrayType(StringType())), "_a"))
     each = whole.select(
         *_rest(files), F.col("_a").isNotNull().alias("_array"), F.when(F.col("_a").isNull(), F.col("value")).alias("_file"),
         F.posexplode_outer("_a").alias("position", "_e"))
@@ -54,7 +60,7 @@ def _events(files: DataFrame) -> DataFrame:
     element = F.when(F.col("_array"), F.coalesce("_e", F.lit("null")))
     return each.select(
         *_rest(files), F.col("position"), F.coalesce(element, "_file").alias("value"),
-        F.when(F.col("_array"), F.from_json("_e", schema, _JSON)).alias("_r"))
+        _once(F.when(F.col("_array"), F.from_json("_e", schema, _JSON)), "_r"))
 
 
 def parse_log_text(files: DataFrame, strict: bool = True, watch: Observation | None = None) -> DataFrame:
@@ -82,7 +88,7 @@ def log_rejects(files: DataFrame) -> DataFrame:
 
 def _gaze(lines: DataFrame) -> DataFrame:
     some = lines.where(F.trim("value") != "")
-    return some.withColumn("_r", F.from_json("value", TOBII_JSON_SCHEMA, _JSON))
+    return some.select("*", _once(F.from_json("value", TOBII_JSON_SCHEMA, _JSON), "_r"))
 
 
 def _unfinished() -> Column:

@@ -34,7 +34,8 @@ FILE = "_metadata.file_path"
 
 
 def _files(spark: SparkSession, path: str, strict: bool) -> DataFrame:
-    """Files read whole: (pid, source, value); an empty file has a row, too."""
+    """Files read whole: (pid, source, value). Spark's file sources skip a
+    file of no bytes, so it has no row (a member of the archive has)."""
     df = spark.read.format("binaryFile").load(path).select(F.col("path").alias("source"), F.col("content").cast("string").alias("value"))
     return df.withColumn("pid", pid_from_name("source", strict))
 
