@@ -152,3 +152,56 @@ def test_etl_counts_in_the_writing_pass(spark, tmp):
         assert not os.path.exists(os.path.join(f"{out}3", name)) and not os.path.exists(os.path.join(f"{out}3", f"{name}.parquet"))
     write(raw, "P_07/P_07.txt", "\n".join([samples[0], samples[1][:60]]))  # cut off at the end
     assert etl(spark, raw, f"{out}3", process=["tobii"]).counts == {"tobii": {"rows": 41, "rejects": 1}}
+
+
+def test_streamed_views_equal_the_batch(spark, tmp):
+    """D12-D16 from three streams, files arriving in several batches."""
+    from glint.plans.jobs import views
+    from glint.streaming import start_views
+
+    raw, out, live = (os.path.join(tmp, d) for d in ("raw", "tidy", "live"))
+    make_dataset(raw)
+    etl(spark, raw, out)
+    want = views(spark, out)
+    form = load_table(spark, out, "form")
+    globs = {"log": "P_*/*.json", "tobii": "P_*/{P_[0-9],P_[0-9]*[0-9]}.txt", "dot": "P_*/*final_dot_test_locations.tsv"}
+    for _ in range(2):  # the second run finds nothing new
+        for kind, glob in globs.items():
+            q = start_views(spark, kind, f"{raw}/{glob}", form, live, os.path.join(tmp, "ck", kind), available_now=True, max_files=1)
+            q.awaitTermination(120)
+    for name in ("events", "markers", "mouse", "gaze", "dots"):
+        got = spark.read.parquet(f"{live}/{name}")
+        assert got.select("batch").distinct().count() == 2
+        table = want[name]()
+        plain = lambda df: sorted(df.select([F.col(c).cast("string") for c in table.columns]).collect(), key=str)
+        assert plain(got) == plain(table), name
+
+
+def test_a_stream_is_loud_or_sets_aside(spark, tmp):
+    import pytest
+
+    from glint.streaming import start_views
+
+    form = spark.createDataFrame(
+        [(1, dt.datetime(2017, 4, 5, 20, 13), dt.datetime(2017, 4, 5, 20, 13, 37), None)],
+        "pid int, init_start timestamp_ntz, webcam_start timestamp_ntz, screen_start timestamp_ntz")
+    src = os.path.join(tmp, "in")
+    write(src, "P_01/a.json", json.dumps(LOG)[:-20])  # cut off
+    write(src, "P_01/b.json", json.dumps([*LOG, LOG[0] | {"epoch": "abc"}]))
+    write(src, "P_01/P_01.txt", "\n".join([json.dumps(sample(0, 1, 1)), "noise", json.dumps(sample(1, 1, 1))]) + "\n")
+    go = lambda kind, glob, n, strict: start_views(
+        spark, kind, f"{src}/{glob}", form, os.path.join(tmp, n), os.path.join(tmp, f"ck{n}"), strict, True).awaitTermination(120)
+    with pytest.raises(Exception, match="no JSON array|not a log event"):
+        go("log", "P_*/*.json", "loud", True)
+    assert os.listdir(os.path.join(tmp, "loud", "log")) == []
+    q = start_log_sink(log_stream(spark, f"{src}/P_*/*.json"), os.path.join(tmp, "o"), os.path.join(tmp, "c"), available_now=True)
+    with pytest.raises(Exception, match="no JSON array|not a log event"):
+        q.awaitTermination(120)
+    go("log", "P_*/*.json", "calm", False)
+    assert spark.read.parquet(f"{tmp}/calm/log").count() == len(LOG)
+    assert spark.read.parquet(f"{tmp}/calm/log_rejects").count() == 2
+    form = form.withColumn("display_resolution", F.struct(F.lit(1440).alias("w"), F.lit(900).alias("h")))
+    with pytest.raises(Exception, match="sample"):
+        go("tobii", "P_*/P_*.txt", "loudly", True)
+    go("tobii", "P_*/P_*.txt", "calmly", False)
+    assert spark.read.parquet(f"{tmp}/calmly/tobii").count() == 2 and spark.read.parquet(f"{tmp}/calmly/tobii_rejects").first()["value"] == "noise"
