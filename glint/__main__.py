@@ -35,6 +35,8 @@ def _parser() -> argparse.ArgumentParser:
 
     e.add_argument("--zip-index", default=None, help="restart points written by `index`, so that one recording is many tasks")
 
+    e.add_argument("--point-reads", action="store_true", help="Bloom filters for pid and study in the log")
+
     x = sub.add_parser("index", help="restart points of an archive's deflated recordings")
     x.add_argument("dataset", help="the dataset zip")
     x.add_argument("--output-path", required=True)
@@ -65,7 +67,7 @@ def main(argv: list[str] | None = None) -> list[str]:
             spark, args.dataset, args.output_path, process=args.process,
             layout="zip" if args.zip else "dir", alignment_path=args.alignment_path,
             sync=not args.no_sync_video, overwrite=args.overwrite, dry_run=args.dry_run,
-            align_first=args.align_first, strict=not args.tolerant, index=args.zip_index,
+            align_first=args.align_first, strict=not args.tolerant, index=args.zip_index, point_reads=args.point_reads,
         )
         for name, n in done.counts.items():
             print(f"{name}: {n['rows']} rows, {n['rejects']} left out")

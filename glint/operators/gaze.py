@@ -107,8 +107,8 @@ def paired_targets(
     points: DataFrame,
     frame_order: list[str],
     point_order: list[str],
-    frame_bucket: Column,
-    point_bucket: Column,
+    frame_bucket: Column | None = None,
+    point_bucket: Column | None = None,
 ) -> DataFrame:
     """The n-th row of a recording's frames paired with its n-th mouse
     point (horizontal concat per (pid, record)); the longer side's surplus
@@ -119,7 +119,8 @@ def paired_targets(
     ...). The orders name the columns that hold the position (file order,
     time). Rows are numbered by `row_index` in buckets, which must never
     decrease along the order, so a long recording is not numbered in one
-    task."""
+    task. Without buckets each recording is numbered where it lies: over
+    tables bucketed by (pid, record) nothing is shuffled."""
     f = row_index(frames, ["pid", "record"], frame_order, frame_bucket, "_n")
     p = row_index(points, ["pid", "record"], point_order, point_bucket, "_n")
     p = p.select(

@@ -35,16 +35,31 @@ def recording_ends(log: DataFrame) -> DataFrame:
     )
 
 
-def recording_durations(log: DataFrame, dedupe: bool = False) -> DataFrame:
+def recording_stops(log: DataFrame) -> DataFrame:
+    """Every row that can end a recording, as (pid, record, end): its
+    stops, and where it has none and its number is above 1 the starts of
+    record + 1."""
+    stops = log.where(F.col("event") == "stop").select("pid", "record", F.col("timestamp").alias("end"))
+    # a next start counts for a recording without any stop: keys with one
+    # are taken out of the (small) table of next starts
+    nexts = log.where((F.col("event") == "start") & (F.col("record") > 2)).select(
+        "pid", (F.col("record") - 1).alias("record"), F.col("timestamp").alias("end"))
+    return stops.unionByName(nexts.join(stops.select("pid", "record"), ["pid", "record"], "left_anti"))
+
+
+def recording_durations(log: DataFrame, dedupe: bool = False, ends: DataFrame | None = None) -> DataFrame:
     """How long each recording ran.
 
     Rows are the `start` events except the thank-you page. A recording ends
     at the stop of the same (pid, record) (J1); when it has none and its
     record number is above 1, at the start of record + 1 (J2, J3); otherwise
     the duration is null. Several stops, or several next starts, each give a
-    row. `dedupe=True` reduces them first (`recording_ends`: the latest stop,
-    the earliest next start), so that each start gives one row and a hot
-    (pid, record) meets a one-row build side."""
+    row: starts x ends of a (pid, record), which is the rule, and quadratic
+    for a recording with very many of both. `dedupe=True` reduces them first
+    (`recording_ends`: the latest stop, the earliest next start), so that
+    each start gives one row and a hot (pid, record) meets a one-row build
+    side. `ends`: the table of `recording_stops`, if it was written before
+    (bucketed like the log, it is joined without a shuffle)."""
     starts = log.where(
         (F.col("event") == "start") & (F.col("study") != THANK_YOU)
     ).select("pid", "record", "study", F.col("timestamp").alias("start"))
@@ -52,16 +67,8 @@ def recording_durations(log: DataFrame, dedupe: bool = False) -> DataFrame:
         out = starts.join(recording_ends(log), ["pid", "record"], "left")
         end = F.coalesce("stop", "next")
     else:
-        stops = log.where(F.col("event") == "stop").select(
-            "pid", "record", F.col("timestamp").alias("_end"), F.lit(True).alias("_stop"))
-        # a next start counts for a recording without any stop: keys with one
-        # are taken out of the (small) table of next starts
-        nexts = log.where((F.col("event") == "start") & (F.col("record") > 2)).select(
-            "pid", (F.col("record") - 1).alias("record"), F.col("timestamp").alias("_end"))
-        nexts = nexts.join(stops.select("pid", "record"), ["pid", "record"], "left_anti")
-        ends = stops.select("pid", "record", "_end").unionByName(nexts)
-        out = starts.join(ends, ["pid", "record"], "left")
-        end = F.col("_end")
+        out = starts.join(recording_stops(log) if ends is None else ends, ["pid", "record"], "left")
+        end = F.col("end")
     return out.select(
         "pid", "record", "study", "start",
         end.alias("stop"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.form import build_form, clean_form, parse_specs, spec_lines
 from ..operators.gaze import calibration_targets, shape_calibration, shape_dots, shape_gaze
 from ..operators.log import align_log, normalize_log, parse_alignment
-from ..operators.recordings import clip_timeline, frame_index, recording_durations
+from ..operators.recordings import clip_timeline, frame_index, recording_durations, recording_stops
 from ..operators.timelines import (
     dot_points,
     event_log,
@@ -26,7 +26,7 @@ from ..operators.timelines import (
     recording_markers,
     with_timelines,
 )
-from ..sinks import build_tables, finished, write_partitioned, write_table
+from ..sinks import build_tables, finished, write_bucketed, write_partitioned, write_table
 from ..sources import readers as R
 from ..sources import archive as Z
 from ..sources.parse import broken_recordings
@@ -138,6 +138,7 @@ def etl(
     align_first: bool = False,
     strict: bool = True,
     index: str | None = None,
+    point_reads: bool = False,
 ) -> Report:
     """Raw files -> tidy tables under `out` (K7 picks the tables).
 
@@ -173,6 +174,8 @@ def etl(
             write_partitioned(df, path, overwrite=overwrite, shuffle=False, check=whole)
         elif name == "form":
             write_table(df.drop("screen_viewport_y"), path, overwrite)
+        elif name == "log" and point_reads:  # columns without a dictionary want compression
+            write_table(df, path, overwrite, keys=["pid", "timestamp"], points=["pid", "study"], compression="zstd")
         elif name in ("log", "dot"):
             write_table(df, path, overwrite, keys=["pid", "timestamp"])
         elif name == "calib":
@@ -279,6 +282,19 @@ def prepare(
     return build_tables(builders, process, sink)
 
 
+def bucket_study(spark: SparkSession, root: str, out: str, alignment: DataFrame | None = None, buckets: int = 200, overwrite: bool = False) -> list[str]:
+    """The tidy log, the ends of recordings (`recording_stops`) and the clip
+    shifts of `alignment` as tables bucketed by (pid, record): D10, D4 and D17
+    over them (`bucketed_table`) need no shuffle."""
+    log = load_table(spark, root, "log")
+    tables = {"log": log, "ends": recording_stops(log)}
+    if alignment is not None:
+        tables["shifts"] = alignment.select("pid", "record", "study", "frameshift")
+    for name, df in tables.items():
+        write_bucketed(df, f"{out}/{name}", ["pid", "record"], buckets, ["timestamp"] if name == "log" else None, overwrite)
+    return list(tables)
+
+
 def tracker_frames(spark: SparkSession, path: str, out: str, overwrite: bool = False) -> DataFrame:
     """Tracker-output NDJSON per clip -> one lz4 Parquet table (K4),
     rows numbered in file order and sorted by (pid, record, aux, index)."""

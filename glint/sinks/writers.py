@@ -29,15 +29,27 @@ def write_table(
     compression: str = "uncompressed",
     keys: list[str] | None = None,
     check: Callable[[], None] | None = None,
+    points: list[str] | None = None,
+    row_group: int | None = None,
 ) -> DataFrame:
     """K1: Parquet table. A finished target is kept unless `overwrite`;
     `dry_run` returns the DataFrame without writing. With `keys` (O1) rows
     are range-partitioned and sorted by them, so row groups hold narrow key
     ranges that a filter can skip. `check` may reject the rows before the
-    table appears (see `staged_write`)."""
+    table appears (see `staged_write`).
+
+    `points`: columns with a Bloom filter in every row group (of `row_group`
+    bytes), so that a filter for one value skips the groups that lie around
+    it but don't hold it. Parquet writes one only for a column without a
+    dictionary, so these have none."""
+    options = {"compression": compression}
+    for c in points or []:
+        options |= {f"parquet.bloom.filter.enabled#{c}": "true", f"parquet.enable.dictionary#{c}": "false"}
+    if row_group:
+        options["parquet.block.size"] = str(row_group)
 
     def save(stage: str) -> None:
-        put = lambda out: out.write.option("compression", compression).parquet(stage)
+        put = lambda out: out.write.options(**options).parquet(stage)
         _ranged(df, path, keys, None, put) if keys else put(df)
 
     if not dry_run:
