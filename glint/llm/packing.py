@@ -9,8 +9,8 @@
    coverage gain weight, a knapsack dynamic program prices the best
    configurations, and every configuration near the best is used for part of
    what is left.
-3. The solution is rounded, what remains is solved again, and the last
-   pieces, a few hundred whatever the corpus, are placed by best fit.
+3. `SHARE` of the solution, rounded down, is placed; the other pieces, a
+   mix like the corpus's, by best-fit decreasing over the histogram.
 4. The plan says, for each length, which rank goes to which sequence and
    offset. Pieces are ranked per length by task-local ranks plus running
    sums over the tasks' counts, so no length, however common, is ranked by
@@ -25,9 +25,12 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,8 @@ from .common import save_table, small_batches
 
 LONG_RUN = 2_000      # characters without a break
 GROUP_CHARS = 1_000_000  # text encoded before its pieces leave a task
-CHECKED = 2           # texts of a task that are encoded both ways
+SHARE = 0.6           # of the fractional solution that is placed
+CHECKED = 512         # one text of so many, by its CRC-32, is encoded both ways
 
 
 # --- token ids ------------------------------------------------------------
@@ -62,8 +66,8 @@ class Encoder:
 
     A byte-level BPE vocabulary whose merges are in the order of their ids
     gives the same ids as its ranks do in `tiktoken`, at a third of the time
-    and without a cache of words; the first texts of every task are encoded
-    both ways and must agree. The tokenizer itself encodes everything else:
+    and without a cache of words; one text of `CHECKED` is
+    encoded both ways and must agree. The tokenizer itself encodes everything else:
     texts that spell a special token, texts with an extremely long run, and
     all texts of other vocabularies."""
 
@@ -116,7 +120,7 @@ def _pieces(path: str, size: int, end: int):
     tail = np.array([end], "<u4").tobytes()
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, checked = encoder(path), 0
+        enc = encoder(path)
         for b in it:
             texts = b.column(1)
             at = 0
@@ -128,10 +132,8 @@ def _pieces(path: str, size: int, end: int):
                 rows, piece, start, length, ids = [], [], [], [], []
                 for i, text in enumerate(group):
                     raw = enc.encode(text)
-                    if checked < CHECKED and text:
-                        checked += 1
-                        if raw != enc.by_file(text):
-                            raise ValueError("the ranks of the vocabulary don't give the tokenizer's ids")
+                    if zlib.crc32(text.encode()) % CHECKED == 0 and raw != enc.by_file(text):
+                        raise ValueError("the ranks of the vocabulary don't give the tokenizer's ids")
                     raw += tail
                     n = len(raw) // 4
                     stop = n % size or size
@@ -190,91 +192,122 @@ def _fill(last: list[int], down: list[int], c: int) -> list[int]:
     return out
 
 
-def solve(counts: dict[int, int], size: int, near: float = 0.004, rate: float = 2.0, rounds: int = 10) -> dict:
-    """A fractional solution {configuration: amount} of the configuration
-    LP for the histogram `counts`."""
+class Solution(NamedTuple):
+    """A fractional solution of the configuration program: how often each
+    configuration is used, and a number of sequences that no packing, not
+    even a fractional one, can go below (its dual bound)."""
+
+    amounts: dict[tuple, float]
+    bound: float
+
+
+def solve(counts: dict[int, int], size: int, rate: float = 0.02, near: float = 0.004, rounds: int = 40) -> Solution:
+    """The configuration LP for the histogram `counts` by multiplicative
+    weights. A round prices configurations by the weights of their lengths,
+    uses all near the best for part of what is left, and multiplies the
+    weight of every length by how far it lags behind. Any weights give a dual
+    bound: their sum over the pieces by that of the best configuration."""
     lengths = np.array(sorted(counts), np.int64)
     total = np.array([counts[int(x)] for x in lengths], float)
     at = {int(x): i for i, x in enumerate(lengths)}
-    left, found = total.copy(), Counter()
+    left, found, weight, bound = total.copy(), Counter(), lengths.astype(float), 0.0
     for _ in range(rounds):
-        live = left > 1e-3 * total
+        best, last, down = price(lengths, weight, size)
+        bound = max(bound, float(total @ weight) / best[size])
+        live = left > 1e-6 * total
         if not live.any():
             break
-        # multiplicative weights: what is less covered weighs more
-        lag = left / total
-        weight = lengths * np.exp(rate * near * (lag - lag[live].mean()))
+        # the best fillings with lengths that are left
         best, last, down = price(lengths[live], weight[live], size)
         last, down = last.tolist(), down.tolist()
-        goal = best[size] * (1 - near)
+        used = 0
         for lead in lengths[live][::-1]:
             i = at[int(lead)]
-            if weight[i] + best[size - lead] < goal:
+            if weight[i] + best[size - lead] < best[size] * (1 - near):
                 continue
             conf = Counter([int(lead), *_fill(last, down, size - int(lead))])
             amount = 0.5 * min(left[at[x]] / n for x, n in conf.items())
-            if amount <= 0:
-                continue
-            found[tuple(sorted(conf.items()))] += amount
-            for x, n in conf.items():
-                left[at[x]] -= n * amount
-    return found
+            if amount > 0:
+                used += 1
+                found[tuple(sorted(conf.items()))] += amount
+                for x, n in conf.items():
+                    left[at[x]] -= n * amount
+        lag = left / total
+        weight *= np.exp(rate * (lag - lag.mean()))
+        # the best is full: a length that never gets near it needs a wider view
+        near = near if used else 2 * near
+    return Solution(dict(found), bound)
 
 
 def configurations(counts: dict[int, int], size: int) -> list[tuple[tuple, int]]:
     """An integral plan [(configuration as ((length, number), ...), how many
-    sequences)] that holds exactly `counts`."""
+    sequences)] that holds exactly `counts`: `SHARE` of the solution, rounded
+    down, and best-fit decreasing for the other pieces. Placing all of it
+    would leave what fits nothing: the last sequences need a mix like the
+    corpus's. Both work on numbers of equal pieces and equal sequences."""
     left, plan = Counter({k: v for k, v in counts.items() if v}), Counter()
     if left[size]:  # a full piece is a sequence
         plan[((size, 1),)] = left.pop(size)
-    while (open_ := sum(left.values())) > 500:
-        # rounded up, the most used first, as far as the pieces last: the
-        # configurations are full, so what they take is well placed
-        for conf, amount in sorted(solve(+left, size).items(), key=lambda x: (-x[1], x[0])):
-            n = min([int(np.ceil(amount)), *(left[x] // k for x, k in conf)])
-            if n > 0:
+    left = +left
+    if left:
+        for conf, amount in solve(left, size).amounts.items():
+            n = int(SHARE * amount)
+            if n and sum(x * k for x, k in conf) == size:  # what is not full is packed anew
                 plan[conf] += n
                 for x, k in conf:
                     left[x] -= n * k
-        if sum(left.values()) == open_:
-            break
     for conf, n in _best_fit(+left, size).items():
         plan[conf] += n
     return list(plan.items())
 
 
 def _best_fit(left: Counter, size: int) -> Counter:
-    """Best-fit decreasing, one open sequence at a time: the longest that
-    fits, then the best filling of the rest by subset sums."""
-    plan = Counter()
-    while left:
-        top = max(left)
-        room, conf = size - top, Counter([top])
-        # reachable sums with the pieces that are left (bounded numbers)
-        came = {0: None}
-        for x in sorted(left, reverse=True):
-            n = left[x] - (x == top)
-            if x > room or n <= 0:
+    """Best-fit decreasing: every piece, the longest first, goes where it
+    leaves least room. Sequences of equal room and content go together."""
+    rooms: list[int] = []                # the rooms there are, sorted
+    open_: dict[int, Counter] = {}       # room -> contents -> how many
+    for x in sorted(left, reverse=True):
+        n = left[x]
+        while n:
+            i = bisect_left(rooms, x)
+            if i == len(rooms):  # new sequences, as full as they get
+                k = size // x
+                whole, rest = divmod(n, k)
+                _put(rooms, open_, size - k * x, ((x, k),), whole)
+                _put(rooms, open_, size - rest * x, ((x, rest),), 1 if rest else 0)
+                n = 0
                 continue
-            for s in sorted(came, reverse=True):
-                for k in range(1, min(n, (room - s) // x) + 1):
-                    if s + k * x not in came:
-                        came[s + k * x] = (x, k, s)
-            if room in came:
-                break
-        s = max(came)
-        while came[s]:
-            x, k, s = came[s]
-            conf[x] += k
-        n = max(1, min(left[x] // k for x, k in conf.items()))
-        plan[tuple(sorted(conf.items()))] += n
-        for x, k in conf.items():
-            left[x] -= n * k
-            if not left[x]:
-                del left[x]
+            room = rooms[i]
+            conf, m = next(iter(open_[room].items()))
+            k = min(room // x, n)
+            take = min(m, n // k)
+            _take(rooms, open_, room, conf, take)
+            _put(rooms, open_, room - k * x, (*conf, (x, k)), take)
+            n -= take * k
+    plan = Counter()
+    for contents in open_.values():
+        for conf, m in contents.items():
+            plan[tuple(sorted(conf))] += m
     return plan
 
 
+def _put(rooms: list[int], open_: dict, room: int, conf: tuple, n: int) -> None:
+    if n:
+        if room not in open_:
+            insort(rooms, room)
+            open_[room] = Counter()
+        open_[room][conf] += n
+
+
+def _take(rooms: list[int], open_: dict, room: int, conf: tuple, n: int) -> None:
+    open_[room][conf] -= n
+    if not open_[room][conf]:
+        del open_[room][conf]
+        if not open_[room]:
+            del open_[room]
+            rooms.remove(room)
+
+
 def slots(plan: list[tuple[tuple, int]]) -> dict[int, np.ndarray]:
     """Per length, rows (first rank, first sequence, pieces a sequence,
     first offset) in the order of ranks."""

@@ -1,3 +1,4 @@
+import bisect
 import random
 import re
 import zlib
@@ -243,6 +244,38 @@ def test_packing_is_near_the_bound():
     assert sum(n for _, n in plan) <= 1.002 * sum(x * n for x, n in counts.items()) / 2048 + 1
 
 
+def plain_best_fit(counts, size):
+    """Best-fit decreasing, piece by piece: the number of sequences."""
+    rooms, n = [], 0
+    for x in sorted(counts.elements(), reverse=True):
+        i = bisect.bisect_left(rooms, x)
+        n += i == len(rooms)
+        room = size if i == len(rooms) else rooms.pop(i)
+        bisect.insort(rooms, room - x)
+    return n
+
+
+def test_packing_of_given_lengths_is_as_good_as_best_fit(spark, vocabulary):
+    """The real texts' lengths, as they are and many times over."""
+    rows = packing.token_pieces(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), vocabulary).select("length")
+    given = Counter(r.length for r in rows.collect())
+    for counts in (given, Counter({x: 40 * n for x, n in given.items()}), Counter({1100: 30, 1000: 3, 900: 30, 48: 5}), Counter({700: 9})):
+        plan = packing.configurations(counts, 2048)
+        held = Counter()
+        for conf, n in plan:
+            assert sum(x * k for x, k in conf) <= 2048
+            for x, k in conf:
+                held[x] += k * n
+        used = sum(n for _, n in plan)
+        assert held == counts and used <= plain_best_fit(counts, 2048) + used // 20_000
+        bound = packing.solve(counts, 2048).bound
+        assert bound <= used + 1e-6 and bound >= sum(x * n for x, n in counts.items()) / 2048 - 1e-6
+
+
+def test_packing_bound_sees_what_does_not_fit_together():
+    assert packing.solve({1100: 50}, 2048).bound > 49.9  # by volume it would be 27
+
+
 def test_packing_empty(no_docs, vocabulary):
     assert packing.pack_pieces(packing.token_pieces(no_docs, vocabulary)).count() == 0
     assert packing.configurations({}, 2048) == []
