@@ -2,20 +2,23 @@
 
 A page becomes its sequence of leaf blocks (runs of text between block-level
 tags). Every block has a vector: hashed tokens of its tag path (names, class
-and id words of the open elements), hashed words, and a few shape figures.
-A bidirectional LSTM in numpy reads the whole sequence, so each block is
-labelled with the document around it; blocks labelled as main text are
-joined.
+and id words of the open elements, weaker the farther out), hashed words, and
+a few shape figures, among them the share of the page's text that its
+container and the containers inside it hold, and whether it lies outside
+the article or main element of a page that has one. A bidirectional LSTM in numpy
+reads the whole sequence, so each block is labelled with the document around
+it; blocks labelled as main text are joined.
 
 There is no labelled page table, so the labeller is trained here, on a
-bounded sample of `sample_pages` pages: a lexicon of element names and class
-words (navigation, advert, comment, article, ...) labels the sampled blocks,
-and copies of the pages with renamed wrappers, added boilerplate of every
-kind and hidden class words teach it to use other names and the context.
-Pages are labelled in the tasks, all of them whole.
+bounded sample of `sample_pages` distinct pages: the innermost element whose
+name or class a lexicon knows (navigation, advert, comment, article, ...)
+labels each sampled block, and copies of the pages with renamed wrappers,
+lists, tables, quotes and code inside the article, added boilerplate of every
+kind, whole pages inside a form and hidden class words teach it to use other
+names and the context. Pages are labelled in the tasks, all of them whole.
 
 Defined cases: a null or empty page gives an empty text; a page without a
-main block too; markup that is cut off is dropped, open raw elements
+main block too; classes of html and body say nothing; markup that is cut off is dropped, open raw elements
 (script, style, title, textarea, noscript, iframe) run to the end; svg, math,
 object, video, select, template and the like are elements as any other, whose
 blocks are labelled; malformed references stay as they are;
@@ -62,11 +65,19 @@ BOILER = frozenset(
     "nav navbar navigation menu header masthead footer foot aside sidebar form login search ad ads advert adverts "
     "advertisement sponsor sponsored banner promo cookie cookies consent notice alert popup modal overlay newsletter "
     "subscribe signup share sharing social related recommended breadcrumb breadcrumbs pagination pager toolbar widget "
-    "comment comments comentarios disqus discussion replies reply respond legal copyright disclaimer skip button".split())
+    "comment comments comentarios disqus discussion replies reply respond legal copyright disclaimer skip button "
+    "topbar toc teaser gdpr privacy feedback pagefooter siteheader".split())
 MAIN = frozenset("article main content post entry story text articlebody body prose".split())
 
+# Classes such as "no-sidebar" say what an element lacks, has elsewhere or is.
+STATE_WORDS = frozenset("no not non has have with without hide hidden is js".split())
+# Elements of a text: the block's container is what is around them.
+TEXT_PARTS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th pre blockquote figure figcaption hgroup".split())
+
 PATH_DIM, WORD_DIM = 160, 24
-SHAPE = 8
+SHAPE = 15
+FADE = 0.75  # of a path word, an element farther out
 DIM = PATH_DIM + WORD_DIM + SHAPE
 
 
@@ -75,8 +86,12 @@ DIM = PATH_DIM + WORD_DIM + SHAPE
 @lru_cache(65_536)
 def _path_words(name: str, attrs: str) -> tuple[str, ...]:
     words = [name]
+    if name in ("html", "body"):
+        return (name,)
     for m in _ATTR.finditer(attrs):
-        words += _WORDS.findall((m[2] or m[3] or m[4] or "").lower())
+        for token in (m[2] or m[3] or m[4] or "").split():
+            parts = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+            words += ["-".join(parts)] if parts and parts[0] in STATE_WORDS else parts
     return tuple(words)
 
 
@@ -130,12 +145,20 @@ def blocks(html: str) -> list[tuple[tuple, str, int]]:
 
 
 def teacher(path: tuple) -> int:
-    """1 main, 0 boilerplate, -1 unknown: any boilerplate element decides,
-    then any main one."""
-    words = [w for part in path for w in part]
-    if any(w in BOILER for w in words):
-        return 0
-    return 1 if any(w in MAIN and w != "body" for w in words) else -1
+    """1 main, 0 boilerplate, -1 unknown: the innermost element that the
+    lexicon knows decides. A heading group of an article is part of it, and a
+    form around all of a page may be the page itself."""
+    for i in range(len(path) - 1, -1, -1):
+        part = path[i]
+        if part[0] == "header" and any(p[0] in ("article", "main") for p in path[:i]):
+            continue
+        if part == ("form",) and all(p[0] in ("html", "body", "div") and len(p) == 1 for p in path[:i]):
+            continue
+        if any(w in BOILER for w in part):
+            return 0
+        if any(w in MAIN and w != "body" for w in part[:1]) or any(w in MAIN for w in part[1:]):
+            return 1
+    return -1
 
 
 # --- features -------------------------------------------------------------
@@ -152,20 +175,47 @@ def _path_vector(path: tuple) -> np.ndarray:
         for w in part:
             h = zlib.crc32(w.encode("utf-8", "surrogatepass"))
             for k in range(3):  # three places a word, as a Bloom filter
-                v[(h >> (8 * k)) % PATH_DIM] = 1.0
+                at = (h >> (8 * k)) % PATH_DIM
+                v[at] = max(v[at], FADE**depth)
     return v
 
 
+def _container(path: tuple) -> tuple:
+    n = len(path)
+    while n and path[n - 1][0] in TEXT_PARTS:
+        n -= 1
+    return path[:n]
+
+
+def _shares(page: list[tuple[tuple, str, int]]) -> list[tuple[float, float, float]]:
+    """Per block, of the page's prose (text outside links): the share inside
+    its container, inside the element around that, and the container's rank
+    as a share of the largest container's own prose."""
+    own, inside, total = {}, {}, 0
+    holders = [_container(path) for path, _, _ in page]
+    for c, (_, text, links) in zip(holders, page):
+        n = len(text) - links
+        total += n
+        own[c] = own.get(c, 0) + n
+    for c, n in own.items():
+        for i in range(len(c) + 1):
+            inside[c[:i]] = inside.get(c[:i], 0) + n
+    total, most = max(1, total), max(1, max(own.values(), default=0))
+    return [(inside[c] / total, inside[c[:-1]] / total, own[c] / most) for c in holders]
+
+
 def features(page: list[tuple[tuple, str, int]]) -> np.ndarray:
     x, n = np.zeros((len(page), DIM), np.float32), len(page)
-    for i, (path, text, links) in enumerate(page):
+    marks = [(any(marked), marked) for name in ("article", "main") for marked in [[any(part[0] == name for part in path) for path, _, _ in page]]]
+    for i, ((path, text, links), share) in enumerate(zip(page, _shares(page))):
         words = text.split(" ")
         x[i, :PATH_DIM] = _path_vector(path)
         counts = np.bincount([_bucket(w) for w in words], minlength=WORD_DIM)
         x[i, PATH_DIM: PATH_DIM + WORD_DIM] = np.sqrt(counts / len(words))
         x[i, PATH_DIM + WORD_DIM:] = (
             min(1.0, np.log1p(len(text)) / 8), min(1.0, np.log1p(len(words)) / 6), links / len(text),
-            text[-1] in ".!?:;\"'", sum(map(text.count, ".,;")) / len(words), i / n, (n - i) / n, min(1.0, len(path) / 10))
+            text[-1] in ".!?:;\"'", sum(map(text.count, ".,;")) / len(words), i / n, (n - i) / n, min(1.0, len(path) / 10), *share,
+            *(float(v) for has, marked in marks for v in (has and marked[i], has and not marked[i])))
     return x
 
 
@@ -238,7 +288,7 @@ class Labeller:
             grad |= {"W" + d: np.einsum("ntd,ntk->dk", x, dz, optimize=True), "U" + d: gu, "c" + d: dz.sum((0, 1))}
         return grad
 
-    def train(self, pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 8, batch: int = 32, rate: float = 0.01) -> None:
+    def train(self, pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 12, batch: int = 32, rate: float = 0.01) -> None:
         """Adam over batches of pages of like length; labels -1 don't count."""
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(w) for k, w in self.p.items()}
@@ -296,15 +346,30 @@ def _varied(page, others: list[str], rng) -> tuple[list, list[int]]:
                     leaf = pick((("p",),), (("li",),), (("div",),), (), (("h3",),), (("button",),))
                     add((*path, *leaf), text, len(text) * int(rng.random() < 0.3), 0)
 
-    top = [(("header",),), (("div", "header", "masthead"),), (("div", "cookie", "notice"),), (("div", "consent", "banner"),),
+    def element():
+        """A list, table, quote, code or subheading of the article."""
+        leaf, n = pick(
+            ((("ul",), ("li",)), 4), ((("ol",), ("li",)), 4), ((("table",), ("tr",), ("td",)), 5), ((("table",), ("tbody",), ("tr",), ("td",)), 6),
+            ((("table",), ("thead",), ("tr",), ("th",)), 3), ((("blockquote",),), 1), ((("blockquote",), ("p",)), 2), ((("pre",),), 1), ((("h2",),), 1),
+            ((("h3",),), 1), ((("dl",), ("dt",)), 1), ((("dl",), ("dd",)), 2), ((("figure",), ("figcaption",)), 1), ((("section",), ("p",)), 2),
+            ((("section",), ("h2",)), 1), ((("div",),), 2), ((("div",), ("p",)), 2))
+        for _ in range(rng.integers(1, n + 1)):
+            words = others[rng.integers(len(others))].split(" ")
+            at, long = rng.integers(len(words)), int(rng.choice([1, 3, 8, 30]))
+            text = " ".join(words[at: at + long])
+            if text:
+                add((*main, *leaf), text, len(text) * int(rng.random() < 0.1), 1)
+
+    top = [(("header",),), (("div", "header", "masthead"),), (("div",),), (("div", "cookie", "notice"),), (("div", "consent", "banner"),),
            (("form", "search"),), (("div", "alert", "notice"),), (("form", "login"),)]
     late = [(("aside", "sidebar"),), (("section", "comments"),), (("div", "comment", "list"),), (("ol", "comments"), ("li", "comment")),
             (("form", "newsletter"),), (("div", "related"),), (("div", "share", "social"),), (("aside",),), (("div", "sidebar"),),
             (("div", "popup", "modal"),), (("form",),), (("div", "widget"),)]
+    late += [(("main",), *p) for p in late[:6]] * (main[0] == ("main",))
     inner = [(*main[: rng.integers(1, len(main) + 1)], *p) for p in ((("div", "ad"),), (("aside",),), (("div", "share"),), (("section", "comments"),), (("div", "comment"),),
                                     (("form",),), (("div", "notice"),), (("figure", "advert"),), (("nav",),), (("ul", "menu"),), (("div", "related"),))]
     extra(top)
-    mains = sum(teacher(b[0]) == 1 for b in page)
+    mains, rich = sum(teacher(b[0]) == 1 for b in page), rng.random() < 0.6
     seen = 0
     for path, text, links in page:
         label = teacher(path)
@@ -312,7 +377,11 @@ def _varied(page, others: list[str], rng) -> tuple[list, list[int]]:
         leaf = (leaf[0][:1],) if leaf else ()
         if label == 1:
             seen += 1
+            if seen == 1 and leaf and leaf[0][0] in ("h1", "h2") and rng.random() < 0.3:
+                leaf = (("header",), *leaf)
             add((*main, *(leaf or pick((("p",),), ()))), text, links, 1)
+            if rich and rng.random() < 0.3:
+                element()
             if seen in (mains // 3, 2 * mains // 3) and rng.random() < 0.4:
                 extra(inner)
         elif label == 0:
@@ -322,13 +391,18 @@ def _varied(page, others: list[str], rng) -> tuple[list, list[int]]:
     for _ in range(2):
         extra(inner if rng.random() < 0.4 else late)
     extra(late)
-    if rng.random() < 0.15:  # names that say nothing: the context must do
-        hide = {w for path, _, _ in out for part in path for w in part[1:] if rng.random() < 0.3}
-        out = [(tuple(tuple(f"x{zlib.crc32(w.encode()) % 97}" if w in hide else w for w in part) for part in path), t, k) for path, t, k in out]
+    if rng.random() < 0.15:  # the page lies in a form, or in plain boxes
+        box = pick((("form",),), (("form",), ("div",)), (("div",),), (("div",), ("div",)))
+        out = [((*path[:2], *box, *path[2:]), text, links) for path, text, links in out]
+    if rng.random() < 0.4:  # names that say nothing: the context must do
+        share, salt = pick(0.3, 1.0), int(rng.integers(1 << 20))
+        spare = MAIN if rng.random() < 0.5 else ()
+        hide = {w for path, _, _ in out for part in path for w in part[1:] if w not in spare and rng.random() < share}
+        out = [(tuple(tuple(f"x{salt + zlib.crc32(w.encode()) % 997}" if w in hide else w for w in part) for part in path), t, k) for path, t, k in out]
     return out, labels
 
 
-def fit(pages: list[str], copies: int = 2, seed: int = 1) -> Labeller:
+def fit(pages: list[str], copies: int = 3, seed: int = 1) -> Labeller:
     """Train on a bounded list of raw pages."""
     rng, data = np.random.default_rng(seed), []
     read = [b[:400] for b in map(blocks, pages) if b]  # training sequences are bounded, labelling is not
@@ -383,14 +457,15 @@ def extract_main(
     id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
 ) -> DataFrame:
     """page_id, url, text, n_chars for every row of `pages`. Training reads
-    at most `sample_pages` pages of at most `sample_chars` characters, chosen
-    by a hash."""
+    at most `sample_pages` distinct pages of at most `sample_chars`
+    characters, chosen by a hash."""
     small_batches(pages.sparkSession)
     fitting = pages.select(F.col(html_col).alias("html")).where(F.length("html").between(1, sample_chars))
-    n = fitting.count()
-    share = min(1.0, 2.0 * sample_pages / max(1, n))
     h = F.xxhash64("html")
-    sample = fitting.where(F.pmod(h, F.lit(1 << 20)) / float(1 << 20) < share).orderBy(h).limit(sample_pages)
+    n = fitting.agg(F.approx_count_distinct(h)).first()[0]  # copies of a page count once
+    share = min(1.0, 2.0 * sample_pages / max(1, n))
+    sample = fitting.where(F.pmod(h, F.lit(1 << 20)) / float(1 << 20) < share).withColumn("h", h).groupBy("h").agg(
+        F.first("html").alias("html")).orderBy("h").limit(sample_pages)
     model = fit([r.html for r in sample.collect()])
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kinds = [rows.schema[c].dataType.simpleString() for c in ("page_id", "url")]
