@@ -9,10 +9,13 @@ insertions, and every class of the group queries it, in blocks of
 A query descends the layers and searches the lowest with a beam. From every
 link found it goes on along the graph's edges while they lead to further
 links, so a crowd of near copies larger than the beam is still found whole.
-Before the queries, an audit compares the links of some of the shard's own
-vectors with brute force; while it finds less than `RECALL` of them, the beam
-is doubled, up to an exhaustive search. Cosines are verified in double
-precision.
+Audits compare links found with brute force, a vector's match with itself
+left out: of the shard's own vectors, drawn until `AUDIT` with links are seen
+or all have been, and then of the queries from other shards, block by block
+until `AUDIT` with links are seen there, too. While less than `RECALL` of a
+vector's links is found on average, so that a crowd does not outvote rare
+pairs, the beam is doubled, up to an exhaustive search. Cosines are verified
+in double precision.
 
 Links of a shard are united inside the task; only one edge per query and
 component found leaves it, and the components of these edges are the result.
@@ -37,7 +40,8 @@ from .common import components, n_partitions, save_table, skew_lookup
 SHARD = 8_192
 QUERIES = 65_536
 RECALL = 0.995
-AUDIT = 64
+AUDIT = 256
+BLOCK = 256
 
 
 class Graph:
@@ -218,17 +222,32 @@ def _shard_links(least: float):
             order = np.random.default_rng(1).permutation(len(x))
             cid, n, x = cid[order], n[order], x[order]
             g = Graph(x)
-            width, pick = 32, np.random.default_rng(2).permutation(len(x))[:AUDIT]
-            truth = x[pick] @ x.T >= least
-            while width < len(x):
-                got = g.links(x[pick], least, width)
-                hits = sum(len(v) for v in got)
-                if hits >= RECALL * truth.sum():
+            return {"g": g, "width": widened(g, 32, *own_audit(x)), "cid": cid, "n": n, "seen": 0}
+
+        def own_audit(x):
+            """Places of vectors with links to others, and these links."""
+            order, places, truth = np.random.default_rng(2).permutation(len(x)), [], []
+            for at in range(0, len(x), BLOCK):
+                some = order[at: at + BLOCK]
+                near = x[some] @ x.T >= least
+                near[np.arange(len(some)), some] = False
+                hit = np.flatnonzero(near.any(1))[: AUDIT - len(places)]
+                places += some[hit].tolist()
+                truth += [np.flatnonzero(near[i]) for i in hit]
+                if len(places) == AUDIT:
+                    break
+            return x[places], truth
+
+        def widened(g, width, q, truth):
+            """The beam, doubled until it finds these links."""
+            while width < len(g.x) and truth:
+                if np.mean([np.isin(t, f).mean() for t, f in zip(truth, g.links(q, least, width))]) >= RECALL:
                     break
                 width *= 2
-            return g, width, cid, n
+            return width
 
-        def own_links(g, width, cid, n):
+        def own_links(s):
+            g, width, cid, n = s["g"], s["width"], s["cid"], s["n"]
             a, b, count = [], [], np.zeros(len(cid), np.int64)
             for at in range(0, len(cid), 256):
                 for i, f in enumerate(g.links(g.x[at: at + 256], least, width)):
@@ -246,9 +265,16 @@ def _shard_links(least: float):
             return pa.RecordBatch.from_arrays(
                 [pa.array(cid, pa.int64()), pa.array(count, pa.int64()), pa.array(to, pa.list_(pa.int64()))], ["cid", "links", "to"])
 
-        def ask(g, width, cid, n, root, rows):
+        def ask(s, root, rows):
+            g, cid, n = s["g"], s["cid"], s["n"]
             q = np.array([r[2] for r in rows])
-            res = g.links(q, least, width)
+            if s["seen"] < AUDIT:
+                near = q @ g.x.T >= least
+                some = np.flatnonzero(near.any(1))
+                truth = [np.flatnonzero(near[i]) for i in some]
+                s["seen"] += len(truth)
+                s["width"] = widened(g, s["width"], q[some], truth)
+            res = g.links(q, least, s["width"])
             return out([r[0] for r in rows], [int(n[f].sum()) for f in res], [cid[np.unique(root[f])].tolist() for f in res])
 
         asked: list = []
@@ -259,11 +285,11 @@ def _shard_links(least: float):
                 if gr != grp:
                     if state is None and build:
                         state = finish()
-                        root, count = own_links(*state)
+                        root, count = own_links(state)
                         if emit_own:
-                            yield out(state[2], count, [[int(c)] for c in state[2][root]])
+                            yield out(state["cid"], count, [[int(c)] for c in state["cid"][root]])
                     if asked:
-                        yield ask(*state, root, asked)
+                        yield ask(state, root, asked)
                     grp, build, state, asked = gr, [], None, []
                 v = np.asarray(vecs[i].values.to_numpy(zero_copy_only=False), np.float64)
                 v = v / np.abs(v).max()
@@ -274,20 +300,20 @@ def _shard_links(least: float):
                     continue
                 if state is None:
                     state = finish()
-                    root, count = own_links(*state)
+                    root, count = own_links(state)
                     if emit_own:
-                        yield out(state[2], count, [[int(c)] for c in state[2][root]])
+                        yield out(state["cid"], count, [[int(c)] for c in state["cid"][root]])
                 asked.append((cid, n, v))
                 if len(asked) >= 256:
-                    yield ask(*state, root, asked)
+                    yield ask(state, root, asked)
                     asked = []
         if build and state is None:
             state = finish()
-            root, count = own_links(*state)
+            root, count = own_links(state)
             if emit_own:
-                yield out(state[2], count, [[int(c)] for c in state[2][root]])
+                yield out(state["cid"], count, [[int(c)] for c in state["cid"][root]])
         if asked:
-            yield ask(*state, root, asked)
+            yield ask(state, root, asked)
 
     return run
 

@@ -207,3 +207,101 @@ def test_elements_that_are_not_raw_lose_no_text():
     assert texts("<script>open") == ["one"]
     path = html_extract.blocks("<article><svg class=icon /><p>two")[0][0]
     assert [w[0] for w in path] == ["article", "p"]
+
+
+PROSE = "The river town has kept its old mill running for more than a century, and people still come to see it."
+MENU = '<div class="zeta"><ul><li><a href=1>Start</a></li><li><a href=2>World</a></li><li><a href=3>Sports</a></li></ul></div>'
+FOOT = '<div class="omega"><p>All rights kept 2024</p></div>'
+# body attributes and html of pages whose wrappers no lexicon knows, and their main blocks
+PAGES = {
+    "list": ("", f"{MENU}<article><h1>Head</h1><p>{PROSE}</p><ul><li>Flour</li><li>Water and salt</li><li>A pinch of yeast</li></ul><p>{PROSE}</p></article>{FOOT}",
+             ["Head", PROSE, "Flour", "Water and salt", "A pinch of yeast", PROSE]),
+    "table": ("", f"{MENU}<article><h1>Head</h1><p>{PROSE}</p><table><tr><th>Year</th><th>Tons</th></tr><tr><td>1999</td><td>12</td></tr></table></article>{FOOT}",
+              ["Head", PROSE, "Year", "Tons", "1999", "12"]),
+    "quote and code": ("", f"{MENU}<article><h1>Head</h1><p>{PROSE}</p><blockquote>We never stopped.</blockquote><pre>x = 1</pre><p>{PROSE}</p></article>{FOOT}",
+                       ["Head", PROSE, "We never stopped.", "x = 1", PROSE]),
+    "definitions": ("", f"{MENU}<article><h1>Head</h1><dl><dt>Mill</dt><dd>{PROSE}</dd></dl><figure><img src=x><figcaption>The mill in May</figcaption></figure><p>{PROSE}</p></article>{FOOT}",
+                    ["Head", "Mill", PROSE, "The mill in May", PROSE]),
+    "sections": ("", f"{MENU}<article><h1>Head</h1><section><h2>Then</h2><p>{PROSE}</p></section><section><h2>Now</h2><p>{PROSE}</p></section></article>{FOOT}",
+                 ["Head", "Then", PROSE, "Now", PROSE]),
+    "heading group": ("", f"<article><header><h1>Head</h1></header><p>{PROSE}</p><h2>Sub</h2><p>{PROSE}</p></article><aside><p>Other news</p></aside>",
+                      ["Head", PROSE, "Sub", PROSE]),
+    "body classes": (' class="home no-sidebar"', f"<article><h1>Head</h1><p>{PROSE}</p><p>{PROSE}</p></article><footer>Imprint</footer>", ["Head", PROSE, PROSE]),
+    "page in a form": ("", f"<form id=f1 action=x>{MENU}<article><h1>Head</h1><p>{PROSE}</p><p>{PROSE}</p></article>{FOOT}</form>", ["Head", PROSE, PROSE]),
+    "no article in a form": ("", f'<form action=q><div class="rho">{MENU}</div><div class="nu"><h1>Head</h1><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>{FOOT}</form>',
+                             ["Head", PROSE, PROSE, PROSE]),
+    "banner and comments": ("", f'<div class="kappa"><p>We value your choice. Accept all?</p></div><article><h1>Head</h1><p>{PROSE}</p><p>{PROSE}</p></article>'
+                            f'<div class="lambda"><p>Great read, thank you so much for it!</p><p>I do not agree with this at all.</p></div>{FOOT}', ["Head", PROSE, PROSE]),
+    "teaser": ("", f'<article><h1>Head</h1><p>{PROSE}</p><p>{PROSE}</p></article><div class="mu"><h3>More for you</h3><p>Ten mills to see this year</p></div>', ["Head", PROSE, PROSE]),
+    "main": ("", f"<div id=top>Site name</div><main><h1>Head</h1><p>{PROSE}</p><ol><li>One step</li><li>Two steps</li></ol><p>{PROSE}</p></main>{FOOT}",
+             ["Head", PROSE, "One step", "Two steps", PROSE]),
+    "advert and form inside": ("", f'<article><h1>Head</h1><p>{PROSE}</p><div class="ad">Buy a mill.</div><p>{PROSE}</p><form><p>Your mail</p></form></article>',
+                               ["Head", PROSE, PROSE]),
+}
+
+
+@pytest.fixture(scope="module")
+def given_labeller():
+    import pyarrow.parquet as pq
+
+    return html_extract.fit(pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist())
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_articles_of_other_shapes(given_labeller, name):
+    attrs, body, want = PAGES[name]
+    assert text_of(given_labeller, f"<html><head><title>t</title></head><body{attrs}>{body}</body></html>") == want
+
+
+def test_innermost_known_element_decides():
+    path = lambda h: html_extract.blocks(h)[0][0]
+    label = lambda h: html_extract.teacher(path(h))
+    assert label("<body class='nav'><article><p>x") == 1 and label("<body class='article'><p>x") == -1
+    assert label("<div class='sidebar'><article>x") == 1 and label("<article><div class='site-footer'>x") == 0
+    assert label("<div class='no-sidebar'><p>x") == -1 and label("<div class=articleBody>x") == 1
+    assert label("<article><header><h1>x") == 1 and label("<header><h1>x") == 0
+    assert label("<body><form><p>x") == -1 and label("<body><main><form><p>x") == 0
+
+
+def test_training_takes_distinct_pages(spark):
+    rows = [(i, "u", PAGE.format("copy")) for i in range(400)] + [(1000 + i, "u", PAGE.format(i)) for i in range(60)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = html_extract.extract_main(table, sample_pages=50)
+    assert got.where(~F.col("text").startswith("Head ")).count() == 0 and got.count() == 460
+
+
+def shard_rows(build, asked):
+    import pyarrow as pa
+
+    rows = [("g", 0, i, 1, v) for i, v in enumerate(build)] + [("g", 2, 100_000 + i, 1, v) for i, v in enumerate(asked)]
+    names = ["grp", "own", "cid", "n", "vec"]
+    return iter([pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], names)])
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_rare_pairs_beside_a_crowd(monkeypatch, weak):
+    """Links of rare pairs, in the shard and asked from another, are found;
+    also by a search that misses much until its beam is widened."""
+    rng = np.random.default_rng(4)
+    unit = lambda v: v / np.linalg.norm(v, axis=1)[:, None]
+    crowd = unit(rng.standard_normal((1, 24)) + 0.3 * rng.standard_normal((1200, 24)))
+    rare = unit(rng.standard_normal((100, 24)))
+    near = lambda v: unit(v + 0.005 * rng.standard_normal(v.shape))
+    build, asked = np.concatenate((crowd, rare, near(rare))), np.concatenate((near(rare), unit(rng.standard_normal((50, 24)))))
+    widths = []
+    real = embed_dedup.Graph.links
+
+    def links(self, q, least, width):
+        widths.append(width)
+        got = real(self, q, least, width)
+        # a weak search finds only the vector itself below a beam of 128
+        return [f[self.x[f] @ v > 1 - 1e-12] for f, v in zip(got, q)] if weak and width < 128 else got
+
+    monkeypatch.setattr(embed_dedup.Graph, "links", links)
+    got = {}
+    for b in embed_dedup._shard_links(0.98)(shard_rows(build, asked)):
+        got |= dict(zip(b.column("cid").to_pylist(), b.column("links").to_pylist()))
+    for v, ids, own in ((build, range(len(build)), 1), (asked, range(100_000, 100_000 + len(asked)), 0)):
+        truth = (v @ build.T >= 0.98).sum(1) - own
+        assert truth.sum() >= 200 and [got[i] for i in ids] == truth.tolist()
+    assert max(widths) == (128 if weak else 32)
