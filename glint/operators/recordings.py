@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import add_us, diff_us, padded, pid_from_name, study_ord
 from ..schemas import MIN_FILLER_GAP_US, THANK_YOU
+from ..session import ensure_checkpoint_dir, staged
 from .log import with_clip_name
 from .ordering import prefix_sum, prefixes, row_index
 
@@ -147,12 +148,12 @@ def clip_timeline(
     inside an island of several files is there anything to decide, by
     following, from its first file, the next file that starts after the
     accepted one's end. These chains are found by pointer doubling, with as
-    many rounds as the longest island needs (none without overlaps; its
-    length is the one number that reaches the driver). Row numbers and
+    many rounds as the longest chain needs (none without overlaps). Each
+    round is a table on the shared store: a checkpoint hands its estimated
+    size on, and such products of products of sizes soon take the planner
+    longer than the round. Row numbers and
     running sums, maxima and last values are all taken in buckets
     (`ordering`), so no participant is one task's work."""
-    from ..session import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(starts.sparkSession)
     pid = ["pid"]
     # numbering and running values read their input twice: cut the lineage
@@ -207,20 +208,20 @@ def _chains(files: DataFrame, longest: int, bucket_us: int) -> DataFrame:
     ev = row_index(ev, key, ["v", "t", "p"], bucket=F.floor(F.col("v") / bucket_us).cast("bigint"), name="k")
     ev = prefix_sum(ev, key, "k", "t", "_lower")
     to = F.greatest(F.col("p") + 1, F.col("p0") + F.col("_lower"))
-    state = ev.where(F.col("t") == 0).select(
-        "pid", "p", F.when(to < F.col("p0") + F.col("m"), to).alias("nxt"), (F.col("p") == F.col("p0")).alias("hit"),
-    ).checkpoint()
-    for _ in range(longest.bit_length()):
-        # what is hit so far also hits what lies 2^k steps on; one checkpoint
-        # for both the hits and the doubled steps
-        hits = state.where(F.col("hit") & F.col("nxt").isNotNull()).select(
-            "pid", F.col("nxt").alias("p"), F.lit(True).alias("_m")).distinct()
-        ahead = state.select("pid", F.col("p").alias("nxt"), F.col("nxt").alias("_far"))
-        state = state.join(hits, ["pid", "p"], "left").join(ahead, ["pid", "nxt"], "left").select(
-            "pid", "p", F.col("_far").alias("nxt"), (F.col("hit") | F.coalesce("_m", F.lit(False))).alias("hit"),
-        ).checkpoint()
+    jumps = staged(ev.where(F.col("t") == 0).where(to < F.col("p0") + F.col("m")).select("pid", "p", to.alias("nxt")), "jumps")
+    # a chain's first 2^k files (`found`), each moved on by 2^k steps
+    # (`jumps`), are its next 2^k: no file is found twice
     firsts = files.where(F.col("p") == F.col("p0")).select("pid", "p")
-    return state.where("hit").select("pid", "p").join(firsts, ["pid", "p"], "left_anti")
+    found, after = firsts, None
+    for _ in range(longest.bit_length()):
+        new = staged(found.join(jumps, ["pid", "p"]).select("pid", F.col("nxt").alias("p")), "hits")
+        if new.isEmpty():
+            break  # every chain is at its end
+        after = new if after is None else after.unionByName(new)
+        found = firsts.unionByName(after)
+        ahead = jumps.select("pid", F.col("p").alias("nxt"), F.col("nxt").alias("_far"))
+        jumps = staged(jumps.join(ahead, ["pid", "nxt"]).select("pid", "p", F.col("_far").alias("nxt")), "jumps")
+    return firsts.limit(0) if after is None else after
 
 
 def _timeline_items(starts: DataFrame, clips: DataFrame, form: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package relies on. AQE re-plans joins and
 # coalesces shuffle partitions at run time, skew-join splits a hot
@@ -58,3 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder of `spark.checkpoint.dir` and read it
+    back. Like a checkpoint it cuts the lineage; the planner then sees the
+    size of the files, not an estimate."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

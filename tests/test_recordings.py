@@ -182,3 +182,21 @@ def test_durations_keep_all_stops_and_next_starts(spark):
     got = rows(recording_durations(log), "record", "duration")
     assert got == [(1, 5_000_000), (1, 7_000_000), (2, 10_000_000), (2, 12_000_000), (3, None), (3, None)]
     assert rows(recording_durations(log, dedupe=True), "record", "duration") == [(1, 7_000_000), (2, 10_000_000), (3, None), (3, None)]
+
+
+def test_long_chains_keep_the_plan_small(spark):
+    """One island of 600 files, each overlapping the next; the size that the
+    planner expects must not grow from round to round of the doubling."""
+    plan = [(i * 60_000, 100_000) for i in range(600)]
+    starts = spark.createDataFrame(
+        [(1, i, "dot_test", T0 + dt.timedelta(milliseconds=o)) for i, (o, _) in enumerate(plan)],
+        "pid int, record int, study string, timestamp timestamp_ntz")
+    files = spark.createDataFrame([(1, i, "dot_test", d * 1000) for i, (_, d) in enumerate(plan)],
+                                  "pid int, record int, study string, duration bigint")
+    form = spark.createDataFrame([(1, T0)], "pid int, webcam_start timestamp_ntz")
+    out = clip_timeline(starts, files, form)
+    assert len(str(out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 3_000  # digits
+    want = fold([(o * 1000, d * 1000) for o, d in plan])
+    assert rows(out, "offset", "duration", "accepted", "gap", "filler", "end") == sorted(
+        want, key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert out.where("accepted").count() == 300
