@@ -172,7 +172,7 @@ def parse_delimited(
     """Delimited lines without the header, typed by
     `type_fields`."""
     text = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    parsed = lines.select(*_rest(lines), F.from_csv("value", text, {"sep": sep}).alias("_r"))
+    parsed = lines.select(*_rest(lines), _once(F.from_csv("value", text, {"sep": sep}), "_r"))
     return type_fields(parsed.select(*_rest(parsed, "_r"), "_r.*"), schema, null, strict)
 
 

@@ -315,3 +315,16 @@ def test_an_index_of_another_archive_is_refused(spark, tmp):
     index_zip(spark, f"{tmp}/a.zip", f"{tmp}/index", every=100_000)
     with pytest.raises(Exception, match="fit the archive|Error"):
         read_zip(spark, f"{tmp}/b.zip", "lines", index=f"{tmp}/index").count()
+
+
+def test_delimited_lines_are_parsed_once(spark):
+    """Filters on the fields read the parsed line, they don't parse it again."""
+    from glint.operators.gaze import shape_calibration
+    from glint.schemas import CALIB_TSV_SCHEMA
+    from glint.sources.parse import parse_delimited
+
+    text = ["0.1\t0.2\t0.3\t0.4\t1\tNaN\t0.6\t0", "0.1\t0.2\t\t0.4\t1\t0.5\t0.6\t0", "0.1\tx\t0.3\t0.4\t1\t0.5\t0.6\t0"]
+    lines = spark.createDataFrame([(1, t) for t in text], "pid int, value string")
+    out = shape_calibration(parse_delimited(lines, CALIB_TSV_SCHEMA))
+    assert [r["left"]["x"] for r in out.collect()] == [0.3]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
