@@ -3,7 +3,10 @@ file on many words at once.
 
 A task gathers texts into blocks, splits them by the vocabulary's pattern and
 numbers the distinct words; a word that an earlier block of the task has
-encoded is not encoded again. The new words of a block lie end to end in one
+encoded is not encoded again. Of the new words of a block the short ones are
+rows of a matrix, and a round merges the leftmost pair of the lowest rank of
+each. Words of more than `SHORT` bytes would take too many rounds: they lie
+end to end in one
 array of token ids with links to the neighbours, and an inverted index leads
 from each mergeable pair to its positions in all words (pairs that spell the
 same token share an entry). Merges are applied in the order of their ranks:
@@ -11,7 +14,8 @@ the lowest rank in the index is taken, its pairs are merged from left to
 right wherever they still stand, and only the neighbours of a merged pair
 change entries. A merge that makes a pair of a lower rank than its own - a
 vocabulary may hold such - goes back to that rank first, so every word is
-merged exactly as it would be alone. A word of n bytes costs n log n.
+merged exactly as it would be alone. A word of n bytes costs n log n (a short
+one at most `SHORT` n).
 
 Each task works on its own blocks, nothing is shuffled, and what a worker
 holds is bounded by the block, the longest text and `MAX_WORDS`.
@@ -33,11 +37,12 @@ import base64
 import heapq
 from array import array
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +54,8 @@ BLOCK_CHARS = 4_000_000   # text whose words are encoded together
 MAX_WORDS = 400_000       # words a worker remembers between blocks
 MAX_KEPT_CHARS = 8_000_000  # ... and the characters in them
 LONG_TEXT = 1_000_000     # texts from this size on are split piece by piece
+SHORT = 64                # bytes of the longest words that are merged as rows of a matrix
+NONE = np.int32(2**31 - 1)  # the rank of a pair that doesn't merge
 GROUP_TOKENS = 2_000_000  # ids in one batch of results, unless a text has more
 
 # Characters that Unicode made letters or numbers after version
@@ -111,26 +118,41 @@ class Vocabulary:
         self.of_byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.of_byte < 0).any():
             raise ValueError("the vocabulary lacks single bytes")
-        # a pair of ids is one number; its merge is the id of what it spells
-        self.merge: dict[int, int] = {}
-        for token, r in ranks.items():
-            for i in range(1, len(token)):
-                a, b = ranks.get(token[:i]), ranks.get(token[i:])
-                if a is not None and b is not None:
-                    self.merge[a * self.span + b] = r
-        self.byte_pairs = np.full((256, 256), -1, np.int64)
-        for x in range(256):
-            for y in range(256):
-                self.byte_pairs[x, y] = ranks.get(bytes([x, y]), -1)
         spelled: list[bytes] = [b""] * self.span
         for token, r in ranks.items():
             spelled[r] = token
+        self.tokens = pa.array(spelled, pa.binary())
         self.spelling = Runs(np.frombuffer(b"".join(spelled), np.uint8), np.array([len(s) for s in spelled], np.int64))
 
+    # what follows is for encoding only: workers that decode don't hold it
+
+    @cached_property
+    def merge(self) -> dict[int, int]:
+        """A pair of ids is one number; its merge is the id of what it
+        spells."""
+        out, ranks = {}, self.ranks
+        for token, r in ranks.items():
+            for i in range(1, len(token)):
+                a, b = ranks.get(token[:i]), ranks.get(token[i:])
+                if a is not None and b is not None:
+                    out[a * self.span + b] = r
+        return out
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs in order, with their merges. The last is never a pair:
+        searches end before it."""
+        pairs = np.array([*sorted(self.merge), 2**62], np.int64)
+        return pairs, np.array([*(self.merge[p] for p in pairs[:-1].tolist()), NONE], np.int32)
+
+    @cached_property
+    def byte_pairs(self) -> np.ndarray:
+        return np.array([[self.ranks.get(bytes([x, y]), -1) for y in range(256)] for x in range(256)], np.int64)
+
     def encode(self, words: list[bytes]) -> Runs:
         """The ids of each word."""
         ids = [self.ranks.get(w) for w in words]
-        merged = self.replay([w for w, i in zip(words, ids) if i is None])
+        merged = self.merged([w for w, i in zip(words, ids) if i is None])
         alone = np.array([i is not None for i in ids], bool)
         sizes = np.ones(len(words), np.int64)
         sizes[~alone] = merged.sizes
@@ -140,6 +162,65 @@ class Vocabulary:
         values[~mine] = merged.values
         return Runs(values, sizes)
 
+    def merged(self, words: list[bytes]) -> Runs:
+        """The ids of words that are no token: short ones by `rounds`, long
+        ones by `replay`."""
+        n = np.array([len(w) for w in words], np.int64)
+        if not (n > SHORT).any():
+            return self.rounds(words, n)
+        some, rest = np.flatnonzero(n <= SHORT), np.flatnonzero(n > SHORT)
+        both = self.rounds([words[i] for i in some], n[some]).join(self.replay([words[i] for i in rest]))
+        place = np.argsort(np.concatenate([some, rest]))
+        return Runs(both.take(place), both.sizes[place])
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The merge of each pair, or NONE."""
+        asked, (pairs, merges) = a.astype(np.int64) * self.span + b, self.pairs
+        at = np.searchsorted(pairs, asked)
+        return np.where(pairs[at] == asked, merges[at], NONE)
+
+    def rounds(self, words: list[bytes], n: np.ndarray) -> Runs:
+        """The leftmost pair of the lowest rank of every word at once, round
+        by round. A round makes a word one token shorter, so the words that
+        have as many tokens are the rows of one matrix, which takes up those
+        that begin with so many."""
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        starts, sizes = np.cumsum(n) - n, np.where(n < 2, n, 0)
+        of_byte, byte_pairs = self.of_byte.astype(np.int32), np.where(self.byte_pairs < 0, NONE, self.byte_pairs).astype(np.int32)
+        word, ended = np.zeros(0, np.int64), [(np.flatnonzero(n == 1), of_byte[raw[starts[n == 1]]][:, None])]
+        top = int(n.max(initial=0))
+        tok, rank = np.zeros((0, top), np.int32), np.zeros((0, max(top - 1, 0)), np.int32)
+        for size in range(top, 1, -1):
+            if len(new := np.flatnonzero(n == size)):
+                b = raw[starts[new][:, None] + np.arange(size)]
+                word, tok = np.concatenate([word, new]), np.concatenate([tok, of_byte[b]])
+                rank = np.concatenate([rank, byte_pairs[b[:, :-1], b[:, 1:]]])
+            at = rank.argmin(1)
+            low = rank[np.arange(len(word)), at]
+            if (over := low == NONE).any():
+                ended.append((word[over], tok[over]))
+                sizes[word[over]] = size
+                more = ~over
+                word, tok, rank, at, low = word[more], tok[more], rank[more], at[more], low[more]
+            row, kept = np.arange(len(word)), np.ones(tok.shape, bool)
+            tok[row, at] = low
+            kept[row, at + 1] = False
+            tok = tok[kept].reshape(len(word), size - 1)
+            kept = np.ones(rank.shape, bool)
+            kept[row, at] = False  # of the pairs on both sides one is left in its place
+            rank = rank[kept].reshape(len(word), size - 2)
+            i = np.flatnonzero(at < size - 2)
+            rank[i, at[i]] = self._ranks(low[i], tok[i, at[i] + 1])
+            i = np.flatnonzero(at > 0)
+            rank[i, at[i] - 1] = self._ranks(tok[i, at[i] - 1], low[i])
+        if len(word):  # merged to one token
+            ended.append((word, tok))
+            sizes[word] = 1
+        out = Runs(np.zeros(int(sizes.sum()), np.int32), sizes)
+        for which, t in ended:
+            out.values[out.starts[which][:, None] + np.arange(t.shape[1])] = t
+        return out
+
     def replay(self, words: list[bytes]) -> Runs:
         """The merges in rank order on all words at once."""
         raw = np.frombuffer(b"".join(words), np.uint8)
@@ -203,9 +284,17 @@ class Vocabulary:
         upto = np.concatenate([[0], np.cumsum(alive)])
         return Runs(ids[alive].astype(np.int32), upto[ends] - upto[ends - sizes])
 
-    def decode(self, ids: np.ndarray) -> bytes:
+    def check(self, ids: np.ndarray) -> None:
         if len(ids) and (int(ids.max()) >= self.span or (self.spelling.sizes[ids] == 0).any()):
             raise ValueError("an id is not in the vocabulary")
+
+    def spell(self, ids: np.ndarray) -> pa.Array:
+        """The bytes of each id."""
+        self.check(ids)
+        return self.tokens.take(pa.array(ids))
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        self.check(ids)
         return self.spelling.take(ids.astype(np.int64)).tobytes()
 
 
@@ -297,14 +386,33 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text_col: str = "text
     return rows.mapInArrow(_encode(path, pattern, len(others), list(range(len(others)))), schema)
 
 
+@cache
+def _names() -> pa.Array:
+    return pa.array(map(str, range(2**17)), pa.string())
+
+
+def _decimals(ids: np.ndarray) -> pa.Array:
+    if not len(ids) or int(ids.max()) < 2**17:
+        return _names().take(pa.array(ids))
+    return pa.array(ids).cast(pa.string())
+
+
+def _spelled(ids: pa.Array, spell, sep: str | bytes) -> pa.Array:
+    """What `spell` makes of the ids of each row, joined by `sep`."""
+    rows = ids.to_pylist()
+    sizes = np.array([len(x or b"") // 4 for x in rows], np.int64)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    each = spell(np.frombuffer(b"".join(x or b"" for x in rows), "<u4"))
+    lists = pa.ListArray.from_arrays(pa.array(offsets), each, mask=pa.array([x is None for x in rows], pa.bool_()))
+    return pc.binary_join(lists, sep)
+
+
 def decoded(ids: Column | str, path: str) -> Column:
     """The bytes that `ids` of `encode_texts` stand for."""
 
     @F.arrow_udf("binary")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocab = vocabulary(path)
-        for b in batches:
-            yield pa.array([None if x is None else vocab.decode(np.frombuffer(x, "<u4")) for x in b.to_pylist()], pa.binary())
+    def decode(ids: pa.Array) -> pa.Array:
+        return _spelled(ids, vocabulary(path).spell, b"")
 
     return decode(ids)
 
@@ -313,18 +421,8 @@ def decimal(ids: Column | str) -> Column:
     """The ids as decimal numbers joined by commas."""
 
     @F.arrow_udf("string")
-    def spell(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = {}
-        for b in batches:
-            out = []
-            for x in b.to_pylist():
-                if x is not None:
-                    numbers = np.frombuffer(x, "<u4").tolist()
-                    for i in set(numbers) - names.keys():
-                        names[i] = str(i)
-                    x = ",".join([names[i] for i in numbers])
-                out.append(x)
-            yield pa.array(out, pa.string())
+    def spell(ids: pa.Array) -> pa.Array:
+        return _spelled(ids, _decimals, ",")
 
     return spell(ids)
 

@@ -90,3 +90,24 @@ def test_no_rows_and_bad_ids(spark, no_docs, vocab):
     assert tuple(nothing) == (None, None)
     with pytest.raises(ValueError):
         vocab.decode(np.array([50_300], "<u4"))
+
+
+def test_short_words_are_merged_by_rounds(vocab, monkeypatch):
+    """Short words don't go through the index, and get the same ids."""
+    r = random.Random(2)
+    words = [bytes(r.choice(b"abe \xc3\xa9tionshr") for _ in range(r.randrange(80))) for _ in range(2_000)]
+    want, seen = vocab.replay(words), []
+    replay = vocab.replay
+    monkeypatch.setattr(vocab, "replay", lambda some: seen.extend(some) or replay(some))
+    got = vocab.merged(words)
+    assert got.values.tolist() == want.values.tolist() and got.sizes.tolist() == want.sizes.tolist()
+    assert sorted(seen) == sorted(w for w in words if len(w) > bpe.SHORT)
+
+
+def test_ids_as_text(spark, vocab):
+    ids = [[], [5], [1, 50_000, 2], [4_000_000_000, 7], None]
+    rows = spark.createDataFrame([(None if x is None else np.array(x, "<u4").tobytes(),) for x in ids], "ids binary").coalesce(1)
+    got = [r[0] for r in rows.select(bpe.decimal("ids")).collect()]
+    assert got == [None if x is None else ",".join(map(str, x)) for x in ids]
+    ok = rows.limit(3).union(rows.where("ids is null")).select("ids", bpe.decoded("ids", PATH).alias("d")).collect()
+    assert [r.d for r in ok] == [None if r.ids is None else vocab.decode(np.frombuffer(r.ids, "<u4")) for r in ok]
