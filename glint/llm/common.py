@@ -44,10 +44,23 @@ def save_table(df: DataFrame, name: str) -> DataFrame:
     return saved(df, name)[0]
 
 
-def saved(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+#: Spark then deletes the shuffle files of a query when it ends, not when the
+#: driver's JVM happens to collect its plan.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(df: DataFrame, name: str, tidy: bool = False) -> tuple[DataFrame, str]:
+    """`tidy`: the shuffle files of this query are deleted at its end."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_TIDY, "false")
+    if tidy:
+        spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 

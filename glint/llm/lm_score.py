@@ -44,11 +44,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_saved, n_partitions, save_table, saved, small_batches
+from .common import drop_saved, n_partitions, saved, small_batches
 
 CHUNK_TOKENS = 1_500_000
 PART_TOKENS = 2_000_000
 CACHED_WORDS = 400_000
+TURNS = 4  # the parts answer in so many turns
 END = 0  # the end token's word hash; as a context, the start of a text
 
 _known: dict[bytes, int] = {}
@@ -471,12 +472,19 @@ def score_texts(
     tokens = rows.where("train").select("text").mapInArrow(_tokens, "n long").agg(F.sum("n")).first()[0] or 0
     width = n_partitions(spark)
     parts = max(width, -(-tokens // PART_TOKENS))
-    chunks = save_table(rows.mapInArrow(_chunks(parts, kind), _CHUNK.format(id_type)), "chunks")
+    paths = []  # tables that the answers replace
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df, path = saved(df, name, tidy=True)
+        paths.append(path)
+        return df
+
+    chunks = saved(rows.mapInArrow(_chunks(parts, kind), _CHUNK.format(id_type)), "chunks", tidy=True)[0]
     asked = chunks.where("part >= 0")
-    merged = save_table(
+    merged = keep(
         asked.select("part", "words", "lens", "ctx", "cnt").repartitionById(parts, "part").mapInArrow(_merged(parts), _ROW), "merged")
     of = lambda t, *kinds: t.where(F.col("kind").isin(*kinds))
-    totals = save_table(_dealt(of(merged, TOTALS), parts).mapInArrow(_context_totals, _ROW), "totals")
+    totals = keep(_dealt(of(merged, TOTALS), parts).mapInArrow(_context_totals, _ROW), "totals")
     state, path = merged, None
     first = _numbers(state)
     n, v = first[2:4]
@@ -487,13 +495,14 @@ def score_texts(
         c0, t0 = _numbers(state)[:2]
         g, sample = fixed | {"C0": c0, "T0": t0}, step >= burn_in
         back, back_path = saved(
-            _dealt(totals.unionByName(of(state, TABLES)), parts).mapInArrow(_exchange(g, step, sample), _ROW), "tables")
+            _dealt(totals.unionByName(of(state, TABLES)), parts).mapInArrow(_exchange(g, step, sample), _ROW), "tables", tidy=True)
         if sample:
             gs.append(g)
             factors.append(of(back, FACTOR))
+            paths.append(back_path)
         if step + 1 < burn_in + samples:
             new, new_path = saved(
-                _dealt(of(state, STATE).unionByName(of(back, REPLY)), parts).mapInArrow(_sweep(g, parts, step, sample), _ROW), "state")
+                _dealt(of(state, STATE).unionByName(of(back, REPLY)), parts).mapInArrow(_sweep(g, parts, step, sample), _ROW), "state", tidy=True)
             if path:
                 drop_saved(spark, path)
             state, path = new, new_path
@@ -505,8 +514,15 @@ def score_texts(
         own = own.unionByName(f)
     both = own.drop("v").select("*", *none("words", "lens", "ctx")).unionByName(
         asked.select("part", F.lit(ASKED).alias("kind"), F.col("chunk").alias("src"), *none("data"), "words", "lens", "ctx"))
-    answers = _dealt(both, parts).select("part", "kind", "src", "data", "words", "lens", "ctx").mapInArrow(
-        _answers(gs), "chunk long, part int, data binary")
+    # a turn's shuffle is deleted before the next one's is written
+    answers = None
+    for turn in range(TURNS):
+        some = _dealt(both.where(F.col("part") % TURNS == turn), parts)
+        some = saved(some.select("part", "kind", "src", "data", "words", "lens", "ctx").mapInArrow(
+            _answers(gs), "chunk long, part int, data binary"), "answers", tidy=True)[0]
+        answers = some if answers is None else answers.unionByName(some)
+    for p in [*paths, *([path] if path else [])]:
+        drop_saved(spark, p)
     streams = chunks.where("part = -1").select("chunk", "part", "ids", "ns", "idx", *none("data"))
     answers = answers.select("chunk", "part", F.lit(None).cast(f"array<{id_type}>").alias("ids"), *none("ns", "idx"), "data")
     out = streams.unionByName(answers).repartition(width, "chunk").sortWithinPartitions("chunk", "part").mapInArrow(

@@ -485,3 +485,25 @@ def test_runs_equal_brute_force(spark):
             if d >= 0.8:
                 want[i, name] = d
     assert got.keys() == want.keys() and all(abs(got[k] - d) < 1e-9 for k, d in want.items())
+
+
+def test_tidy_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from glint.llm.common import drop_saved, saved
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        every = disk.getAllFiles().toString()
+        return {f for f in every.split("/") if f.startswith("shuffle_")}
+
+    before, rows = files(), spark.range(1_000).repartition(3, "id")
+    out, path = saved(rows, "tidy", tidy=True)
+    assert out.count() == 1_000
+    drop_saved(spark, path)
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
