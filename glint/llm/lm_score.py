@@ -19,14 +19,20 @@ so only pairs seen more often are state of the sweeps.
 
 Distribution. Hashes are dealt to parts; a part holds its words with all their
 pairs, and the totals of the contexts with these hashes. A task turns a chunk
-of texts into the chunk's distinct (word, context) pairs with training counts -
-sent to the parts as arrays, one row per (chunk, part), so even the most
-common word is one small entry per chunk - and a stream of word numbers that
-stays with the chunk. The parent needs no shuffle. Before each sweep the
-parts send the tables of their contexts, as arrays, to the parts that hold
-the contexts' totals, and get the totals back; the driver sees eight sums. At
-the end each part answers every chunk with its words' and contexts' factors
-and its pairs' own shares, and the chunk puts them together over its stream.
+of texts into a list of words and a stream of word numbers, which alone are
+kept. From these the chunk's distinct (word, context) pairs are made anew
+whenever they are needed, and sent to the parts as arrays, one row per (chunk,
+part), so even the most common word is one small entry per chunk: first those
+to learn from, with counts, later all, as questions. The parent needs no
+shuffle. Before each sweep the parts send the tables of their contexts, as
+arrays, to the parts that hold the contexts' totals, and get the totals back;
+the driver sees eight sums. At the end each part answers every chunk with its
+words' and contexts' factors and its pairs' own shares, and the chunk puts
+them together over its stream.
+
+Disk. What grows with the tokens goes through a shuffle in `TURNS` turns, by
+part or by chunk, and a turn's shuffle files are deleted before the next
+turn's are written; a table is deleted when a later one has replaced it.
 
 Defined cases: null and empty texts are the end token alone; repeated rows
 are scored, and learned from, separately; a null id is never held out; with
@@ -36,6 +42,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +56,7 @@ from .common import drop_saved, n_partitions, saved, small_batches
 CHUNK_TOKENS = 1_500_000
 PART_TOKENS = 2_000_000
 CACHED_WORDS = 400_000
-TURNS = 4  # the parts answer in so many turns
+TURNS = 4  # pairs, questions and answers are shuffled in so many turns
 END = 0  # the end token's word hash; as a context, the start of a text
 
 _known: dict[bytes, int] = {}
@@ -73,19 +80,38 @@ def _tokens(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
 
-def _pairs(r: np.ndarray, ns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of texts -> the distinct word << 32 | context, sorted,
-    and each token's place among them."""
+def _planes(x: np.ndarray) -> bytes:
+    """Counts and places by byte planes, which compress well."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _packed(arrays: dict) -> bytes:
+    raw = pickle.dumps({
+        k: (x.shape, _planes(x)) if isinstance(x, np.ndarray) and x.dtype == np.uint32 else x
+        for k, x in arrays.items()}, 5)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> dict:
+    arrays = pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True))
+    return {
+        k: np.ascontiguousarray(np.frombuffer(x[1], np.uint8).reshape(4, -1).T).view(np.uint32).reshape(x[0]) if isinstance(x, tuple) else x
+        for k, x in arrays.items()}
+
+
+def _keys(r: np.ndarray, ns: np.ndarray) -> np.ndarray:
+    """Word numbers of texts -> each token's word << 32 | context."""
     c = np.empty_like(r)
     c[1:] = r[:-1]
     c[np.concatenate(([0], np.cumsum(ns, dtype=np.int64)[:-1]))] = r[-1]  # END
-    return np.unique(r << 32 | c, return_inverse=True)
+    return r << 32 | c
 
 
 def _chunks(parts: int, kind: pa.DataType):
-    """(id, text, train) -> stream rows (part -1) and request rows."""
-    names = ["chunk", "part", "ids", "ns", "idx", "words", "lens", "ctx", "cnt"]
-    types = [pa.int64(), pa.int32(), pa.list_(kind), *[pa.binary()] * 6]
+    """(id, text, train) -> one row per chunk: its ids, texts' lengths and
+    training flags, words sorted by part and hash, and stream."""
+    names = ["chunk", "ids", "ns", "learn", "words", "stream"]
+    types = [pa.int64(), pa.list_(kind), *[pa.binary()] * 4]
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, ids, toks, train = 0, [], [], []
@@ -96,26 +122,12 @@ def _chunks(parts: int, kind: pa.DataType):
             made += 1
             ns = np.array([len(t) for t in toks], np.uint32)
             words, at = np.unique(np.concatenate(toks), return_inverse=True)
-            part = (words % np.uint64(parts)).astype(np.int64)
-            by = np.lexsort((words, part))
+            by = np.lexsort((words, words % np.uint64(parts)))
             rank = np.empty(len(words), np.int64)
             rank[by] = np.arange(len(words))
-            r = rank[at]
-            pairs, idx = _pairs(r, ns)
-            cnt = np.bincount(idx, weights=np.repeat(np.array(train, bool), ns), minlength=len(pairs)).astype(np.uint32)
-            word, part = words[by], part[by]
-            lens = np.bincount(pairs >> 32, minlength=len(word)).astype(np.uint32)
-            ctx = word[pairs & 0xFFFFFFFF]
-            rows = [(chunk, -1, ids, ns.tobytes(), _shrunk(r), None, None, None, None)]
-            cut = np.searchsorted(part, np.arange(parts + 1))
-            upto = np.concatenate(([0], np.cumsum(lens, dtype=np.int64)))
-            for p in range(parts):
-                a, b = cut[p], cut[p + 1]
-                if a < b:
-                    x, y = upto[a], upto[b]
-                    rows.append((chunk, p, None, None, None, word[a:b].tobytes(), lens[a:b].tobytes(), ctx[x:y].tobytes(), cnt[x:y].tobytes()))
+            row = (chunk, ids, ns.tobytes(), np.array(train, bool).tobytes(), words[by].tobytes(), _packed({"r": rank[at].astype(np.uint32)}))
             ids, toks, train = [], [], []
-            return pa.RecordBatch.from_arrays([pa.array(list(v), t) for v, t in zip(zip(*rows), types)], names)
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
         held = 0
         for b in it:
@@ -134,22 +146,42 @@ def _chunks(parts: int, kind: pa.DataType):
     return split
 
 
-def _shrunk(r: np.ndarray) -> bytes:
-    """Word numbers by byte planes, which compress well."""
-    return r.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+_CHUNK = "chunk long, ids array<{}>, ns binary, learn binary, words binary, stream binary"
 
 
-def _grown(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
+def _asked(parts: int, turn: int, train: bool):
+    """Chunks -> their distinct pairs for the parts of this turn, by word and
+    context: those to learn from, with counts, or all."""
 
-
-_CHUNK = "chunk long, part int, ids array<{}>, ns binary, idx binary, words binary, lens binary, ctx binary, cnt binary"
+    def ask(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for chunk, ns, learn, words, stream in zip(*(b.column(i).to_pylist() for i in range(5))):
+                ns, learn, words = (np.frombuffer(x, t) for x, t in zip((ns, learn, words), (np.uint32, bool, np.uint64)))
+                part, r = (words % np.uint64(parts)).astype(np.int64), _unpacked(stream)["r"].astype(np.int64)
+                mine = (part % TURNS == turn)[r]
+                if train:
+                    mine &= np.repeat(learn, ns)
+                pairs, cnt = np.unique(_keys(r, ns)[mine], return_counts=True)
+                word, lens = np.unique(pairs >> 32, return_counts=True)
+                ctx, upto = words[pairs & 0xFFFFFFFF], np.concatenate(([0], np.cumsum(lens)))
+                cut = np.searchsorted(part[word], np.arange(parts + 1))
+                rows = []
+                for p in range(turn, parts, TURNS):
+                    a, z = cut[p], cut[p + 1]
+                    if a < z:
+                        x, y = upto[a], upto[z]
+                        d = {"words": words[word[a:z]], "lens": lens[a:z].astype(np.uint32), "ctx": ctx[x:y]}
+                        rows.append((p, ASKED, chunk, d | {"cnt": cnt[x:y].astype(np.uint32)} if train else d, None))
+                if rows:
+                    yield _rows(rows)
+
+    return ask
 
 
 # --- seating --------------------------------------------------------------
 
 def _gammaln(x: np.ndarray) -> np.ndarray:
-    shift = sum(np.log(x + i) for i in range(6))
+    shift = np.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
     y = x + 6
     return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) - shift
 
@@ -195,7 +227,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     part, kind, src, data, v = zip(*rows)
     return pa.RecordBatch.from_arrays(
         [pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(src, pa.int64()),
-         pa.array([pickle.dumps(d, 5) for d in data], pa.binary()), pa.array(v, pa.list_(pa.int64()))],
+         pa.array([_packed(d) for d in data], pa.binary()), pa.array(v, pa.list_(pa.int64()))],
         [f.split()[0] for f in _ROW.split(", ")])
 
 
@@ -208,13 +240,15 @@ def _by_part(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list
                 if held:
                     yield part, held
                 part, held = p, {}
-            held.setdefault(kind, []).append((src, pickle.loads(data)))
+            held.setdefault(kind, []).append((src, _unpacked(data)))
     if held:
         yield part, held
 
 
-def _dealt(rows: DataFrame, parts: int) -> DataFrame:
-    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "kind", "src")
+def _dealt(rows: DataFrame, parts: int, turns: int = 1) -> DataFrame:
+    """`turns`: the rows' parts are equal modulo it."""
+    place = (F.col("part") / turns).cast("int")
+    return rows.repartitionById(-(-parts // turns), place).sortWithinPartitions("part", "kind", "src")
 
 
 def _to_parts(kind: int, part: int, parts: int, u: np.ndarray, **arrays) -> list[tuple]:
@@ -246,23 +280,18 @@ def _customers(s: dict) -> tuple[np.ndarray, np.ndarray]:
 
 def _merged(parts: int):
     def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Request rows sorted by part -> the part's training pairs, its
+        """Chunks' pairs sorted by part -> the part's training pairs, its
         state with one table per dish, and its contexts' totals and tables."""
-        part, held = None, []
-
-        def close():
-            words, lens, ctx, cnt = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in enumerate((np.uint64, np.uint32, np.uint64, np.uint32)))
-            seen = cnt > 0
-            words, ctx, cnt = np.repeat(words, lens)[seen], ctx[seen], cnt[seen]
-            if not len(cnt):
-                return None
-            words, at = np.unique(words, return_inverse=True)
+        for part, held in _by_part(it):
+            words, lens, ctx, cnt = (np.concatenate([d[k] for _, d in held[ASKED]]) for k in ("words", "lens", "ctx", "cnt"))
+            words, at = np.unique(np.repeat(words, lens), return_inverse=True)
             known, c = np.unique(ctx, return_inverse=True)
             pairs, to = np.unique(at << 32 | c, return_inverse=True)
             n = _summed(to, cnt, len(pairs)).astype(np.uint32)
             ctx, word = known[pairs & 0xFFFFFFFF], pairs >> 32
             rows = [(part, PAIRS, part, {
-                "words": words, "lens": np.bincount(word, minlength=len(words)).astype(np.uint32), "ctx": ctx, "cnt": n}, None)]
+                "words": words, "lens": np.bincount(word, minlength=len(words)).astype(np.uint32),
+                "known": known, "c": (pairs & 0xFFFFFFFF).astype(np.uint32), "cnt": n}, None)]
             u, c = _contexts(ctx, parts)
             rows += _to_parts(TOTALS, part, parts, u, one=_summed(c, n == 1, len(u)).astype(np.uint32), all=_summed(c, n, len(u)))
             more = n > 1
@@ -272,17 +301,7 @@ def _merged(parts: int):
                  "own": np.zeros(more.sum(), np.float32), "p0": []}
             c0 = _customers(s)[1]
             v = [c0.sum(), len(words), n.sum(dtype=np.int64), len(words), *((n == k).sum() for k in (1, 2)), *((c0 == k).sum() for k in (1, 2))]
-            return _rows([*rows, (part, STATE, part, s, list(map(int, v))), *_tables(part, parts, s)])
-
-        for b in it:
-            for p, *r in zip(*(b.column(i).to_pylist() for i in range(5))):
-                if p != part:
-                    if held and (out := close()):
-                        yield out
-                    part, held = p, []
-                held.append(r)
-        if held and (out := close()):
-            yield out
+            yield _rows([*rows, (part, STATE, part, s, list(map(int, v))), *_tables(part, parts, s)])
 
     return merge
 
@@ -380,39 +399,39 @@ def _answers(gs: list[dict]):
         part = None
         for b in it:
             out = []
-            for p, kind, src, data, *raw in zip(*(b.column(i).to_pylist() for i in range(7))):
+            for p, kind, src, data in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if p != part:
                     part, m, s, k, a = p, None, None, None, []
+                d = _unpacked(data)
                 if kind == PAIRS:
-                    m = pickle.loads(data)
+                    m = d
                     word = np.repeat(np.arange(len(m["words"])), m["lens"])
                     sums = _summed(word, m["cnt"], len(m["words"]))
-                    known, c = np.unique(m["ctx"], return_inverse=True)
-                    keys, own = word << 32 | c, np.full(len(word), 1 - d1, np.float32)
+                    keys, own = word << 32 | m["c"], np.full(len(word), 1 - d1, np.float32)
                 elif kind == STATE:
-                    s = _recorded(pickle.loads(data), gs[-1])
+                    s = _recorded(d, gs[-1])
                     own[m["cnt"] > 1] = s["own"] / n
                     p0 = np.stack(s["p0"])
                 elif kind == TOTALS:
-                    k = pickle.loads(data)
+                    k = d
                 elif kind == FACTOR:
-                    a.append(pickle.loads(data)["a"])
+                    a.append(d["a"])
                 if kind != ASKED:
                     continue
-                words, lens, ctx = (np.frombuffer(x, t) for x, t in zip(raw, (np.uint64, np.uint32, np.uint64)))
+                words, lens, ctx = d["words"], d["lens"], d["ctx"]
                 reply = {"p0": np.repeat(unseen, len(words), 1), "known": np.zeros(len(words), np.int64),
                          "a": np.ones((n, len(words)), np.float32), "b": np.full(len(words), 1 / th1, np.float32), "own": np.zeros(len(ctx), np.float32)}
                 if m:
                     at, hit = find(m["words"], words)
                     reply["p0"][:, hit], reply["known"][hit] = p0[:, at[hit]], sums[at[hit]]
-                    c, met = find(known, ctx)
+                    c, met = find(m["known"], ctx)
                     to, same = find(keys, np.repeat(at, lens) << 32 | c)
                     same &= met & np.repeat(hit, lens)
                     reply["own"][same] = own[to[same]]
                 if k:
                     at, hit = find(k["u"], words)
                     reply["a"][:, hit], reply["b"][hit] = np.stack(a)[:, at[hit]], 1 / (th1 + k["all"][at[hit]])
-                out.append((src, p, pickle.dumps(reply, 5)))
+                out.append((src, p, _packed(reply)))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, t) for v, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], ["chunk", "part", "data"])
@@ -430,9 +449,9 @@ def _scored(tokens: float, vocabulary: float, kind: pa.DataType):
 
         def close():
             ids, ns, r = head
-            ns, r = np.frombuffer(ns, np.uint32).astype(np.int64), _grown(r)
+            ns, r = np.frombuffer(ns, np.uint32).astype(np.int64), _unpacked(r)["r"].astype(np.int64)
             p0, known, a, b, own = (np.concatenate([x[k] for x in replies], -1) for k in ("p0", "known", "a", "b", "own"))
-            pairs, idx = _pairs(r, ns)
+            pairs, idx = np.unique(_keys(r, ns), return_inverse=True)
             w, c = pairs >> 32, pairs & 0xFFFFFFFF
             p = b[c].astype(float) * own
             for x, y in zip(a, p0):
@@ -450,7 +469,7 @@ def _scored(tokens: float, vocabulary: float, kind: pa.DataType):
                         yield close()
                     head, replies = (ids, ns, r), []
                 else:
-                    replies.append(pickle.loads(data))
+                    replies.append(_unpacked(data))
         if head:
             yield close()
 
@@ -472,20 +491,26 @@ def score_texts(
     tokens = rows.where("train").select("text").mapInArrow(_tokens, "n long").agg(F.sum("n")).first()[0] or 0
     width = n_partitions(spark)
     parts = max(width, -(-tokens // PART_TOKENS))
-    paths = []  # tables that the answers replace
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
+    def kept(df: DataFrame, name: str, paths: list[str]) -> DataFrame:
         df, path = saved(df, name, tidy=True)
         paths.append(path)
         return df
 
-    chunks = saved(rows.mapInArrow(_chunks(parts, kind), _CHUNK.format(id_type)), "chunks", tidy=True)[0]
-    asked = chunks.where("part >= 0")
-    merged = keep(
-        asked.select("part", "words", "lens", "ctx", "cnt").repartitionById(parts, "part").mapInArrow(_merged(parts), _ROW), "merged")
+    def in_turns(make, name: str, paths: list[str]) -> DataFrame:
+        tables = [kept(make(turn), name, paths) for turn in range(TURNS)]
+        return reduce(DataFrame.unionByName, tables)
+
+    texts, replaced = [], []  # paths of what the scores and the answers replace
+    chunks = kept(rows.mapInArrow(_chunks(parts, kind), _CHUNK.format(id_type)), "chunks", texts)
+    asked = lambda turn, train: chunks.select(
+        "chunk", "ns", "learn", "words", "stream").mapInArrow(_asked(parts, turn, train), _ROW)
+    paths = []  # of the state
+    merged = in_turns(lambda turn: _dealt(asked(turn, True), parts, TURNS).mapInArrow(_merged(parts), _ROW), "merged", paths)
     of = lambda t, *kinds: t.where(F.col("kind").isin(*kinds))
-    totals = keep(_dealt(of(merged, TOTALS), parts).mapInArrow(_context_totals, _ROW), "totals")
-    state, path = merged, None
+    totals = kept(_dealt(of(merged, TOTALS), parts).mapInArrow(_context_totals, _ROW), "totals", replaced)
+    pairs = kept(of(merged, PAIRS), "pairs", replaced)
+    state = merged
     first = _numbers(state)
     n, v = first[2:4]
     share = lambda a, b: float(np.clip(a / max(1.0, a + 2 * b), 0.05, 0.95))
@@ -499,34 +524,28 @@ def score_texts(
         if sample:
             gs.append(g)
             factors.append(of(back, FACTOR))
-            paths.append(back_path)
+            replaced.append(back_path)
         if step + 1 < burn_in + samples:
-            new, new_path = saved(
+            state, path = saved(
                 _dealt(of(state, STATE).unionByName(of(back, REPLY)), parts).mapInArrow(_sweep(g, parts, step, sample), _ROW), "state", tidy=True)
-            if path:
-                drop_saved(spark, path)
-            state, path = new, new_path
+            for p in paths:
+                drop_saved(spark, p)
+            paths = [path]
         if not sample:
             drop_saved(spark, back_path)
-    none = lambda *names: [F.lit(None).cast("binary").alias(x) for x in names]
-    own = of(merged, PAIRS).unionByName(of(state, STATE)).unionByName(totals)
-    for f in factors:
-        own = own.unionByName(f)
-    both = own.drop("v").select("*", *none("words", "lens", "ctx")).unionByName(
-        asked.select("part", F.lit(ASKED).alias("kind"), F.col("chunk").alias("src"), *none("data"), "words", "lens", "ctx"))
-    # a turn's shuffle is deleted before the next one's is written
-    answers = None
-    for turn in range(TURNS):
-        some = _dealt(both.where(F.col("part") % TURNS == turn), parts)
-        some = saved(some.select("part", "kind", "src", "data", "words", "lens", "ctx").mapInArrow(
-            _answers(gs), "chunk long, part int, data binary"), "answers", tidy=True)[0]
-        answers = some if answers is None else answers.unionByName(some)
-    for p in [*paths, *([path] if path else [])]:
+    own = reduce(DataFrame.unionByName, factors, pairs.unionByName(of(state, STATE)).unionByName(totals))
+    answers = in_turns(lambda turn: _dealt(own.where(F.col("part") % TURNS == turn).unionByName(asked(turn, False)), parts, TURNS).select(
+        "part", "kind", "src", "data").mapInArrow(_answers(gs), "chunk long, part int, data binary"), "answers", texts)
+    for p in [*replaced, *paths]:
+        drop_saved(spark, p)
+    none = lambda name, t="binary": F.lit(None).cast(t).alias(name)
+    both = chunks.select("chunk", F.lit(-1).alias("part"), "ids", "ns", "stream", none("data")).unionByName(
+        answers.select("chunk", "part", none("ids", f"array<{id_type}>"), none("ns"), none("stream"), "data"))
+    out = in_turns(lambda turn: both.where(F.pmod(F.xxhash64("chunk"), F.lit(TURNS)) == turn).repartition(
+        width, "chunk").sortWithinPartitions("chunk", "part").mapInArrow(
+        _scored(n, v, kind), f"id {id_type}, n_tokens long, n_known long, base_score double, score double"), "scores", [])
+    for p in texts:
         drop_saved(spark, p)
-    streams = chunks.where("part = -1").select("chunk", "part", "ids", "ns", "idx", *none("data"))
-    answers = answers.select("chunk", "part", F.lit(None).cast(f"array<{id_type}>").alias("ids"), *none("ns", "idx"), "data")
-    out = streams.unionByName(answers).repartition(width, "chunk").sortWithinPartitions("chunk", "part").mapInArrow(
-        _scored(n, v, kind), f"id {id_type}, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(int(n)).cast("long")).withColumn(
         "perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
