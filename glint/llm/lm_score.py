@@ -30,7 +30,7 @@ the driver sees eight sums. At the end each part answers every chunk with its
 words' and contexts' factors and its pairs' own shares, and the chunk puts
 them together over its stream.
 
-Disk. What grows with the tokens goes through a shuffle in `TURNS` turns, by
+Disk. What grows with the tokens goes through a shuffle in a few turns, by
 part or by chunk, and a turn's shuffle files are deleted before the next
 turn's are written; a table is deleted when a later one has replaced it.
 
@@ -40,6 +40,7 @@ no training text every token is unknown; an empty table gives no row."""
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 from functools import reduce
@@ -56,7 +57,8 @@ from .common import drop_saved, n_partitions, saved, small_batches
 CHUNK_TOKENS = 1_500_000
 PART_TOKENS = 2_000_000
 CACHED_WORDS = 400_000
-TURNS = 4  # pairs, questions and answers are shuffled in so many turns
+TURNS, PAIR_TURNS = 4, 2  # questions and answers, and before them pairs, are shuffled in so many turns
+FEW = 24  # so many dishes are seated faster one by one than as arrays
 END = 0  # the end token's word hash; as a context, the start of a text
 
 _known: dict[bytes, int] = {}
@@ -99,6 +101,17 @@ def _unpacked(data: bytes) -> dict:
         for k, x in arrays.items()}
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and each value's place among them. They
+    are found by hashing, so that only distinct values are sorted."""
+    coded = pa.array(x).dictionary_encode()
+    values = coded.dictionary.to_numpy()
+    by = np.argsort(values)
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    return values[by], place[coded.indices.to_numpy()]
+
+
 def _keys(r: np.ndarray, ns: np.ndarray) -> np.ndarray:
     """Word numbers of texts -> each token's word << 32 | context."""
     c = np.empty_like(r)
@@ -121,7 +134,7 @@ def _chunks(parts: int, kind: pa.DataType):
             chunk = TaskContext.get().partitionId() << 32 | made
             made += 1
             ns = np.array([len(t) for t in toks], np.uint32)
-            words, at = np.unique(np.concatenate(toks), return_inverse=True)
+            words, at = _distinct(np.concatenate(toks))
             by = np.lexsort((words, words % np.uint64(parts)))
             rank = np.empty(len(words), np.int64)
             rank[by] = np.arange(len(words))
@@ -149,7 +162,7 @@ def _chunks(parts: int, kind: pa.DataType):
 _CHUNK = "chunk long, ids array<{}>, ns binary, learn binary, words binary, stream binary"
 
 
-def _asked(parts: int, turn: int, train: bool):
+def _asked(parts: int, turn: int, turns: int, train: bool):
     """Chunks -> their distinct pairs for the parts of this turn, by word and
     context: those to learn from, with counts, or all."""
 
@@ -158,7 +171,7 @@ def _asked(parts: int, turn: int, train: bool):
             for chunk, ns, learn, words, stream in zip(*(b.column(i).to_pylist() for i in range(5))):
                 ns, learn, words = (np.frombuffer(x, t) for x, t in zip((ns, learn, words), (np.uint32, bool, np.uint64)))
                 part, r = (words % np.uint64(parts)).astype(np.int64), _unpacked(stream)["r"].astype(np.int64)
-                mine = (part % TURNS == turn)[r]
+                mine = (part % turns == turn)[r]
                 if train:
                     mine &= np.repeat(learn, ns)
                 pairs, cnt = np.unique(_keys(r, ns)[mine], return_counts=True)
@@ -166,7 +179,7 @@ def _asked(parts: int, turn: int, train: bool):
                 ctx, upto = words[pairs & 0xFFFFFFFF], np.concatenate(([0], np.cumsum(lens)))
                 cut = np.searchsorted(part[word], np.arange(parts + 1))
                 rows = []
-                for p in range(turn, parts, TURNS):
+                for p in range(turn, parts, turns):
                     a, z = cut[p], cut[p + 1]
                     if a < z:
                         x, y = upto[a], upto[z]
@@ -192,7 +205,7 @@ def seat(rng, c, others, theta, d, base):
     tables and the log importance weight."""
     tables, weight = np.ones(len(c), np.int64), np.zeros(len(c))
     live, pos = np.flatnonzero(c > 1), np.ones(len(c), np.int64)
-    while len(live):
+    while len(live) > FEW:
         n, t = pos[live], tables[live]
         new = np.maximum((theta + d * (others[live] + t)) * base[live], 1e-300)
         old = n - d * t
@@ -204,6 +217,22 @@ def seat(rng, c, others, theta, d, base):
         tables[live] += opened
         pos[live] = stop
         live = live[stop < c[live]]
+    # the few dishes with most tables, one number after the other
+    left = [(i, int(pos[i]), int(tables[i]), 0.0, int(c[i]), float(others[i]), float(base[i])) for i in live]
+    while left:
+        odds = [(max((theta + d * (o + t)) * b, 1e-300), n - d * t) for _, n, t, _, _, o, b in left]
+        ps = [min(max(rng.beta(new, old), 1e-15), 1 - 1e-15) for new, old in odds]
+        still = []
+        for (i, n, t, w, k, o, b), (new, old), p in zip(left, odds, ps):
+            wait = int(math.log(rng.random() or 1e-300) / math.log1p(-p))
+            stop = min(n + wait + 1, k)
+            w += math.lgamma(new + old + (stop - n)) - math.lgamma(new + old)
+            t += n + wait + 1 <= k
+            if stop < k:
+                still.append((i, stop, t, w, k, o, b))
+            else:
+                tables[i], weight[i] = t, weight[i] + w
+        left = still
     return tables, weight
 
 
@@ -258,13 +287,13 @@ def _to_parts(kind: int, part: int, parts: int, u: np.ndarray, **arrays) -> list
             for c, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
 
 
-def _contexts(ctx: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct contexts sorted by part, hash, and each one's place."""
-    u, at = np.unique(ctx, return_inverse=True)
-    by = np.lexsort((u, u % np.uint64(parts)))
-    place = np.empty(len(u), np.int64)
-    place[by] = np.arange(len(u))
-    return u[by], place[at].astype(np.uint32)
+def _contexts(known: np.ndarray, c: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct contexts `known[c]` sorted by part, hash, and each one's place."""
+    used = np.flatnonzero(np.bincount(c, minlength=len(known)))
+    by = used[np.lexsort((known[used], known[used] % np.uint64(parts)))]
+    place = np.zeros(len(known), np.int64)
+    place[by] = np.arange(len(by))
+    return known[by], place[c].astype(np.uint32)
 
 
 def _summed(at: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
@@ -284,20 +313,24 @@ def _merged(parts: int):
         state with one table per dish, and its contexts' totals and tables."""
         for part, held in _by_part(it):
             words, lens, ctx, cnt = (np.concatenate([d[k] for _, d in held[ASKED]]) for k in ("words", "lens", "ctx", "cnt"))
-            words, at = np.unique(np.repeat(words, lens), return_inverse=True)
-            known, c = np.unique(ctx, return_inverse=True)
-            pairs, to = np.unique(at << 32 | c, return_inverse=True)
-            n = _summed(to, cnt, len(pairs)).astype(np.uint32)
-            ctx, word = known[pairs & 0xFFFFFFFF], pairs >> 32
+            words, at = _distinct(words)
+            known, c = _distinct(ctx)
+            pairs = np.repeat(at, lens) << 32 | c
+            by = np.argsort(pairs)
+            pairs = pairs[by]
+            first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+            n = np.add.reduceat(cnt[by], first, dtype=np.int64).astype(np.uint32)
+            pairs = pairs[first]
+            c, word = pairs & 0xFFFFFFFF, pairs >> 32
             rows = [(part, PAIRS, part, {
                 "words": words, "lens": np.bincount(word, minlength=len(words)).astype(np.uint32),
-                "known": known, "c": (pairs & 0xFFFFFFFF).astype(np.uint32), "cnt": n}, None)]
-            u, c = _contexts(ctx, parts)
-            rows += _to_parts(TOTALS, part, parts, u, one=_summed(c, n == 1, len(u)).astype(np.uint32), all=_summed(c, n, len(u)))
+                "known": known, "c": c.astype(np.uint32), "cnt": n}, None)]
+            u, to = _contexts(known, c, parts)
+            rows += _to_parts(TOTALS, part, parts, u, one=_summed(to, n == 1, len(u)).astype(np.uint32), all=_summed(to, n, len(u)))
             more = n > 1
-            u, c = _contexts(ctx[more], parts)
+            u, to = _contexts(known, c[more], parts)
             s = {"one": _summed(word, n == 1, len(words)), "lens": np.bincount(word[more], minlength=len(words)).astype(np.uint32),
-                 "u": u, "c": c, "cnt": n[more], "tab": np.ones(more.sum(), np.uint32), "top": np.ones(len(words), np.uint32),
+                 "u": u, "c": to, "cnt": n[more], "tab": np.ones(more.sum(), np.uint32), "top": np.ones(len(words), np.uint32),
                  "own": np.zeros(more.sum(), np.float32), "p0": []}
             c0 = _customers(s)[1]
             v = [c0.sum(), len(words), n.sum(dtype=np.int64), len(words), *((n == k).sum() for k in (1, 2)), *((c0 == k).sum() for k in (1, 2))]
@@ -451,7 +484,7 @@ def _scored(tokens: float, vocabulary: float, kind: pa.DataType):
             ids, ns, r = head
             ns, r = np.frombuffer(ns, np.uint32).astype(np.int64), _unpacked(r)["r"].astype(np.int64)
             p0, known, a, b, own = (np.concatenate([x[k] for x in replies], -1) for k in ("p0", "known", "a", "b", "own"))
-            pairs, idx = np.unique(_keys(r, ns), return_inverse=True)
+            pairs, idx = _distinct(_keys(r, ns))
             w, c = pairs >> 32, pairs & 0xFFFFFFFF
             p = b[c].astype(float) * own
             for x, y in zip(a, p0):
@@ -497,16 +530,17 @@ def score_texts(
         paths.append(path)
         return df
 
-    def in_turns(make, name: str, paths: list[str]) -> DataFrame:
-        tables = [kept(make(turn), name, paths) for turn in range(TURNS)]
+    def in_turns(make, name: str, paths: list[str], turns: int = TURNS) -> DataFrame:
+        tables = [kept(make(turn), name, paths) for turn in range(turns)]
         return reduce(DataFrame.unionByName, tables)
 
     texts, replaced = [], []  # paths of what the scores and the answers replace
     chunks = kept(rows.mapInArrow(_chunks(parts, kind), _CHUNK.format(id_type)), "chunks", texts)
-    asked = lambda turn, train: chunks.select(
-        "chunk", "ns", "learn", "words", "stream").mapInArrow(_asked(parts, turn, train), _ROW)
+    asked = lambda *turn: chunks.select(
+        "chunk", "ns", "learn", "words", "stream").mapInArrow(_asked(parts, *turn), _ROW)
     paths = []  # of the state
-    merged = in_turns(lambda turn: _dealt(asked(turn, True), parts, TURNS).mapInArrow(_merged(parts), _ROW), "merged", paths)
+    merged = in_turns(lambda turn: _dealt(asked(turn, PAIR_TURNS, True), parts, PAIR_TURNS).mapInArrow(
+        _merged(parts), _ROW), "merged", paths, PAIR_TURNS)
     of = lambda t, *kinds: t.where(F.col("kind").isin(*kinds))
     totals = kept(_dealt(of(merged, TOTALS), parts).mapInArrow(_context_totals, _ROW), "totals", replaced)
     pairs = kept(of(merged, PAIRS), "pairs", replaced)
@@ -534,7 +568,7 @@ def score_texts(
         if not sample:
             drop_saved(spark, back_path)
     own = reduce(DataFrame.unionByName, factors, pairs.unionByName(of(state, STATE)).unionByName(totals))
-    answers = in_turns(lambda turn: _dealt(own.where(F.col("part") % TURNS == turn).unionByName(asked(turn, False)), parts, TURNS).select(
+    answers = in_turns(lambda turn: _dealt(own.where(F.col("part") % TURNS == turn).unionByName(asked(turn, TURNS, False)), parts, TURNS).select(
         "part", "kind", "src", "data").mapInArrow(_answers(gs), "chunk long, part int, data binary"), "answers", texts)
     for p in [*replaced, *paths]:
         drop_saved(spark, p)

@@ -1,4 +1,5 @@
 import bisect
+import pathlib
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from llm_rows import DOCS, odd_docs, prose
 from pyspark.sql import functions as F
 
-from glint.llm import licenses, mixing, packing, simhash
+from glint.llm import licenses, lm_score, mixing, packing, simhash
 from glint.llm.langid import Model, codewords, identify, language_model
 from glint.llm.line_dedup import line_dedup
 from glint.llm.lm_score import score_texts, seat
@@ -421,6 +422,56 @@ def test_seating_follows_the_restaurant():
 
 
 
+def test_few_dishes_are_seated_like_many(monkeypatch):
+    rng = np.random.default_rng(6)
+    c, others, base = rng.integers(1, 400, 60), rng.integers(1, 900, 60), rng.random(60) / 9
+    c[:5], c[5:9] = 20_000, 1
+    one, many = [], []
+    for few, out in ((60, one), (0, many)):
+        monkeypatch.setattr(lm_score, "FEW", few)
+        out += seat(np.random.default_rng(7), c, others, 1.0, 0.7, base)
+    assert one[0][c == 1].max() == 1 and np.all((one[0] >= 1) & (one[0] <= c))
+    # the draws come in the same order
+    assert np.array_equal(one[0], many[0]) and np.allclose(one[1], many[1])
+
+
+def test_distinct_values_and_places():
+    for x in (np.array([], np.uint64), np.array([2**64 - 1, 0, 7, 7, 2**63, 0], np.uint64), np.arange(9, dtype=np.int64)[::-1] % 4):
+        values, place = lm_score._distinct(x)
+        want, at = np.unique(x, return_inverse=True)
+        assert values.dtype == x.dtype and np.array_equal(values, want) and np.array_equal(place, at)
+
+
+def test_packed_arrays():
+    arrays = {"u": np.arange(6, dtype=np.uint64), "n": np.array([1, 2**32 - 1], np.uint32), "none": np.zeros(0, np.uint32),
+              "own": np.ones((2, 3), np.float32), "p0": [np.ones(2, np.float32)]}
+    got = lm_score._unpacked(lm_score._packed(arrays))
+    assert got.keys() == arrays.keys()
+    for k in ("u", "n", "none", "own"):
+        assert got[k].dtype == arrays[k].dtype and np.array_equal(got[k], arrays[k])
+    assert np.array_equal(got["p0"][0], arrays["p0"][0])
+
+
+def test_scores_hold_little_on_disk(spark, monkeypatch):
+    """Tables at any time, by token; none but the scores is left."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 20_000, 2_000)), "en", "s", 1) for i in range(100)]
+    held, most = {}, 0
+    whole = lambda path: sum(f.stat().st_size for f in pathlib.Path(path.removeprefix("file:")).rglob("*.parquet"))
+
+    def watched(df, name, tidy=False, saved=lm_score.saved):
+        nonlocal most
+        out, path = saved(df, name, tidy)
+        held[path] = name
+        most = max(most, sum(map(whole, held)))
+        return out, path
+
+    monkeypatch.setattr(lm_score, "saved", watched)
+    assert score_texts(spark.createDataFrame(rows, DOCS), ~held_out()).count() == 100
+    assert most < 25 * 200_100
+    assert {held[path] for path in held if whole(path)} == {"scores"}
+
+
 def _after_rare_words(n: int) -> list[tuple]:
     """Each of `n` words is followed, ten times, by a word of its own."""
     one = lambda k: f"ctx{k} next{k} " + " ".join(f"pad{(k * 7 + j) % 50}" for j in range(8))
