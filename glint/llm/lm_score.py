@@ -61,16 +61,20 @@ TURNS, PAIR_TURNS = 4, 2  # questions and answers, and before them pairs, are sh
 FEW = 24  # so many dishes are seated faster one by one than as arrays
 END = 0  # the end token's word hash; as a context, the start of a text
 
-_known: dict[bytes, int] = {}
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh64_intdigest(word) or 1
+        return found
+
+
+_known = _Hashes()
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
     """64-bit word hashes, never END."""
     global _known
     if len(_known) > CACHED_WORDS:
-        _known = {}
-    for w in set(words).difference(_known):
-        _known[w] = xxhash.xxh64_intdigest(w) or 1
+        _known = _Hashes()
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
@@ -112,12 +116,15 @@ def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[by], place[coded.indices.to_numpy()]
 
 
-def _keys(r: np.ndarray, ns: np.ndarray) -> np.ndarray:
+def _keys(r: np.ndarray, ns: np.ndarray, of=slice(None)) -> np.ndarray:
     """Word numbers of texts -> each token's word << 32 | context."""
     c = np.empty_like(r)
     c[1:] = r[:-1]
     c[np.concatenate(([0], np.cumsum(ns, dtype=np.int64)[:-1]))] = r[-1]  # END
-    return r << 32 | c
+    keys = r[of].astype(np.int64)
+    keys <<= 32
+    keys |= c[of]
+    return keys
 
 
 def _chunks(parts: int, kind: pa.DataType):
@@ -170,11 +177,11 @@ def _asked(parts: int, turn: int, turns: int, train: bool):
         for b in it:
             for chunk, ns, learn, words, stream in zip(*(b.column(i).to_pylist() for i in range(5))):
                 ns, learn, words = (np.frombuffer(x, t) for x, t in zip((ns, learn, words), (np.uint32, bool, np.uint64)))
-                part, r = (words % np.uint64(parts)).astype(np.int64), _unpacked(stream)["r"].astype(np.int64)
+                part, r = (words % np.uint64(parts)).astype(np.int64), _unpacked(stream)["r"]
                 mine = (part % turns == turn)[r]
                 if train:
                     mine &= np.repeat(learn, ns)
-                pairs, cnt = np.unique(_keys(r, ns)[mine], return_counts=True)
+                pairs, cnt = np.unique(_keys(r, ns, mine), return_counts=True)
                 word, lens = np.unique(pairs >> 32, return_counts=True)
                 ctx, upto = words[pairs & 0xFFFFFFFF], np.concatenate(([0], np.cumsum(lens)))
                 cut = np.searchsorted(part[word], np.arange(parts + 1))
@@ -482,9 +489,9 @@ def _scored(tokens: float, vocabulary: float, kind: pa.DataType):
 
         def close():
             ids, ns, r = head
-            ns, r = np.frombuffer(ns, np.uint32).astype(np.int64), _unpacked(r)["r"].astype(np.int64)
+            ns, r = np.frombuffer(ns, np.uint32).astype(np.int64), _unpacked(r)["r"]
             p0, known, a, b, own = (np.concatenate([x[k] for x in replies], -1) for k in ("p0", "known", "a", "b", "own"))
-            pairs, idx = _distinct(_keys(r, ns))
+            pairs, idx = np.unique(_keys(r, ns), return_inverse=True)  # mostly distinct: hashing takes more memory
             w, c = pairs >> 32, pairs & 0xFFFFFFFF
             p = b[c].astype(float) * own
             for x, y in zip(a, p0):
